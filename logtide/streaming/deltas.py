@@ -1,0 +1,143 @@
+"""Per-batch delta tables: idempotent, mergeable outputs of a stream.
+
+A click increment and an HLL add are both mergeable, so a stream needs no
+unbounded state: each micro-batch aggregates its own rows and writes the
+result to ``<table>/batch_id=<N>`` with overwrite. A replayed batch (same id,
+same input, because the source offsets were checkpointed before it ran)
+overwrites itself, so totals never double. Reading the table merges all
+deltas: ``sum`` for counts, ``hll_union_agg`` for sketches.
+
+Layout under ``<table>``:
+  batch_id=N/         the delta of batch N
+  _ledger/batch_id=N/ offset ranges the batch consumed (hidden from readers)
+  _bases/upto=K/      optional compaction: all deltas <= K merged into one
+
+Readers take the newest base (if any) plus the deltas after it, so deleting
+deltas <= K after a base exists is safe at any time.
+
+If a checkpoint is lost, its batch ids restart at 0 and would overwrite old
+deltas; `batch_id_base` guards that: it stores, beside the checkpoint, the id
+offset this checkpoint uses (the table's max batch id + 1 when the checkpoint
+was created).
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
+
+
+def _child_ids(spark: SparkSession, path: str, prefix: str) -> list[int]:
+    """Ids of committed child folders `<prefix><id>` (those holding _SUCCESS)."""
+    fs, p = _fs(spark, path)
+    if not fs.exists(p):
+        return []
+    jvm = spark.sparkContext._jvm
+    ids = []
+    for status in fs.listStatus(p):
+        name = status.getPath().getName()
+        if status.isDirectory() and name.startswith(prefix):
+            if not fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
+                continue
+            try:
+                ids.append(int(name[len(prefix):]))
+            except ValueError:
+                pass
+    return ids
+
+
+def batch_ids(spark: SparkSession, table: str) -> list[int]:
+    return sorted(_child_ids(spark, table, "batch_id="))
+
+
+def batch_id_base(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """Id offset for a checkpoint: fixed when the checkpoint is first seen."""
+    fs, p = _fs(spark, f"{checkpoint}/logtide_batch_id_base")
+    if fs.exists(p):
+        stream = fs.open(p)
+        try:
+            reader = spark.sparkContext._jvm.java.io.BufferedReader(
+                spark.sparkContext._jvm.java.io.InputStreamReader(stream))
+            return int(reader.readLine().strip())
+        finally:
+            stream.close()
+    existing = batch_ids(spark, table) + _child_ids(spark, f"{table}/_bases", "upto=")
+    base = (max(existing) + 1) if existing else 0
+    out = fs.create(p, True)
+    try:
+        out.write(bytearray(str(base).encode()))
+    finally:
+        out.close()
+    return base
+
+
+def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
+    """Write one batch's delta, replacing any earlier attempt of the same batch."""
+    df.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+
+
+def write_ledger(ranges: DataFrame, table: str, batch_id: int) -> None:
+    ranges.write.mode("overwrite").parquet(f"{table}/_ledger/batch_id={batch_id}")
+
+
+def read_ledger(spark: SparkSession, table: str) -> DataFrame:
+    return spark.read.parquet(f"{table}/_ledger")
+
+
+def read_deltas(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame | None:
+    """Rows of the newest base plus the deltas after it (up to `upto`)."""
+    bases = _child_ids(spark, f"{table}/_bases", "upto=")
+    if upto is not None:
+        bases = [b for b in bases if b <= upto]
+    newest = max(bases) if bases else None
+    base_df = spark.read.parquet(f"{table}/_bases/upto={newest}") if newest is not None else None
+    ids = [i for i in batch_ids(spark, table)
+           if (newest is None or i > newest) and (upto is None or i <= upto)]
+    if not ids:
+        return base_df
+    deltas = (spark.read.option("basePath", table)
+              .parquet(*[f"{table}/batch_id={i}" for i in ids]).drop("batch_id"))
+    return deltas if base_df is None else base_df.unionByName(deltas)
+
+
+def merge_counts(rows: DataFrame, key: str = "row_key", value: str = "click_count") -> DataFrame:
+    return rows.groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
+
+
+def merge_sketch_rows(rows: DataFrame, key: str = "hour_key") -> DataFrame:
+    return rows.groupBy(key).agg(F.hll_union_agg("sketch", True).alias("sketch"),
+                                 F.max("last_write").alias("last_write"),
+                                 F.sum("n_rows").cast("bigint").alias("n_rows"))
+
+
+COUNTS_SCHEMA = "row_key string, click_count bigint"
+SKETCH_SCHEMA = "hour_key string, sketch binary, last_write timestamp, n_rows bigint"
+
+
+def merged_counts(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
+    rows = read_deltas(spark, table, upto)
+    return merge_counts(rows) if rows is not None else spark.createDataFrame([], COUNTS_SCHEMA)
+
+
+def merged_sketches(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
+    rows = read_deltas(spark, table, upto)
+    return merge_sketch_rows(rows) if rows is not None else spark.createDataFrame([], SKETCH_SCHEMA)
+
+
+def compact(spark: SparkSession, table: str, upto: int, kind: str = "counts") -> str:
+    """Fold the newest base and all deltas <= upto into base `upto`.
+
+    Readers switch to the new base only once its write has committed (Spark
+    moves the files out of `_temporary` at job commit), so a failed compaction
+    leaves the table as it was. Deltas <= upto can be deleted afterwards.
+    """
+    merged = merged_counts(spark, table, upto) if kind == "counts" else merged_sketches(spark, table, upto)
+    path = f"{table}/_bases/upto={upto}"
+    merged.write.mode("overwrite").parquet(path)
+    return path
