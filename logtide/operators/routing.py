@@ -11,7 +11,9 @@
                  lines with a marker pass untouched, as in the reference)
 
 Lines without a marker are never decoded: the decode sits behind the marker
-test inside one CASE, so CSV or junk lines cost only the substring scan.
+test inside one CASE, so CSV or junk lines cost only the substring scan. The
+decode is evaluated once per row (`with_columns_once`), however many field
+predicates follow.
 
 Deliberate differences from the reference (see README): a startup line with
 no start time is valid but not countable (reason 'missing_time' from
@@ -25,6 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.functions.logs import as_int, as_long, decode_json, has_log_marker, log_kind, mentions
+from logtide.plans.shaping import with_columns_once
 from logtide.schemas import (ERROR_SCHEMA, NUMERIC_FIELDS, PAGE_DEFAULT_ZERO, PAGE_SCHEMA,
                              STARTUP_SCHEMA, WIDE_PARSE_SCHEMA)
 
@@ -43,9 +46,9 @@ def keep_city_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
 
 def parse_logs(lines: DataFrame, line_col: str = "value") -> DataFrame:
     kind = log_kind(line_col)
-    with_kind = lines.withColumn("log_kind", kind)
-    decoded = with_kind.withColumn(
-        "_j", F.when(F.col("log_kind").isNotNull(), decode_json(line_col)))
+    # decode once per row: later filters on fields must not re-run from_json
+    decoded = with_columns_once(lines, log_kind=kind,
+                                _j=F.when(kind.isNotNull(), decode_json(line_col)))
     fields = []
     for name in _FIELD_NAMES:
         raw = F.col(f"_j.{name}")

@@ -53,9 +53,12 @@ def _prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _events(spark: SparkSession, sf: str, cols=None) -> DataFrame:
+def _events(spark: SparkSession, sf: str, cols=None, fan: bool = False) -> DataFrame:
+    """The events scan; `fan` spreads a single-split scan over the cluster's
+    cores before CPU-heavy per-row work (JSON encode/decode)."""
     _prepare(spark)
-    return load_table(spark, sf, "events", cols)
+    width = spark.sparkContext.defaultParallelism if fan else None
+    return load_table(spark, sf, "events", cols, fan_out_below=width)
 
 
 def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
@@ -102,14 +105,14 @@ _MESSAGES = (
 SELECT strftime(ts, '%Y-%m-%d') || '_' || {_CITY} AS row_key, count(*) AS click_count
 FROM events WHERE event_type <> 'error' GROUP BY 1""")
 def city_click_counter(spark, sf):
-    return C.city_click_counts(_lines(startup_lines(_events(spark, sf))), C.DATE_CITY)
+    return C.city_click_counts(_lines(startup_lines(_events(spark, sf, fan=True))), C.DATE_CITY)
 
 
 @register("city_click_counter_v2", f"""
 SELECT {_CITY} || strftime(ts, '%Y-%m-%d') AS row_key, count(*) AS click_count
 FROM events WHERE event_type <> 'error' GROUP BY 1""")
 def city_click_counter_v2(spark, sf):
-    return C.city_click_counts(_lines(startup_lines(_events(spark, sf))), C.CITY_DATE)
+    return C.city_click_counts(_lines(startup_lines(_events(spark, sf, fan=True))), C.CITY_DATE)
 
 
 # ---- routing / validation / decode (FLT-*, PRJ-1/2/5/6) ---------------------------
@@ -117,13 +120,13 @@ def city_click_counter_v2(spark, sf):
 @register("log_type_counts", f"""
 SELECT {_KIND} AS log_kind, count(*) AS n FROM events GROUP BY 1""")
 def log_type_counts(spark, sf):
-    return R.route_counts(R.parse_logs(_lines(mixed_lines(_events(spark, sf)))))
+    return R.route_counts(R.parse_logs(_lines(mixed_lines(_events(spark, sf, fan=True)))))
 
 
 @register("log_type_filter", f"""
 SELECT cast(user_id AS VARCHAR) AS userId, {_KIND} AS log_kind FROM events""")
 def log_type_filter(spark, sf):
-    ev = _events(spark, sf)
+    ev = _events(spark, sf, fan=True)
     lines = _lines(mixed_lines(ev)).unionByName(_lines(csv_lines(ev)))
     return R.parse_logs(R.keep_log_lines(lines)).select("userId", "log_kind")
 
@@ -132,7 +135,7 @@ def log_type_filter(spark, sf):
 SELECT cast(user_id AS VARCHAR) AS userId, {_KIND} AS log_kind, {_MS} AS event_ms
 FROM events WHERE event_type <> 'signup'""")
 def startup_valid(spark, sf):
-    parsed = R.parse_logs(R.keep_log_lines(_lines(mixed_lines(_events(spark, sf)))))
+    parsed = R.parse_logs(R.keep_log_lines(_lines(mixed_lines(_events(spark, sf, fan=True)))))
     return R.keep_valid(parsed).select(
         "userId", "log_kind", F.coalesce("startTimeInMs", "createTimeInMs").alias("event_ms"))
 
@@ -141,7 +144,7 @@ def startup_valid(spark, sf):
 SELECT cast(user_id AS VARCHAR) AS userId, {_MS} AS event_ms
 FROM events WHERE event_type IN ('purchase', 'click')""")
 def city_line_filter(spark, sf):
-    parsed = R.parse_logs(R.keep_city_lines(_lines(mixed_lines(_events(spark, sf)))))
+    parsed = R.parse_logs(R.keep_city_lines(_lines(mixed_lines(_events(spark, sf, fan=True)))))
     return parsed.select("userId", F.coalesce("startTimeInMs", "createTimeInMs").alias("event_ms"))
 
 
@@ -154,7 +157,7 @@ SELECT cast(user_id AS VARCHAR) AS userId, 'app' || (user_id % 3) AS appId,
        date_trunc('millisecond', ts) AS start_ts
 FROM events""")
 def startup_decode(spark, sf):
-    parsed = R.parse_logs(_lines(startup_lines(_events(spark, sf))))
+    parsed = R.parse_logs(_lines(startup_lines(_events(spark, sf, fan=True))))
     return parsed.where(F.col("log_kind") == "startup").select(
         "userId", "appId", "appPlatform", "appVersion", "startTimeInMs", "activeTimeInMs", "city",
         D.from_ms("startTimeInMs").cast("timestamp_ntz").alias("start_ts"))
@@ -184,7 +187,7 @@ SELECT 'app-log' AS topic, cast(event_id % 3 AS INTEGER) AS "partition",
        {_STARTUP_JSON} AS value
 FROM events""")
 def message_envelope(spark, sf):
-    msgs = as_messages(startup_lines(_events(spark, sf)), APP_TOPIC, KAFKA_PARTITIONS)
+    msgs = as_messages(startup_lines(_events(spark, sf, fan=True)), APP_TOPIC, KAFKA_PARTITIONS)
     return msgs.select("topic", "partition", "offset", "value")
 
 
@@ -415,7 +418,7 @@ for _name, _bucket, _out, _sql in [
     ("clicks_by_month", lambda: D.month_begin("start_ts"), "month_begin_ms", "date_trunc('month', ts)"),
 ]:
     def _q(spark, sf, _bucket=_bucket, _out=_out):
-        return C.clicks_by(_lines(startup_lines(_events(spark, sf))), _bucket(), _out)
+        return C.clicks_by(_lines(startup_lines(_events(spark, sf, fan=True))), _bucket(), _out)
     register(_name, f"SELECT epoch_ms(({_sql})::TIMESTAMP) AS {_out}, count(*) AS clicks "
                     f"FROM events WHERE event_type <> 'error' GROUP BY 1")(_q)
 
@@ -483,7 +486,7 @@ def hourly_uv_retained(spark, sf):
 @register("archive_load", f"""
 SELECT strftime(ts, '%Y%m%d') AS dt, {_KIND} AS log_kind, count(*) AS n FROM events GROUP BY ALL""")
 def archive_load(spark, sf):
-    ev = _events(spark, sf)
+    ev = _events(spark, sf, fan=True)
     msgs = as_messages(mixed_lines(ev), APP_TOPIC, KAFKA_PARTITIONS, with_offsets=False)
     archive = scratch_path(spark, "archive")
     A.write_archive(msgs, archive)

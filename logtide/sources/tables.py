@@ -24,12 +24,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.functions.dates import ntz_to_ms
+from logtide.plans.shaping import fan_out, with_columns_once
 
 
-def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan of one driver table; `columns` prunes the read schema."""
+def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               fan_out_below: int | None = None) -> DataFrame:
+    """Parquet scan of one driver table; `columns` prunes the read schema.
+    `fan_out_below`: spread the rows over that many tasks when the scan has
+    fewer splits (for CPU-heavy per-row work such as JSON encode/decode)."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return fan_out(df, fan_out_below) if fan_out_below else df
 
 
 def _k() -> Column:
@@ -86,7 +91,7 @@ def _city() -> Column:
 def startup_lines(events: DataFrame) -> DataFrame:
     """(event_id, ts, value): every event as a startup-log JSON line; no city for errors."""
     city = F.when(F.col("event_type") == "error", F.lit(None).cast("string")).otherwise(_city())
-    return events.select("event_id", "ts", F.to_json(_startup_struct(city)).alias("value"))
+    return _lines(events, F.to_json(_startup_struct(city)))
 
 
 def mixed_lines(events: DataFrame) -> DataFrame:
@@ -96,7 +101,7 @@ def mixed_lines(events: DataFrame) -> DataFrame:
     value = (F.when(et == "error", F.to_json(_error_struct()))
              .when(et == "view", F.to_json(_page_struct()))
              .otherwise(F.to_json(_startup_struct(city))))
-    return events.select("event_id", "ts", value.alias("value"))
+    return _lines(events, value)
 
 
 def csv_lines(events: DataFrame) -> DataFrame:
@@ -104,4 +109,9 @@ def csv_lines(events: DataFrame) -> DataFrame:
     value = F.concat_ws(",", F.col("user_id").cast("string"), F.col("event_type"),
                         F.col("event_id").cast("string"),
                         F.floor(F.col("value") * 100).cast("bigint").cast("string"))
-    return events.select("event_id", "ts", value.alias("value"))
+    return _lines(events, value)
+
+
+def _lines(events: DataFrame, value: Column) -> DataFrame:
+    # the encoded line is computed once per row even when later filters test it
+    return with_columns_once(events, value=value).select("event_id", "ts", "value")
