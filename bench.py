@@ -20,7 +20,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-REPEATS = int(os.environ.get("BENCH_REPEATS", "2"))
+REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 HEADLINE = ["city_click_counter", "hourly_uv_hll", "week_begin_offset"]
 MORE = ["city_click_counter_v2", "log_type_counts", "startup_valid", "startup_decode", "csv_user_id",

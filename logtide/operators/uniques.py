@@ -69,6 +69,18 @@ def within_bound(estimate: Column, exact: Column, rel: float = HLL_CHECK_REL) ->
     return F.abs(estimate - exact) <= F.greatest(F.lit(1.0), exact * F.lit(rel))
 
 
+def distinct_users(uh: DataFrame, key: Column | str = "hour_key", name: str = "hour_key") -> DataFrame:
+    """(name, user_id, write_ts) with one row per key and user.
+
+    The dedupe shuffles on (key, user) after a map-side partial dedupe, so a
+    hot key spreads over its users instead of landing in one task. Exact and
+    approximate distinct counts can then both be plain aggregates over it (an
+    HLL ignores duplicates, so estimates are unchanged).
+    """
+    k = key if isinstance(key, Column) else F.col(key)
+    return uh.groupBy(k.alias(name), "user_id").agg(F.max("write_ts").alias("write_ts"))
+
+
 def daily_key(hour_key_col: str = "hour_key") -> Column:
     """yyyyMMdd of an hour key yyyyMMdd-HH."""
     return F.substring(F.col(hour_key_col), 1, 8)

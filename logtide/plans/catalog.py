@@ -436,31 +436,33 @@ _HOURLY_EXACT = "SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT us
 
 @register("hourly_uv_exact", _HOURLY_EXACT)
 def hourly_uv_exact(spark, sf):
-    return _user_hours(spark, sf).groupBy("hour_key").agg(F.count_distinct("user_id").alias("uv"))
+    return U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(F.count(F.lit(1)).alias("uv"))
 
 
 @register("hourly_uv_approx", "SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT user_id) AS uv, true AS ok FROM events GROUP BY 1")
 def hourly_uv_approx(spark, sf):
-    agg = _user_hours(spark, sf).groupBy("hour_key").agg(
-        F.count_distinct("user_id").alias("uv"),
+    agg = U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(
+        F.count(F.lit(1)).alias("uv"),
         F.approx_count_distinct("user_id", 0.01).alias("est"))   # rsd 0.01 -> 2^14 registers
     return agg.select("hour_key", "uv", U.within_bound(F.col("est"), F.col("uv")).alias("ok"))
 
 
 @register("hourly_uv_hll", "SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT user_id) AS uv, true AS ok FROM events GROUP BY 1")
 def hourly_uv_hll(spark, sf):
-    agg = _user_hours(spark, sf).groupBy("hour_key").agg(
-        F.count_distinct("user_id").alias("uv"),
+    agg = U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(
+        F.count(F.lit(1)).alias("uv"),
         F.hll_sketch_estimate(F.hll_sketch_agg("user_id", U.HLL_LG_K)).alias("est"))
     return agg.select("hour_key", "uv", U.within_bound(F.col("est"), F.col("uv")).alias("ok"))
 
 
 @register("daily_uv_merged", "SELECT strftime(ts, '%Y%m%d') AS day, count(DISTINCT user_id) AS uv, true AS ok FROM events GROUP BY 1")
 def daily_uv_merged(spark, sf):
+    """Day estimates come only from merging the hour sketches; the exact
+    day count (for the bound check) dedupes (day, user) separately."""
     uh = _user_hours(spark, sf)
     days = U.merge_sketches(U.hourly_sketches(uh), U.daily_key(), "day") \
         .select("day", F.hll_sketch_estimate("sketch").alias("est"))
-    exact = uh.groupBy(U.daily_key().alias("day")).agg(F.count_distinct("user_id").alias("uv"))
+    exact = U.distinct_users(uh, U.daily_key(), "day").groupBy("day").agg(F.count(F.lit(1)).alias("uv"))
     return exact.join(days, "day").select("day", "uv", U.within_bound(F.col("est"), F.col("uv")).alias("ok"))
 
 
@@ -470,11 +472,10 @@ WITH h AS (SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT user_id)
 SELECT hour_key, uv, true AS ok FROM h
 WHERE lw + 86400000 > (SELECT max(epoch_us(ts) // 1000) FROM events)""")
 def hourly_uv_retained(spark, sf):
-    uh = _user_hours(spark, sf)
-    agg = uh.groupBy("hour_key").agg(
+    agg = U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(
         F.hll_sketch_agg("user_id", U.HLL_LG_K).alias("sketch"),
         F.max("write_ts").alias("last_write"),
-        F.count_distinct("user_id").alias("uv"))
+        F.count(F.lit(1)).alias("uv"))
     as_of = agg.select(F.max("last_write")).scalar()
     kept = U.retained(agg, as_of, "1 day")
     return kept.select("hour_key", "uv",
