@@ -26,7 +26,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.functions.logs import as_int, as_long, decode_json, has_log_marker, log_kind, mentions
+from logtide.functions.logs import decode_json, has_log_marker, log_kind, mentions
 from logtide.plans.shaping import with_columns_once
 from logtide.schemas import (ERROR_SCHEMA, NUMERIC_FIELDS, PAGE_DEFAULT_ZERO, PAGE_SCHEMA,
                              STARTUP_SCHEMA, WIDE_PARSE_SCHEMA)
@@ -44,33 +44,35 @@ def keep_city_lines(lines: DataFrame, line_col: str = "value") -> DataFrame:
     return lines.where(mentions(line_col, "city"))
 
 
+def _field_sql(name: str) -> str:
+    """SQL text of one decoded field (numbers coerced from JSON text)."""
+    raw = f"_j.{name}"
+    if name not in NUMERIC_FIELDS:
+        return f"{raw} AS {name}"
+    sql_type = "BIGINT" if NUMERIC_FIELDS[name].typeName() == "long" else "INT"
+    conv = f"coalesce(try_cast({raw} AS {sql_type}), try_cast(try_cast({raw} AS DOUBLE) AS {sql_type}))"
+    if name in PAGE_DEFAULT_ZERO:
+        conv = f"CASE WHEN log_kind = 'page' THEN coalesce({conv}, CAST(0 AS {sql_type})) ELSE {conv} END"
+    return f"{conv} AS {name}"
+
+
+_FIELDS_SQL = [_field_sql(n) for n in _FIELD_NAMES]
+_MALFORMED_SQL = "(log_kind IS NOT NULL AND (_j IS NULL OR _j._corrupt_record IS NOT NULL))"
+_REASON_SQL = (
+    "CASE WHEN log_kind IS NULL THEN 'no_marker' "
+    f"WHEN log_kind = 'startup' AND {_MALFORMED_SQL} THEN 'malformed' "
+    "WHEN log_kind = 'startup' AND _j.city IS NULL THEN 'missing_city' "
+    "WHEN log_kind = 'startup' AND _j.userId IS NULL THEN 'missing_user' "
+    "WHEN log_kind = 'startup' AND _j.appId IS NULL THEN 'missing_app' END AS reject_reason")
+
+
 def parse_logs(lines: DataFrame, line_col: str = "value") -> DataFrame:
     kind = log_kind(line_col)
     # decode once per row: later filters on fields must not re-run from_json
     decoded = with_columns_once(lines, log_kind=kind,
                                 _j=F.when(kind.isNotNull(), decode_json(line_col)))
-    fields = []
-    for name in _FIELD_NAMES:
-        raw = F.col(f"_j.{name}")
-        if name in NUMERIC_FIELDS:
-            conv = as_long(raw) if NUMERIC_FIELDS[name].typeName() == "long" else as_int(raw)
-            if name in PAGE_DEFAULT_ZERO:
-                zero = F.lit(0).cast(NUMERIC_FIELDS[name])
-                conv = F.when(F.col("log_kind") == "page", F.coalesce(conv, zero)).otherwise(conv)
-            fields.append(conv.alias(name))
-        else:
-            fields.append(raw.alias(name))
-    malformed = F.col("log_kind").isNotNull() & (
-        F.col("_j").isNull() | F.col("_j._corrupt_record").isNotNull())
-    startup = F.col("log_kind") == "startup"
-    reason = (F.when(F.col("log_kind").isNull(), F.lit("no_marker"))
-              .when(startup & malformed, F.lit("malformed"))
-              .when(startup & F.col("_j.city").isNull(), F.lit("missing_city"))
-              .when(startup & F.col("_j.userId").isNull(), F.lit("missing_user"))
-              .when(startup & F.col("_j.appId").isNull(), F.lit("missing_app")))
-    keep = [c for c in lines.columns]
-    return decoded.select(*keep, "log_kind", *fields, malformed.alias("malformed"),
-                          reason.alias("reject_reason"))
+    keep = [f"`{c}`" for c in lines.columns]
+    return decoded.selectExpr(*keep, "log_kind", *_FIELDS_SQL, f"{_MALFORMED_SQL} AS malformed", _REASON_SQL)
 
 
 def keep_valid(parsed: DataFrame) -> DataFrame:

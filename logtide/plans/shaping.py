@@ -28,8 +28,16 @@ def with_columns_once(df: DataFrame, **named: Column) -> DataFrame:
     return df.select(*keep, F.inline(F.array(row)))
 
 
+def input_splits(df: DataFrame) -> int:
+    """Number of partitions the plan produces (planning only, nothing runs)."""
+    try:
+        return df._jdf.rdd().getNumPartitions()   # JVM side: no Python pickling RDD
+    except Exception:  # noqa: BLE001 - e.g. Spark Connect, where only the public API exists
+        return df.rdd.getNumPartitions()
+
+
 def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    if input_splits(df) < target:
         return df.repartition(target)
     return df

@@ -23,7 +23,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.functions.dates import ntz_to_ms
 from logtide.plans.shaping import fan_out, with_columns_once
 
 
@@ -37,79 +36,49 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return fan_out(df, fan_out_below) if fan_out_below else df
 
 
-def _k() -> Column:
-    return F.get_json_object("props", "$.k")
+_MS_SQL = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+_K_SQL = "get_json_object(props, '$.k')"
+_BASE_SQL = ("'userId', cast(user_id AS STRING), 'appId', concat('app', cast(user_id % 3 AS STRING)), "
+             "'appPlatform', CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END")
 
 
-def _base_fields() -> list[Column]:
-    uid = F.col("user_id")
-    return [
-        F.lit("userId"), uid.cast("string"),
-        F.lit("appId"), F.concat(F.lit("app"), (uid % 3).cast("string")),
-        F.lit("appPlatform"), F.when(uid % 2 == 0, F.lit("android")).otherwise(F.lit("ios")),
-    ]
+def _startup_sql(city_sql: str) -> str:
+    return (f"to_json(named_struct({_BASE_SQL}, 'appVersion', concat('1.0.', cast(user_id % 4 AS STRING)), "
+            f"'startTimeInMs', {_MS_SQL}, 'activeTimeInMs', cast(floor(value * 1000) AS BIGINT), "
+            f"'city', {city_sql}))")
 
 
-def _startup_struct(city: Column) -> Column:
-    uid = F.col("user_id")
-    return F.named_struct(
-        *_base_fields(),
-        F.lit("appVersion"), F.concat(F.lit("1.0."), (uid % 4).cast("string")),
-        F.lit("startTimeInMs"), ntz_to_ms("ts"),
-        F.lit("activeTimeInMs"), F.floor(F.col("value") * 1000).cast("bigint"),
-        F.lit("city"), city,
-    )
-
-
-def _page_struct() -> Column:
-    k = _k().cast("int")
-    return F.named_struct(
-        *_base_fields(),
-        F.lit("pageViewCntInSession"), (k % 7 + 1),
-        F.lit("currentPage"), F.concat(F.lit("page_"), (k % 10).cast("string")),
-        F.lit("pageVisitIndex"), (k % 5),
-        F.lit("nextPage"), F.concat(F.lit("page_"), ((k + 1) % 10).cast("string")),
-        F.lit("stayDurationInSecs"), F.floor(F.col("value")).cast("bigint"),
-        F.lit("createTimeInMs"), ntz_to_ms("ts"),
-    )
-
-
-def _error_struct() -> Column:
-    k = _k().cast("int")
-    return F.named_struct(
-        *_base_fields(),
-        F.lit("errorMajor"), F.concat(F.lit("E"), (k % 5).cast("string")),
-        F.lit("errorInDetail"), F.concat(F.lit("detail_"), _k()),
-        F.lit("createTimeInMs"), ntz_to_ms("ts"),
-    )
-
-
-def _city() -> Column:
-    return F.concat(F.lit("city_"), _k())
+_PAGE_SQL = (f"to_json(named_struct({_BASE_SQL}, "
+             f"'pageViewCntInSession', cast({_K_SQL} AS INT) % 7 + 1, "
+             f"'currentPage', concat('page_', cast(cast({_K_SQL} AS INT) % 10 AS STRING)), "
+             f"'pageVisitIndex', cast({_K_SQL} AS INT) % 5, "
+             f"'nextPage', concat('page_', cast((cast({_K_SQL} AS INT) + 1) % 10 AS STRING)), "
+             f"'stayDurationInSecs', cast(floor(value) AS BIGINT), 'createTimeInMs', {_MS_SQL}))")
+_ERROR_SQL = (f"to_json(named_struct({_BASE_SQL}, "
+              f"'errorMajor', concat('E', cast(cast({_K_SQL} AS INT) % 5 AS STRING)), "
+              f"'errorInDetail', concat('detail_', {_K_SQL}), 'createTimeInMs', {_MS_SQL}))")
+_CITY_SQL = f"concat('city_', {_K_SQL})"
 
 
 def startup_lines(events: DataFrame) -> DataFrame:
     """(event_id, ts, value): every event as a startup-log JSON line; no city for errors."""
-    city = F.when(F.col("event_type") == "error", F.lit(None).cast("string")).otherwise(_city())
-    return _lines(events, F.to_json(_startup_struct(city)))
+    city = f"CASE WHEN event_type = 'error' THEN CAST(NULL AS STRING) ELSE {_CITY_SQL} END"
+    return _lines(events, F.expr(_startup_sql(city)))
 
 
 def mixed_lines(events: DataFrame) -> DataFrame:
     """(event_id, ts, value): error/page/startup JSON lines by event type; no city for signups."""
-    et = F.col("event_type")
-    city = F.when(et == "signup", F.lit(None).cast("string")).otherwise(_city())
-    value = (F.when(et == "error", F.to_json(_error_struct()))
-             .when(et == "view", F.to_json(_page_struct()))
-             .otherwise(F.to_json(_startup_struct(city))))
-    return _lines(events, value)
+    city = f"CASE WHEN event_type = 'signup' THEN CAST(NULL AS STRING) ELSE {_CITY_SQL} END"
+    return _lines(events, F.expr(
+        f"CASE WHEN event_type = 'error' THEN {_ERROR_SQL} WHEN event_type = 'view' THEN {_PAGE_SQL} "
+        f"ELSE {_startup_sql(city)} END"))
 
 
 def csv_lines(events: DataFrame) -> DataFrame:
     """(event_id, ts, value): `user_id,event_type,event_id,value_in_cents` lines."""
-    value = F.concat_ws(",", F.col("user_id").cast("string"), F.col("event_type"),
-                        F.col("event_id").cast("string"),
-                        F.floor(F.col("value") * 100).cast("bigint").cast("string"))
-    return _lines(events, value)
+    return _lines(events, F.expr(
+        "concat_ws(',', cast(user_id AS STRING), event_type, cast(event_id AS STRING), "
+        "cast(cast(floor(value * 100) AS BIGINT) AS STRING))"))
 
 
 def _lines(events: DataFrame, value: Column) -> DataFrame:
