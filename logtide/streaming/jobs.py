@@ -17,11 +17,15 @@ Sinks:
 
 from __future__ import annotations
 
+import time
+
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from logtide.functions.dates import HOUR_KEY_PATTERN
+from logtide.functions.logs import csv_field
 from logtide.operators import archive as A
 from logtide.operators import counters as C
 from logtide.operators import offsets as O
@@ -117,6 +121,32 @@ def read_daily_uniques(spark: SparkSession, table: str) -> DataFrame:
     return days.select("day", F.hll_sketch_estimate("sketch").alias("uv_est"))
 
 
+def hourly_uniques_windowed(messages: DataFrame, watermark: str = "1 day",
+                            lg_k: int = U.HLL_LG_K) -> DataFrame:
+    """Event-time alternative: tumbling 1-hour windows over the message timestamp
+    with a watermark. In append mode each hour is emitted once, after the
+    watermark passes its end, and its state is then dropped, so state stays
+    bounded by the watermark (the one-day expiry of the reference's keys).
+    Rows later than the watermark are dropped by Spark."""
+    uh = messages.select("timestamp", csv_field("value", 0).alias("user_id"))
+    return (uh.withWatermark("timestamp", watermark)
+            .groupBy(F.window("timestamp", "1 hour").alias("w"))
+            .agg(F.hll_sketch_agg("user_id", lg_k).alias("sketch"),
+                 F.max("timestamp").alias("last_write"),
+                 F.count(F.lit(1)).alias("n_rows"))
+            .select(F.date_format("w.start", HOUR_KEY_PATTERN).alias("hour_key"),
+                    "sketch", "last_write", "n_rows"))
+
+
+def stop_gracefully(query: StreamingQuery, timeout_s: float = 60.0, poll_s: float = 0.2) -> None:
+    """Stop after the running micro-batch finishes (or after `timeout_s`).
+    An abrupt stop is safe too: the unfinished batch replays from the checkpoint."""
+    deadline = time.monotonic() + timeout_s
+    while query.isActive and query.status.get("isTriggerActive") and time.monotonic() < deadline:
+        time.sleep(poll_s)
+    query.stop()
+
+
 def archive_stream(messages: DataFrame, path: str, checkpoint: str, minute_as_dir: bool = False,
                    trigger: str | None = ARCHIVE_TRIGGER, query_name: str | None = None) -> StreamingQuery:
     """Raw lines into per-minute folders, CRLF line ends, one commit per trigger."""

@@ -133,3 +133,26 @@ def test_archive_path_layouts(spark):
     assert one(spark, D.archive_path(ts, minute_as_dir=True)) == "/logData/201906/21/10/20"
     assert one(spark, D.hour_key(ts)) == "20190621-10"
     assert one(spark, D.date_to_string(ts)) == "2019-06-21"
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=8, deadline=None)
+@given(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2040, 12, 31)),
+       st.integers(min_value=-3, max_value=3))
+def test_range_predicates_agree_with_buckets(spark, day, offset):
+    """in_day/in_week/in_month(ts, day, offset) <=> bucket(ts) == bucket(day) + offset."""
+    base = dt.datetime.combine(day, dt.time())
+    stamps = [base + dt.timedelta(hours=h) for h in range(-24 * 70, 24 * 70, 7)]
+    df = spark.createDataFrame([(s,) for s in stamps], "ts timestamp")
+    d = F.lit(day.isoformat()).cast("date")
+    checks = {
+        "day": (D.in_day("ts", day, offset), D.day_begin("ts") == D.day_begin(d, offset)),
+        "week": (D.in_week("ts", day, offset), D.week_begin("ts") == D.week_begin(d, offset)),
+        "month": (D.in_month("ts", day, offset), D.month_begin("ts") == D.month_begin(d, offset)),
+    }
+    for kind, (pred, bucket) in checks.items():
+        bad = df.where(pred != bucket).count()
+        assert bad == 0, (kind, day, offset)

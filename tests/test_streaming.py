@@ -113,3 +113,31 @@ def test_stateful_alternative_equals_batch(spark, scratch):
          .option("checkpointLocation", scratch("ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     assert _rows(spark.table("stateful_clicks")) == _rows(C.city_click_counts(msgs.select("value")))
+
+
+def test_windowed_uniques_equal_batch(spark, scratch):
+    ev = load_table(spark, SF001, "events")
+    msgs = as_messages(csv_lines(ev), "user-csv", 3, with_offsets=False)
+    src = _write_source(spark, msgs, scratch("src"), files=3)
+    win = jobs.hourly_uniques_windowed(stream_messages(spark, src, max_files_per_trigger=1), watermark="365 days")
+    q = (win.select("hour_key", F.hll_sketch_estimate("sketch").alias("uv_est"), "n_rows")
+         .writeStream.outputMode("complete").format("memory").queryName("win_uv")
+         .option("checkpointLocation", scratch("ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("win_uv")
+    exact = U.user_hours(msgs).groupBy("hour_key").agg(F.count_distinct("user_id").alias("uv"),
+                                                       F.count(F.lit(1)).alias("n"))
+    j = got.join(exact, "hour_key")
+    assert j.count() == exact.count() == got.count()
+    assert j.where((F.col("n") != F.col("n_rows")) | ~U.within_bound(F.col("uv_est"), F.col("uv"))).count() == 0
+
+
+def test_stop_gracefully(spark, scratch):
+    ev = load_table(spark, SF001, "events")
+    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    src = _write_source(spark, msgs, scratch("src"), files=2)
+    q = jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), scratch("t"),
+                                  scratch("ckpt"), trigger="1 second")
+    q.processAllAvailable()
+    jobs.stop_gracefully(q, timeout_s=30)
+    assert not q.isActive
