@@ -26,7 +26,7 @@ from logtide.operators import offsets as O
 from logtide.operators import routing as R
 from logtide.operators import uniques as U
 from logtide.session import scratch_path
-from logtide.sources.messages import as_messages, read_text_lines
+from logtide.sources.messages import as_messages, events_as_messages, read_text_lines
 from logtide.sources.tables import csv_lines, load_table, mixed_lines, startup_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -187,7 +187,7 @@ SELECT 'app-log' AS topic, cast(event_id % 3 AS INTEGER) AS "partition",
        {_STARTUP_JSON} AS value
 FROM events""")
 def message_envelope(spark, sf):
-    msgs = as_messages(startup_lines(_events(spark, sf, fan=True)), APP_TOPIC, KAFKA_PARTITIONS)
+    msgs = events_as_messages(_events(spark, sf, fan=True), startup_lines, APP_TOPIC, KAFKA_PARTITIONS)
     return msgs.select("topic", "partition", "offset", "value")
 
 

@@ -27,11 +27,17 @@ DEFAULT_BLOCK_WIDTH = 1 << 20  # ids per offset block: bounds one window group
 
 
 def dense_offsets(df: DataFrame, partition_col: str, order_col: str,
-                  block_width: int = DEFAULT_BLOCK_WIDTH, out: str = "offset") -> DataFrame:
+                  block_width: int = DEFAULT_BLOCK_WIDTH, out: str = "offset",
+                  sizes_from: DataFrame | None = None) -> DataFrame:
     """Add `out` = 0-based rank of each row within `partition_col`, ordered by the
-    unique integer `order_col`. Work is split into id blocks of `block_width`."""
-    blocked = df.withColumn("_blk", F.floor(F.col(order_col) / F.lit(block_width)))
-    sizes = blocked.groupBy(partition_col, "_blk").agg(F.count(F.lit(1)).alias("_n"))
+    unique integer `order_col`. Work is split into id blocks of `block_width`.
+
+    `sizes_from`: a narrower frame with the same (partition, id) rows to count
+    block sizes from, so the counting pass does not recompute wide columns."""
+    blk = F.floor(F.col(order_col) / F.lit(block_width))
+    blocked = df.withColumn("_blk", blk)
+    counted = (sizes_from if sizes_from is not None else df).select(partition_col, blk.alias("_blk"))
+    sizes = counted.groupBy(partition_col, "_blk").agg(F.count(F.lit(1)).alias("_n"))
     # Running sum over the block table: one row per (partition, block), so its
     # groups stay small even when one partition holds most of the data.
     before = Window.partitionBy(partition_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
@@ -65,6 +71,23 @@ def as_messages(lines: DataFrame, topic: str, partitions: int = 3, id_col: str =
     return env.select("topic", "partition", "offset", "timestamp", "key", "value")
 
 
+def events_as_messages(events: DataFrame, adapter, topic: str, partitions: int = 3,
+                       id_col: str = "event_id", ts_col: str = "ts",
+                       block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
+    """Envelope of `adapter(events)` lines with dense offsets, encoding each line once.
+
+    The block-size pass counts the narrow event rows; the adapter
+    (`adapter(df, keep=...)`, e.g. `startup_lines`) encodes each row exactly
+    once, before the shuffle that numbers rows within blocks.
+    """
+    keyed = events.withColumn("partition", F.pmod(F.col(id_col), F.lit(partitions)).cast("int"))
+    lines = adapter(keyed, keep=("partition",))
+    lines = dense_offsets(lines, "partition", id_col, block_width, sizes_from=keyed)
+    return lines.select(F.lit(topic).alias("topic"), "partition", "offset",
+                        F.timestamp_millis(ntz_to_ms(ts_col)).alias("timestamp"),
+                        F.lit(None).cast("string").alias("key"), "value")
+
+
 def read_text_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
     """Batch text scan, one row per line (`value`)."""
     reader = spark.read

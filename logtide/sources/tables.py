@@ -60,27 +60,27 @@ _ERROR_SQL = (f"to_json(named_struct({_BASE_SQL}, "
 _CITY_SQL = f"concat('city_', {_K_SQL})"
 
 
-def startup_lines(events: DataFrame) -> DataFrame:
-    """(event_id, ts, value): every event as a startup-log JSON line; no city for errors."""
+def startup_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(event_id, ts, *keep, value): every event as a startup-log JSON line; no city for errors."""
     city = f"CASE WHEN event_type = 'error' THEN CAST(NULL AS STRING) ELSE {_CITY_SQL} END"
-    return _lines(events, F.expr(_startup_sql(city)))
+    return _lines(events, F.expr(_startup_sql(city)), keep)
 
 
-def mixed_lines(events: DataFrame) -> DataFrame:
-    """(event_id, ts, value): error/page/startup JSON lines by event type; no city for signups."""
+def mixed_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(event_id, ts, *keep, value): error/page/startup JSON lines by event type; no city for signups."""
     city = f"CASE WHEN event_type = 'signup' THEN CAST(NULL AS STRING) ELSE {_CITY_SQL} END"
     return _lines(events, F.expr(
         f"CASE WHEN event_type = 'error' THEN {_ERROR_SQL} WHEN event_type = 'view' THEN {_PAGE_SQL} "
-        f"ELSE {_startup_sql(city)} END"))
+        f"ELSE {_startup_sql(city)} END"), keep)
 
 
-def csv_lines(events: DataFrame) -> DataFrame:
-    """(event_id, ts, value): `user_id,event_type,event_id,value_in_cents` lines."""
+def csv_lines(events: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """(event_id, ts, *keep, value): `user_id,event_type,event_id,value_in_cents` lines."""
     return _lines(events, F.expr(
         "concat_ws(',', cast(user_id AS STRING), event_type, cast(event_id AS STRING), "
-        "cast(cast(floor(value * 100) AS BIGINT) AS STRING))"))
+        "cast(cast(floor(value * 100) AS BIGINT) AS STRING))"), keep)
 
 
-def _lines(events: DataFrame, value: Column) -> DataFrame:
+def _lines(events: DataFrame, value: Column, keep: tuple[str, ...] = ()) -> DataFrame:
     # the encoded line is computed once per row even when later filters test it
-    return with_columns_once(events, value=value).select("event_id", "ts", "value")
+    return with_columns_once(events, value=value).select("event_id", "ts", *keep, "value")
