@@ -60,8 +60,9 @@ def _delta_sink(spark: SparkSession, table: str, checkpoint: str, aggregate, rep
             if repartition:
                 out = out.repartition(repartition)
             deltas.write_batch(out, table, id_base + batch_id)
-            deltas.write_ledger(O.offset_ranges(batch).withColumn("batch_id", F.lit(id_base + batch_id)),
-                                table, id_base + batch_id)
+            if {"topic", "partition", "offset"} <= set(batch.columns):   # text sources have no offsets
+                deltas.write_ledger(O.offset_ranges(batch).withColumn("batch_id", F.lit(id_base + batch_id)),
+                                    table, id_base + batch_id)
         finally:
             batch.unpersist()
 

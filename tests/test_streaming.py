@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from conftest import SF001
 from logtide.operators import counters as C
 from logtide.operators import uniques as U
-from logtide.sources.messages import as_messages, stream_messages
+from logtide.operators import archive as A
+from logtide.sources.messages import as_messages, stream_messages, stream_text_lines
 from logtide.sources.tables import csv_lines, load_table, startup_lines
 from logtide.streaming import deltas, jobs
 
@@ -141,3 +142,30 @@ def test_stop_gracefully(spark, scratch):
     q.processAllAvailable()
     jobs.stop_gracefully(q, timeout_s=30)
     assert not q.isActive
+
+
+def test_text_stream_click_counter(spark, scratch):
+    """Raw JSON lines in text files (no envelope) through the click counter."""
+    ev = load_table(spark, SF001, "events")
+    lines = startup_lines(ev).select("value")
+    src = scratch("text-src")
+    lines.repartition(3).write.text(src)
+    table = scratch("clicks")
+    jobs.click_counter_stream(spark, stream_text_lines(spark, src, max_files_per_trigger=1), table,
+                              scratch("ckpt"), trigger="availableNow").awaitTermination()
+    assert _rows(jobs.read_click_counter(spark, table)) == _rows(C.city_click_counts(lines))
+
+
+def test_load_streamed_archive(spark, scratch):
+    ev = load_table(spark, SF001, "events")
+    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    src = _write_source(spark, msgs.where(F.col("timestamp") < F.lit("2024-01-03").cast("timestamp")),
+                        scratch("src"), files=2)
+    out = scratch("archive")
+    jobs.archive_stream(stream_messages(spark, src, max_files_per_trigger=1), out, scratch("ckpt"),
+                        trigger="availableNow").awaitTermination()
+    table = A.load_archive(spark, out, scratch("table"))
+    got = {r.dt: r.n for r in table.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
+    want = {r.dt: r.n for r in msgs.where(F.col("timestamp") < F.lit("2024-01-03").cast("timestamp"))
+            .groupBy(F.date_format("timestamp", "yyyyMMdd").alias("dt")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert got == want
