@@ -141,3 +141,37 @@ def compact(spark: SparkSession, table: str, upto: int, kind: str = "counts") ->
     path = f"{table}/_bases/upto={upto}"
     merged.write.mode("overwrite").parquet(path)
     return path
+
+
+def drop_compacted(spark: SparkSession, table: str) -> list[int]:
+    """Delete deltas already folded into the newest committed base; returns their ids.
+    Safe at any time: readers never look at deltas at or below the newest base."""
+    bases = _child_ids(spark, f"{table}/_bases", "upto=")
+    if not bases:
+        return []
+    newest = max(bases)
+    fs, _ = _fs(spark, table)
+    jvm = spark.sparkContext._jvm
+    dropped = []
+    for i in batch_ids(spark, table):
+        if i <= newest:
+            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table}/batch_id={i}"), True)
+            dropped.append(i)
+    return dropped
+
+
+def ledger_start_offsets(spark: SparkSession, table: str, partitions: DataFrame) -> dict:
+    """``{topic: {partition: offset}}`` to resume a Kafka source from this table's
+    ledger (e.g. after losing the checkpoint). Same all-or-nothing rule as the
+    reference's offset lookup: any partition without a committed offset means
+    every partition starts at 0. `partitions` holds (topic, partition) rows."""
+    from logtide.operators.offsets import start_offsets
+    fs, p = _fs(spark, f"{table}/_ledger")
+    if fs.exists(p):
+        ledger = read_ledger(spark, table)
+    else:
+        ledger = spark.createDataFrame([], "topic string, partition int, from_offset bigint, until_offset bigint")
+    out: dict = {}
+    for row in start_offsets(partitions, ledger).collect():   # one row per topic-partition
+        out.setdefault(row.topic, {})[str(row.partition)] = int(row.start_offset)
+    return out

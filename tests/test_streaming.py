@@ -6,6 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from conftest import SF001
+from conftest import SF0001 as SF0001_DIR
 from logtide.operators import counters as C
 from logtide.operators import uniques as U
 from logtide.operators import archive as A
@@ -56,9 +57,18 @@ def test_click_counter_stream(spark, scratch):
                               trigger="availableNow").awaitTermination()
     assert _rows(jobs.read_click_counter(spark, table)) == want
 
-    # compaction keeps totals; later batches still add on top
+    # compaction keeps totals; folded deltas can then be dropped
     deltas.compact(spark, table, 2)
     assert _rows(jobs.read_click_counter(spark, table)) == want
+    assert deltas.drop_compacted(spark, table) == [0, 1, 2]
+    assert deltas.batch_ids(spark, table) == [3]
+    assert _rows(jobs.read_click_counter(spark, table)) == want
+
+    # resuming from the ledger: committed until_offset per partition = its row count
+    parts = msgs.select("topic", "partition").distinct()
+    starts = deltas.ledger_start_offsets(spark, table, parts)
+    sizes = {str(r.partition): r.n for r in msgs.groupBy("partition").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert starts == {"app-log": sizes}
 
 
 def test_new_checkpoint_does_not_overwrite(spark, scratch):
@@ -169,3 +179,17 @@ def test_load_streamed_archive(spark, scratch):
     want = {r.dt: r.n for r in msgs.where(F.col("timestamp") < F.lit("2024-01-03").cast("timestamp"))
             .groupBy(F.date_format("timestamp", "yyyyMMdd").alias("dt")).agg(F.count(F.lit(1)).alias("n")).collect()}
     assert got == want
+
+
+def test_runner_on_files(spark, scratch):
+    from logtide.streaming import run
+    ev = load_table(spark, SF0001_DIR, "events")
+    msgs = as_messages(startup_lines(ev), "app-log", 3)
+    src = _write_source(spark, msgs, scratch("src"), files=2)
+    table = scratch("clicks")
+    run.main(["clicks", "--files", src, "--max-files", "1", "--table", table, "--checkpoint", scratch("ckpt"),
+              "--trigger", "availableNow"])
+    assert _rows(jobs.read_click_counter(spark, table)) == _rows(C.city_click_counts(msgs.select("value")))
+    args = run.parse_args(["uniques", "--kafka", "h:9092", "--topic", "t", "--rate", "100", "--partitions", "3",
+                           "--table", table, "--checkpoint", "c"])
+    assert args.rate == 100 and run.BATCH_SECONDS[args.job] == 1
