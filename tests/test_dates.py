@@ -156,3 +156,28 @@ def test_range_predicates_agree_with_buckets(spark, day, offset):
     for kind, (pred, bucket) in checks.items():
         bad = df.where(pred != bucket).count()
         assert bad == 0, (kind, day, offset)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "Asia/Shanghai", "America/New_York"])
+def test_format_time_matches_simpledateformat(spark, zone):
+    """FormatTime(ms, fmt): our date_format against the JDK formatter the reference uses."""
+    jvm = spark.sparkContext._jvm
+    TimeZone = jvm.java.util.TimeZone
+    old_default, old_session = TimeZone.getDefault(), spark.conf.get("spark.sql.session.timeZone")
+    patterns = ["yyyy-MM-dd HH:mm:ss.SSS", "yyyyMMdd-HH", "yyyyMM/dd/HHmm", "EEE, d MMM yyyy", "hh:mm a",
+                "kk:mm", "D", "yyyy-MM-dd'T'HH:mm:ssZ", "yyyy-MM-dd HH:mm XXX"]
+    rnd = random.Random(11)
+    instants = [rnd.randrange(0, 2_000_000_000_000) for _ in range(25)] + [0, 1561112430123]
+    try:
+        TimeZone.setDefault(TimeZone.getTimeZone(zone))
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(m,) for m in instants], "ms long")
+        cols = [D.format_time("ms", p).alias(f"p{i}") for i, p in enumerate(patterns)]
+        for r in df.select("ms", *cols).collect():
+            for i, p in enumerate(patterns):
+                sdf = jvm.java.text.SimpleDateFormat(p, jvm.java.util.Locale.US)
+                want = sdf.format(jvm.java.util.Date(r.ms))
+                assert r[f"p{i}"] == want, (zone, p, r.ms)
+    finally:
+        TimeZone.setDefault(old_default)
+        spark.conf.set("spark.sql.session.timeZone", old_session)

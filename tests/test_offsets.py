@@ -4,7 +4,6 @@ import json
 
 import pandas as pd
 import pytest
-from pyspark.sql import functions as F
 
 from logtide.operators import offsets as O
 from logtide.sources.messages import dense_offsets, kafka_options
