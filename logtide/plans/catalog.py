@@ -163,6 +163,43 @@ def startup_decode(spark, sf):
         D.from_ms("startTimeInMs").cast("timestamp_ntz").alias("start_ts"))
 
 
+_K = "cast(props->>'$.k' AS INTEGER)"
+
+
+@register("log_rejects", """
+SELECT 'no_marker' AS reason, count(*) AS n FROM events
+UNION ALL
+SELECT 'missing_city' AS reason, count(*) AS n FROM events WHERE event_type = 'signup'""")
+def log_rejects(spark, sf):
+    """The reject view over JSON logs mixed with CSV lines: reason, count."""
+    ev = _events(spark, sf, fan=True)
+    lines = _lines(mixed_lines(ev)).unionByName(_lines(csv_lines(ev)))
+    return R.rejected_logs(R.parse_logs(lines)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("page_views", f"""
+SELECT cast(user_id AS VARCHAR) AS userId, 'app' || (user_id % 3) AS appId,
+       {_K} % 7 + 1 AS pageViewCntInSession, 'page_' || ({_K} % 10) AS currentPage,
+       {_K} % 5 AS pageVisitIndex, 'page_' || (({_K} + 1) % 10) AS nextPage,
+       cast(floor(value) AS BIGINT) AS stayDurationInSecs, {_MS} AS createTimeInMs
+FROM events WHERE event_type = 'view'""")
+def page_views(spark, sf):
+    """Typed page-visit view of the routed logs."""
+    parsed = R.parse_logs(_lines(mixed_lines(_events(spark, sf, fan=True))))
+    return R.page_logs(parsed).select("userId", "appId", "pageViewCntInSession", "currentPage", "pageVisitIndex",
+                                      "nextPage", "stayDurationInSecs", "createTimeInMs")
+
+
+@register("error_views", f"""
+SELECT cast(user_id AS VARCHAR) AS userId, CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END AS appPlatform,
+       'E' || ({_K} % 5) AS errorMajor, 'detail_' || (props->>'$.k') AS errorInDetail, {_MS} AS createTimeInMs
+FROM events WHERE event_type = 'error'""")
+def error_views(spark, sf):
+    """Typed error view of the routed logs."""
+    parsed = R.parse_logs(_lines(mixed_lines(_events(spark, sf, fan=True))))
+    return R.error_logs(parsed).select("userId", "appPlatform", "errorMajor", "errorInDetail", "createTimeInMs")
+
+
 @register("csv_user_id", """
 SELECT cast(user_id AS VARCHAR) AS user_id, count(*) AS n FROM events GROUP BY 1""")
 def csv_user_id(spark, sf):
