@@ -25,6 +25,7 @@ from logtide.operators import counters as C
 from logtide.operators import offsets as O
 from logtide.operators import routing as R
 from logtide.operators import uniques as U
+from logtide.plans.shaping import fan_out
 from logtide.session import scratch_path
 from logtide.sources.messages import as_messages, events_as_messages, read_text_lines
 from logtide.sources.tables import csv_lines, load_table, mixed_lines, startup_lines
@@ -57,8 +58,8 @@ def _events(spark: SparkSession, sf: str, cols=None, fan: bool = False) -> DataF
     """The events scan; `fan` spreads a single-split scan over the cluster's
     cores before CPU-heavy per-row work (JSON encode/decode)."""
     _prepare(spark)
-    width = spark.sparkContext.defaultParallelism if fan else None
-    return load_table(spark, sf, "events", cols, fan_out_below=width)
+    df = load_table(spark, sf, "events", cols)
+    return fan_out(df) if fan else df
 
 
 def _lineitem(spark: SparkSession, sf: str) -> DataFrame:

@@ -36,8 +36,15 @@ def input_splits(df: DataFrame) -> int:
         return df.rdd.getNumPartitions()
 
 
+def default_parallelism(df: DataFrame) -> int | None:
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
+        return None
+
+
 def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if input_splits(df) < target:
+    target = min_partitions or default_parallelism(df)
+    if target and input_splits(df) < target:
         return df.repartition(target)
     return df
