@@ -38,3 +38,12 @@ def test_minute_as_dir_and_load(spark, scratch):
     table = A.load_archive(spark, path, scratch("table"), minute_as_dir=True, day="20240102")
     assert {r.dt for r in table.select("dt").distinct().collect()} == {"20240102"}
     assert table.count() == 6
+
+
+def test_load_overwrites_only_loaded_day(spark, scratch):
+    path, table = scratch("archive"), scratch("table")
+    A.write_archive(_msgs(spark), path)
+    A.load_archive(spark, path, table)                       # both days
+    again = A.load_archive(spark, path, table, day="20240101")   # reload one day
+    counts = {r.dt: r.n for r in again.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert counts == {"20240101": 6, "20240102": 6}

@@ -85,3 +85,50 @@ def test_csv_user_id(spark):
     assert got == ["u1", "", "solo", "", "x"]
     n = df.select(F.size(F.split("value", ",", 46)).alias("n")).collect()
     assert n[-1].n == 46 and n[1].n == 1
+
+
+import json as _json
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.text(alphabet="ab,", max_size=120), min_size=1, max_size=40))
+def test_limited_split_matches_reference_semantics(spark, lines):
+    """split(s, ',', 46): at most 46 parts, the rest kept in the last, trailing empties kept
+    (same rule as Python's str.split(',', 45))."""
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, value string")
+    got = {r.i: list(r.parts) for r in df.select("i", F.split("value", ",", 46).alias("parts")).collect()}
+    assert got == {i: s.split(",", 45) for i, s in enumerate(lines)}
+    first = {r.i: r.u for r in df.select("i", csv_field("value", 0).alias("u")).collect()}
+    assert first == {i: s.split(",", 1)[0] for i, s in enumerate(lines)}
+
+
+_record = st.fixed_dictionaries(
+    {"userId": st.text(alphabet="uv0123", min_size=1, max_size=5),
+     "appId": st.sampled_from(["app0", "app1"]),
+     "appVersion": st.sampled_from(["1.0.1", "2.3"]),
+     "city": st.one_of(st.none(), st.sampled_from(["city_1", "city_22"])),
+     "startTimeInMs": st.integers(min_value=0, max_value=4_102_444_800_000)},
+    optional={"activeTimeInMs": st.integers(min_value=0, max_value=10**9)})
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.tuples(_record, st.booleans()), min_size=1, max_size=30))
+def test_decode_matches_python_json(spark, records):
+    lines = []
+    for rec, quoted in records:
+        rec = dict(rec)
+        if quoted:                                  # numbers sent as JSON strings are coerced
+            rec["startTimeInMs"] = str(rec["startTimeInMs"])
+        lines.append(_json.dumps({k: v for k, v in rec.items() if v is not None}))
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(lines)], "i int, value string")
+    parsed = {r.i: r for r in R.parse_logs(df).collect()}
+    for i, (rec, _) in enumerate(records):
+        row = parsed[i]
+        assert row.log_kind == "startup" and not row.malformed
+        assert row.userId == rec["userId"] and row.city == rec["city"]
+        assert row.startTimeInMs == rec["startTimeInMs"]
+        assert row.activeTimeInMs == rec.get("activeTimeInMs")
+        assert (row.reject_reason is None) == (rec["city"] is not None)
