@@ -416,6 +416,17 @@ for _kind in ("day", "week", "month"):
     register(f"{_kind}_begin_now", _NOW_ORACLE)(_now_query(_kind))
 
 
+@register("hour_key_now", "SELECT true AS ok, count(*) AS n_rows FROM events")
+def hour_key_now(spark, sf):
+    """Hour key of now (processing time): parses back to the hour containing now."""
+    ev = _events(spark, sf, ["event_id"])
+    key = D.hour_key()
+    begin = F.try_to_timestamp(key, F.lit(D.HOUR_KEY_PATTERN))
+    now = F.current_timestamp()
+    ok = (begin <= now) & (now < begin + F.expr("INTERVAL 1 HOUR")) & (F.length(key) == 11)
+    return ev.agg(F.bool_and(ok).alias("ok"), F.count(F.lit(1)).alias("n_rows"))
+
+
 # ---- formatting (UDF-F1..3) ---------------------------------------------------------
 
 _FMT_MS = "yyyy-MM-dd HH:mm:ss.SSS"
