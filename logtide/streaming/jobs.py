@@ -149,10 +149,16 @@ def stop_gracefully(query: StreamingQuery, timeout_s: float = 60.0, poll_s: floa
 
 
 def archive_stream(messages: DataFrame, path: str, checkpoint: str, minute_as_dir: bool = False,
-                   trigger: str | None = ARCHIVE_TRIGGER, query_name: str | None = None) -> StreamingQuery:
-    """Raw lines into per-minute folders, CRLF line ends, one commit per trigger."""
+                   trigger: str | None = ARCHIVE_TRIGGER, query_name: str | None = None,
+                   processing_time: bool = False) -> StreamingQuery:
+    """Raw lines into per-minute folders, CRLF line ends, one commit per trigger.
+
+    Folders follow the message timestamp (a replay lands in the same folders);
+    `processing_time=True` uses the batch's wall clock, as the reference's
+    archiver does when it rolls its file every 60 s."""
     parts = list(A.MINUTE_DIR_COLUMNS if minute_as_dir else A.MINUTE_COLUMNS)
-    rows = A.archive_columns(messages, "timestamp", minute_as_dir).select("value", *parts)
+    stamped = messages.withColumn("_archive_ts", F.current_timestamp() if processing_time else F.col("timestamp"))
+    rows = A.archive_columns(stamped, "_archive_ts", minute_as_dir).select("value", *parts)
     writer = (rows.writeStream.format("text").outputMode("append").partitionBy(*parts)
               .option("lineSep", A.LINE_SEP).option("checkpointLocation", checkpoint).option("path", path))
     if query_name:
