@@ -16,9 +16,8 @@ Readers take the newest base (if any) plus the deltas after it, so deleting
 deltas <= K after a base exists is safe at any time.
 
 If a checkpoint is lost, its batch ids restart at 0 and would overwrite old
-deltas; `batch_id_base` guards that: it stores, beside the checkpoint, the id
-offset this checkpoint uses (the table's max batch id + 1 when the checkpoint
-was created).
+deltas; `batch_id_base` guards that (and concurrent writers): every checkpoint
+claims its own generation of ids on the table, atomically.
 """
 
 from __future__ import annotations
@@ -56,8 +55,17 @@ def batch_ids(spark: SparkSession, table: str) -> list[int]:
     return sorted(_child_ids(spark, table, "batch_id="))
 
 
+GENERATION_STRIDE = 10 ** 12   # batch ids of one checkpoint stay below this
+
+
 def batch_id_base(spark: SparkSession, table: str, checkpoint: str) -> int:
-    """Id offset for a checkpoint: fixed when the checkpoint is first seen."""
+    """Id offset for a checkpoint, fixed when the checkpoint is first seen.
+
+    Each new checkpoint claims the next free generation number of the table
+    with an atomic create (`_claims/<g>`), and writes its batches as
+    ``g * GENERATION_STRIDE + batch_id``. A lost checkpoint therefore never
+    overwrites old deltas, and two queries started on one table never share ids.
+    """
     fs, p = _fs(spark, f"{checkpoint}/logtide_batch_id_base")
     if fs.exists(p):
         stream = fs.open(p)
@@ -67,8 +75,12 @@ def batch_id_base(spark: SparkSession, table: str, checkpoint: str) -> int:
             return int(reader.readLine().strip())
         finally:
             stream.close()
-    existing = batch_ids(spark, table) + _child_ids(spark, f"{table}/_bases", "upto=")
-    base = (max(existing) + 1) if existing else 0
+    claims_fs, _ = _fs(spark, f"{table}/_claims")
+    jvm = spark.sparkContext._jvm
+    generation = 0
+    while not claims_fs.createNewFile(jvm.org.apache.hadoop.fs.Path(f"{table}/_claims/{generation}")):
+        generation += 1
+    base = generation * GENERATION_STRIDE
     out = fs.create(p, True)
     try:
         out.write(bytearray(str(base).encode()))

@@ -79,7 +79,8 @@ def test_new_checkpoint_does_not_overwrite(spark, scratch):
     for _ in range(2):   # two different checkpoints over the same table
         jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table,
                                   scratch("ckpt"), trigger="availableNow").awaitTermination()
-    assert deltas.batch_ids(spark, table) == [0, 1, 2, 3]
+    g = deltas.GENERATION_STRIDE
+    assert deltas.batch_ids(spark, table) == [0, 1, g, g + 1]
     doubled = {r.row_key: r.click_count for r in jobs.read_click_counter(spark, table).collect()}
     once = {r.row_key: r.click_count for r in C.city_click_counts(msgs.select("value")).collect()}
     assert doubled == {k: 2 * v for k, v in once.items()}
