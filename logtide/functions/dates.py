@@ -64,9 +64,15 @@ def to_ms(ts) -> Column:
 
 
 def ntz_to_ms(ts) -> Column:
-    """Epoch milliseconds of a TIMESTAMP_NTZ wall clock read as UTC (zone-free)."""
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    return F.timestamp_diff("MILLISECOND", epoch, _col(ts))
+    """Epoch milliseconds of a TIMESTAMP_NTZ wall clock read as UTC, truncated.
+
+    Built from the wall clock's own fields (day number, hour, minute, seconds
+    with fraction), so no session-zone conversion is involved; a timestamp
+    difference would first cast the NTZ value to the session zone."""
+    c = _col(ts)
+    return (F.unix_date(c.cast("date")).cast("bigint") * MS_PER_DAY
+            + F.hour(c).cast("bigint") * 3_600_000 + F.minute(c).cast("bigint") * 60_000
+            + F.floor(F.date_part(F.lit("SECOND"), c) * 1000).cast("bigint"))
 
 
 def from_ms(ms) -> Column:

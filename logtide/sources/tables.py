@@ -36,7 +36,9 @@ def load_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return fan_out(df, fan_out_below) if fan_out_below else df
 
 
-_MS_SQL = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)"
+# epoch ms of the NTZ wall clock read as UTC, from zone-free fields (see dates.ntz_to_ms)
+_MS_SQL = ("(cast(unix_date(cast(ts AS DATE)) AS BIGINT) * 86400000 + cast(hour(ts) AS BIGINT) * 3600000"
+           " + cast(minute(ts) AS BIGINT) * 60000 + cast(floor(date_part('SECOND', ts) * 1000) AS BIGINT))")
 _K_SQL = "get_json_object(props, '$.k')"
 _BASE_SQL = ("'userId', cast(user_id AS STRING), 'appId', concat('app', cast(user_id % 3 AS STRING)), "
              "'appPlatform', CASE WHEN user_id % 2 = 0 THEN 'android' ELSE 'ios' END")

@@ -181,3 +181,18 @@ def test_format_time_matches_simpledateformat(spark, zone):
     finally:
         TimeZone.setDefault(old_default)
         spark.conf.set("spark.sql.session.timeZone", old_session)
+
+
+@pytest.mark.parametrize("zone", ["UTC", "America/Sao_Paulo", "Asia/Kolkata"])
+def test_ntz_to_ms_ignores_session_zone(spark, zone):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    try:
+        spark.conf.set("spark.sql.session.timeZone", zone)
+        df = spark.createDataFrame([(dt.datetime(2018, 11, 4, 0, 30, 1, 999999),), (dt.datetime(1969, 12, 31, 23, 59, 59, 500000),),
+                                    (dt.datetime(2024, 1, 30, 23, 57, 12, 194062),)], "ts timestamp_ntz")
+        got = [r.ms for r in df.select(D.ntz_to_ms("ts").alias("ms")).collect()]
+        assert got == [1541291401999, -500, 1706659032194]
+        plan = df.select(D.ntz_to_ms("ts"))._jdf.queryExecution().optimizedPlan().toString()
+        assert " as timestamp)" not in plan          # no conversion through the session zone
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
