@@ -37,7 +37,9 @@ ORACLES: dict[str, str] = {}
 APP_TOPIC = "app-log"
 CSV_TOPIC = "user-csv"
 KAFKA_PARTITIONS = 3
-LEDGER_CUTOFF = "2024-01-15"   # batches (days) before this one are committed
+# The simulated commit point: batches (days) before it have been processed and
+# their offsets committed; the start offsets are computed for the whole topic.
+LEDGER_CUTOFF = "2024-01-15"
 
 
 def register(name: str, oracle: str | None = None):
@@ -256,9 +258,11 @@ t AS (SELECT topic, '"' || topic || '":{{' || string_agg('"' || cast("partition"
              ORDER BY cast("partition" AS VARCHAR)) || '}}' AS body FROM s GROUP BY topic)
 SELECT '{{' || string_agg(body, ',' ORDER BY topic) || '}}' AS starting_offsets FROM t""")
 def start_offsets_json(spark, sf):
-    msgs = _app_messages(spark, sf)
-    ledger = O.offset_ranges(msgs.where(F.col("batch") < LEDGER_CUTOFF), "batch")
-    return O.start_offsets_json(O.start_offsets(msgs, ledger))
+    # one pass over the messages: the per-batch ranges table is small (batches x
+    # partitions); the ledger and the partition list both come from it
+    ranges = O.offset_ranges(_app_messages(spark, sf), "batch")
+    ledger = ranges.where(F.col("batch") < LEDGER_CUTOFF)
+    return O.start_offsets_json(O.start_offsets(ranges, ledger))
 
 
 # ---- string keys and paths (SCL-1..4) ---------------------------------------------

@@ -38,7 +38,8 @@ def dense_offsets(df: DataFrame, partition_col: str, order_col: str,
     blocked = df.withColumn("_blk", blk)
     counted = (sizes_from if sizes_from is not None else df).select(partition_col, blk.alias("_blk"))
     sizes = counted.groupBy(partition_col, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    # Running sum over the block table: one row per (partition, block), so its
+    # Running sum over the block table: one row per (partition, block), i.e.
+    # rows / 2^20 per partition (a million rows for a trillion messages), so its
     # groups stay small even when one partition holds most of the data.
     before = Window.partitionBy(partition_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select(partition_col, "_blk",
