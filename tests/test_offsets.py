@@ -41,10 +41,10 @@ def test_ranges_and_start_offsets(spark):
 
 
 def test_kafka_options():
-    o = kafka_options("b:9092", topics=["log-analysis"], starting_offsets={"log-analysis": {0: 5, 1: 0}},
+    o = kafka_options("b:9092", topics=["app-log"], starting_offsets={"app-log": {0: 5, 1: 0}},
                       max_rate_per_partition=100, batch_seconds=5, partitions=3)
-    assert o["subscribe"] == "log-analysis"
-    assert json.loads(o["startingOffsets"]) == {"log-analysis": {"0": 5, "1": 0}}
+    assert o["subscribe"] == "app-log"
+    assert json.loads(o["startingOffsets"]) == {"app-log": {"0": 5, "1": 0}}
     assert o["maxOffsetsPerTrigger"] == "1500"
     a = kafka_options("b:9092", assign={"t": [1, 0]})
     assert json.loads(a["assign"]) == {"t": [0, 1]} and a["startingOffsets"] == "earliest"
