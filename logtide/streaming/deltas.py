@@ -142,6 +142,10 @@ def merged_sketches(spark: SparkSession, table: str, upto: int | None = None) ->
     return merge_sketch_rows(rows) if rows is not None else spark.createDataFrame([], SKETCH_SCHEMA)
 
 
+def has_base(spark: SparkSession, table: str, upto: int) -> bool:
+    return upto in _child_ids(spark, f"{table}/_bases", "upto=")
+
+
 def compact(spark: SparkSession, table: str, upto: int, kind: str = "counts") -> str:
     """Fold the newest base and all deltas <= upto into base `upto`.
 

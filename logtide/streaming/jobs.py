@@ -48,10 +48,20 @@ def _trigger(writer, trigger):
     return writer.trigger(processingTime=trigger)
 
 
-def _delta_sink(spark: SparkSession, table: str, checkpoint: str, aggregate, repartition: int | None):
+def _delta_sink(spark: SparkSession, table: str, checkpoint: str, aggregate, repartition: int | None,
+                compact_every: int | None = None, kind: str = "counts"):
     id_base = deltas.batch_id_base(spark, table, checkpoint)
 
+    def maybe_compact(batch_id: int) -> None:
+        # Batch N runs only after N-1 committed, so everything up to N-1 is final.
+        upto = id_base + batch_id - 1
+        if compact_every and batch_id > 0 and batch_id % compact_every == 0 \
+                and not deltas.has_base(spark, table, upto):
+            deltas.compact(spark, table, upto, kind)
+            deltas.drop_compacted(spark, table)
+
     def run(batch: DataFrame, batch_id: int) -> None:
+        maybe_compact(batch_id)
         # The batch is read twice (aggregate + ledger); keep it for the second
         # pass. A lost block is recomputed from the checkpointed source range.
         batch.persist(StorageLevel.MEMORY_AND_DISK)
@@ -71,10 +81,13 @@ def _delta_sink(spark: SparkSession, table: str, checkpoint: str, aggregate, rep
 
 def click_counter_stream(spark: SparkSession, messages: DataFrame, table: str, checkpoint: str,
                          layout: str = C.DATE_CITY, trigger: str | None = COUNTER_TRIGGER,
-                         repartition: int | None = None, query_name: str | None = None) -> StreamingQuery:
-    """Clicks per (day, city) as per-batch deltas in `table`."""
+                         repartition: int | None = None, query_name: str | None = None,
+                         compact_every: int | None = None) -> StreamingQuery:
+    """Clicks per (day, city) as per-batch deltas in `table`.
+    `compact_every=k` folds the committed deltas into a base every k batches."""
     sink = _delta_sink(spark, table, checkpoint,
-                       lambda b: C.city_click_counts(b.select("value"), layout), repartition)
+                       lambda b: C.city_click_counts(b.select("value"), layout), repartition,
+                       compact_every, "counts")
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
@@ -94,7 +107,8 @@ def click_counter_stateful(messages: DataFrame, layout: str = C.DATE_CITY) -> Da
 
 def hourly_uniques_stream(spark: SparkSession, messages: DataFrame, table: str, checkpoint: str,
                           processing_time: bool = False, trigger: str | None = UNIQUES_TRIGGER,
-                          repartition: int | None = None, query_name: str | None = None) -> StreamingQuery:
+                          repartition: int | None = None, query_name: str | None = None,
+                          compact_every: int | None = None) -> StreamingQuery:
     """Per-hour HLL sketches of CSV user ids as per-batch deltas in `table`.
 
     The hour is the message timestamp's (replayable); `processing_time=True`
@@ -102,7 +116,7 @@ def hourly_uniques_stream(spark: SparkSession, messages: DataFrame, table: str,
     """
     sink = _delta_sink(spark, table, checkpoint,
                        lambda b: U.hourly_sketches(U.user_hours(b, processing_time=processing_time)),
-                       repartition)
+                       repartition, compact_every, "sketches")
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)

@@ -44,6 +44,7 @@ def parse_args(argv=None):
     ap.add_argument("--processing-time", action="store_true", help="uniques: hour of the wall clock")
     ap.add_argument("--minute-as-dir", action="store_true", help="archive: .../HH/mm folders")
     ap.add_argument("--repartition", type=int)
+    ap.add_argument("--compact-every", type=int, help="fold committed deltas into a base every N batches")
     return ap.parse_args(argv)
 
 
@@ -72,10 +73,10 @@ def main(argv=None) -> None:
     trigger = args.trigger or DEFAULT_TRIGGERS[args.job]
     if args.job == "clicks":
         q = jobs.click_counter_stream(spark, messages, args.table, args.checkpoint, args.layout, trigger,
-                                      args.repartition, "logtide-clicks")
+                                      args.repartition, "logtide-clicks", args.compact_every)
     elif args.job == "uniques":
         q = jobs.hourly_uniques_stream(spark, messages, args.table, args.checkpoint, args.processing_time,
-                                       trigger, args.repartition, "logtide-uniques")
+                                       trigger, args.repartition, "logtide-uniques", args.compact_every)
     else:
         q = jobs.archive_stream(messages, args.path, args.checkpoint, args.minute_as_dir, trigger,
                                 "logtide-archive")
