@@ -47,15 +47,3 @@ def decode_json(line="value") -> Column:
     """One-pass decode of any log kind into the wide struct (PERMISSIVE mode:
     malformed text gives a struct whose `_corrupt_record` holds the line)."""
     return F.from_json(_col(line), WIDE_PARSE_SCHEMA, {"mode": "PERMISSIVE"})
-
-
-def as_long(text) -> Column:
-    """JSON number text to BIGINT: whole numbers directly, fractions truncated,
-    anything else null."""
-    t = _col(text)
-    return F.coalesce(t.try_cast("bigint"), t.try_cast("double").try_cast("bigint"))
-
-
-def as_int(text) -> Column:
-    t = _col(text)
-    return F.coalesce(t.try_cast("int"), t.try_cast("double").try_cast("int"))

@@ -12,11 +12,10 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 # The marker substrings that decide a line's kind, in the
-# order the reference's filter tests them, and the kind names we give them.
+# order the reference's filter tests them.
 STARTUP_MARKER = "appVersion"
 ERROR_MARKER = "errorMajor"
 PAGE_MARKER = "currentPage"
-LOG_KINDS = ("startup", "error", "page")
 
 BASE_FIELDS = [
     T.StructField("userId", T.StringType()),
