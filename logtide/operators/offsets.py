@@ -32,12 +32,21 @@ def committed(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("topic", "partition").agg(F.max("until_offset").alias("committed_offset"))
 
 
-def start_offsets(partitions: DataFrame, ledger: DataFrame) -> DataFrame:
-    """(topic, partition, start_offset) for every row of `partitions`."""
+def start_offsets(partitions: DataFrame, ledger: DataFrame, all_or_nothing: bool = True) -> DataFrame:
+    """(topic, partition, start_offset) for every row of `partitions`.
+
+    `all_or_nothing=True` is the reference's lookup: it fails as a whole when
+    any partition lacks a committed offset, and then every partition starts at
+    0. `False` defaults only the missing partitions to 0.
+    """
     parts = partitions.select("topic", "partition").distinct()
     joined = parts.join(F.broadcast(committed(ledger)), ["topic", "partition"], "left")
-    missing = joined.select(F.count_if(F.col("committed_offset").isNull())).scalar()
-    start = F.when(missing > 0, F.lit(0).cast("bigint")).otherwise(F.col("committed_offset"))
+    zero = F.lit(0).cast("bigint")
+    if all_or_nothing:
+        missing = joined.select(F.count_if(F.col("committed_offset").isNull())).scalar()
+        start = F.when(missing > 0, zero).otherwise(F.col("committed_offset"))
+    else:
+        start = F.coalesce(F.col("committed_offset"), zero)
     return joined.select("topic", "partition", start.alias("start_offset"))
 
 

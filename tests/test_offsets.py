@@ -31,6 +31,9 @@ def test_ranges_and_start_offsets(spark):
     # a partition missing from the ledger makes the lookup fail: all start at 0
     js = O.start_offsets_json(O.start_offsets(parts, ledger)).first().starting_offsets
     assert json.loads(js) == {"t": {"0": 0, "1": 0, "2": 0}}
+    # per-partition defaults on request
+    js = O.start_offsets_json(O.start_offsets(parts, ledger, all_or_nothing=False)).first().starting_offsets
+    assert json.loads(js) == {"t": {"0": 5, "1": 0, "2": 0}}
     full = ledger.unionByName(spark.createDataFrame(
         [("t", 1, 0, 2), ("t", 2, 0, 7), ("t", 0, 5, 9)], ledger.schema))
     js = O.start_offsets_json(O.start_offsets(parts, full)).first().starting_offsets
