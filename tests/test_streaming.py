@@ -224,3 +224,26 @@ def test_in_stream_compaction(spark, scratch):
     exact = U.user_hours(msgs).groupBy("hour_key").agg(F.count_distinct("user_id").alias("uv"))
     assert est.join(exact, "hour_key").where(~U.within_bound(F.col("uv_est"), F.col("uv"))).count() == 0
     assert est.count() == exact.count()
+
+
+def test_windowed_uniques_watermark_expires_state(spark, scratch):
+    ev = load_table(spark, SF001, "events")
+    msgs = as_messages(csv_lines(ev), "user-csv", 3, with_offsets=False)
+    src = scratch("src")
+    cuts = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
+    for lo, hi in zip(cuts, cuts[1:]):          # time-ordered files, written one after another
+        part = msgs.where((F.col("timestamp") >= F.lit(lo).cast("timestamp")) & (F.col("timestamp") < F.lit(hi).cast("timestamp")))
+        part.coalesce(1).write.mode("append").parquet(src)
+    win = jobs.hourly_uniques_windowed(stream_messages(spark, src, max_files_per_trigger=1), watermark="1 hour")
+    q = (win.select("hour_key", F.hll_sketch_estimate("sketch").alias("uv_est"), "n_rows")
+         .writeStream.outputMode("append").format("memory").queryName("win_uv_append")
+         .option("checkpointLocation", scratch("ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    got = spark.table("win_uv_append")
+    exact = U.user_hours(msgs).groupBy("hour_key").agg(F.count_distinct("user_id").alias("uv"),
+                                                       F.count(F.lit(1)).alias("n"))
+    j = got.join(exact, "hour_key")
+    assert j.count() == got.count() >= exact.count() - 3          # all but the newest hours emitted
+    assert j.where((F.col("n") != F.col("n_rows")) | ~U.within_bound(F.col("uv_est"), F.col("uv"))).count() == 0
+    state_rows = sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"])
+    assert state_rows <= 3                                        # only windows newer than the watermark kept
