@@ -119,7 +119,8 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
                   assign: dict[str, list[int]] | None = None,
                   starting_offsets: dict[str, dict[str, int]] | str = "earliest",
                   max_rate_per_partition: int | None = None, batch_seconds: float | None = None,
-                  partitions: int | None = None, extra: dict | None = None) -> dict[str, str]:
+                  partitions: int | None = None, group_id: str | None = None,
+                  extra: dict | None = None) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")``.
 
     * `topics` -> subscribe; `assign` -> explicit partitions.
@@ -127,7 +128,8 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
       (e.g. the output of `start_offsets_json`).
     * A per-partition rate (messages/s) becomes ``maxOffsetsPerTrigger``, which is
       a total over all partitions per trigger: rate x interval x partitions.
-    * Offsets are tracked in the query checkpoint, so no auto-commit.
+    * Offsets are tracked in the query checkpoint, so no auto-commit; `group_id`
+      only names the consumer group (``kafka.group.id``), e.g. for broker ACLs.
     """
     if (topics is None) == (assign is None):
         raise ValueError("give exactly one of topics / assign")
@@ -145,6 +147,8 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
         if batch_seconds is None or partitions is None:
             raise ValueError("a per-partition rate needs batch_seconds and partitions")
         opts["maxOffsetsPerTrigger"] = str(int(max_rate_per_partition * batch_seconds * partitions))
+    if group_id is not None:
+        opts["kafka.group.id"] = group_id
     opts.update(extra or {})
     return opts
 

@@ -35,6 +35,7 @@ def parse_args(argv=None):
     src.add_argument("--files", help="folder of envelope Parquet files")
     src.add_argument("--text", help="folder of raw text lines")
     ap.add_argument("--topic", action="append", help="Kafka topic (repeatable)")
+    ap.add_argument("--group-id", help="Kafka consumer group name")
     ap.add_argument("--rate", type=int, help="max messages/s per Kafka partition")
     ap.add_argument("--partitions", type=int, help="Kafka partitions over all topics (for --rate)")
     ap.add_argument("--max-files", type=int, help="files per trigger (file sources)")
@@ -59,7 +60,7 @@ def source(spark: SparkSession, args):
         opts = kafka_options(args.kafka, topics=args.topic, starting_offsets=starting,
                              max_rate_per_partition=args.rate,
                              batch_seconds=BATCH_SECONDS[args.job] if args.rate else None,
-                             partitions=args.partitions)
+                             partitions=args.partitions, group_id=args.group_id)
         return read_kafka(spark, opts)
     if args.files:
         return stream_messages(spark, args.files, max_files_per_trigger=args.max_files)

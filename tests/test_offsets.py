@@ -49,6 +49,7 @@ def test_kafka_options():
     assert o["subscribe"] == "app-log"
     assert json.loads(o["startingOffsets"]) == {"app-log": {"0": 5, "1": 0}}
     assert o["maxOffsetsPerTrigger"] == "1500"
+    assert kafka_options("b:9092", topics=["t"], group_id="g1")["kafka.group.id"] == "g1"
     a = kafka_options("b:9092", assign={"t": [1, 0]})
     assert json.loads(a["assign"]) == {"t": [0, 1]} and a["startingOffsets"] == "earliest"
     with pytest.raises(ValueError):
