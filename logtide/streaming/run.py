@@ -42,7 +42,8 @@ def parse_args(argv=None):
     ap.add_argument("--resume-from-ledger", action="store_true")
     ap.add_argument("--trigger", help='"5 seconds", "availableNow", ...')
     ap.add_argument("--layout", choices=[DATE_CITY, CITY_DATE], default=DATE_CITY)
-    ap.add_argument("--processing-time", action="store_true", help="uniques: hour of the wall clock")
+    ap.add_argument("--processing-time", action="store_true",
+                    help="uniques/archive: bucket by the wall clock (automatic for --text)")
     ap.add_argument("--minute-as-dir", action="store_true", help="archive: .../HH/mm folders")
     ap.add_argument("--repartition", type=int)
     ap.add_argument("--compact-every", type=int, help="fold committed deltas into a base every N batches")
@@ -72,15 +73,17 @@ def main(argv=None) -> None:
     spark = SparkSession.builder.appName(f"logtide-{args.job}").getOrCreate()
     messages = source(spark, args)
     trigger = args.trigger or DEFAULT_TRIGGERS[args.job]
+    # raw text lines carry no message timestamp: bucket by processing time then
+    processing_time = args.processing_time or "timestamp" not in messages.columns
     if args.job == "clicks":
         q = jobs.click_counter_stream(spark, messages, args.table, args.checkpoint, args.layout, trigger,
                                       args.repartition, "logtide-clicks", args.compact_every)
     elif args.job == "uniques":
-        q = jobs.hourly_uniques_stream(spark, messages, args.table, args.checkpoint, args.processing_time,
+        q = jobs.hourly_uniques_stream(spark, messages, args.table, args.checkpoint, processing_time,
                                        trigger, args.repartition, "logtide-uniques", args.compact_every)
     else:
         q = jobs.archive_stream(messages, args.path, args.checkpoint, args.minute_as_dir, trigger,
-                                "logtide-archive")
+                                "logtide-archive", processing_time)
     try:
         q.awaitTermination()
     except KeyboardInterrupt:

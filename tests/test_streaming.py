@@ -247,3 +247,16 @@ def test_windowed_uniques_watermark_expires_state(spark, scratch):
     assert j.where((F.col("n") != F.col("n_rows")) | ~U.within_bound(F.col("uv_est"), F.col("uv"))).count() == 0
     state_rows = sum(op["numRowsTotal"] for op in q.lastProgress["stateOperators"])
     assert state_rows <= 3                                        # only windows newer than the watermark kept
+
+
+def test_runner_archive_from_text(spark, scratch):
+    from logtide.streaming import run
+    ev = load_table(spark, SF0001_DIR, "events")
+    lines = startup_lines(ev).select("value")
+    src = scratch("text-src")
+    lines.coalesce(1).write.text(src)
+    out = scratch("archive")
+    run.main(["archive", "--text", src, "--path", out, "--checkpoint", scratch("ckpt"), "--trigger", "availableNow"])
+    back = spark.read.text(out)
+    assert back.count() == lines.count()
+    assert back.select("ym").distinct().count() <= 2          # processing-time month (two only at a boundary)
