@@ -37,6 +37,10 @@ COUNTER_TRIGGER = "5 seconds"
 UNIQUES_TRIGGER = "1 second"
 ARCHIVE_TRIGGER = "1 minute"
 
+# Fold committed deltas into a base every this many batches, so readers see one
+# base plus at most this many small folders (None disables).
+DEFAULT_COMPACT_EVERY = 100
+
 
 def _trigger(writer, trigger):
     if trigger is None:
@@ -82,7 +86,7 @@ def _delta_sink(spark: SparkSession, table: str, checkpoint: str, aggregate, rep
 def click_counter_stream(spark: SparkSession, messages: DataFrame, table: str, checkpoint: str,
                          layout: str = C.DATE_CITY, trigger: str | None = COUNTER_TRIGGER,
                          repartition: int | None = None, query_name: str | None = None,
-                         compact_every: int | None = None) -> StreamingQuery:
+                         compact_every: int | None = DEFAULT_COMPACT_EVERY) -> StreamingQuery:
     """Clicks per (day, city) as per-batch deltas in `table`.
     `compact_every=k` folds the committed deltas into a base every k batches."""
     sink = _delta_sink(spark, table, checkpoint,
@@ -108,7 +112,7 @@ def click_counter_stateful(messages: DataFrame, layout: str = C.DATE_CITY) -> Da
 def hourly_uniques_stream(spark: SparkSession, messages: DataFrame, table: str, checkpoint: str,
                           processing_time: bool = False, trigger: str | None = UNIQUES_TRIGGER,
                           repartition: int | None = None, query_name: str | None = None,
-                          compact_every: int | None = None) -> StreamingQuery:
+                          compact_every: int | None = DEFAULT_COMPACT_EVERY) -> StreamingQuery:
     """Per-hour HLL sketches of CSV user ids as per-batch deltas in `table`.
 
     The hour is the message timestamp's (replayable); `processing_time=True`

@@ -46,7 +46,8 @@ def parse_args(argv=None):
                     help="uniques/archive: bucket by the wall clock (automatic for --text)")
     ap.add_argument("--minute-as-dir", action="store_true", help="archive: .../HH/mm folders")
     ap.add_argument("--repartition", type=int)
-    ap.add_argument("--compact-every", type=int, help="fold committed deltas into a base every N batches")
+    ap.add_argument("--compact-every", type=int, default=jobs.DEFAULT_COMPACT_EVERY,
+                    help="fold committed deltas into a base every N batches (0: never)")
     return ap.parse_args(argv)
 
 
@@ -77,10 +78,10 @@ def main(argv=None) -> None:
     processing_time = args.processing_time or "timestamp" not in messages.columns
     if args.job == "clicks":
         q = jobs.click_counter_stream(spark, messages, args.table, args.checkpoint, args.layout, trigger,
-                                      args.repartition, "logtide-clicks", args.compact_every)
+                                      args.repartition, "logtide-clicks", args.compact_every or None)
     elif args.job == "uniques":
         q = jobs.hourly_uniques_stream(spark, messages, args.table, args.checkpoint, processing_time,
-                                       trigger, args.repartition, "logtide-uniques", args.compact_every)
+                                       trigger, args.repartition, "logtide-uniques", args.compact_every or None)
     else:
         q = jobs.archive_stream(messages, args.path, args.checkpoint, args.minute_as_dir, trigger,
                                 "logtide-archive", processing_time)
