@@ -196,3 +196,26 @@ def test_ntz_to_ms_ignores_session_zone(spark, zone):
         assert " as timestamp)" not in plan          # no conversion through the session zone
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_edges_before_epoch_and_across_years(spark):
+    ts = D.parse_time(F.lit("1969/12/31 23:59:59"))          # a Wednesday
+    assert one(spark, D.day_begin(ts)) == -86_400_000
+    assert one(spark, D.week_begin(ts)) == -4 * 86_400_000    # Sunday 1969-12-28
+    assert one(spark, D.month_begin(ts, 1)) == 0              # 1970-01-01
+    assert one(spark, D.format_time(F.lit(-1), "yyyy-MM-dd HH:mm:ss.SSS")) == "1969-12-31 23:59:59.999"
+    jan = D.parse_time(F.lit("2020/01/31 12:00:00"))
+    assert one(spark, D.month_begin_ts(jan, -13).cast("string")) == "2018-12-01 00:00:00"
+    assert one(spark, D.month_begin_ts(jan, 11).cast("string")) == "2020-12-01 00:00:00"
+    assert one(spark, D.week_begin_ts(D.parse_time(F.lit("2021/01/02 23:00:00")), 0).cast("string")) == "2020-12-27 00:00:00"
+    sat, sun = D.parse_time(F.lit("2019/06/22 23:59:59")), D.parse_time(F.lit("2019/06/23 00:00:00"))
+    assert one(spark, D.week_begin(sun)) - one(spark, D.week_begin(sat)) == 7 * 86_400_000
+
+
+def test_per_row_patterns(spark):
+    df = spark.createDataFrame([("2019-06-21", "yyyy-MM-dd"), ("21/06/2019", "dd/MM/yyyy"), ("x", "yyyy")],
+                               "s string, f string")
+    got = [r.v for r in df.select(D.day_begin_str("s", F.col("f")).alias("v")).collect()]
+    assert got == [1561075200000, 1561075200000, None]
+    got = [r.v for r in df.select(D.format_time(F.lit(1561112430123), F.col("f")).alias("v")).collect()]
+    assert got == ["2019-06-21", "21/06/2019", "2019"]
