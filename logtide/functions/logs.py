@@ -18,9 +18,10 @@ def _col(c) -> Column:
 def has_log_marker(line="value") -> Column:
     """The type filter: the line mentions appVersion, errorMajor or currentPage
     (case-sensitive substring anywhere in the line)."""
-    v = _col(line)
-    return (F.contains(v, F.lit(STARTUP_MARKER)) | F.contains(v, F.lit(ERROR_MARKER))
-            | F.contains(v, F.lit(PAGE_MARKER)))
+    if isinstance(line, str):
+        return F.expr(" OR ".join(f"contains(`{line}`, '{m}')" for m in (STARTUP_MARKER, ERROR_MARKER, PAGE_MARKER)))
+    return (F.contains(line, F.lit(STARTUP_MARKER)) | F.contains(line, F.lit(ERROR_MARKER))
+            | F.contains(line, F.lit(PAGE_MARKER)))
 
 
 def log_kind(line="value") -> Column:

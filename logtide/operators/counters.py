@@ -11,39 +11,48 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtide.functions.dates import date_to_string
-from logtide.operators.routing import (click_reject_reason, keep_city_lines, keep_log_lines,
-                                       parse_logs)
+from logtide.functions.dates import DAY_PATTERN
+from logtide.operators.routing import keep_city_lines, keep_log_lines, parse_logs
 
 DATE_CITY = "date_city"   # yyyy-MM-dd + '_' + city   (row family StatisticData:clickCount)
 CITY_DATE = "city_date"   # city + yyyy-MM-dd          (row family info:count)
 
 
-def click_row_key(layout: str = DATE_CITY, city: str = "city", start_ts: str = "start_ts") -> Column:
-    day = date_to_string(start_ts)
+def _row_key_sql(layout: str) -> str:
+    day = f"date_format(start_ts, '{DAY_PATTERN}')"
     if layout == DATE_CITY:
-        return F.concat(day, F.lit("_"), F.col(city))
+        return f"concat({day}, '_', city)"
     if layout == CITY_DATE:
-        return F.concat(F.col(city), day)
+        return f"concat(city, {day})"
     raise ValueError(f"unknown row-key layout {layout!r}")
 
 
+def click_row_key(layout: str = DATE_CITY) -> Column:
+    """Row key of a row with `city` and `start_ts` columns."""
+    return F.expr(_row_key_sql(layout))
+
+
+# Countable rows, per layout (SQL over parse_logs output):
+#  date-first job: passed the type filter and the required-field validation,
+#                  is a startup log, and has a start time
+#  city-first job: (after the 'city' substring filter) a well-formed startup
+#                  log with a city and a start time; no other validation
+_COUNTABLE_SQL = {
+    DATE_CITY: "reject_reason IS NULL AND log_kind = 'startup' AND startTimeInMs IS NOT NULL",
+    CITY_DATE: "log_kind = 'startup' AND NOT malformed AND city IS NOT NULL AND startTimeInMs IS NOT NULL",
+}
+
+
 def click_events(lines: DataFrame, layout: str = DATE_CITY, line_col: str = "value") -> DataFrame:
-    """Countable startup rows with their `row_key` (one row per click)."""
+    """Countable startup rows with their `start_ts` and `row_key` (one row per click)."""
     if layout == DATE_CITY:
-        # type filter + required-field validation, then startup rows with a time
         staged = keep_log_lines(lines, line_col)
     else:
-        # the city-first job filters on the 'city' substring instead
         staged = keep_city_lines(lines, line_col)
-    parsed = click_reject_reason(parse_logs(staged, line_col))
-    ok = F.col("click_reason").isNull()
-    if layout == CITY_DATE:
-        ok = (F.col("log_kind") == "startup") & ~F.col("malformed") & F.col("city").isNotNull() \
-            & F.col("startTimeInMs").isNotNull()
-    return (parsed.where(ok)
-            .withColumn("start_ts", F.timestamp_millis("startTimeInMs"))
-            .withColumn("row_key", click_row_key(layout)))
+    parsed = parse_logs(staged, line_col)
+    return (parsed.where(_COUNTABLE_SQL[layout])
+            .selectExpr("*", "timestamp_millis(startTimeInMs) AS start_ts")
+            .selectExpr("*", f"{_row_key_sql(layout)} AS row_key"))
 
 
 def city_click_counts(lines: DataFrame, layout: str = DATE_CITY, line_col: str = "value") -> DataFrame:
