@@ -65,6 +65,8 @@ def batch_id_base(spark: SparkSession, table: str, checkpoint: str) -> int:
     with an atomic create (`_claims/<g>`), and writes its batches as
     ``g * GENERATION_STRIDE + batch_id``. A lost checkpoint therefore never
     overwrites old deltas, and two queries started on one table never share ids.
+    The claim relies on an atomic create (HDFS, local and most cluster file
+    systems); on object stores without one, give each query its own table path.
     """
     fs, p = _fs(spark, f"{checkpoint}/logtide_batch_id_base")
     if fs.exists(p):
