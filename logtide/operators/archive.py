@@ -44,25 +44,30 @@ def write_archive(df: DataFrame, path: str, line_col: str = "value", ts_col: str
      .write.mode("append").partitionBy(*parts).option("lineSep", LINE_SEP).text(path))
 
 
-def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False) -> DataFrame:
-    """(value, ym, dd, hhmm | hh, mm) with partition values as text; CR stripped."""
+def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
+                 day: str | None = None) -> DataFrame:
+    """(value, ym, dd, hhmm | hh, mm) with partition values as text; CR stripped.
+
+    `day` (yyyyMMdd) reads only that day's folder, so listing touches one day's
+    minute folders instead of the whole archive history."""
     parts = MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS
     schema = T.StructType([T.StructField("value", T.StringType())]
                           + [T.StructField(p, T.StringType()) for p in parts])
     # default line splitting handles \r\n, \r and \n
-    return spark.read.schema(schema).text(path)
+    reader = spark.read.schema(schema)
+    if day is None:
+        return reader.text(path)
+    return reader.option("basePath", path).text(f"{path.rstrip('/')}/ym={day[:6]}/dd={day[6:8]}")
 
 
 def load_archive(spark: SparkSession, archive: str, table: str, minute_as_dir: bool = False,
                  day: str | None = None) -> DataFrame:
     """Parse archived lines into a `dt`-partitioned Parquet table and return it.
 
-    `day` (yyyyMMdd) restricts the load to one day; the ym/dd predicate prunes
-    partitions at listing time. Only the loaded days are overwritten.
+    `day` (yyyyMMdd) restricts the load to one day: only that day's folder is
+    listed and read. Only the loaded days are overwritten.
     """
-    lines = read_archive(spark, archive, minute_as_dir)
-    if day is not None:
-        lines = lines.where((F.col("ym") == day[:6]) & (F.col("dd") == day[6:8]))
+    lines = read_archive(spark, archive, minute_as_dir, day)
     parsed = parse_logs(lines.withColumn("dt", F.concat("ym", "dd")), "value")
     out = parsed.drop(*(MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS))
     (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

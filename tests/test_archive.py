@@ -47,3 +47,11 @@ def test_load_overwrites_only_loaded_day(spark, scratch):
     again = A.load_archive(spark, path, table, day="20240101")   # reload one day
     counts = {r.dt: r.n for r in again.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert counts == {"20240101": 6, "20240102": 6}
+
+
+def test_day_read_lists_only_that_day(spark, scratch):
+    path = scratch("archive")
+    A.write_archive(_msgs(spark), path)
+    df = A.read_archive(spark, path, day="20240102")
+    assert df.inputFiles() and all("/ym=202401/dd=02/" in f for f in df.inputFiles())
+    assert {r.dd for r in df.select("dd").distinct().collect()} == {"02"} and df.count() == 6
