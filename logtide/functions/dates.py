@@ -88,16 +88,19 @@ def parse_time(text, fmt: str | Column = DEFAULT_PATTERN) -> Column:
 # ---- date-valued building blocks -------------------------------------------------
 
 def day_start(ts=None, offset=0) -> Column:
+    """DATE of the instant's day, plus `offset` days."""
     return F.date_add(_col(ts).cast("date"), _lit(offset))
 
 
 def week_start(ts=None, offset=0) -> Column:
+    """DATE of the Sunday on or before the instant's day, plus `offset` weeks."""
     d = _col(ts).cast("date")
     sunday = F.date_sub(d, F.dayofweek(d) - 1)
     return F.date_add(sunday, _lit(offset) * 7)
 
 
 def month_start(ts=None, offset=0) -> Column:
+    """DATE of the first of the instant's month, plus `offset` months."""
     return F.add_months(F.trunc(_col(ts).cast("date"), "MM"), _lit(offset))
 
 
@@ -155,14 +158,17 @@ def format_week_begin(ms, fmt: str | Column) -> Column:
 # ---- timestamp-valued helpers (the date class's Date results) --------------------
 
 def day_begin_ts(ts=None, offset=0, as_type: str = "timestamp") -> Column:
+    """Day begin (+offset days) as a timestamp of type `as_type`."""
     return day_start(ts, offset).cast(as_type)
 
 
 def week_begin_ts(ts=None, offset=0, as_type: str = "timestamp") -> Column:
+    """Sunday week begin (+offset weeks) as a timestamp of type `as_type`."""
     return week_start(ts, offset).cast(as_type)
 
 
 def month_begin_ts(ts=None, offset=0, as_type: str = "timestamp") -> Column:
+    """Month begin (+offset months) as a timestamp of type `as_type`."""
     return month_start(ts, offset).cast(as_type)
 
 

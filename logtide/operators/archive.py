@@ -29,6 +29,7 @@ LINE_SEP = "\r\n"
 
 
 def archive_columns(df: DataFrame, ts_col: str = "timestamp", minute_as_dir: bool = False) -> DataFrame:
+    """Add the minute-folder partition columns of `ts_col`."""
     ts = F.col(ts_col)
     out = df.withColumn("ym", F.date_format(ts, "yyyyMM")).withColumn("dd", F.date_format(ts, "dd"))
     if minute_as_dir:
@@ -38,6 +39,7 @@ def archive_columns(df: DataFrame, ts_col: str = "timestamp", minute_as_dir: boo
 
 def write_archive(df: DataFrame, path: str, line_col: str = "value", ts_col: str = "timestamp",
                   minute_as_dir: bool = False) -> None:
+    """Append raw lines to the minute-folder archive (CRLF line ends)."""
     parts = list(MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS)
     rows = archive_columns(df, ts_col, minute_as_dir).select(F.col(line_col).alias("value"), *parts)
     (rows.sortWithinPartitions(*parts)

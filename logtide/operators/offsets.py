@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 
 def offset_ranges(messages: DataFrame, batch_col: str | None = None) -> DataFrame:
+    """(batch?, topic, partition, from_offset, until_offset) of a message table."""
     keys = ([batch_col] if batch_col else []) + ["topic", "partition"]
     return messages.groupBy(*keys).agg(
         F.min("offset").alias("from_offset"),
@@ -29,6 +30,7 @@ def offset_ranges(messages: DataFrame, batch_col: str | None = None) -> DataFram
 
 
 def committed(ledger: DataFrame) -> DataFrame:
+    """(topic, partition, committed_offset): highest committed until_offset."""
     return ledger.groupBy("topic", "partition").agg(F.max("until_offset").alias("committed_offset"))
 
 

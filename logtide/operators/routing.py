@@ -67,6 +67,7 @@ _REASON_SQL = (
 
 
 def parse_logs(lines: DataFrame, line_col: str = "value") -> DataFrame:
+    """Decode raw lines once: kind, bean fields, malformed flag and reject reason (see module doc)."""
     kind = log_kind(line_col)
     # decode once per row: later filters on fields must not re-run from_json
     decoded = with_columns_once(lines, log_kind=kind,
@@ -102,10 +103,12 @@ def startup_logs(parsed: DataFrame, extra=()) -> DataFrame:
 
 
 def page_logs(parsed: DataFrame, extra=()) -> DataFrame:
+    """Typed view of page-visit logs."""
     return _typed(parsed, "page", PAGE_SCHEMA, extra)
 
 
 def error_logs(parsed: DataFrame, extra=()) -> DataFrame:
+    """Typed view of error logs."""
     return _typed(parsed, "error", ERROR_SCHEMA, extra)
 
 

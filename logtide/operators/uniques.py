@@ -31,6 +31,7 @@ HLL_CHECK_REL = 0.05
 
 def user_hours(messages: DataFrame, line_col: str = "value", ts_col: str = "timestamp",
                processing_time: bool = False) -> DataFrame:
+    """(hour_key, user_id, write_ts) from CSV messages; hour from the message or the wall clock."""
     ts = F.current_timestamp() if processing_time else F.col(ts_col)
     return messages.select(hour_key(ts).alias("hour_key"),
                            csv_field(line_col, 0).alias("user_id"),
@@ -55,6 +56,7 @@ def merge_sketches(sketches: DataFrame, key: Column | str, name: str | None = No
 
 
 def sketch_estimates(sketches: DataFrame, key: str = "hour_key") -> DataFrame:
+    """(key, uv_est, last_write) from a sketch table."""
     return sketches.select(key, F.hll_sketch_estimate("sketch").alias("uv_est"), "last_write")
 
 

@@ -37,6 +37,7 @@ def input_splits(df: DataFrame) -> int:
 
 
 def default_parallelism(df: DataFrame) -> int | None:
+    """Cores the session schedules on (None where there is no SparkContext)."""
     try:
         return df.sparkSession.sparkContext.defaultParallelism
     except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
@@ -44,6 +45,7 @@ def default_parallelism(df: DataFrame) -> int | None:
 
 
 def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin `df` over `min_partitions` tasks only when its scan has fewer splits."""
     target = min_partitions or default_parallelism(df)
     if target and input_splits(df) < target:
         return df.repartition(target)

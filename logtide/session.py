@@ -17,6 +17,7 @@ from pyspark.sql import SparkSession
 
 def local_session(cores: str | int = "*", shuffle_partitions: int = 8,
                   app: str = "logtide", conf: dict | None = None) -> SparkSession:
+    """Local session for tests and the bench: UI off, AQE on, UTC, few shuffle partitions."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName(app)
         .config("spark.ui.enabled", "false")

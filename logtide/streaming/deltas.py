@@ -52,6 +52,7 @@ def _child_ids(spark: SparkSession, path: str, prefix: str) -> list[int]:
 
 
 def batch_ids(spark: SparkSession, table: str) -> list[int]:
+    """Committed delta batch ids of a table, ascending."""
     return sorted(_child_ids(spark, table, "batch_id="))
 
 
@@ -97,10 +98,12 @@ def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
 
 
 def write_ledger(ranges: DataFrame, table: str, batch_id: int) -> None:
+    """Write the offset ranges a batch consumed (replaces an earlier attempt)."""
     ranges.write.mode("overwrite").parquet(f"{table}/_ledger/batch_id={batch_id}")
 
 
 def read_ledger(spark: SparkSession, table: str) -> DataFrame:
+    """All ledger rows: (topic, partition, from_offset, until_offset, batch_id)."""
     return spark.read.parquet(f"{table}/_ledger")
 
 
@@ -121,10 +124,12 @@ def read_deltas(spark: SparkSession, table: str, upto: int | None = None) -> Dat
 
 
 def merge_counts(rows: DataFrame, key: str = "row_key", value: str = "click_count") -> DataFrame:
+    """Sum count deltas per key."""
     return rows.groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
 
 
 def merge_sketch_rows(rows: DataFrame, key: str = "hour_key") -> DataFrame:
+    """Union sketch deltas per key, keeping the last write and row count."""
     return rows.groupBy(key).agg(F.hll_union_agg("sketch", True).alias("sketch"),
                                  F.max("last_write").alias("last_write"),
                                  F.sum("n_rows").cast("bigint").alias("n_rows"))
@@ -135,16 +140,19 @@ SKETCH_SCHEMA = "hour_key string, sketch binary, last_write timestamp, n_rows bi
 
 
 def merged_counts(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
+    """Click totals of a table (newest base + later deltas, optionally up to `upto`)."""
     rows = read_deltas(spark, table, upto)
     return merge_counts(rows) if rows is not None else spark.createDataFrame([], COUNTS_SCHEMA)
 
 
 def merged_sketches(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
+    """Merged hour sketches of a table (newest base + later deltas)."""
     rows = read_deltas(spark, table, upto)
     return merge_sketch_rows(rows) if rows is not None else spark.createDataFrame([], SKETCH_SCHEMA)
 
 
 def has_base(spark: SparkSession, table: str, upto: int) -> bool:
+    """Whether a committed base folding deltas up to `upto` exists."""
     return upto in _child_ids(spark, f"{table}/_bases", "upto=")
 
 

@@ -99,6 +99,7 @@ def click_counter_stream(spark: SparkSession, messages: DataFrame, table: str, c
 
 
 def read_click_counter(spark: SparkSession, table: str) -> DataFrame:
+    """(row_key, click_count) totals of a click-counter delta table."""
     return deltas.merged_counts(spark, table)
 
 
@@ -136,6 +137,7 @@ def read_hourly_uniques(spark: SparkSession, table: str, as_of=None, ttl: str |
 
 
 def read_daily_uniques(spark: SparkSession, table: str) -> DataFrame:
+    """(day, uv_est) by merging the hour sketches of a uniques table."""
     days = U.merge_sketches(deltas.merged_sketches(spark, table), U.daily_key(), "day")
     return days.select("day", F.hll_sketch_estimate("sketch").alias("uv_est"))
 

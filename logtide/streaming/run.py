@@ -25,6 +25,7 @@ BATCH_SECONDS = {"clicks": 5, "uniques": 1, "archive": 60}
 
 
 def parse_args(argv=None):
+    """Command-line options of the launcher."""
     ap = argparse.ArgumentParser(prog="logtide.streaming.run")
     ap.add_argument("job", choices=["clicks", "uniques", "archive"])
     ap.add_argument("--checkpoint", required=True)
@@ -52,6 +53,7 @@ def parse_args(argv=None):
 
 
 def source(spark: SparkSession, args):
+    """The message stream the options name: Kafka, envelope files or raw text."""
     if args.kafka:
         if not args.topic:
             raise SystemExit("--kafka needs --topic")
@@ -70,6 +72,7 @@ def source(spark: SparkSession, args):
 
 
 def main(argv=None) -> None:
+    """Start the chosen job and wait for it; Ctrl-C stops after the running batch."""
     args = parse_args(argv)
     spark = SparkSession.builder.appName(f"logtide-{args.job}").getOrCreate()
     messages = source(spark, args)
