@@ -383,6 +383,30 @@ _grouped("month_begin_fmt_offset", "month_begin_ms", "lineitem",
          f"date_trunc('month', l_shipdate) + to_months({_LI_OFF})")
 
 
+# ---- pushdown range predicates (in_day / in_week / in_month) -------------------------
+
+RANGE_DAY = "1996-01-10"   # a Wednesday inside the lineitem ship dates
+
+
+@register("shipments_in_ranges", f"""
+SELECT 'day' AS bucket, count(*) AS n FROM lineitem WHERE cast(l_shipdate AS DATE) = DATE '{RANGE_DAY}'
+UNION ALL
+SELECT 'week' AS bucket, count(*) AS n FROM lineitem
+ WHERE cast(l_shipdate AS DATE) - cast(dayofweek(l_shipdate) AS INTEGER)
+     = DATE '{RANGE_DAY}' - cast(dayofweek(DATE '{RANGE_DAY}') AS INTEGER)
+UNION ALL
+SELECT 'month' AS bucket, count(*) AS n FROM lineitem WHERE date_trunc('month', l_shipdate) = date_trunc('month', DATE '{RANGE_DAY}')""")
+def shipments_in_ranges(spark, sf):
+    """Rows in the day / Sunday-week / month of a date, as literal ranges that
+    reach the Parquet scan (PushedFilters), not as bucket functions per row."""
+    li = _lineitem(spark, sf)
+    parts = [li.where(pred).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("bucket"), "n")
+             for name, pred in (("day", D.in_day("l_shipdate", RANGE_DAY, ntz=True)),
+                                ("week", D.in_week("l_shipdate", RANGE_DAY, ntz=True)),
+                                ("month", D.in_month("l_shipdate", RANGE_DAY, ntz=True)))]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 # ---- now-relative forms (UDF-D1/2, W1/2, M1/2): invariants per offset ---------------
 
 _NOW_ORACLE = f"SELECT {_OFF5} AS n, true AS ok, count(*) AS n_rows FROM events GROUP BY 1"
