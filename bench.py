@@ -27,7 +27,7 @@ HEADLINE = ["city_click_counter", "hourly_uv_hll", "week_begin_offset"]
 MORE = ["city_click_counter_v2", "log_type_counts", "startup_valid", "startup_decode", "csv_user_id",
         "message_envelope", "offset_ranges", "start_offsets_json", "hourly_uv_exact", "hourly_uv_approx",
         "daily_uv_merged", "hourly_uv_retained", "day_begin_str_offset", "month_begin_fmt_offset",
-        "format_time_week", "clicks_by_week", "week_begin_sql"]
+        "format_time_week", "clicks_by_week", "week_begin_sql", "shipments_in_ranges"]
 
 
 def _sf_value(path: str):
