@@ -33,7 +33,12 @@ def dense_offsets(df: DataFrame, partition_col: str, order_col: str,
     unique integer `order_col`. Work is split into id blocks of `block_width`.
 
     `sizes_from`: a narrower frame with the same (partition, id) rows to count
-    block sizes from, so the counting pass does not recompute wide columns."""
+    block sizes from, so the counting pass does not recompute wide columns.
+
+    Sizing: a block holds at most `block_width` rows (ids are unique), and the
+    block table has (id span / block_width) rows per partition. Message ids are
+    dense (offsets, sequence numbers), which keeps both small; for sparse ids
+    (e.g. hashes) raise `block_width` towards span / rows so blocks stay full."""
     blk = F.floor(F.col(order_col) / F.lit(block_width))
     blocked = df.withColumn("_blk", blk)
     counted = (sizes_from if sizes_from is not None else df).select(partition_col, blk.alias("_blk"))
