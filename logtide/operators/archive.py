@@ -47,11 +47,11 @@ def write_archive(df: DataFrame, path: str, line_col: str = "value", ts_col: str
 
 
 def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
-                 day: str | None = None) -> DataFrame:
+                 day: str | list[str] | None = None) -> DataFrame:
     """(value, ym, dd, hhmm | hh, mm) with partition values as text; CR stripped.
 
-    `day` (yyyyMMdd) reads only that day's folder, so listing touches one day's
-    minute folders instead of the whole archive history."""
+    `day` (yyyyMMdd, or a list of them) reads only those days' folders, so
+    listing touches their minute folders instead of the whole archive history."""
     parts = MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS
     schema = T.StructType([T.StructField("value", T.StringType())]
                           + [T.StructField(p, T.StringType()) for p in parts])
@@ -59,15 +59,17 @@ def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
     reader = spark.read.schema(schema)
     if day is None:
         return reader.text(path)
-    return reader.option("basePath", path).text(f"{path.rstrip('/')}/ym={day[:6]}/dd={day[6:8]}")
+    days = [day] if isinstance(day, str) else list(day)
+    root = path.rstrip("/")
+    return reader.option("basePath", path).text(*[f"{root}/ym={d[:6]}/dd={d[6:8]}" for d in days])
 
 
 def load_archive(spark: SparkSession, archive: str, table: str, minute_as_dir: bool = False,
-                 day: str | None = None) -> DataFrame:
+                 day: str | list[str] | None = None) -> DataFrame:
     """Parse archived lines into a `dt`-partitioned Parquet table and return it.
 
-    `day` (yyyyMMdd) restricts the load to one day: only that day's folder is
-    listed and read. Only the loaded days are overwritten.
+    `day` (yyyyMMdd, or a list for a backfill) restricts the load to those days:
+    only their folders are listed and read. Only the loaded days are overwritten.
     """
     lines = read_archive(spark, archive, minute_as_dir, day)
     parsed = parse_logs(lines.withColumn("dt", F.concat("ym", "dd")), "value")

@@ -55,3 +55,11 @@ def test_day_read_lists_only_that_day(spark, scratch):
     df = A.read_archive(spark, path, day="20240102")
     assert df.inputFiles() and all("/ym=202401/dd=02/" in f for f in df.inputFiles())
     assert {r.dd for r in df.select("dd").distinct().collect()} == {"02"} and df.count() == 6
+
+
+def test_load_several_days(spark, scratch):
+    path, table = scratch("archive"), scratch("table")
+    A.write_archive(_msgs(spark), path)
+    out = A.load_archive(spark, path, table, day=["20240101", "20240102"])
+    assert {r.dt: r.n for r in out.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()} == \
+        {"20240101": 6, "20240102": 6}
