@@ -61,7 +61,7 @@ def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
         return reader.text(path)
     days = [day] if isinstance(day, str) else list(day)
     root = path.rstrip("/")
-    return reader.option("basePath", path).text(*[f"{root}/ym={d[:6]}/dd={d[6:8]}" for d in days])
+    return reader.option("basePath", path).text([f"{root}/ym={d[:6]}/dd={d[6:8]}" for d in days])
 
 
 def load_archive(spark: SparkSession, archive: str, table: str, minute_as_dir: bool = False,
