@@ -3,6 +3,7 @@
   python -m logtide.streaming.run clicks   --table T --checkpoint C (--kafka HOSTS --topic X | --files DIR | --text DIR)
   python -m logtide.streaming.run uniques  --table T --checkpoint C ...
   python -m logtide.streaming.run archive  --path P  --checkpoint C ...
+  python -m logtide.streaming.run load     --path P  --table T [--day yyyyMMdd ...]   (batch, e.g. from cron)
 
 The session comes from the cluster (`spark-submit` configuration). With Kafka,
 `--rate` is the per-partition message rate (the reference's 100/s) and needs
@@ -16,6 +17,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from logtide.operators.archive import load_archive
 from logtide.operators.counters import CITY_DATE, DATE_CITY
 from logtide.sources.messages import kafka_options, read_kafka, stream_messages, stream_text_lines
 from logtide.streaming import deltas, jobs
@@ -27,11 +29,11 @@ BATCH_SECONDS = {"clicks": 5, "uniques": 1, "archive": 60}
 def parse_args(argv=None):
     """Command-line options of the launcher."""
     ap = argparse.ArgumentParser(prog="logtide.streaming.run")
-    ap.add_argument("job", choices=["clicks", "uniques", "archive"])
-    ap.add_argument("--checkpoint", required=True)
+    ap.add_argument("job", choices=["clicks", "uniques", "archive", "load"])
+    ap.add_argument("--checkpoint", help="streaming checkpoint folder (streaming jobs)")
     ap.add_argument("--table", help="delta table folder (clicks, uniques)")
     ap.add_argument("--path", help="archive folder (archive)")
-    src = ap.add_mutually_exclusive_group(required=True)
+    src = ap.add_mutually_exclusive_group()
     src.add_argument("--kafka", help="bootstrap servers")
     src.add_argument("--files", help="folder of envelope Parquet files")
     src.add_argument("--text", help="folder of raw text lines")
@@ -47,6 +49,7 @@ def parse_args(argv=None):
                     help="uniques/archive: bucket by the wall clock (automatic for --text)")
     ap.add_argument("--minute-as-dir", action="store_true", help="archive: .../HH/mm folders")
     ap.add_argument("--repartition", type=int)
+    ap.add_argument("--day", action="append", help="load: yyyyMMdd to load (repeatable; default all)")
     ap.add_argument("--compact-every", type=int, default=jobs.DEFAULT_COMPACT_EVERY,
                     help="fold committed deltas into a base every N batches (0: never)")
     return ap.parse_args(argv)
@@ -75,6 +78,14 @@ def main(argv=None) -> None:
     """Start the chosen job and wait for it; Ctrl-C stops after the running batch."""
     args = parse_args(argv)
     spark = SparkSession.builder.appName(f"logtide-{args.job}").getOrCreate()
+    if args.job == "load":
+        # batch: parse archived lines of the given days into the day-partitioned table
+        if not (args.path and args.table):
+            raise SystemExit("load needs --path (archive) and --table")
+        load_archive(spark, args.path, args.table, args.minute_as_dir, args.day)
+        return
+    if not args.checkpoint or not (args.kafka or args.files or args.text):
+        raise SystemExit("streaming jobs need --checkpoint and one of --kafka/--files/--text")
     messages = source(spark, args)
     trigger = args.trigger or DEFAULT_TRIGGERS[args.job]
     # raw text lines carry no message timestamp: bucket by processing time then

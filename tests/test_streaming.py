@@ -260,3 +260,15 @@ def test_runner_archive_from_text(spark, scratch):
     back = spark.read.text(out)
     assert back.count() == lines.count()
     assert back.select("ym").distinct().count() <= 2          # processing-time month (two only at a boundary)
+
+
+def test_runner_load(spark, scratch):
+    from logtide.operators import archive as A
+    from logtide.streaming import run
+    ev = load_table(spark, SF0001_DIR, "events")
+    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    path, table = scratch("archive"), scratch("table")
+    A.write_archive(msgs, path)
+    run.main(["load", "--path", path, "--table", table, "--day", "20240103", "--day", "20240104"])
+    got = {str(r.dt) for r in spark.read.parquet(table).select("dt").distinct().collect()}
+    assert got == {"20240103", "20240104"}
