@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import quality_rules
-from logtide.llm.common import table
+from logtide.llm import pu_quality, quality_rules
+from logtide.llm.common import fold, table
+
+
+def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = pu_quality.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 4) != 2)
+    return pu_quality.pu_quality(docs, model).withColumn("held_out", fold("doc_id", 4) == 2)
 
 
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,7 +22,7 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op2_quality_rules,)}
+    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
