@@ -25,7 +25,7 @@ from logtide.llm.chars import Chars, U
 from logtide.llm.common import labelled_sample, map_kept, map_texts, texts_of
 
 BITS = 18
-TRAIN_ROWS = 6000          # bound of labelled rows the weights are fitted on
+TRAIN_ROWS = 2000          # bound of labelled rows the weights are fitted on
 MIN_WORDS = 20             # fixed value: base rule
 MAX_REPEAT_PERCENT = 30    # fixed value: base rule
 KEEP_PROBABILITY = 0.5     # fixed threshold of the verdict
@@ -113,7 +113,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], steps: int = 150, rate:
 
     def flat(pick):
         chosen = [rows[i] for i in np.flatnonzero(pick)]
-        doc = np.repeat(np.arange(len(chosen)), [len(r[1]) for r in chosen])
+        doc = np.repeat(np.arange(len(chosen), dtype=np.int32), [len(r[1]) for r in chosen])
         return doc, np.concatenate([r[1] for r in chosen]), np.concatenate([r[2] for r in chosen])
 
     doc, bucket, value = flat(~held)
