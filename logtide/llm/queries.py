@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import pu_quality, quality_rules
+from logtide.llm import pu_quality, quality_rules, url_filter
 from logtide.llm.common import fold, table
 
 
@@ -21,9 +21,62 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, model)
 
 
+# The rules the query judges by.
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages"), URL_RULES)
+
+
+OP10_SQL = r"""
+WITH parts AS (
+  SELECT page_id, url,
+         CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest
+  FROM pages),
+hp AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                            'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         list_filter(string_split(coalesce(CASE WHEN instr(split_part(url, '#', 1), '?') > 0
+             THEN substr(split_part(url, '#', 1), instr(split_part(url, '#', 1), '?') + 1) END, ''), '&'),
+             lambda p: p <> '') AS params
+  FROM parts),
+canon AS (
+  SELECT *, CASE WHEN host <> '' THEN host || regexp_replace(regexp_replace(path, '\.html$', ''), '/+$', '')
+      || CASE WHEN len(list_filter(params, lambda p: NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))) > 0
+              THEN '?' || array_to_string(list_sort(list_filter(params,
+                   lambda p: NOT regexp_matches(p, '^(utm_[a-z]+|ref)='))), '&') ELSE '' END END AS canonical
+  FROM hp),
+listed AS (
+  SELECT DISTINCT canonical FROM canon
+  WHERE len(list_filter(params, lambda p: regexp_matches(p, '^(utm_[a-z]+|ref)='))) > 0 AND canonical IS NOT NULL),
+ruled AS (
+  SELECT canon.*, listed.canonical IS NOT NULL AS listed,
+    CASE WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/')
+              THEN 'www.example.com/en/'
+         WHEN (host = 'example.com' OR host LIKE '%.example.com') AND starts_with(path, '/en/') THEN 'example.com/en/'
+         WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/es/') THEN 'net/es/'
+         WHEN (host = 'net' OR host LIKE '%.net') AND starts_with(path, '/fr/') THEN 'net/fr/'
+         WHEN (host = 'com' OR host LIKE '%.com') AND starts_with(path, '/') THEN 'com/' END AS rule
+  FROM canon LEFT JOIN listed USING (canonical))
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
+            WHEN listed THEN 'block' ELSE 'allow' END AS verdict,
+       canonical, listed
+FROM ruled
+"""
+
+
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules)}
+    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op10_url_filter": OP10_SQL}
