@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,8 +16,32 @@ from pyspark.sql import functions as F
 from logtide.session import scratch_path
 
 SLICE_BYTES = 1 << 21
-LONG_SCHEMA_TYPES = {"long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64(),
-                     "boolean": pa.bool_(), "string": pa.string(), "binary": pa.binary()}
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application (as `--py-files` would)."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    archive = os.path.join(tempfile.mkdtemp(prefix="logtide-py-"), "logtide_package.zip")
+    with zipfile.ZipFile(archive, "w") as z:
+        for folder, _, files in os.walk(root):
+            for name in files:
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema) -> DataFrame:
+    """mapInArrow with this package on the workers."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(fn, schema)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,7 +106,7 @@ def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str,
                                                  + [v if isinstance(v, pa.Array) else pa.array(v)
                                                     for v in new.values()], names=names)
 
-    return df.mapInArrow(run, ", ".join([*kept, schema]))
+    return map_arrow(df, run, ", ".join([*kept, schema]))
 
 
 def map_kept(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], text_col: str) -> DataFrame:
@@ -89,4 +116,4 @@ def map_kept(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], text_c
             for part in slices(whole, text_col):
                 yield part.filter(pa.array(np.asarray(keep(part), bool)))
 
-    return df.mapInArrow(run, df.schema)
+    return map_arrow(df, run, df.schema)
