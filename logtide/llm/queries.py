@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import pu_quality, quality_rules, url_filter
+from logtide.llm import chunk_bpe, packing, pu_quality, quality_rules, token_counts, url_filter
 from logtide.llm.common import fold, table
+from logtide.session import scratch_path
 
 
 def op1_pu_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +22,28 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, model)
 
 
+def tokenizer_path(name: str) -> str:
+    """Place of a public vocabulary file; the same on every machine of the cluster."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    # a cache of its own, so that each run counts every distinct text
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"),
+                                     scratch_path(spark, "token-cache"), limit=512)
+
+
+def op8_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = chunk_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+    return made.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
+                       F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), limit=2048, end_id=0)
+
+
 # The rules the query judges by.
 URL_RULES = [
     ("com", "/", "allow"),
@@ -75,7 +98,8 @@ FROM ruled
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op10_url_filter)}
+    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op5_token_counts, op8_chunk_bpe,
+                                       op9_packing, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
