@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import chunk_bpe, packing, pu_quality, quality_rules, token_counts, url_filter
+from logtide.llm import chunk_bpe, packing, pu_quality, quality_rules, token_counts, url_filter, warc
 from logtide.llm.common import fold, table
 from logtide.session import scratch_path
 
@@ -34,6 +34,23 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      scratch_path(spark, "token-cache"), limit=512)
 
 
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    back = warc.round_trip(table(spark, sf_dir, "pages"))
+    return back.select(F.col("record_id").cast("long").alias("page_id"), "payload_bytes", "payload_digest",
+                       "record_type", F.col("refers_to").cast("long").alias("refers_to"))
+
+
+OP6_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+d AS (SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest FROM p),
+r AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND last <> page_id THEN last END AS refers_to
+FROM r
+"""
+
+
 def op8_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = chunk_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return made.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
@@ -98,9 +115,9 @@ FROM ruled
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op5_token_counts, op8_chunk_bpe,
-                                       op9_packing, op10_url_filter)}
+    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op5_token_counts, op6_warc,
+                                       op8_chunk_bpe, op9_packing, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op10_url_filter": OP10_SQL}
+    return {"op6_warc": OP6_SQL, "op10_url_filter": OP10_SQL}
