@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import chunk_bpe, packing, pu_quality, quality_rules, token_counts, url_filter, warc
+from logtide.llm import chunk_bpe, ngram_join, packing, pu_quality, quality_rules, token_counts, url_filter, warc
 from logtide.llm.common import fold, table
 from logtide.session import scratch_path
 
@@ -22,6 +22,10 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, model)
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path(name: str) -> str:
     """Place of a public vocabulary file; the same on every machine of the cluster."""
     import public_tokenizers
@@ -115,7 +119,7 @@ FROM ruled
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op5_token_counts, op6_warc,
+    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op4_ngram_join, op5_token_counts, op6_warc,
                                        op8_chunk_bpe, op9_packing, op10_url_filter)}
 
 
