@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm import chunk_bpe, ngram_join, packing, pu_quality, quality_rules, token_counts, url_filter, warc
+from logtide.llm import (chunk_bpe, embedding_dedup, ngram_join, packing, pu_quality, quality_rules, token_counts,
+                         url_filter, warc)
 from logtide.llm.common import fold, table
 from logtide.session import scratch_path
 
@@ -55,6 +56,29 @@ FROM r
 """
 
 
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.embedding_links(table(spark, sf_dir, "embeddings"), threshold=0.95)
+
+
+OP7_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (
+  SELECT vec_id AS node, vec_id AS low FROM embeddings
+  UNION
+  SELECT links.b, reach.low FROM reach JOIN links ON links.a = reach.node),
+lows AS (SELECT node, min(low) AS component_id FROM reach GROUP BY node),
+degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(degree.n, 0) AS n_links, lows.component_id, e.vec_id = lows.component_id AS kept
+FROM embeddings e JOIN lows ON lows.node = e.vec_id LEFT JOIN degree ON degree.a = e.vec_id
+"""
+
+
 def op8_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     made = chunk_bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
     return made.select("doc_id", "n_tokens", F.sha2(F.col("ids").cast("binary"), 256).alias("ids_sha256"),
@@ -120,8 +144,8 @@ FROM ruled
 
 def queries() -> dict:
     return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op4_ngram_join, op5_token_counts, op6_warc,
-                                       op8_chunk_bpe, op9_packing, op10_url_filter)}
+                                       op7_embedding_dedup, op8_chunk_bpe, op9_packing, op10_url_filter)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_warc": OP6_SQL, "op10_url_filter": OP10_SQL}
+    return {"op6_warc": OP6_SQL, "op7_embedding_dedup": OP7_SQL, "op10_url_filter": OP10_SQL}
