@@ -18,6 +18,9 @@ BASE = 0xD1342543DE82EF95          # odd, so it has an inverse modulo 2**64
 SYMBOLS = "#*$%&|<>"               # fixed value: symbol characters of the rules
 REPEAT_WINDOW = 8                  # fixed value: words in a repeated window
 
+# Letters and digits by code point; above the table all but general punctuation counts as a letter.
+_LETTER = np.array([chr(i).isalnum() for i in range(0x250)] + [True])
+
 
 def mix(x: np.ndarray) -> np.ndarray:
     """64-bit finalizer: spreads every input bit over the word."""
@@ -44,7 +47,8 @@ def _powers(size: int) -> tuple[np.ndarray, np.ndarray]:
 class Chars:
     """Code points of several texts, with word and line spans."""
 
-    def __init__(self, texts: list[str], lower_ascii: bool = False):
+    def __init__(self, texts: list[str], lower_ascii: bool = False, letters: bool = False):
+        """`letters`: words are runs of letters and digits instead."""
         self.n = len(texts)
         self.codes = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
         if lower_ascii:
@@ -54,7 +58,9 @@ class Chars:
         self.start = np.concatenate([[0], np.cumsum(self.lens)])
         self.size = int(self.start[-1])
         c = self.codes
-        self.space = (c == 32) | ((c >= 9) & (c <= 13))
+        self.space = ~_LETTER[np.minimum(c, 0x250)] if letters else (c == 32) | ((c >= 9) & (c <= 13))
+        if letters:
+            self.space |= ((c >= 0x2000) & (c < 0x2070)) | ((c >= 0x3000) & (c < 0x3040))
         first = np.zeros(self.size + 1, bool)
         first[self.start] = True
         self.first = first

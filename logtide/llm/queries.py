@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.llm import (chunk_bpe, embedding_dedup, ngram_join, packing, pu_quality, quality_rules, token_counts,
-                         url_filter, warc)
+                         toxicity, url_filter, warc)
 from logtide.llm.common import fold, table
 from logtide.session import scratch_path
 
@@ -23,6 +23,12 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(docs, model)
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    net = toxicity.train(docs, table(spark, sf_dir, "labels"), fold("doc_id", 3) != 1)
+    return toxicity.toxicity(docs, net).withColumn("held_out", fold("doc_id", 3) == 1)
+
+
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.ngram_components(table(spark, sf_dir, "documents"))
 
@@ -143,7 +149,7 @@ FROM ruled
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op4_ngram_join, op5_token_counts, op6_warc,
+    return {f.__name__: f for f in (op1_pu_quality, op2_quality_rules, op3_toxicity, op4_ngram_join, op5_token_counts, op6_warc,
                                        op7_embedding_dedup, op8_chunk_bpe, op9_packing, op10_url_filter)}
 
 
