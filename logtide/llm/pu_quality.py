@@ -137,6 +137,8 @@ def _train(pos: np.ndarray, unl: np.ndarray, prior: float | None, steps: int = 5
 
 def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
     """Share of positives in `unl`: the smallest bounded ratio of shares above a threshold."""
+    rng = np.random.default_rng(3)
+    pos, unl = rng.permutation(pos), rng.permutation(unl)      # halves that no order of the ids shapes
     net = _train(pos[::2], unl[::2], None, steps=300)
     zp, zu = np.sort(net.odds(pos[1::2])), np.sort(net.odds(unl[1::2]))
     if not len(zp) or not len(zu):

@@ -107,7 +107,7 @@ def fit(rows: list[tuple[int, np.ndarray, np.ndarray]], steps: int = 150, rate:
     y_all = np.array([r[0] for r in rows])
     if len(set(y_all.tolist())) < 2 or len(rows) < 8:
         return None
-    held = np.arange(len(rows)) % 4 == 3
+    held = np.random.default_rng(5).permutation(len(rows)) % 4 == 3
     if len(set(y_all[~held].tolist())) < 2 or len(set(y_all[held].tolist())) < 2:
         held = np.zeros(len(rows), bool)
 

@@ -254,7 +254,7 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 3, steps: int = 100,
     y = np.asarray(labels).astype(np.int64)
     if len(set(y.tolist())) < 2:
         return None
-    held = np.arange(len(y)) % 4 == 3
+    held = np.random.default_rng(5).permutation(len(y)) % 4 == 3
     if min(y.sum(), len(y) - y.sum()) < FEW:
         held = np.zeros(len(y), bool)
     words = Words(texts)
