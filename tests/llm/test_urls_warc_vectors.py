@@ -74,8 +74,8 @@ def test_warc_round_trip(spark, scratch):
         ref = {1: "5", 2: "5", 3: "4"}.get(i)
         want.append((None if i is None else str(i), url, "revisit" if ref else "response", len(data),
                      hashlib.sha1(data).hexdigest(), ref, None if ref else data))
-    assert sorted(map(str, map(tuple, got))) == sorted(
-        str(tuple(None if v is None else bytearray(v) if isinstance(v, bytes) else v for v in w)) for w in want)
+    plain = [tuple(bytes(v) if isinstance(v, (bytes, bytearray)) else v for v in r) for r in got]
+    assert sorted(plain, key=str) == sorted(want, key=str)
     assert warc.round_trip(pages.limit(0)).count() == 0
 
 
