@@ -6,8 +6,11 @@ as any other change could change the count), version the digest of the
 tokenizer file. Documents are joined to stored counts; of the contents that are
 not stored, one document each is encoded, whole, and the counts are appended.
 
-Texts cross the network once, for the misses alone. The join back to documents
-is salted, so a content that a third of the documents share spreads.
+A Bloom filter of fixed size holds the contents that several documents share or
+that are stored; a document outside it is surely the only one of a miss and is
+encoded where it is read. Only the others cross the network, once, to the exact
+choice of one document per miss. The join back to documents is salted, so a
+content that a third of the documents share spreads.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; repeated rows
 and null ids give one row each.
@@ -21,6 +24,7 @@ from pyspark.sql import functions as F
 
 from logtide.llm.common import map_texts, texts_of, written
 from logtide.llm.pieces import count_of, shared_pieces, tokenizer_version
+from logtide.llm.url_filter import possible_rows
 
 CACHE_SCHEMA = "content string, version string, n_tokens long"
 SALTS = 8
@@ -53,12 +57,17 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512,
                 .withColumn("content", F.sha2(F.col("_text").cast("binary"), 256))
     keyed = written(spark, texts.select("_id", "content", F.octet_length("_text").cast("long").alias("n_bytes")),
                     "token-keys")
-    # one row per content that is not stored: the document whose text will be encoded
+    stored = read_cache(spark, cache, version)
     name = F.coalesce(F.col("_id").cast("string"), F.lit(""))
-    misses = (keyed.groupBy("content").agg(F.min(name).alias("_name"))
-              .join(read_cache(spark, cache, version), "content", "left_anti"))
-    to_encode = texts.withColumn("_name", name).join(misses.hint("shuffle_hash"), ["content", "_name"], "left_semi")
-    (_encode(to_encode, tokenizer).dropDuplicates(["content"]).withColumn("version", F.lit(version))
+    contents = keyed.groupBy("content").agg(F.min(name).alias("_name"), F.count(F.lit(1)).alias("n"))
+    # one row per content that is not stored: the document whose text will be encoded
+    misses = written(spark, contents.join(stored, "content", "left_anti"), "token-misses")
+    joint = misses.where("n > 1").select("content").union(stored.select("content"))
+    marked = possible_rows(texts.withColumn("_name", name), joint, "content")
+    chosen = marked.where("possible").join(misses.select("content", "_name").hint("shuffle_hash"),
+                                           ["content", "_name"], "left_semi")
+    (_encode(marked.where("NOT possible"), tokenizer).union(_encode(chosen, tokenizer).dropDuplicates(["content"]))
+     .withColumn("version", F.lit(version))
      .select("content", "version", "n_tokens").write.mode("append").parquet(cache))
     counts = (read_cache(spark, cache, version)
               .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))

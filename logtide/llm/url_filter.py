@@ -79,17 +79,22 @@ def bloom_filter(listed: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame
             .agg(*[F.bit_or(_bit(key, w)).alias(f"w{w}") for w in range(WORDS)]))
 
 
-def listed_rows(rows: DataFrame, listed: DataFrame, key: str, blocks: int = BLOCKS, salts: int = SALTS) -> DataFrame:
-    """`rows` plus possible (the filter passes) and listed (its `key` is in `listed`, exactly)."""
-    names = listed.select(key).where(F.col(key).isNotNull()).distinct()
+def possible_rows(rows: DataFrame, names: DataFrame, key: str, blocks: int = BLOCKS) -> DataFrame:
+    """`rows` plus possible: false only where `key` is surely not among `names` (distinct, not null)."""
     bits = bloom_filter(names, key, blocks)
     hit = F.lit(True)
     for w in range(WORDS):
         hit = hit & (F.col(f"w{w}").bitwiseAND(_bit(key, w)) != 0)
-    marked = (rows.withColumn("block", _block(key, blocks))
-              .join(F.broadcast(bits), "block", "left")
-              .withColumn("possible", F.col(key).isNotNull() & F.coalesce(hit, F.lit(False)))
-              .drop("block", *[f"w{w}" for w in range(WORDS)]))
+    return (rows.withColumn("block", _block(key, blocks))
+            .join(F.broadcast(bits), "block", "left")
+            .withColumn("possible", F.col(key).isNotNull() & F.coalesce(hit, F.lit(False)))
+            .drop("block", *[f"w{w}" for w in range(WORDS)]))
+
+
+def listed_rows(rows: DataFrame, listed: DataFrame, key: str, blocks: int = BLOCKS, salts: int = SALTS) -> DataFrame:
+    """`rows` plus possible (the filter passes) and listed (its `key` is in `listed`, exactly)."""
+    names = listed.select(key).where(F.col(key).isNotNull()).distinct()
+    marked = possible_rows(rows, names, key, blocks)
     spread = (names.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
               .withColumn("listed", F.lit(True)))
     exact = (marked.where("possible").withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
