@@ -34,9 +34,9 @@ WORD_BITS, RUN_BITS = 15, 16
 WORD_DIM, RUN_DIM, HIDDEN = 6, 6, 10
 RUNS = (3, 4, 5)
 TOP = 3
-PER_CLASS = 1500           # bound of labelled rows learned from, per class
+PER_CLASS = 1000           # bound of labelled rows learned from, per class
 FEW = 100                  # with fewer texts of a class all are learned from and fit the curve too
-TRAIN_CHARS = 20_000       # labelled texts longer than this are scored, not learned from
+TRAIN_CHARS = 10_000       # labelled texts longer than this are scored, not learned from
 PREDICT_AT = 0.7           # fixed value: score from which a text counts as toxic
 NOTHING = -8.0             # log odds that stand for a missing window
 BLOCK = 4096
@@ -249,8 +249,10 @@ def _shrunken_odds(doc: np.ndarray, bucket: np.ndarray, bits: int, y: np.ndarray
     return np.sign(err) * np.maximum(np.abs(err) - 2, 0)
 
 
-def fit(texts: list[str], labels: np.ndarray, rounds: int = 3, steps: int = 100, batch: int = 128) -> Net | None:
-    """Train on three quarters of the texts, fit the curve on the rest (both on all, if a class has few)."""
+def fit(texts: list[str], labels: np.ndarray, share: float | None = None, rounds: int = 3, steps: int = 100, batch: int = 128) -> Net | None:
+    """Train on three quarters of the texts, fit the curve on the rest (both on all, if a class has few).
+
+    `share` is that of toxic texts where scores are to be probabilities; the sample's own by default."""
     y = np.asarray(labels).astype(np.int64)
     if len(set(y.tolist())) < 2:
         return None
@@ -314,6 +316,9 @@ def fit(texts: list[str], labels: np.ndarray, rounds: int = 3, steps: int = 100,
         z = net.windows(words)
     used = held if held.any() else ~held
     net.curve = _fit_curve(text_features(z, words.wdoc, words.n)[used], y[used])
+    if share is not None:                       # the sample has as many toxic as clean texts, the corpus has not
+        own = y[used].mean()
+        net.curve[-1] += np.log(share / (1 - share)) - np.log(own / (1 - own))
     return net
 
 
@@ -332,7 +337,10 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PE
     rows = [r for keep in (F.col("toxic") > 0, F.col("toxic") <= 0)
             for r in labelled_sample(short, labels.where(keep), "toxic", learn, per_class).collect()]
     rows.sort(key=lambda r: (r["_id"], r["_text"]))
-    return fit([r["_text"] for r in rows], np.array([r["_label"] > 0 for r in rows], np.int64)) if rows else None
+    toxic, clean = labels.where(learn).agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
+    if not rows or not toxic or not clean:
+        return None
+    return fit([r["_text"] for r in rows], np.array([r["_label"] > 0 for r in rows], np.int64), toxic / (toxic + clean))
 
 
 def toxicity(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
