@@ -1,4 +1,4 @@
-"""Plan-shaping helpers.
+"""Plan-shaping helper.
 
 `with_columns_once`: Catalyst pushes a filter below a projection by
 substituting each projected alias into the predicate. When the alias is a
@@ -7,12 +7,6 @@ re-evaluates it — a filter on three fields of a parsed line parses the line
 three more times. A Generate node (``inline`` of a one-element array) is a
 boundary predicates cannot cross, so its output columns are computed exactly
 once per row and later filters read them as plain fields.
-
-`fan_out`: a scan yields one task per file split; a single unsplittable file
-(one Parquet row group, a gzip text file) leaves one task doing all per-row
-work. Round-robin it over `min_partitions` only when the scan has fewer
-splits than that. Large inputs already have many splits, so this never adds a
-shuffle at scale.
 """
 
 from __future__ import annotations
@@ -26,27 +20,3 @@ def with_columns_once(df: DataFrame, **named: Column) -> DataFrame:
     row = F.struct(*[expr.alias(name) for name, expr in named.items()])
     keep = [c for c in df.columns if c not in named]
     return df.select(*keep, F.inline(F.array(row)))
-
-
-def input_splits(df: DataFrame) -> int:
-    """Number of partitions the plan produces (planning only, nothing runs)."""
-    try:
-        return df._jdf.rdd().getNumPartitions()   # JVM side: no Python pickling RDD
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect, where only the public API exists
-        return df.rdd.getNumPartitions()
-
-
-def default_parallelism(df: DataFrame) -> int | None:
-    """Cores the session schedules on (None where there is no SparkContext)."""
-    try:
-        return df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # noqa: BLE001 - no SparkContext on Spark Connect
-        return None
-
-
-def fan_out(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin `df` over `min_partitions` tasks only when its scan has fewer splits."""
-    target = min_partitions or default_parallelism(df)
-    if target and input_splits(df) < target:
-        return df.repartition(target)
-    return df
