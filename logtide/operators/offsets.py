@@ -9,10 +9,10 @@
                    failed and every partition starts from 0.
 * `start_offsets_json` the ``{"topic":{"0":n,...}}`` text Spark's Kafka source
                    takes as ``startingOffsets``.
+* `committed_of`   the same committed offsets straight from a message table.
 
-The partition list and the committed table hold one row per topic-partition,
-a count fixed by the topic configuration, not by the data volume, so the join
-between them is broadcast.
+The committed table holds one row per topic-partition, a count fixed by the
+topic configuration, not by the data volume.
 """
 
 from __future__ import annotations
@@ -34,6 +34,12 @@ def committed(ledger: DataFrame) -> DataFrame:
     return ledger.groupBy("topic", "partition").agg(F.max("until_offset").alias("committed_offset"))
 
 
+def committed_of(messages: DataFrame, done) -> DataFrame:
+    """(topic, partition, committed_offset): after the last message where `done` holds, null where none does."""
+    return messages.groupBy("topic", "partition").agg(
+        F.max(F.when(done, F.col("offset") + 1)).alias("committed_offset"))
+
+
 def start_offsets(partitions: DataFrame, ledger: DataFrame, all_or_nothing: bool = True) -> DataFrame:
     """(topic, partition, start_offset) for every row of `partitions`.
 
@@ -42,7 +48,7 @@ def start_offsets(partitions: DataFrame, ledger: DataFrame, all_or_nothing: bool
     0. `False` defaults only the missing partitions to 0.
     """
     parts = partitions.select("topic", "partition").distinct()
-    joined = parts.join(F.broadcast(committed(ledger)), ["topic", "partition"], "left")
+    joined = parts.join(committed(ledger), ["topic", "partition"], "left")
     zero = F.lit(0).cast("bigint")
     if all_or_nothing:
         missing = joined.select(F.count_if(F.col("committed_offset").isNull())).scalar()
@@ -52,12 +58,23 @@ def start_offsets(partitions: DataFrame, ledger: DataFrame, all_or_nothing: bool
     return joined.select("topic", "partition", start.alias("start_offset"))
 
 
-def start_offsets_json(starts: DataFrame) -> DataFrame:
-    """One row, `starting_offsets`: {"topic": {"partition": offset, ...}, ...}."""
-    per_topic = starts.groupBy("topic").agg(
-        F.map_from_entries(F.array_sort(F.collect_list(
-            F.struct(F.col("partition").cast("string").alias("k"), F.col("start_offset").alias("v")))))
-        .alias("offsets"))
-    by_topic = F.array_sort(F.collect_list(F.struct("topic", "offsets")),
-                            lambda a, b: F.when(a.topic < b.topic, -1).when(a.topic > b.topic, 1).otherwise(0))
-    return per_topic.agg(F.to_json(F.map_from_entries(by_topic)).alias("starting_offsets"))
+def start_offsets_json(offsets: DataFrame, all_or_nothing: bool = True) -> DataFrame:
+    """One row, `starting_offsets`: {"topic": {"partition": offset, ...}, ...}.
+
+    `offsets` holds (topic, partition, start_offset), or (topic, partition,
+    committed_offset) with nulls for partitions without one; those are treated
+    as in `start_offsets`, in the same single pass."""
+    name = "start_offset" if "start_offset" in offsets.columns else "committed_offset"
+    entry = F.struct(F.col("partition").cast("string").alias("k"), F.col(name).alias("v"))
+    per_topic = offsets.groupBy("topic").agg(F.array_sort(F.collect_list(entry)).alias("offsets"))
+    topics = per_topic.agg(F.array_sort(F.collect_list(F.struct("topic", "offsets"))).alias("topics"))
+    lost = F.exists("topics", lambda t: F.exists(t["offsets"], lambda e: e["v"].isNull()))
+    zero = F.lit(0).cast("bigint")
+
+    def start(e):
+        found = F.coalesce(e["v"], zero)
+        return F.struct(e["k"], F.when(lost, zero).otherwise(found) if all_or_nothing else found)
+
+    whole = F.transform("topics", lambda t: F.struct(
+        t["topic"], F.map_from_entries(F.transform(t["offsets"], start))))
+    return topics.select(F.to_json(F.map_from_entries(whole)).alias("starting_offsets"))

@@ -25,9 +25,8 @@ from logtide.operators import counters as C
 from logtide.operators import offsets as O
 from logtide.operators import routing as R
 from logtide.operators import uniques as U
-from logtide.plans.shaping import fan_out
 from logtide.session import scratch_path
-from logtide.sources.messages import as_messages, events_as_messages, read_text_lines
+from logtide.sources.messages import as_messages, read_text_lines
 from logtide.sources.tables import csv_lines, load_table, mixed_lines, startup_lines
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
@@ -56,12 +55,10 @@ def _prepare(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
-def _events(spark: SparkSession, sf: str, cols=None, fan: bool = False) -> DataFrame:
-    """The events scan; `fan` spreads a single-split scan over the cluster's
-    cores before CPU-heavy per-row work (JSON encode/decode)."""
+def _events(spark: SparkSession, sf: str, cols=None) -> DataFrame:
+    """The events scan."""
     _prepare(spark)
-    df = load_table(spark, sf, "events", cols)
-    return fan_out(df) if fan else df
+    return load_table(spark, sf, "events", cols)
 
 
 def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
@@ -108,14 +105,14 @@ _MESSAGES = (
 SELECT strftime(ts, '%Y-%m-%d') || '_' || {_CITY} AS row_key, count(*) AS click_count
 FROM events WHERE event_type <> 'error' GROUP BY 1""")
 def city_click_counter(spark, sf):
-    return C.city_click_counts(_lines(startup_lines(_events(spark, sf, fan=True))), C.DATE_CITY)
+    return C.city_click_counts(_lines(startup_lines(_events(spark, sf))), C.DATE_CITY)
 
 
 @register("city_click_counter_v2", f"""
 SELECT {_CITY} || strftime(ts, '%Y-%m-%d') AS row_key, count(*) AS click_count
 FROM events WHERE event_type <> 'error' GROUP BY 1""")
 def city_click_counter_v2(spark, sf):
-    return C.city_click_counts(_lines(startup_lines(_events(spark, sf, fan=True))), C.CITY_DATE)
+    return C.city_click_counts(_lines(startup_lines(_events(spark, sf))), C.CITY_DATE)
 
 
 # ---- routing / validation / decode (FLT-*, PRJ-1/2/5/6) ---------------------------
@@ -123,13 +120,13 @@ def city_click_counter_v2(spark, sf):
 @register("log_type_counts", f"""
 SELECT {_KIND} AS log_kind, count(*) AS n FROM events GROUP BY 1""")
 def log_type_counts(spark, sf):
-    return R.route_counts(R.parse_logs(_lines(mixed_lines(_events(spark, sf, fan=True)))))
+    return R.route_counts(R.parse_logs(_lines(mixed_lines(_events(spark, sf)))))
 
 
 @register("log_type_filter", f"""
 SELECT cast(user_id AS VARCHAR) AS userId, {_KIND} AS log_kind FROM events""")
 def log_type_filter(spark, sf):
-    ev = _events(spark, sf, fan=True)
+    ev = _events(spark, sf)
     lines = _lines(mixed_lines(ev)).unionByName(_lines(csv_lines(ev)))
     return R.parse_logs(R.keep_log_lines(lines)).select("userId", "log_kind")
 
@@ -138,7 +135,7 @@ def log_type_filter(spark, sf):
 SELECT cast(user_id AS VARCHAR) AS userId, {_KIND} AS log_kind, {_MS} AS event_ms
 FROM events WHERE event_type <> 'signup'""")
 def startup_valid(spark, sf):
-    parsed = R.parse_logs(R.keep_log_lines(_lines(mixed_lines(_events(spark, sf, fan=True)))))
+    parsed = R.parse_logs(R.keep_log_lines(_lines(mixed_lines(_events(spark, sf)))))
     return R.keep_valid(parsed).select(
         "userId", "log_kind", F.coalesce("startTimeInMs", "createTimeInMs").alias("event_ms"))
 
@@ -147,7 +144,7 @@ def startup_valid(spark, sf):
 SELECT cast(user_id AS VARCHAR) AS userId, {_MS} AS event_ms
 FROM events WHERE event_type IN ('purchase', 'click')""")
 def city_line_filter(spark, sf):
-    parsed = R.parse_logs(R.keep_city_lines(_lines(mixed_lines(_events(spark, sf, fan=True)))))
+    parsed = R.parse_logs(R.keep_city_lines(_lines(mixed_lines(_events(spark, sf)))))
     return parsed.select("userId", F.coalesce("startTimeInMs", "createTimeInMs").alias("event_ms"))
 
 
@@ -160,7 +157,7 @@ SELECT cast(user_id AS VARCHAR) AS userId, 'app' || (user_id % 3) AS appId,
        date_trunc('millisecond', ts) AS start_ts
 FROM events""")
 def startup_decode(spark, sf):
-    parsed = R.parse_logs(_lines(startup_lines(_events(spark, sf, fan=True))))
+    parsed = R.parse_logs(_lines(startup_lines(_events(spark, sf))))
     return parsed.where(F.col("log_kind") == "startup").select(
         "userId", "appId", "appPlatform", "appVersion", "startTimeInMs", "activeTimeInMs", "city",
         D.from_ms("startTimeInMs").cast("timestamp_ntz").alias("start_ts"))
@@ -175,7 +172,7 @@ UNION ALL
 SELECT 'missing_city' AS reason, count(*) AS n FROM events WHERE event_type = 'signup'""")
 def log_rejects(spark, sf):
     """The reject view over JSON logs mixed with CSV lines: reason, count."""
-    ev = _events(spark, sf, fan=True)
+    ev = _events(spark, sf)
     lines = _lines(mixed_lines(ev)).unionByName(_lines(csv_lines(ev)))
     return R.rejected_logs(R.parse_logs(lines)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
@@ -188,7 +185,7 @@ SELECT cast(user_id AS VARCHAR) AS userId, 'app' || (user_id % 3) AS appId,
 FROM events WHERE event_type = 'view'""")
 def page_views(spark, sf):
     """Typed page-visit view of the routed logs."""
-    parsed = R.parse_logs(_lines(mixed_lines(_events(spark, sf, fan=True))))
+    parsed = R.parse_logs(_lines(mixed_lines(_events(spark, sf))))
     return R.page_logs(parsed).select("userId", "appId", "pageViewCntInSession", "currentPage", "pageVisitIndex",
                                       "nextPage", "stayDurationInSecs", "createTimeInMs")
 
@@ -199,7 +196,7 @@ SELECT cast(user_id AS VARCHAR) AS userId, CASE WHEN user_id % 2 = 0 THEN 'andro
 FROM events WHERE event_type = 'error'""")
 def error_views(spark, sf):
     """Typed error view of the routed logs."""
-    parsed = R.parse_logs(_lines(mixed_lines(_events(spark, sf, fan=True))))
+    parsed = R.parse_logs(_lines(mixed_lines(_events(spark, sf))))
     return R.error_logs(parsed).select("userId", "appPlatform", "errorMajor", "errorInDetail", "createTimeInMs")
 
 
@@ -227,7 +224,7 @@ SELECT 'app-log' AS topic, cast(event_id % 3 AS INTEGER) AS "partition",
        {_STARTUP_JSON} AS value
 FROM events""")
 def message_envelope(spark, sf):
-    msgs = events_as_messages(_events(spark, sf, fan=True), startup_lines, APP_TOPIC, KAFKA_PARTITIONS)
+    msgs = as_messages(startup_lines(_events(spark, sf)), APP_TOPIC, KAFKA_PARTITIONS)
     return msgs.select("topic", "partition", "offset", "value")
 
 
@@ -258,11 +255,24 @@ t AS (SELECT topic, '"' || topic || '":{{' || string_agg('"' || cast("partition"
              ORDER BY cast("partition" AS VARCHAR)) || '}}' AS body FROM s GROUP BY topic)
 SELECT '{{' || string_agg(body, ',' ORDER BY topic) || '}}' AS starting_offsets FROM t""")
 def start_offsets_json(spark, sf):
-    # one pass over the messages: the per-batch ranges table is small (batches x
-    # partitions); the ledger and the partition list both come from it
-    ranges = O.offset_ranges(_app_messages(spark, sf), "batch")
-    ledger = ranges.where(F.col("batch") < LEDGER_CUTOFF)
-    return O.start_offsets_json(O.start_offsets(ranges, ledger))
+    # one scan, one grouped pass: per partition the offset after the last committed message
+    return O.start_offsets_json(O.committed_of(_app_messages(spark, sf), F.col("batch") < LEDGER_CUTOFF))
+
+
+@register("start_offsets_json_missing", f"""
+WITH m AS ({_MESSAGES}),
+c AS (SELECT "partition", max(CASE WHEN batch < '{LEDGER_CUTOFF}' AND "partition" <> 2 THEN "offset" + 1 END) AS c
+      FROM m GROUP BY 1)
+SELECT m.all_or_nothing,
+       '{{"app-log":{{' || string_agg('"' || cast("partition" AS VARCHAR) || '":' ||
+           cast(CASE WHEN m.all_or_nothing THEN 0 ELSE coalesce(c, 0) END AS VARCHAR), ',' ORDER BY "partition") || '}}}}' AS starting_offsets
+FROM c, (VALUES (true), (false)) m(all_or_nothing) GROUP BY 1""")
+def start_offsets_json_missing(spark, sf):
+    """Partition 2 has committed nothing: the all-or-nothing lookup and the per-partition form."""
+    done = O.committed_of(_app_messages(spark, sf), (F.col("batch") < LEDGER_CUTOFF) & (F.col("partition") != 2))
+    forms = [O.start_offsets_json(done, all_or_nothing=x).select(F.lit(x).alias("all_or_nothing"), "starting_offsets")
+             for x in (True, False)]
+    return forms[0].unionByName(forms[1])
 
 
 # ---- string keys and paths (SCL-1..4) ---------------------------------------------
@@ -399,12 +409,12 @@ SELECT 'month' AS bucket, count(*) AS n FROM lineitem WHERE date_trunc('month',
 def shipments_in_ranges(spark, sf):
     """Rows in the day / Sunday-week / month of a date, as literal ranges that
     reach the Parquet scan (PushedFilters), not as bucket functions per row."""
-    li = _lineitem(spark, sf)
-    parts = [li.where(pred).agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("bucket"), "n")
-             for name, pred in (("day", D.in_day("l_shipdate", RANGE_DAY, ntz=True)),
-                                ("week", D.in_week("l_shipdate", RANGE_DAY, ntz=True)),
-                                ("month", D.in_month("l_shipdate", RANGE_DAY, ntz=True)))]
-    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+    preds = {"day": D.in_day("l_shipdate", RANGE_DAY, ntz=True), "week": D.in_week("l_shipdate", RANGE_DAY, ntz=True),
+             "month": D.in_month("l_shipdate", RANGE_DAY, ntz=True)}
+    # one scan of the covering range (a week can reach over the month's end)
+    li = _lineitem(spark, sf).where(preds["month"] | preds["week"])
+    counts = li.agg(*[F.count_if(pred).alias(name) for name, pred in preds.items()])
+    return counts.select(F.inline(F.array(*[F.struct(F.lit(name).alias("bucket"), F.col(name).alias("n")) for name in preds])))
 
 
 # ---- now-relative forms (UDF-D1/2, W1/2, M1/2): invariants per offset ---------------
@@ -495,7 +505,7 @@ for _name, _bucket, _out, _sql in [
     ("clicks_by_month", lambda: D.month_begin("start_ts"), "month_begin_ms", "date_trunc('month', ts)"),
 ]:
     def _q(spark, sf, _bucket=_bucket, _out=_out):
-        return C.clicks_by(_lines(startup_lines(_events(spark, sf, fan=True))), _bucket(), _out)
+        return C.clicks_by(_lines(startup_lines(_events(spark, sf))), _bucket(), _out)
     register(_name, f"SELECT epoch_ms(({_sql})::TIMESTAMP) AS {_out}, count(*) AS clicks "
                     f"FROM events WHERE event_type <> 'error' GROUP BY 1")(_q)
 
@@ -504,7 +514,7 @@ for _name, _bucket, _out, _sql in [
 
 def _user_hours(spark, sf) -> DataFrame:
     ev = _events(spark, sf)
-    msgs = as_messages(csv_lines(ev), CSV_TOPIC, KAFKA_PARTITIONS, with_offsets=False)
+    msgs = as_messages(csv_lines(ev), CSV_TOPIC, KAFKA_PARTITIONS)
     return U.user_hours(msgs)
 
 
@@ -516,20 +526,27 @@ def hourly_uv_exact(spark, sf):
     return U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(F.count(F.lit(1)).alias("uv"))
 
 
-@register("hourly_uv_approx", "SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT user_id) AS uv, true AS ok FROM events GROUP BY 1")
+_HOURLY_OK = "SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT user_id) AS uv, true AS ok FROM events GROUP BY 1"
+
+
+def _checked(estimates: DataFrame, uh: DataFrame) -> DataFrame:
+    """(hour_key, uv, ok): estimates (hour_key, est) made from the raw rows, against an exact count in its own branch."""
+    exact = U.distinct_users(uh).groupBy("hour_key").agg(F.count(F.lit(1)).alias("uv"))
+    return estimates.join(exact, "hour_key").select(
+        "hour_key", "uv", U.within_bound(F.col("est"), F.col("uv")).alias("ok"))
+
+
+@register("hourly_uv_approx", _HOURLY_OK)
 def hourly_uv_approx(spark, sf):
-    agg = U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(
-        F.count(F.lit(1)).alias("uv"),
-        F.approx_count_distinct("user_id", 0.01).alias("est"))   # rsd 0.01 -> 2^14 registers
-    return agg.select("hour_key", "uv", U.within_bound(F.col("est"), F.col("uv")).alias("ok"))
+    uh = _user_hours(spark, sf)
+    est = uh.groupBy("hour_key").agg(F.approx_count_distinct("user_id", 0.01).alias("est"))   # rsd 0.01 -> 2^14 registers
+    return _checked(est, uh)
 
 
-@register("hourly_uv_hll", "SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT user_id) AS uv, true AS ok FROM events GROUP BY 1")
+@register("hourly_uv_hll", _HOURLY_OK)
 def hourly_uv_hll(spark, sf):
-    agg = U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(
-        F.count(F.lit(1)).alias("uv"),
-        F.hll_sketch_estimate(F.hll_sketch_agg("user_id", U.HLL_LG_K)).alias("est"))
-    return agg.select("hour_key", "uv", U.within_bound(F.col("est"), F.col("uv")).alias("ok"))
+    uh = _user_hours(spark, sf)
+    return _checked(U.sketch_estimates(U.hourly_sketches(uh)).withColumnRenamed("uv_est", "est"), uh)
 
 
 @register("daily_uv_merged", "SELECT strftime(ts, '%Y%m%d') AS day, count(DISTINCT user_id) AS uv, true AS ok FROM events GROUP BY 1")
@@ -549,14 +566,11 @@ WITH h AS (SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, count(DISTINCT user_id)
 SELECT hour_key, uv, true AS ok FROM h
 WHERE lw + 86400000 > (SELECT max(epoch_us(ts) // 1000) FROM events)""")
 def hourly_uv_retained(spark, sf):
-    agg = U.distinct_users(_user_hours(spark, sf)).groupBy("hour_key").agg(
-        F.hll_sketch_agg("user_id", U.HLL_LG_K).alias("sketch"),
-        F.max("write_ts").alias("last_write"),
-        F.count(F.lit(1)).alias("uv"))
-    as_of = agg.select(F.max("last_write")).scalar()
-    kept = U.retained(agg, as_of, "1 day")
-    return kept.select("hour_key", "uv",
-                       U.within_bound(F.hll_sketch_estimate("sketch"), F.col("uv")).alias("ok"))
+    uh = _user_hours(spark, sf)
+    sketches = U.hourly_sketches(uh)
+    as_of = uh.select(F.max("write_ts")).scalar()
+    kept = U.sketch_estimates(U.retained(sketches, as_of, "1 day")).withColumnRenamed("uv_est", "est")
+    return _checked(kept, uh)
 
 
 # ---- archive (SNK-5/7) -------------------------------------------------------------
@@ -564,8 +578,8 @@ def hourly_uv_retained(spark, sf):
 @register("archive_load", f"""
 SELECT strftime(ts, '%Y%m%d') AS dt, {_KIND} AS log_kind, count(*) AS n FROM events GROUP BY ALL""")
 def archive_load(spark, sf):
-    ev = _events(spark, sf, fan=True)
-    msgs = as_messages(mixed_lines(ev), APP_TOPIC, KAFKA_PARTITIONS, with_offsets=False)
+    ev = _events(spark, sf)
+    msgs = as_messages(mixed_lines(ev), APP_TOPIC, KAFKA_PARTITIONS)
     archive = scratch_path(spark, "archive")
     A.write_archive(msgs, archive)
     table = A.load_archive(spark, archive, scratch_path(spark, "archive_table"))

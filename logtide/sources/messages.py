@@ -6,92 +6,34 @@ A Kafka record reaches a Spark query as
 topic, used by tests, the bench and the file-source streams); `kafka_options`
 builds the options for the real connector. The connector jar is not shipped
 with this PySpark, so `read_kafka` is exercised only through its options.
-
-Offsets are dense per partition, in message-id order, and computed without a
-single-partition window: ids are cut into fixed-width blocks, block sizes are
-counted (one row per block), an exclusive running sum over the block table
-gives each block's first offset, and a window bounded by one block numbers the
-rows inside it. No task ever sees more than one block of one partition.
 """
 
 from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logtide.functions.dates import ntz_to_ms
 
-DEFAULT_BLOCK_WIDTH = 1 << 20  # ids per offset block: bounds one window group
-
-
-def dense_offsets(df: DataFrame, partition_col: str, order_col: str,
-                  block_width: int = DEFAULT_BLOCK_WIDTH, out: str = "offset",
-                  sizes_from: DataFrame | None = None) -> DataFrame:
-    """Add `out` = 0-based rank of each row within `partition_col`, ordered by the
-    unique integer `order_col`. Work is split into id blocks of `block_width`.
-
-    `sizes_from`: a narrower frame with the same (partition, id) rows to count
-    block sizes from, so the counting pass does not recompute wide columns.
-
-    Sizing: a block holds at most `block_width` rows (ids are unique), and the
-    block table has (id span / block_width) rows per partition. Message ids are
-    dense (offsets, sequence numbers), which keeps both small; for sparse ids
-    (e.g. hashes) raise `block_width` towards span / rows so blocks stay full."""
-    blk = F.floor(F.col(order_col) / F.lit(block_width))
-    blocked = df.withColumn("_blk", blk)
-    counted = (sizes_from if sizes_from is not None else df).select(partition_col, blk.alias("_blk"))
-    sizes = counted.groupBy(partition_col, "_blk").agg(F.count(F.lit(1)).alias("_n"))
-    # Running sum over the block table: one row per (partition, block), i.e.
-    # rows / 2^20 per partition (a million rows for a trillion messages), so its
-    # groups stay small even when one partition holds most of the data.
-    before = Window.partitionBy(partition_col).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(partition_col, "_blk",
-                          F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
-    within = Window.partitionBy(partition_col, "_blk").orderBy(order_col)
-    return (blocked.join(starts, [partition_col, "_blk"])
-            .withColumn(out, (F.col("_base") + F.row_number().over(within) - 1).cast("bigint"))
-            .drop("_blk", "_base"))
-
 
 def as_messages(lines: DataFrame, topic: str, partitions: int = 3, id_col: str = "event_id",
-                ts_col: str = "ts", key: Column | None = None, with_offsets: bool = True,
-                block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
-    """Envelope (topic, partition, offset, timestamp, key, value) of a line table.
+                ts_col: str = "ts", key: Column | None = None, offset: Column | None = None) -> DataFrame:
+    """Envelope (topic, partition, offset, timestamp, key, value) of a line table: a projection.
 
-    partition = id mod `partitions`; timestamp = the NTZ wall clock read as UTC.
+    partition = id mod `partitions`; `offset` defaults to id div `partitions`,
+    which numbers dense ids densely; timestamp = the NTZ wall clock read as UTC.
+    A row with a null id keeps its line, with null partition and offset.
     """
-    env = lines.select(
+    ident = F.col(id_col).cast("bigint")
+    return lines.select(
         F.lit(topic).alias("topic"),
-        F.pmod(F.col(id_col), F.lit(partitions)).cast("int").alias("partition"),
-        F.col(id_col).alias("_id"),
+        F.pmod(ident, F.lit(partitions)).cast("int").alias("partition"),
+        (offset if offset is not None else F.floor(ident / F.lit(partitions))).cast("bigint").alias("offset"),
         F.timestamp_millis(ntz_to_ms(ts_col)).alias("timestamp"),
         (key if key is not None else F.lit(None).cast("string")).alias("key"),
-        F.col("value").cast("string").alias("value"),
-    )
-    if with_offsets:
-        env = dense_offsets(env, "partition", "_id", block_width)
-    else:
-        env = env.withColumn("offset", F.col("_id").cast("bigint"))
-    return env.select("topic", "partition", "offset", "timestamp", "key", "value")
-
-
-def events_as_messages(events: DataFrame, adapter, topic: str, partitions: int = 3,
-                       id_col: str = "event_id", ts_col: str = "ts",
-                       block_width: int = DEFAULT_BLOCK_WIDTH) -> DataFrame:
-    """Envelope of `adapter(events)` lines with dense offsets, encoding each line once.
-
-    The block-size pass counts the narrow event rows; the adapter
-    (`adapter(df, keep=...)`, e.g. `startup_lines`) encodes each row exactly
-    once, before the shuffle that numbers rows within blocks.
-    """
-    keyed = events.withColumn("partition", F.pmod(F.col(id_col), F.lit(partitions)).cast("int"))
-    lines = adapter(keyed, keep=("partition",))
-    lines = dense_offsets(lines, "partition", id_col, block_width, sizes_from=keyed)
-    return lines.select(F.lit(topic).alias("topic"), "partition", "offset",
-                        F.timestamp_millis(ntz_to_ms(ts_col)).alias("timestamp"),
-                        F.lit(None).cast("string").alias("key"), "value")
+        F.col("value").cast("string").alias("value"))
 
 
 def read_text_lines(spark: SparkSession, path: str, line_sep: str | None = None) -> DataFrame:
@@ -125,7 +67,7 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
                   starting_offsets: dict[str, dict[str, int]] | str = "earliest",
                   max_rate_per_partition: int | None = None, batch_seconds: float | None = None,
                   partitions: int | None = None, group_id: str | None = None,
-                  extra: dict | None = None) -> dict[str, str]:
+                  fail_on_data_loss: bool = True, extra: dict | None = None) -> dict[str, str]:
     """Options for ``spark.readStream.format("kafka")``.
 
     * `topics` -> subscribe; `assign` -> explicit partitions.
@@ -135,10 +77,12 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
       a total over all partitions per trigger: rate x interval x partitions.
     * Offsets are tracked in the query checkpoint, so no auto-commit; `group_id`
       only names the consumer group (``kafka.group.id``), e.g. for broker ACLs.
+    * Offsets that have aged out of the topic fail the query; `fail_on_data_loss=False`
+      skips over them.
     """
     if (topics is None) == (assign is None):
         raise ValueError("give exactly one of topics / assign")
-    opts = {"kafka.bootstrap.servers": bootstrap, "failOnDataLoss": "false"}
+    opts = {"kafka.bootstrap.servers": bootstrap, "failOnDataLoss": str(fail_on_data_loss).lower()}
     if topics is not None:
         opts["subscribe"] = ",".join(topics)
     else:

