@@ -7,10 +7,15 @@ Here the archive is a partitioned text table: partition columns ``ym``,
 folders ``ym=202401/dd=05/hhmm=1020/part-*.txt``. Every writer adds new part
 files, so reruns and concurrent batches never rewrite a file.
 
-No shuffle before the write: each task sorts its own rows by minute folder and
-writes one file per folder it holds. Hash-partitioning by minute would put a
-hot minute (a third of the rows, say) into one task; message order is roughly
-time order, so a task's rows already span few minutes.
+Before the write the rows are rebalanced by minute folder: a minute's rows meet
+in one file, small minutes share a task, and a hot minute (a third of the rows,
+say) is split over several, all by the sizes that the shuffle measured.
+
+A folder that a stream writes is committed through the file sink's log
+(`_spark_metadata`), so it is always read by its root, where that log replaces
+the listing and hides files of attempts that never committed; batch writes into
+such a folder are refused, since the log would hide them.
+
 `load_archive` reads the folders back (partition values kept as text), parses
 the lines and overwrites only the days it loaded (dynamic partition overwrite).
 """
@@ -26,6 +31,12 @@ from logtide.operators.routing import parse_logs
 MINUTE_COLUMNS = ("ym", "dd", "hhmm")
 MINUTE_DIR_COLUMNS = ("ym", "dd", "hh", "mm")
 LINE_SEP = "\r\n"
+STREAM_LOG = "_spark_metadata"     # folder of the streaming file sink's commit log
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
 def archive_columns(df: DataFrame, ts_col: str = "timestamp", minute_as_dir: bool = False) -> DataFrame:
@@ -41,27 +52,34 @@ def write_archive(df: DataFrame, path: str, line_col: str = "value", ts_col: str
                   minute_as_dir: bool = False) -> None:
     """Append raw lines to the minute-folder archive (CRLF line ends)."""
     parts = list(MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS)
+    if _exists(df.sparkSession, f"{path.rstrip('/')}/{STREAM_LOG}"):
+        raise ValueError(f"{path} is written by a stream; its log would hide a batch write")
     rows = archive_columns(df, ts_col, minute_as_dir).select(F.col(line_col).alias("value"), *parts)
-    (rows.sortWithinPartitions(*parts)
+    (rows.hint("rebalance", *parts).sortWithinPartitions(*parts)
      .write.mode("append").partitionBy(*parts).option("lineSep", LINE_SEP).text(path))
 
 
 def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
                  day: str | list[str] | None = None) -> DataFrame:
-    """(value, ym, dd, hhmm | hh, mm) with partition values as text; CR stripped.
+    """(value, ym, dd, hhmm | hh, mm) with partition values as text, one row per archived message.
 
-    `day` (yyyyMMdd, or a list of them) reads only those days' folders, so
-    listing touches their minute folders instead of the whole archive history."""
+    `day` (yyyyMMdd, or a list of them) reads only those days: of a batch archive
+    their folders, so listing touches no other, of a streamed one the files its
+    log names for them. Days without a folder have no rows."""
     parts = MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS
     schema = T.StructType([T.StructField("value", T.StringType())]
                           + [T.StructField(p, T.StringType()) for p in parts])
-    # default line splitting handles \r\n, \r and \n
-    reader = spark.read.schema(schema)
+    reader = spark.read.schema(schema).option("lineSep", LINE_SEP)
     if day is None:
         return reader.text(path)
-    days = [day] if isinstance(day, str) else list(day)
+    days = sorted({day} if isinstance(day, str) else set(day))
     root = path.rstrip("/")
-    return reader.option("basePath", path).text([f"{root}/ym={d[:6]}/dd={d[6:8]}" for d in days])
+    if _exists(spark, f"{root}/{STREAM_LOG}"):
+        return reader.text(path).where(F.concat("ym", "dd").isin(days))
+    folders = [f for f in (f"{root}/ym={d[:6]}/dd={d[6:8]}" for d in days) if _exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return reader.option("basePath", path).text(folders)
 
 
 def load_archive(spark: SparkSession, archive: str, table: str, minute_as_dir: bool = False,
@@ -74,7 +92,7 @@ def load_archive(spark: SparkSession, archive: str, table: str, minute_as_dir: b
     lines = read_archive(spark, archive, minute_as_dir, day)
     parsed = parse_logs(lines.withColumn("dt", F.concat("ym", "dd")), "value")
     out = parsed.drop(*(MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS))
-    (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    (out.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dt").parquet(table))
     # read back with the written schema so `dt` stays text (no type inference)
     return spark.read.schema(out.schema).parquet(table)

@@ -63,3 +63,26 @@ def test_load_several_days(spark, scratch):
     out = A.load_archive(spark, path, table, day=["20240101", "20240102"])
     assert {r.dt: r.n for r in out.groupBy("dt").agg(F.count(F.lit(1)).alias("n")).collect()} == \
         {"20240101": 6, "20240102": 6}
+
+
+def test_messages_with_line_breaks_and_missing_days(spark, scratch):
+    path = scratch("archive")
+    rows = spark.createDataFrame([("a\nb",), ("c\rd",), ("",)], "value string") \
+        .withColumn("timestamp", F.lit("2024-01-01 10:20:00").cast("timestamp"))
+    A.write_archive(rows, path)
+    A.write_archive(rows, path)                                   # the same minute again: appended
+    assert sorted(r.value for r in A.read_archive(spark, path).collect()) == ["", "", "a\nb", "a\nb", "c\rd", "c\rd"]
+    assert A.read_archive(spark, path, day=["20240101", "20240102"]).count() == 6
+    assert A.read_archive(spark, path, day="20240103").count() == 0
+
+
+def test_few_files_per_minute(spark, scratch):
+    """Shuffled input with a hot minute: files follow the rows' sizes, not tasks times minutes."""
+    path = scratch("archive")
+    rows = spark.range(0, 20000, numPartitions=16).select(
+        F.concat(F.lit("line "), "id").alias("value"),
+        F.timestamp_seconds(F.lit(1704103200) + F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 30) * 60).alias("timestamp"))
+    A.write_archive(rows, path)
+    files = glob.glob(_local(path) + "/*/*/*/*.txt")
+    assert len({os.path.dirname(f) for f in files}) == 21 and len(files) <= 32
+    assert A.read_archive(spark, path).count() == 20000
