@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from logtide.schemas import ERROR_MARKER, PAGE_MARKER, STARTUP_MARKER, WIDE_PARSE_SCHEMA
 
@@ -44,7 +45,9 @@ def csv_field(line="value", index: int = 0, limit: int = CSV_SPLIT_LIMIT) -> Col
     return F.get(F.split(_col(line), ",", limit), index)
 
 
-def decode_json(line="value") -> Column:
-    """One-pass decode of any log kind into the wide struct (PERMISSIVE mode:
-    malformed text gives a struct whose `_corrupt_record` holds the line)."""
-    return F.from_json(_col(line), WIDE_PARSE_SCHEMA, {"mode": "PERMISSIVE"})
+def decode_json(line="value", fields: tuple[str, ...] | None = None) -> Column:
+    """One-pass decode of any log kind into the wide struct, or into `fields` of it
+    (PERMISSIVE mode: malformed text gives a struct whose `_corrupt_record` holds the line)."""
+    schema = WIDE_PARSE_SCHEMA if fields is None else StructType(
+        [f for f in WIDE_PARSE_SCHEMA.fields if f.name in fields or f.name == "_corrupt_record"])
+    return F.from_json(_col(line), schema, {"mode": "PERMISSIVE"})

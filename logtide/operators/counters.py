@@ -35,24 +35,39 @@ def click_row_key(layout: str = DATE_CITY) -> Column:
 # Countable rows, per layout (SQL over parse_logs output):
 #  date-first job: passed the type filter and the required-field validation,
 #                  is a startup log, and has a start time
-#  city-first job: (after the 'city' substring filter) a well-formed startup
-#                  log with a city and a start time; no other validation
+#  city-first job: (after the 'city' substring filter) any well-formed line with
+#                  a city and a start time, marker or not, except page and error
+#                  logs; no other validation
 _COUNTABLE_SQL = {
     DATE_CITY: "reject_reason IS NULL AND log_kind = 'startup' AND startTimeInMs IS NOT NULL",
-    CITY_DATE: "log_kind = 'startup' AND NOT malformed AND city IS NOT NULL AND startTimeInMs IS NOT NULL",
+    CITY_DATE: "coalesce(log_kind, 'startup') = 'startup' AND NOT malformed AND city IS NOT NULL "
+               "AND startTimeInMs IS NOT NULL",
 }
+_COUNTED_FIELDS = ("city", "userId", "appId", "startTimeInMs")
+_COUNTED_KINDS = {DATE_CITY: ("startup",), CITY_DATE: ("startup", None)}
+
+
+def _stage(lines: DataFrame, layout: str, line_col: str) -> DataFrame:
+    """Parsed lines of a layout, only what the count reads."""
+    return parse_logs(lines, line_col, _COUNTED_FIELDS, _COUNTED_KINDS[layout])
 
 
 def click_events(lines: DataFrame, layout: str = DATE_CITY, line_col: str = "value") -> DataFrame:
     """Countable startup rows with their `start_ts` and `row_key` (one row per click)."""
-    if layout == DATE_CITY:
-        staged = keep_log_lines(lines, line_col)
-    else:
-        staged = keep_city_lines(lines, line_col)
-    parsed = parse_logs(staged, line_col)
-    return (parsed.where(_COUNTABLE_SQL[layout])
+    row_key = _row_key_sql(layout)
+    staged = keep_log_lines(lines, line_col) if layout == DATE_CITY else keep_city_lines(lines, line_col)
+    return (_stage(staged, layout, line_col).where(_COUNTABLE_SQL[layout])
+            .selectExpr("*", "timestamp_millis(startTimeInMs) AS start_ts")
+            .selectExpr("*", f"{row_key} AS row_key"))
+
+
+def click_keys(lines: DataFrame, layout: str = DATE_CITY, line_col: str = "value") -> DataFrame:
+    """Every line with its `row_key`, null where the line is not countable (a stream
+    needs those too: their offsets are consumed)."""
+    counted = _COUNTABLE_SQL[layout] + (f" AND contains(`{line_col}`, 'city')" if layout == CITY_DATE else "")
+    return (_stage(lines, layout, line_col)
             .selectExpr("*", "timestamp_millis(startTimeInMs) AS start_ts")
-            .selectExpr("*", f"{_row_key_sql(layout)} AS row_key"))
+            .selectExpr("*", f"CASE WHEN {counted} THEN {_row_key_sql(layout)} END AS row_key"))
 
 
 def city_click_counts(lines: DataFrame, layout: str = DATE_CITY, line_col: str = "value") -> DataFrame:

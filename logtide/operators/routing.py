@@ -56,24 +56,37 @@ def _field_sql(name: str) -> str:
     return f"{conv} AS {name}"
 
 
-_FIELDS_SQL = [_field_sql(n) for n in _FIELD_NAMES]
-_MALFORMED_SQL = "(log_kind IS NOT NULL AND (_j IS NULL OR _j._corrupt_record IS NOT NULL))"
-_REASON_SQL = (
-    "CASE WHEN log_kind IS NULL THEN 'no_marker' "
-    f"WHEN log_kind = 'startup' AND {_MALFORMED_SQL} THEN 'malformed' "
-    "WHEN log_kind = 'startup' AND _j.city IS NULL THEN 'missing_city' "
-    "WHEN log_kind = 'startup' AND _j.userId IS NULL THEN 'missing_user' "
-    "WHEN log_kind = 'startup' AND _j.appId IS NULL THEN 'missing_app' END AS reject_reason")
-
-
-def parse_logs(lines: DataFrame, line_col: str = "value") -> DataFrame:
-    """Decode raw lines once: kind, bean fields, malformed flag and reject reason (see module doc)."""
+_MALFORMED_SQL = "({decoded} AND (_j IS NULL OR _j._corrupt_record IS NOT NULL))"
+
+
+def _reason_sql(malformed: str, fields: tuple[str, ...]) -> str:
+    checks = "".join(f"WHEN log_kind = 'startup' AND _j.{name} IS NULL THEN '{reason}' "
+                     for name, reason in (("city", "missing_city"), ("userId", "missing_user"), ("appId", "missing_app"))
+                     if name in fields)
+    return ("CASE WHEN log_kind IS NULL THEN 'no_marker' "
+            f"WHEN log_kind = 'startup' AND {malformed} THEN 'malformed' {checks}END AS reject_reason")
+
+
+def parse_logs(lines: DataFrame, line_col: str = "value", fields: tuple[str, ...] | None = None,
+               kinds: tuple[str | None, ...] = ("startup", "error", "page")) -> DataFrame:
+    """Decode raw lines once: kind, bean fields, malformed flag and reject reason (see module doc).
+
+    `fields` decodes only these bean fields (required-field reasons cover those
+    among them), `kinds` only lines of these kinds (None: lines without a marker);
+    the rest of the line or of the lines costs no parsing."""
+    names = tuple(_FIELD_NAMES if fields is None else [n for n in _FIELD_NAMES if n in fields])
     kind = log_kind(line_col)
+    wanted = kind.isin([k for k in kinds if k is not None])
+    wanted = F.coalesce(wanted, F.lit(None in kinds))
     # decode once per row: later filters on fields must not re-run from_json
     decoded = with_columns_once(lines, log_kind=kind,
-                                _j=F.when(kind.isNotNull(), decode_json(line_col)))
+                                _j=F.when(wanted, decode_json(line_col, None if fields is None else names)))
+    listed = ", ".join(f"'{k}'" for k in kinds if k is not None)
+    malformed = _MALFORMED_SQL.format(
+        decoded=f"(coalesce(log_kind IN ({listed}), {str(None in kinds).lower()}))")
     keep = [f"`{c}`" for c in lines.columns]
-    return decoded.selectExpr(*keep, "log_kind", *_FIELDS_SQL, f"{_MALFORMED_SQL} AS malformed", _REASON_SQL)
+    return decoded.selectExpr(*keep, "log_kind", *[_field_sql(n) for n in names], f"{malformed} AS malformed",
+                              _reason_sql(malformed, names))
 
 
 def keep_valid(parsed: DataFrame) -> DataFrame:

@@ -132,3 +132,17 @@ def test_decode_matches_python_json(spark, records):
         assert row.startTimeInMs == rec["startTimeInMs"]
         assert row.activeTimeInMs == rec.get("activeTimeInMs")
         assert (row.reject_reason is None) == (rec["city"] is not None)
+
+
+def test_city_first_counts_lines_without_a_marker(spark):
+    from logtide.operators import counters as C
+    lines = spark.createDataFrame([
+        ('{"userId":"u","appId":"a","city":"c","startTimeInMs":1704103200000}',),            # no marker: counted
+        ('{"appVersion":"1","city":"c","startTimeInMs":1704103200000}',),
+        ('{"errorMajor":"E","city":"c","startTimeInMs":1704103200000}',),                    # error and page logs: not
+        ('{"currentPage":"p","city":"c","startTimeInMs":1704103200000}',),
+        ('{"city":"c"}',), ('city {broken',), (None,)], "value string")
+    assert [tuple(r) for r in C.city_click_counts(lines, C.CITY_DATE).collect()] == [("c2024-01-01", 2)]
+    keyed = C.click_keys(lines, C.CITY_DATE)
+    assert keyed.count() == 7 and keyed.where("row_key IS NOT NULL").count() == 2
+    assert C.city_click_counts(lines, C.DATE_CITY).count() == 0
