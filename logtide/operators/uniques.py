@@ -26,24 +26,24 @@ from logtide.functions.logs import csv_field
 
 HLL_LG_K = 14
 # Bound used by the approximate queries' self-check.
-HLL_CHECK_REL = 0.05
+HLL_CHECK_REL = 0.03
 
 
 def user_hours(messages: DataFrame, line_col: str = "value", ts_col: str = "timestamp",
-               processing_time: bool = False) -> DataFrame:
-    """(hour_key, user_id, write_ts) from CSV messages; hour from the message or the wall clock."""
+               processing_time: bool = False, keep: list[str] = ()) -> DataFrame:
+    """(hour_key, user_id, write_ts, *keep) from CSV messages; hour from the message or the wall clock."""
     ts = F.current_timestamp() if processing_time else F.col(ts_col)
     return messages.select(hour_key(ts).alias("hour_key"),
                            csv_field(line_col, 0).alias("user_id"),
-                           ts.alias("write_ts"))
+                           ts.alias("write_ts"), *keep)
 
 
-def hourly_sketches(uh: DataFrame, lg_k: int = HLL_LG_K) -> DataFrame:
-    """(hour_key, sketch, last_write, n_rows)."""
-    return uh.groupBy("hour_key").agg(
+def hourly_sketches(uh: DataFrame, lg_k: int = HLL_LG_K, by: list[str] = (), extra: list[Column] = ()) -> DataFrame:
+    """(hour_key, *by, sketch, last_write, n_rows, *extra)."""
+    return uh.groupBy("hour_key", *by).agg(
         F.hll_sketch_agg("user_id", lg_k).alias("sketch"),
         F.max("write_ts").alias("last_write"),
-        F.count(F.lit(1)).alias("n_rows"))
+        F.count(F.lit(1)).alias("n_rows"), *extra)
 
 
 def merge_sketches(sketches: DataFrame, key: Column | str, name: str | None = None) -> DataFrame:

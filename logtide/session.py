@@ -3,8 +3,9 @@
 `local_session` is what tests and the bench use. Library code never builds a
 session; it takes the caller's. `shared_dir` is the one place that decides
 where intermediate files go: the folder the cluster names in
-``spark.checkpoint.dir``. Only when that is unset (a bare local session, as in
-tests) is a folder of our own made and registered.
+``spark.checkpoint.dir``. Only when that is unset on a local master (as
+in tests) is a folder of our own made and registered; a cluster without one is
+an error, since its machines share no other folder.
 """
 
 from __future__ import annotations
@@ -40,7 +41,7 @@ def shared_dir(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). If
-    neither is set, creates one and registers it with the context, so later
+    neither is set on a local master, creates one and registers it with the context, so later
     ``DataFrame.checkpoint()`` calls land in the same place.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -49,6 +50,8 @@ def shared_dir(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="logtide-ckpt-")
     spark.sparkContext.setCheckpointDir(made)
     return made

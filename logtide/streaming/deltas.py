@@ -2,22 +2,29 @@
 
 A click increment and an HLL add are both mergeable, so a stream needs no
 unbounded state: each micro-batch aggregates its own rows and writes the
-result to ``<table>/batch_id=<N>`` with overwrite. A replayed batch (same id,
-same input, because the source offsets were checkpointed before it ran)
-overwrites itself, so totals never double. Reading the table merges all
+result to ``<table>/gen=<G>/batch_id=<N>`` with overwrite. A replayed batch
+(same id, same input, because the source offsets were checkpointed before it
+ran) overwrites itself, so totals never double. Reading the table merges all
 deltas: ``sum`` for counts, ``hll_union_agg`` for sketches.
 
-Layout under ``<table>``:
-  batch_id=N/         the delta of batch N
-  _ledger/batch_id=N/ offset ranges the batch consumed (hidden from readers)
-  _bases/upto=K/      optional compaction: all deltas <= K merged into one
+Every checkpoint atomically claims its own generation G of the table
+(`generation`), so a lost checkpoint or a second query on the table never
+overwrites or hides another writer's batches. Everything below is per
+generation:
 
-Readers take the newest base (if any) plus the deltas after it, so deleting
-deltas <= K after a base exists is safe at any time.
+  gen=G/batch_id=N/            the delta of batch N; its rows carry the offset
+                               ranges (topic, partition, from, until) they came from
+  gen=G/_bases/upto=K/         optional compaction: all deltas <= K merged into one
+  gen=G/_ledger_bases/upto=K/  their offset ranges, one row per topic-partition
 
-If a checkpoint is lost, its batch ids restart at 0 and would overwrite old
-deltas; `batch_id_base` guards that (and concurrent writers): every checkpoint
-claims its own generation of ids on the table, atomically.
+Readers take each generation's newest base (if any) plus its deltas after it.
+Deletion runs one base behind: what a reader may have listed before the newest
+base appeared (the base before it and the deltas after that one) stays until the
+next compaction.
+
+A folder counts as committed when it holds data files and no `_temporary`
+folder, which Spark's committers remove when the job commits, with or without
+writing `_SUCCESS`.
 """
 
 from __future__ import annotations
@@ -32,105 +39,122 @@ def _fs(spark: SparkSession, path: str):
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), p
 
 
-def _child_ids(spark: SparkSession, path: str, prefix: str) -> list[int]:
-    """Ids of committed child folders `<prefix><id>` (those holding _SUCCESS)."""
+def _committed(fs, folder) -> bool:
+    names = [st.getPath().getName() for st in fs.listStatus(folder)]
+    return "_temporary" not in names and any(not n.startswith(("_", ".")) for n in names)
+
+
+def _child_ids(spark: SparkSession, path: str, prefix: str, committed: bool = True) -> list[int]:
+    """Ids of (committed) child folders `<prefix><id>`, ascending."""
     fs, p = _fs(spark, path)
     if not fs.exists(p):
         return []
-    jvm = spark.sparkContext._jvm
     ids = []
     for status in fs.listStatus(p):
         name = status.getPath().getName()
-        if status.isDirectory() and name.startswith(prefix):
-            if not fs.exists(jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")):
-                continue
-            try:
-                ids.append(int(name[len(prefix):]))
-            except ValueError:
-                pass
-    return ids
+        if status.isDirectory() and name.startswith(prefix) and name[len(prefix):].isdigit() \
+                and (not committed or _committed(fs, status.getPath())):
+            ids.append(int(name[len(prefix):]))
+    return sorted(ids)
+
 
+def generations(spark: SparkSession, table: str) -> list[int]:
+    """Generations of a table that hold folders, ascending."""
+    return _child_ids(spark, table, "gen=", committed=False)
 
-def batch_ids(spark: SparkSession, table: str) -> list[int]:
-    """Committed delta batch ids of a table, ascending."""
-    return sorted(_child_ids(spark, table, "batch_id="))
 
+def batch_ids(spark: SparkSession, table: str, gen: int = 0) -> list[int]:
+    """Committed delta batch ids of a generation, ascending."""
+    return _child_ids(spark, f"{table}/gen={gen}", "batch_id=")
 
-GENERATION_STRIDE = 10 ** 12   # batch ids of one checkpoint stay below this
 
+def bases(spark: SparkSession, table: str, gen: int = 0) -> list[int]:
+    """Committed bases of a generation (the batch id each reaches), ascending."""
+    return _child_ids(spark, f"{table}/gen={gen}/_bases", "upto=")
 
-def batch_id_base(spark: SparkSession, table: str, checkpoint: str) -> int:
-    """Id offset for a checkpoint, fixed when the checkpoint is first seen.
+
+def generation(spark: SparkSession, table: str, checkpoint: str) -> int:
+    """The generation of a checkpoint, fixed when the checkpoint is first seen.
 
     Each new checkpoint claims the next free generation number of the table
-    with an atomic create (`_claims/<g>`), and writes its batches as
-    ``g * GENERATION_STRIDE + batch_id``. A lost checkpoint therefore never
-    overwrites old deltas, and two queries started on one table never share ids.
-    The claim relies on an atomic create (HDFS, local and most cluster file
-    systems); on object stores without one, give each query its own table path.
+    with an atomic create (`_claims/<g>`). The claim relies on an atomic create
+    (HDFS, local and most cluster file systems); on object stores without one,
+    give each query its own table path.
     """
-    fs, p = _fs(spark, f"{checkpoint}/logtide_batch_id_base")
+    fs, p = _fs(spark, f"{checkpoint}/logtide_generation")
+    jvm = spark.sparkContext._jvm
     if fs.exists(p):
         stream = fs.open(p)
         try:
-            reader = spark.sparkContext._jvm.java.io.BufferedReader(
-                spark.sparkContext._jvm.java.io.InputStreamReader(stream))
-            return int(reader.readLine().strip())
+            return int(jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream)).readLine().strip())
         finally:
             stream.close()
     claims_fs, _ = _fs(spark, f"{table}/_claims")
-    jvm = spark.sparkContext._jvm
-    generation = 0
-    while not claims_fs.createNewFile(jvm.org.apache.hadoop.fs.Path(f"{table}/_claims/{generation}")):
-        generation += 1
-    base = generation * GENERATION_STRIDE
+    claimed = 0
+    while not claims_fs.createNewFile(jvm.org.apache.hadoop.fs.Path(f"{table}/_claims/{claimed}")):
+        claimed += 1
     out = fs.create(p, True)
     try:
-        out.write(bytearray(str(base).encode()))
+        out.write(bytearray(str(claimed).encode()))
     finally:
         out.close()
-    return base
+    return claimed
 
 
-def write_batch(df: DataFrame, table: str, batch_id: int) -> None:
+def write_batch(df: DataFrame, table: str, batch_id: int, gen: int = 0) -> None:
     """Write one batch's delta, replacing any earlier attempt of the same batch."""
-    df.write.mode("overwrite").parquet(f"{table}/batch_id={batch_id}")
+    df.write.mode("overwrite").parquet(f"{table}/gen={gen}/batch_id={batch_id}")
 
 
-def write_ledger(ranges: DataFrame, table: str, batch_id: int) -> None:
-    """Write the offset ranges a batch consumed (replaces an earlier attempt)."""
-    ranges.write.mode("overwrite").parquet(f"{table}/_ledger/batch_id={batch_id}")
+OFFSET_COLUMNS = ["topic", "partition", "from_offset", "until_offset"]
 
 
-def read_ledger(spark: SparkSession, table: str) -> DataFrame:
-    """All ledger rows: (topic, partition, from_offset, until_offset, batch_id)."""
-    return spark.read.parquet(f"{table}/_ledger")
+def _delta_paths(spark: SparkSession, table: str, gen: int, after: int | None, upto: int | None) -> list[str]:
+    return [f"{table}/gen={gen}/batch_id={i}" for i in batch_ids(spark, table, gen)
+            if (after is None or i > after) and (upto is None or i <= upto)]
 
 
-def read_deltas(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame | None:
-    """Rows of the newest base plus the deltas after it (up to `upto`)."""
-    bases = _child_ids(spark, f"{table}/_bases", "upto=")
-    if upto is not None:
-        bases = [b for b in bases if b <= upto]
-    newest = max(bases) if bases else None
-    base_df = spark.read.parquet(f"{table}/_bases/upto={newest}") if newest is not None else None
-    ids = [i for i in batch_ids(spark, table)
-           if (newest is None or i > newest) and (upto is None or i <= upto)]
-    if not ids:
-        return base_df
-    deltas = (spark.read.option("basePath", table)
-              .parquet(*[f"{table}/batch_id={i}" for i in ids]).drop("batch_id"))
-    return deltas if base_df is None else base_df.unionByName(deltas)
+def _base(spark: SparkSession, table: str, gen: int, upto: int | None) -> int | None:
+    found = [b for b in bases(spark, table, gen) if upto is None or b <= upto]
+    return found[-1] if found else None
+
+
+def read_ledger(spark: SparkSession, table: str, gen: int | None = None, upto: int | None = None) -> DataFrame:
+    """Offset ranges consumed: (topic, partition, from_offset, until_offset), of folded
+    batches one row per topic-partition. Empty where nothing is written yet."""
+    out = spark.createDataFrame([], LEDGER_SCHEMA)
+    for g in [gen] if gen is not None else generations(spark, table):
+        base = _base(spark, table, g, upto)
+        if base is not None:
+            out = out.unionByName(spark.read.schema(LEDGER_SCHEMA).parquet(f"{table}/gen={g}/_ledger_bases/upto={base}"))
+        paths = _delta_paths(spark, table, g, base, upto)
+        if paths:       # deltas of a source without offsets read as nulls here
+            rows = spark.read.schema(LEDGER_SCHEMA).parquet(*paths).where("until_offset IS NOT NULL")
+            out = out.unionByName(rows)
+    return out
+
+
+def read_deltas(spark: SparkSession, table: str, schema: str, gen: int | None = None,
+                upto: int | None = None) -> DataFrame:
+    """Rows (`schema`) of each generation's newest base and its deltas after it (up to `upto`)."""
+    paths: list[str] = []
+    for g in [gen] if gen is not None else generations(spark, table):
+        base = _base(spark, table, g, upto)
+        paths += [f"{table}/gen={g}/_bases/upto={base}"] if base is not None else []
+        paths += _delta_paths(spark, table, g, base, upto)
+    if not paths:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*paths)
 
 
 def merge_counts(rows: DataFrame, key: str = "row_key", value: str = "click_count") -> DataFrame:
-    """Sum count deltas per key."""
-    return rows.groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
+    """Sum count deltas per key (rows without one only carry offsets)."""
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.sum(value).cast("bigint").alias(value))
 
 
 def merge_sketch_rows(rows: DataFrame, key: str = "hour_key") -> DataFrame:
     """Union sketch deltas per key, keeping the last write and row count."""
-    return rows.groupBy(key).agg(F.hll_union_agg("sketch", True).alias("sketch"),
+    return rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.hll_union_agg("sketch", True).alias("sketch"),
                                  F.max("last_write").alias("last_write"),
                                  F.sum("n_rows").cast("bigint").alias("n_rows"))
 
@@ -139,50 +163,64 @@ COUNTS_SCHEMA = "row_key string, click_count bigint"
 SKETCH_SCHEMA = "hour_key string, sketch binary, last_write timestamp, n_rows bigint"
 
 
-def merged_counts(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
-    """Click totals of a table (newest base + later deltas, optionally up to `upto`)."""
-    rows = read_deltas(spark, table, upto)
-    return merge_counts(rows) if rows is not None else spark.createDataFrame([], COUNTS_SCHEMA)
+LEDGER_SCHEMA = "topic string, partition int, from_offset bigint, until_offset bigint"
+
+
+def merged_counts(spark: SparkSession, table: str, upto: int | None = None, gen: int | None = None) -> DataFrame:
+    """Click totals of a table (per generation: newest base + later deltas, optionally up to `upto`)."""
+    return merge_counts(read_deltas(spark, table, COUNTS_SCHEMA, gen, upto))
 
 
-def merged_sketches(spark: SparkSession, table: str, upto: int | None = None) -> DataFrame:
-    """Merged hour sketches of a table (newest base + later deltas)."""
-    rows = read_deltas(spark, table, upto)
-    return merge_sketch_rows(rows) if rows is not None else spark.createDataFrame([], SKETCH_SCHEMA)
+def merged_sketches(spark: SparkSession, table: str, upto: int | None = None, gen: int | None = None) -> DataFrame:
+    """Merged hour sketches of a table (per generation: newest base + later deltas)."""
+    return merge_sketch_rows(read_deltas(spark, table, SKETCH_SCHEMA, gen, upto))
 
 
-def has_base(spark: SparkSession, table: str, upto: int) -> bool:
+def has_base(spark: SparkSession, table: str, upto: int, gen: int = 0) -> bool:
     """Whether a committed base folding deltas up to `upto` exists."""
-    return upto in _child_ids(spark, f"{table}/_bases", "upto=")
+    return upto in bases(spark, table, gen)
 
 
-def compact(spark: SparkSession, table: str, upto: int, kind: str = "counts") -> str:
-    """Fold the newest base and all deltas <= upto into base `upto`.
+def compact(spark: SparkSession, table: str, upto: int, kind: str = "counts", gen: int = 0,
+            ttl: str | None = None, as_of=None) -> str:
+    """Fold a generation's newest base and its deltas <= upto into base `upto`.
 
-    Readers switch to the new base only once its write has committed (Spark
-    moves the files out of `_temporary` at job commit), so a failed compaction
-    leaves the table as it was. Deltas <= upto can be deleted afterwards.
+    With `ttl` (sketches) hours whose last write is that old at `as_of` (default
+    now) are left out of the new base: they have expired. The ledger's base is
+    written first, so a base never lacks its offsets; readers switch to a base
+    only once its write has committed, so a failed compaction leaves the table as it was.
     """
-    merged = merged_counts(spark, table, upto) if kind == "counts" else merged_sketches(spark, table, upto)
-    path = f"{table}/_bases/upto={upto}"
+    ledger = read_ledger(spark, table, gen, upto).groupBy("topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"))
+    ledger.write.mode("overwrite").parquet(f"{table}/gen={gen}/_ledger_bases/upto={upto}")
+    if kind == "counts":
+        merged = merged_counts(spark, table, upto, gen)
+    else:
+        merged = merged_sketches(spark, table, upto, gen)
+        if ttl is not None:
+            from logtide.operators.uniques import retained
+            merged = retained(merged, as_of, ttl)
+    path = f"{table}/gen={gen}/_bases/upto={upto}"
     merged.write.mode("overwrite").parquet(path)
     return path
 
 
-def drop_compacted(spark: SparkSession, table: str) -> list[int]:
-    """Delete deltas already folded into the newest committed base; returns their ids.
-    Safe at any time: readers never look at deltas at or below the newest base."""
-    bases = _child_ids(spark, f"{table}/_bases", "upto=")
-    if not bases:
+def drop_compacted(spark: SparkSession, table: str, gen: int = 0) -> list[int]:
+    """Delete a generation's deltas and bases that the base before the newest has
+    superseded; returns the deltas' ids. A reader that listed the table before the
+    newest base appeared still finds all it listed."""
+    found = bases(spark, table, gen)
+    if len(found) < 2:
         return []
-    newest = max(bases)
+    keep = found[-2]
     fs, _ = _fs(spark, table)
-    jvm = spark.sparkContext._jvm
-    dropped = []
-    for i in batch_ids(spark, table):
-        if i <= newest:
-            fs.delete(jvm.org.apache.hadoop.fs.Path(f"{table}/batch_id={i}"), True)
-            dropped.append(i)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    dropped = [i for i in batch_ids(spark, table, gen) if i <= keep]
+    for i in dropped:
+        fs.delete(path(f"{table}/gen={gen}/batch_id={i}"), True)
+    for b in found[:-2]:
+        for folder in ("_bases", "_ledger_bases"):
+            fs.delete(path(f"{table}/gen={gen}/{folder}/upto={b}"), True)
     return dropped
 
 
@@ -192,12 +230,7 @@ def ledger_start_offsets(spark: SparkSession, table: str, partitions: DataFrame)
     reference's offset lookup: any partition without a committed offset means
     every partition starts at 0. `partitions` holds (topic, partition) rows."""
     from logtide.operators.offsets import start_offsets
-    fs, p = _fs(spark, f"{table}/_ledger")
-    if fs.exists(p):
-        ledger = read_ledger(spark, table)
-    else:
-        ledger = spark.createDataFrame([], "topic string, partition int, from_offset bigint, until_offset bigint")
     out: dict = {}
-    for row in start_offsets(partitions, ledger).collect():   # one row per topic-partition
+    for row in start_offsets(partitions, read_ledger(spark, table)).collect():   # one row per topic-partition
         out.setdefault(row.topic, {})[str(row.partition)] = int(row.start_offset)
     return out

@@ -8,9 +8,10 @@ same checkpoint resumes after the last committed batch, and a batch that ran
 but did not commit is replayed with the same id and input.
 
 Sinks:
-* counters / uniques: `foreachBatch` writes the batch's aggregate as a delta
-  (see `deltas`), plus the offset ranges the batch consumed (the ledger);
-  both overwrite on replay, so delivery is effectively exactly once.
+* counters / uniques: `foreachBatch` reads the batch once and writes one
+  aggregate per key and topic-partition, with the offset range it consumed, as a
+  delta (see `deltas`); a replay overwrites it, so delivery is effectively
+  exactly once, and the ledger is read from the same files.
 * archive: the file sink (text, CRLF line ends) partitioned by minute, whose
   own commit log makes its output exactly once.
 """
@@ -19,7 +20,6 @@ from __future__ import annotations
 
 import time
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -28,7 +28,6 @@ from logtide.functions.dates import HOUR_KEY_PATTERN
 from logtide.functions.logs import csv_field
 from logtide.operators import archive as A
 from logtide.operators import counters as C
-from logtide.operators import offsets as O
 from logtide.operators import uniques as U
 from logtide.streaming import deltas
 
@@ -53,36 +52,47 @@ def _trigger(writer, trigger):
 
 
 def _delta_sink(spark: SparkSession, table: str, checkpoint: str, aggregate, repartition: int | None,
-                compact_every: int | None = None, kind: str = "counts"):
-    id_base = deltas.batch_id_base(spark, table, checkpoint)
+                compact_every: int | None = None, kind: str = "counts", ttl: str | None = None):
+    gen = deltas.generation(spark, table, checkpoint)
 
     def maybe_compact(batch_id: int) -> None:
         # Batch N runs only after N-1 committed, so everything up to N-1 is final.
-        upto = id_base + batch_id - 1
+        upto = batch_id - 1
         if compact_every and batch_id > 0 and batch_id % compact_every == 0 \
-                and not deltas.has_base(spark, table, upto):
-            deltas.compact(spark, table, upto, kind)
-            deltas.drop_compacted(spark, table)
+                and not deltas.has_base(spark, table, upto, gen):
+            deltas.compact(spark, table, upto, kind, gen, ttl)
+            deltas.drop_compacted(spark, table, gen)
 
     def run(batch: DataFrame, batch_id: int) -> None:
         maybe_compact(batch_id)
-        # The batch is read twice (aggregate + ledger); keep it for the second
-        # pass. A lost block is recomputed from the checkpointed source range.
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            out = aggregate(batch)
-            if repartition:
-                out = out.repartition(repartition)
-            deltas.write_batch(out, table, id_base + batch_id)
-            if {"topic", "partition", "offset"} <= set(batch.columns):   # text sources have no offsets
-                deltas.write_ledger(O.offset_ranges(batch).withColumn("batch_id", F.lit(id_base + batch_id)),
-                                    table, id_base + batch_id)
-        finally:
-            batch.unpersist()
+        out = aggregate(batch)
+        deltas.write_batch(out.repartition(repartition) if repartition else out, table, batch_id, gen)
 
     return run
 
 
+def _with_offsets(batch: DataFrame) -> tuple[list[str], list]:
+    """Grouping columns and aggregates that keep a batch's offset ranges (none for text sources)."""
+    if not {"topic", "partition", "offset"} <= set(batch.columns):
+        return [], []
+    return ["topic", "partition"], [F.min("offset").alias("from_offset"), (F.max("offset") + 1).alias("until_offset")]
+
+
+def click_deltas(batch: DataFrame, layout: str = C.DATE_CITY) -> DataFrame:
+    """(row_key, click_count[, topic, partition, from_offset, until_offset]) of one
+    micro-batch; the row of key null counts no click, it carries the other lines' offsets."""
+    by, offsets = _with_offsets(batch)
+    keyed = C.click_keys(batch, layout)
+    return keyed.groupBy("row_key", *by).agg(F.count("row_key").alias("click_count"), *offsets)
+
+
+def sketch_deltas(batch: DataFrame, processing_time: bool = False) -> DataFrame:
+    """Hour sketches of one micro-batch, per topic-partition with its offset range."""
+    by, offsets = _with_offsets(batch)
+    keyed = U.user_hours(batch, processing_time=processing_time, keep=[*by, "offset"] if by else [])
+    return U.hourly_sketches(keyed, by=by, extra=offsets)
+
+
 def click_counter_stream(spark: SparkSession, messages: DataFrame, table: str, checkpoint: str,
                          layout: str = C.DATE_CITY, trigger: str | None = COUNTER_TRIGGER,
                          repartition: int | None = None, query_name: str | None = None,
@@ -90,8 +100,7 @@ def click_counter_stream(spark: SparkSession, messages: DataFrame, table: str, c
     """Clicks per (day, city) as per-batch deltas in `table`.
     `compact_every=k` folds the committed deltas into a base every k batches."""
     sink = _delta_sink(spark, table, checkpoint,
-                       lambda b: C.city_click_counts(b.select("value"), layout), repartition,
-                       compact_every, "counts")
+                       lambda b: click_deltas(b, layout), repartition, compact_every, "counts")
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)
@@ -113,15 +122,18 @@ def click_counter_stateful(messages: DataFrame, layout: str = C.DATE_CITY) -> Da
 def hourly_uniques_stream(spark: SparkSession, messages: DataFrame, table: str, checkpoint: str,
                           processing_time: bool = False, trigger: str | None = UNIQUES_TRIGGER,
                           repartition: int | None = None, query_name: str | None = None,
-                          compact_every: int | None = DEFAULT_COMPACT_EVERY) -> StreamingQuery:
+                          compact_every: int | None = DEFAULT_COMPACT_EVERY,
+                          ttl: str | None = None) -> StreamingQuery:
     """Per-hour HLL sketches of CSV user ids as per-batch deltas in `table`.
 
+    `ttl` (such as "1 day") drops hours from storage at compaction once their last
+    write is that old by the wall clock; None keeps them and leaves expiry to the reader.
+
     The hour is the message timestamp's (replayable); `processing_time=True`
     keys by the wall clock when the batch runs, as the reference does.
     """
     sink = _delta_sink(spark, table, checkpoint,
-                       lambda b: U.hourly_sketches(U.user_hours(b, processing_time=processing_time)),
-                       repartition, compact_every, "sketches")
+                       lambda b: sketch_deltas(b, processing_time), repartition, compact_every, "sketches", ttl)
     writer = messages.writeStream.foreachBatch(sink).option("checkpointLocation", checkpoint)
     if query_name:
         writer = writer.queryName(query_name)

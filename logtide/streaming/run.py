@@ -6,9 +6,12 @@
   python -m logtide.streaming.run load     --path P  --table T [--day yyyyMMdd ...]   (batch, e.g. from cron)
 
 The session comes from the cluster (`spark-submit` configuration). With Kafka,
-`--rate` is the per-partition message rate (the reference's 100/s) and needs
-`--partitions`; `--resume-from-ledger` starts a query that has no checkpoint
-yet from the offsets the table's ledger committed.
+`--topic` subscribes and `--assign t:0,1,2` names partitions. `--rate` is the
+per-partition message rate (the reference's 100/s) at the trigger in use and
+needs the number of partitions; `--resume-from-ledger` starts a query that has
+no checkpoint yet from the offsets the table's ledger committed for the
+partitions named by `--assign` or `--topic-partitions t:3` (all at 0 if one of
+them has none).
 """
 
 from __future__ import annotations
@@ -23,7 +26,28 @@ from logtide.sources.messages import kafka_options, read_kafka, stream_messages,
 from logtide.streaming import deltas, jobs
 
 DEFAULT_TRIGGERS = {"clicks": jobs.COUNTER_TRIGGER, "uniques": jobs.UNIQUES_TRIGGER, "archive": jobs.ARCHIVE_TRIGGER}
-BATCH_SECONDS = {"clicks": 5, "uniques": 1, "archive": 60}
+_UNIT_SECONDS = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400}
+
+
+def trigger_seconds(trigger: str) -> float:
+    """Length of a processing-time trigger such as "5 seconds" or "1 minute 30 seconds"."""
+    words = trigger.lower().removeprefix("interval ").split()
+    try:
+        return sum(float(n) * _UNIT_SECONDS[unit.rstrip("s")] for n, unit in zip(words[::2], words[1::2], strict=True))
+    except (KeyError, ValueError) as e:
+        raise SystemExit(f"--rate needs a trigger of a fixed length, not {trigger!r}") from e
+
+
+def topic_partitions(args) -> dict[str, list[int]]:
+    """{topic: partitions} that `--assign` or `--topic-partitions` name."""
+    out: dict[str, list[int]] = {}
+    for text in args.assign or []:
+        topic, _, listed = text.rpartition(":")
+        out.setdefault(topic, []).extend(int(x) for x in listed.split(","))
+    for text in args.topic_partitions or []:
+        topic, _, count = text.rpartition(":")
+        out.setdefault(topic, []).extend(range(int(count)))
+    return {t: sorted(set(p)) for t, p in out.items()}
 
 
 def parse_args(argv=None):
@@ -38,9 +62,13 @@ def parse_args(argv=None):
     src.add_argument("--files", help="folder of envelope Parquet files")
     src.add_argument("--text", help="folder of raw text lines")
     ap.add_argument("--topic", action="append", help="Kafka topic (repeatable)")
+    ap.add_argument("--assign", action="append", help="topic:0,1,2 partitions to read (repeatable; instead of --topic)")
+    ap.add_argument("--topic-partitions", action="append", help="topic:N, the topic has N partitions (repeatable)")
+    ap.add_argument("--fail-on-data-loss", choices=["true", "false"], default="true",
+                    help="false: skip offsets that have aged out of the topic")
     ap.add_argument("--group-id", help="Kafka consumer group name")
     ap.add_argument("--rate", type=int, help="max messages/s per Kafka partition")
-    ap.add_argument("--partitions", type=int, help="Kafka partitions over all topics (for --rate)")
+    ap.add_argument("--partitions", type=int, help="Kafka partitions over all topics (for --rate; default: as named)")
     ap.add_argument("--max-files", type=int, help="files per trigger (file sources)")
     ap.add_argument("--resume-from-ledger", action="store_true")
     ap.add_argument("--trigger", help='"5 seconds", "availableNow", ...')
@@ -50,25 +78,36 @@ def parse_args(argv=None):
     ap.add_argument("--minute-as-dir", action="store_true", help="archive: .../HH/mm folders")
     ap.add_argument("--repartition", type=int)
     ap.add_argument("--day", action="append", help="load: yyyyMMdd to load (repeatable; default all)")
+    ap.add_argument("--ttl", help='uniques: drop hours this long after their last write at compaction, e.g. "1 day"')
     ap.add_argument("--compact-every", type=int, default=jobs.DEFAULT_COMPACT_EVERY,
                     help="fold committed deltas into a base every N batches (0: never)")
     return ap.parse_args(argv)
 
 
+def kafka_source_options(spark: SparkSession, args) -> dict[str, str]:
+    """The Kafka source's options for these arguments."""
+    if bool(args.topic) == bool(args.assign):
+        raise SystemExit("--kafka needs one of --topic and --assign")
+    named = topic_partitions(args)
+    starting = "earliest"
+    if args.resume_from_ledger and args.table:
+        if not named or not set(args.topic or named) <= set(named):
+            raise SystemExit("--resume-from-ledger needs --assign, or --topic-partitions for every topic")
+        parts = spark.createDataFrame([(t, p) for t, listed in named.items() for p in listed],
+                                      "topic string, partition int")
+        starting = deltas.ledger_start_offsets(spark, args.table, parts)
+    partitions = args.partitions or sum(map(len, named.values())) or None
+    return kafka_options(args.kafka, topics=args.topic, assign=named if args.assign else None,
+                         starting_offsets=starting, max_rate_per_partition=args.rate,
+                         batch_seconds=trigger_seconds(args.trigger or DEFAULT_TRIGGERS[args.job]) if args.rate else None,
+                         partitions=partitions, group_id=args.group_id,
+                         fail_on_data_loss=args.fail_on_data_loss == "true")
+
+
 def source(spark: SparkSession, args):
     """The message stream the options name: Kafka, envelope files or raw text."""
     if args.kafka:
-        if not args.topic:
-            raise SystemExit("--kafka needs --topic")
-        starting = "earliest"
-        if args.resume_from_ledger and args.table:
-            ledger_parts = deltas.read_ledger(spark, args.table).select("topic", "partition").distinct()
-            starting = deltas.ledger_start_offsets(spark, args.table, ledger_parts) or "earliest"
-        opts = kafka_options(args.kafka, topics=args.topic, starting_offsets=starting,
-                             max_rate_per_partition=args.rate,
-                             batch_seconds=BATCH_SECONDS[args.job] if args.rate else None,
-                             partitions=args.partitions, group_id=args.group_id)
-        return read_kafka(spark, opts)
+        return read_kafka(spark, kafka_source_options(spark, args))
     if args.files:
         return stream_messages(spark, args.files, max_files_per_trigger=args.max_files)
     return stream_text_lines(spark, args.text, max_files_per_trigger=args.max_files)
@@ -95,7 +134,7 @@ def main(argv=None) -> None:
                                       args.repartition, "logtide-clicks", args.compact_every or None)
     elif args.job == "uniques":
         q = jobs.hourly_uniques_stream(spark, messages, args.table, args.checkpoint, processing_time,
-                                       trigger, args.repartition, "logtide-uniques", args.compact_every or None)
+                                       trigger, args.repartition, "logtide-uniques", args.compact_every or None, args.ttl)
     else:
         q = jobs.archive_stream(messages, args.path, args.checkpoint, args.minute_as_dir, trigger,
                                 "logtide-archive", processing_time)

@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF001
@@ -57,11 +58,13 @@ def test_click_counter_stream(spark, scratch):
                               trigger="availableNow").awaitTermination()
     assert _rows(jobs.read_click_counter(spark, table)) == want
 
-    # compaction keeps totals; folded deltas can then be dropped
+    # compaction keeps totals; what the base before the newest covers can then be dropped
+    deltas.compact(spark, table, 1)
+    assert deltas.drop_compacted(spark, table) == []
     deltas.compact(spark, table, 2)
     assert _rows(jobs.read_click_counter(spark, table)) == want
-    assert deltas.drop_compacted(spark, table) == [0, 1, 2]
-    assert deltas.batch_ids(spark, table) == [3]
+    assert deltas.drop_compacted(spark, table) == [0, 1]
+    assert deltas.batch_ids(spark, table) == [2, 3] and deltas.bases(spark, table) == [1, 2]
     assert _rows(jobs.read_click_counter(spark, table)) == want
 
     # resuming from the ledger: committed until_offset per partition = its row count
@@ -79,8 +82,8 @@ def test_new_checkpoint_does_not_overwrite(spark, scratch):
     for _ in range(2):   # two different checkpoints over the same table
         jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table,
                                   scratch("ckpt"), trigger="availableNow").awaitTermination()
-    g = deltas.GENERATION_STRIDE
-    assert deltas.batch_ids(spark, table) == [0, 1, g, g + 1]
+    assert deltas.generations(spark, table) == [0, 1]
+    assert deltas.batch_ids(spark, table, 0) == deltas.batch_ids(spark, table, 1) == [0, 1]
     doubled = {r.row_key: r.click_count for r in jobs.read_click_counter(spark, table).collect()}
     once = {r.row_key: r.click_count for r in C.city_click_counts(msgs.select("value")).collect()}
     assert doubled == {k: 2 * v for k, v in once.items()}
@@ -88,7 +91,7 @@ def test_new_checkpoint_does_not_overwrite(spark, scratch):
 
 def test_hourly_uniques_stream(spark, scratch):
     ev = load_table(spark, SF001, "events")
-    msgs = as_messages(csv_lines(ev), "user-csv", 3, with_offsets=False)
+    msgs = as_messages(csv_lines(ev), "user-csv", 3)
     src = _write_source(spark, msgs, scratch("src"), files=3)
     table, ckpt = scratch("uv"), scratch("ckpt")
     jobs.hourly_uniques_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, ckpt,
@@ -106,7 +109,7 @@ def test_hourly_uniques_stream(spark, scratch):
 def test_archive_stream(spark, scratch):
     # whole sf0.001 table: at sf0.01 nearly every line gets its own minute folder
     ev = load_table(spark, SF0001_DIR, "events")
-    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    msgs = as_messages(startup_lines(ev), "app-log", 3)
     src = _write_source(spark, msgs, scratch("src"), files=2)
     out, ckpt = scratch("archive"), scratch("ckpt")
     jobs.archive_stream(stream_messages(spark, src, max_files_per_trigger=1), out, ckpt,
@@ -119,7 +122,7 @@ def test_archive_stream(spark, scratch):
 
 def test_stateful_alternative_equals_batch(spark, scratch):
     ev = load_table(spark, SF001, "events")
-    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    msgs = as_messages(startup_lines(ev), "app-log", 3)
     src = _write_source(spark, msgs, scratch("src"), files=3)
     counts = jobs.click_counter_stateful(stream_messages(spark, src, max_files_per_trigger=1))
     q = (counts.writeStream.outputMode("complete").format("memory").queryName("stateful_clicks")
@@ -130,7 +133,7 @@ def test_stateful_alternative_equals_batch(spark, scratch):
 
 def test_windowed_uniques_equal_batch(spark, scratch):
     ev = load_table(spark, SF001, "events")
-    msgs = as_messages(csv_lines(ev), "user-csv", 3, with_offsets=False)
+    msgs = as_messages(csv_lines(ev), "user-csv", 3)
     src = _write_source(spark, msgs, scratch("src"), files=3)
     win = jobs.hourly_uniques_windowed(stream_messages(spark, src, max_files_per_trigger=1), watermark="365 days")
     q = (win.select("hour_key", F.hll_sketch_estimate("sketch").alias("uv_est"), "n_rows")
@@ -147,7 +150,7 @@ def test_windowed_uniques_equal_batch(spark, scratch):
 
 def test_stop_gracefully(spark, scratch):
     ev = load_table(spark, SF001, "events")
-    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    msgs = as_messages(startup_lines(ev), "app-log", 3)
     src = _write_source(spark, msgs, scratch("src"), files=2)
     q = jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), scratch("t"),
                                   scratch("ckpt"), trigger="1 second")
@@ -170,7 +173,7 @@ def test_text_stream_click_counter(spark, scratch):
 
 def test_load_streamed_archive(spark, scratch):
     ev = load_table(spark, SF001, "events")
-    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    msgs = as_messages(startup_lines(ev), "app-log", 3)
     src = _write_source(spark, msgs.where(F.col("timestamp") < F.lit("2024-01-03").cast("timestamp")),
                         scratch("src"), files=2)
     out = scratch("archive")
@@ -194,7 +197,7 @@ def test_runner_on_files(spark, scratch):
     assert _rows(jobs.read_click_counter(spark, table)) == _rows(C.city_click_counts(msgs.select("value")))
     args = run.parse_args(["uniques", "--kafka", "h:9092", "--topic", "t", "--rate", "100", "--partitions", "3",
                            "--table", table, "--checkpoint", "c"])
-    assert args.rate == 100 and run.BATCH_SECONDS[args.job] == 1
+    assert args.rate == 100 and run.kafka_source_options(spark, args)["maxOffsetsPerTrigger"] == "300"
 
 
 def test_in_stream_compaction(spark, scratch):
@@ -208,7 +211,8 @@ def test_in_stream_compaction(spark, scratch):
         jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, ckpt,
                                   trigger="availableNow", compact_every=2).awaitTermination()
     run()
-    assert deltas.batch_ids(spark, table) == [4]            # bases at 1 and 3 folded 0..3
+    assert deltas.batch_ids(spark, table) == [2, 3, 4]      # bases at 1 and 3; deletion is one base behind
+    assert deltas.bases(spark, table) == [1, 3]
     assert _rows(jobs.read_click_counter(spark, table)) == want
     for name in ("4", ".4.crc"):                             # replay the last batch
         marker = os.path.join(_local(ckpt), "commits", name)
@@ -228,7 +232,7 @@ def test_in_stream_compaction(spark, scratch):
 
 def test_windowed_uniques_watermark_expires_state(spark, scratch):
     ev = load_table(spark, SF001, "events")
-    msgs = as_messages(csv_lines(ev), "user-csv", 3, with_offsets=False)
+    msgs = as_messages(csv_lines(ev), "user-csv", 3)
     src = scratch("src")
     cuts = ["2024-01-01", "2024-01-11", "2024-01-21", "2024-02-01"]
     for lo, hi in zip(cuts, cuts[1:]):          # time-ordered files, written one after another
@@ -266,9 +270,130 @@ def test_runner_load(spark, scratch):
     from logtide.operators import archive as A
     from logtide.streaming import run
     ev = load_table(spark, SF0001_DIR, "events")
-    msgs = as_messages(startup_lines(ev), "app-log", 3, with_offsets=False)
+    msgs = as_messages(startup_lines(ev), "app-log", 3)
     path, table = scratch("archive"), scratch("table")
     A.write_archive(msgs, path)
     run.main(["load", "--path", path, "--table", table, "--day", "20240103", "--day", "20240104"])
     got = {str(r.dt) for r in spark.read.parquet(table).select("dt").distinct().collect()}
     assert got == {"20240103", "20240104"}
+
+
+def _msgs_frame(spark, rows):
+    return spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
+
+
+def _startup(city, ms=1704103200000):
+    return '{"appVersion":"1","userId":"u","appId":"a","city":"%s","startTimeInMs":%d}' % (city, ms)
+
+
+def test_two_writers_compaction_and_replay(spark, scratch):
+    """Interleaved batches of two checkpoints on one table, each compacted, one replayed: nothing is lost."""
+    table = scratch("clicks")
+    sinks = [jobs._delta_sink(spark, table, scratch("ckpt"), jobs.click_deltas, None, compact_every=2) for _ in range(2)]
+    for batch_id in range(7):
+        for w, sink in enumerate(sinks):
+            rows = [("t", w, 10 * batch_id + k, _startup("c%d" % w) if k else "junk") for k in range(4)]
+            sink(_msgs_frame(spark, rows), batch_id)
+            if batch_id == 5:
+                sink(_msgs_frame(spark, rows), batch_id)          # replay
+    assert _rows(jobs.read_click_counter(spark, table)) == [("2024-01-01_c0", 21), ("2024-01-01_c1", 21)]
+    for gen in (0, 1):
+        assert deltas.bases(spark, table, gen) == [3, 5]
+        assert deltas.batch_ids(spark, table, gen) == [4, 5, 6]
+    parts = spark.createDataFrame([("t", 0), ("t", 1)], "topic string, partition int")
+    assert deltas.ledger_start_offsets(spark, table, parts) == {"t": {"0": 64, "1": 64}}
+    more = spark.createDataFrame([("t", 0), ("t", 1), ("t", 2)], "topic string, partition int")
+    assert deltas.ledger_start_offsets(spark, table, more) == {"t": {"0": 0, "1": 0, "2": 0}}
+
+
+def test_commit_detection_without_success_files(spark, scratch):
+    table = scratch("clicks")
+    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    conf.set(key, "false")
+    try:
+        deltas.write_batch(jobs.click_deltas(_msgs_frame(spark, [("t", 0, 0, _startup("x"))])), table, 0)
+    finally:
+        conf.unset(key)
+    assert not glob.glob(_local(table) + "/gen=0/batch_id=0/_SUCCESS")
+    os.makedirs(_local(table) + "/gen=0/batch_id=1/_temporary/0")         # an attempt that never committed
+    assert deltas.batch_ids(spark, table) == [0]
+    assert _rows(jobs.read_click_counter(spark, table)) == [("2024-01-01_x", 1)]
+
+
+def test_expired_hours_leave_the_base(spark, scratch):
+    table = scratch("uv")
+
+    def batch(hours):
+        return spark.createDataFrame([("t", 0, i, "u%d,x" % i, h) for i, h in enumerate(hours)],
+                                     "topic string, partition int, offset long, value string, h string") \
+            .withColumn("timestamp", F.col("h").cast("timestamp"))
+
+    deltas.write_batch(jobs.sketch_deltas(batch(["2024-01-01 01:00:00", "2024-01-01 02:10:00"])), table, 0)
+    deltas.write_batch(jobs.sketch_deltas(batch(["2024-01-01 02:50:00", "2024-01-02 01:30:00"])), table, 1)
+    deltas.compact(spark, table, 1, "sketches", ttl="1 day", as_of=F.lit("2024-01-02 02:20:00").cast("timestamp"))
+    base = spark.read.parquet(f"{table}/gen=0/_bases/upto=1")
+    assert sorted(r.hour_key for r in base.collect()) == ["20240101-02", "20240102-01"]   # 02h was written again
+    assert sorted(r.hour_key for r in jobs.read_hourly_uniques(spark, table, ttl=None).collect()) == \
+        ["20240101-02", "20240102-01"]
+
+
+def test_repartition_before_the_sink(spark, scratch):
+    table = scratch("clicks")
+    sink = jobs._delta_sink(spark, table, scratch("ckpt"), jobs.click_deltas, 3)
+    sink(_msgs_frame(spark, [("t", 0, i, _startup("c%d" % i)) for i in range(40)]), 0)
+    assert len(glob.glob(_local(table) + "/gen=0/batch_id=0/part-*.parquet")) == 3
+    assert jobs.read_click_counter(spark, table).count() == 40
+
+
+def test_archive_stream_restart_replay_and_day_load(spark, scratch):
+    """Two runs append to the same minute; a replay and an orphan file add no rows, by root or by day."""
+    src, out, ckpt = scratch("src"), scratch("archive"), scratch("ckpt")
+    schema = "topic string, partition int, offset long, timestamp timestamp, key string, value string"
+    from datetime import datetime
+    at = datetime(2024, 1, 5, 10, 20, 5)
+
+    def run():
+        jobs.archive_stream(stream_messages(spark, src), out, ckpt, trigger="availableNow").awaitTermination()
+
+    for n in range(2):
+        spark.createDataFrame([("t", 0, n, at, None, "line %d\nwith a break" % n)], schema).write.mode("append").parquet(src)
+        run()
+    minute = glob.glob(_local(out) + "/ym=202401/dd=05/hhmm=1020")[0]
+    for name in ("1", ".1.crc"):
+        marker = os.path.join(_local(ckpt), "commits", name)
+        if os.path.exists(marker):
+            os.remove(marker)
+    run()
+    with open(os.path.join(minute, "part-orphan.txt"), "wb") as f:
+        f.write(b"never committed\r\n")
+    want = ["line 0\nwith a break", "line 1\nwith a break"]
+    assert sorted(r.value for r in A.read_archive(spark, out).collect()) == want
+    assert sorted(r.value for r in A.read_archive(spark, out, day=["20240105", "20240107"]).collect()) == want
+    assert A.read_archive(spark, out, day="20240106").count() == 0
+    with pytest.raises(ValueError):
+        A.write_archive(spark.createDataFrame([("x", at)], "value string, timestamp timestamp"), out)
+
+
+def test_kafka_launcher_options(spark, scratch):
+    from logtide.streaming import run
+    table = scratch("clicks")
+
+    def options(*more):
+        return run.kafka_source_options(spark, run.parse_args(
+            ["clicks", "--kafka", "h:9092", "--table", table, "--checkpoint", "c", *more]))
+
+    first = options("--topic", "t", "--topic-partitions", "t:2", "--resume-from-ledger")     # nothing written yet
+    assert first["startingOffsets"] == '{"t": {"0": 0, "1": 0}}' and first["failOnDataLoss"] == "true"
+    deltas.write_batch(jobs.click_deltas(_msgs_frame(spark, [("t", 0, 4, "junk"), ("t", 1, 8, "junk")])), table, 0)
+    assert options("--assign", "t:0,1", "--resume-from-ledger")["startingOffsets"] == '{"t": {"0": 5, "1": 9}}'
+    assert options("--topic", "t", "--topic-partitions", "t:3", "--resume-from-ledger")["startingOffsets"] == \
+        '{"t": {"0": 0, "1": 0, "2": 0}}'
+    assert options("--assign", "t:1,0")["assign"] == '{"t": [0, 1]}'
+    assert options("--topic", "t", "--rate", "100", "--partitions", "3")["maxOffsetsPerTrigger"] == "1500"
+    assert options("--assign", "t:0,1", "--rate", "100", "--trigger", "10 seconds")["maxOffsetsPerTrigger"] == "2000"
+    assert options("--topic", "t", "--fail-on-data-loss", "false")["failOnDataLoss"] == "false"
+    for bad in ([], ["--topic", "t", "--assign", "t:0"], ["--topic", "t", "--resume-from-ledger"],
+                ["--topic", "t", "--rate", "1", "--partitions", "1", "--trigger", "availableNow"]):
+        with pytest.raises(SystemExit):
+            options(*bad)

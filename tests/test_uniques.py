@@ -12,7 +12,7 @@ from logtide.sources.tables import csv_lines, load_table
 
 def _uh(spark):
     ev = load_table(spark, SF001, "events")
-    return U.user_hours(as_messages(csv_lines(ev), "user-csv", 3, with_offsets=False))
+    return U.user_hours(as_messages(csv_lines(ev), "user-csv", 3))
 
 
 def test_hourly_and_daily_within_bound(spark):
