@@ -497,6 +497,28 @@ def week_begin_sql(spark, sf):
     return spark.sql("SELECT week_begin(ts) AS week_begin_ms, count(*) AS n FROM logtide_event_times GROUP BY 1")
 
 
+@register("date_functions_sql", f"""
+SELECT event_id, epoch_ms(date_trunc('day', ts)::TIMESTAMP) AS day_ms,
+       epoch_ms((date_trunc('month', ts) - INTERVAL 1 MONTH)::TIMESTAMP) AS last_month_ms,
+       epoch_ms((cast(ts AS DATE) + 1)::TIMESTAMP) AS next_day_str_ms,
+       epoch_ms(({_SUNDAY} + 7)::TIMESTAMP) AS next_week_str_ms,
+       epoch_ms(date_trunc('month', ts)::TIMESTAMP) AS month_str_ms,
+       strftime(ts, '%Y%m%d-%H') AS hour_text, strftime({_SUNDAY}, '%Y-%m-%d') AS sunday_text,
+       strftime(ts, '%Y/%m/%d') AS day_text FROM events""")
+def date_functions_sql(spark, sf):
+    """Every registered SQL function that takes a time, called from spark.sql."""
+    ev = _events(spark, sf, ["event_id", "ts"])
+    D.register_sql_functions(spark)
+    ev.select("event_id", _instant().alias("ts"), D.ntz_to_ms("ts").alias("ms"),
+              F.date_format(_instant(), "yyyy-MM-dd").alias("s")).createOrReplaceTempView("logtide_event_days")
+    return spark.sql("""
+        SELECT event_id, day_begin(ts) AS day_ms, month_begin(ts, -1) AS last_month_ms,
+               day_begin_str(s, 'yyyy-MM-dd', 1) AS next_day_str_ms, week_begin_str(s, 'yyyy-MM-dd', off => 1) AS next_week_str_ms,
+               month_begin_str(s, 'yyyy-MM-dd') AS month_str_ms, format_time(ms, 'yyyyMMdd-HH') AS hour_text,
+               format_time(ms, 'yyyy-MM-dd', 1) AS sunday_text, format_time_str(cast(ms AS STRING), 'yyyy/MM/dd') AS day_text
+        FROM logtide_event_days""")
+
+
 # ---- roll-ups of clicks by the buckets (table-level use of the UDFs) ---------------
 
 for _name, _bucket, _out, _sql in [
