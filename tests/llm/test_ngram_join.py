@@ -33,6 +33,7 @@ def _corpus(seed, passages=True):
 def test_components_match_brute_force(spark, monkeypatch, small, tile):
     monkeypatch.setattr(ngram_join, "SMALL", small)       # with small bounds every text meets others in split tiles
     monkeypatch.setattr(ngram_join, "TILE", tile)
+    monkeypatch.setattr(ngram_join, "CROSS_TILE", tile)
     docs = doc_rows(_corpus(small))
     got = {r.doc_id: r for r in ngram_join.ngram_components(
         spark.createDataFrame(docs, DOC_SCHEMA).withColumn("n", F.lit(1)).withColumn("tile", F.lit(1))).collect()}
