@@ -26,7 +26,7 @@ REPEATS = int(os.environ.get("BENCH_REPEATS", "3"))
 
 HEADLINE = ["city_click_counter", "hourly_uv_hll", "week_begin_offset"]
 # This filesystem forks a process per file and folder it creates: the archive is timed over the
-# whole of this smaller table (tens of thousands of minute folders already).
+# whole of this smaller table (nearly a folder per row already).
 ARCHIVE_SF_DIR = os.environ.get("BENCH_ARCHIVE_SF_DIR", os.path.join(os.path.dirname(SF_DIR), "sf0.001"))
 
 
