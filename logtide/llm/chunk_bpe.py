@@ -47,7 +47,7 @@ def cuts(text: str) -> np.ndarray:
 
 
 class ChunkCoder:
-    """Encodes texts chunk by chunk; `encode` gives (n, ids as text, tokens as text)."""
+    """Encodes texts chunk by chunk; encodings are (n, ids as text, tokens as text)."""
 
     def __init__(self, path: str):
         self.pieces = Pieces(path, self._encoded)
@@ -62,46 +62,60 @@ class ChunkCoder:
         ids = encoding.ids
         return len(ids), " ".join(map(str, ids)), " ".join([self.names[i] for i in ids])
 
-    def _words(self, words: list[str]) -> list[tuple[int, str, str]]:
-        self.pieces.learn(set(words))
-        return [self.pieces.cache[w] for w in words]
-
-    def _chunk(self, chunk: str) -> tuple:
-        """(head, joined encoding of the words between, tail); without white space all of it is head."""
-        got = self.chunks.get(chunk)
-        if got is None:
-            first = _FIRST.search(chunk)
-            if not first:
-                got = (chunk, None, "")
-            else:
-                words = self.pieces.pattern.findall(chunk, first.end())
-                tail = "" if _FIRST.match(chunk[-1]) or not words else words.pop()
-                got = (chunk[:first.start()], _joined(self._words(words)), tail)
-            if len(self.chunks) >= CACHE_CHUNKS:
-                self.chunks.clear()
-            self.chunks[chunk] = got
-        return got
+    @staticmethod
+    def _parts(chunk: str, words) -> tuple[str, list[str] | None, str]:
+        """(head, words between the first and last white space, tail); without white space all is head."""
+        first = _FIRST.search(chunk)
+        if not first:
+            return chunk, None, ""
+        between = words.findall(chunk, first.end())
+        tail = "" if not between or _FIRST.match(chunk[-1]) else between.pop()
+        return chunk[:first.start()], between, tail
+
+    def encode_all(self, texts: list[str]) -> list[tuple[int, str, str]]:
+        """The encoding of each text. Chunks not seen yet and words that cuts split go to the library in one batch."""
+        fresh: dict[str, tuple] = {}
+        wanted: set[str] = set()
+        plans = []                 # per text: chunks, and the words (str in a list) that joins or specials give
+        for text in texts:
+            plan: list = []
+            for part in self.pieces.segments(text):
+                if part in self.pieces.special:
+                    plan.append([part])
+                    continue
+                at = [0, *cuts(part).tolist(), len(part)]
+                split: list[str] = []              # what the cuts so far have split
+                for a, b in zip(at, at[1:]):
+                    chunk = part[a:b]
+                    known = self.chunks.get(chunk) or fresh.get(chunk)
+                    if known is None:
+                        known = fresh[chunk] = self._parts(chunk, self.pieces.pattern)
+                        wanted.update(known[1] or ())
+                    split.append(known[0])
+                    if known[1] is not None:
+                        plan += [["".join(split)], chunk]
+                        split = [known[2]]
+                plan.append(["".join(split)])
+            wanted.update(w[0] for w in plan if isinstance(w, list) and w[0])
+            plans.append(plan)
+        self.pieces.learn(wanted)
+        cache = self.pieces.cache
+        for chunk, (head, between, tail) in fresh.items():
+            fresh[chunk] = (head, None if between is None else _joined([cache[w] for w in between]), tail)
+
+        def chunk_of(chunk: str) -> tuple[int, str, str]:
+            return (self.chunks.get(chunk) or fresh[chunk])[1]
+
+        out = [_joined([cache[x[0]] if isinstance(x, list) else chunk_of(x) for x in plan
+                        if not isinstance(x, list) or x[0]]) for plan in plans]
+        if len(self.chunks) + len(fresh) > CACHE_CHUNKS:
+            self.chunks.clear()
+        self.chunks.update(fresh)
+        self.pieces.forget()
+        return out
 
     def encode(self, text: str) -> tuple[int, str, str]:
-        done: list[tuple[int, str, str]] = []
-        for part in self.pieces.segments(text):
-            if part in self.pieces.special:
-                done += self._words([part])
-                continue
-            at = [0, *cuts(part).tolist(), len(part)]
-            open_word: list[str] = []          # what the cuts so far have split
-            for a, b in zip(at, at[1:]):
-                head, middle, tail = self._chunk(part[a:b])
-                open_word.append(head)
-                if middle is not None:
-                    word = "".join(open_word)
-                    done += self._words([word]) if word else []
-                    done.append(middle)
-                    open_word = [tail]
-            word = "".join(open_word)
-            done += self._words([word]) if word else []
-        self.pieces.forget()
-        return _joined(done)
+        return self.encode_all([text])[0]
 
     def decode(self, ids: list[int]) -> str:
         return self.pieces.tok.decode(ids, skip_special_tokens=False)
@@ -121,7 +135,7 @@ def coder(path: str) -> ChunkCoder:
 def encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_tokens, ids, decoded) per document: ids in decimal, separated by one space."""
     def run(part):
-        made = [coder(tokenizer).encode(t) for t in texts_of(part, text_col)]
+        made = coder(tokenizer).encode_all(texts_of(part, text_col))
         return {"n_tokens": np.array([m[0] for m in made], np.int64), "ids": [m[1] for m in made],
                 "decoded": [m[2] if coder(tokenizer).plain else coder(tokenizer).decode([int(i) for i in m[1].split()])
                             for m in made]}
