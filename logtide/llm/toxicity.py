@@ -34,7 +34,7 @@ WORD_BITS, RUN_BITS = 15, 16
 WORD_DIM, RUN_DIM, HIDDEN = 6, 6, 10
 RUNS = (3, 4, 5)
 TOP = 3
-PER_CLASS = 1000           # bound of labelled rows learned from, per class
+PER_CLASS = 800           # bound of labelled rows learned from, per class
 FEW = 100                  # with fewer texts of a class all are learned from and fit the curve too
 TRAIN_CHARS = 10_000       # labelled texts longer than this are scored, not learned from
 PREDICT_AT = 0.7           # fixed value: score from which a text counts as toxic
@@ -238,12 +238,16 @@ def _fit_curve(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return w
 
 
-def _shrunken_odds(doc: np.ndarray, bucket: np.ndarray, bits: int, y: np.ndarray) -> np.ndarray:
-    """Per bucket the log odds of the texts that hold it, in standard errors beyond 2."""
+def _holders(doc: np.ndarray, bucket: np.ndarray, bits: int, y: np.ndarray) -> np.ndarray:
+    """Per bucket how many clean and how many toxic texts hold it: two rows."""
     pair = np.unique(doc * (1 << bits) + bucket)
-    in_doc, b = y[pair >> bits], pair & ((1 << bits) - 1)
-    one = np.bincount(b[in_doc == 1], minlength=1 << bits) + 0.5
-    none = np.bincount(b[in_doc == 0], minlength=1 << bits) + 0.5
+    toxic, b = y[pair >> bits] == 1, pair & ((1 << bits) - 1)
+    return np.stack([np.bincount(b[~toxic], minlength=1 << bits), np.bincount(b[toxic], minlength=1 << bits)])
+
+
+def _shrunken_odds(holders: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Per bucket the log odds of the texts that hold it, in standard errors beyond 2."""
+    none, one = holders + 0.5
     odds = np.log(one / (y.sum() + 1)) - np.log(none / (len(y) - y.sum() + 1))
     err = odds / np.sqrt(1 / one + 1 / none)
     return np.sign(err) * np.maximum(np.abs(err) - 2, 0)
@@ -267,12 +271,17 @@ def fit(texts: list[str], labels: np.ndarray, share: float | None = None, rounds
     number = np.cumsum(~held) - 1                       # learned texts, renumbered
     own_y = y[~held]
     doc = number[words.doc[seen]]
-    word_odds = _shrunken_odds(doc, words.word[words.inverse[seen]], WORD_BITS, own_y)
+    word_odds = _shrunken_odds(_holders(doc, words.word[words.inverse[seen]], WORD_BITS, own_y), own_y)
     pair = np.unique(doc * len(words.word) + words.inverse[seen])
-    w_of, d_of = pair % len(words.word), pair // len(words.word)
-    count = words.run_count[w_of]
-    run_at = np.repeat(words.run_start[w_of], count) + np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-    run_odds = _shrunken_odds(np.repeat(d_of, count), words.run[run_at], RUN_BITS, own_y)
+    cuts = np.searchsorted(pair, np.arange(0, len(own_y) + 64, 64) * len(words.word))
+    holders = np.zeros((2, 1 << RUN_BITS), np.int64)
+    for lo, hi in zip(cuts, cuts[1:]):                  # 64 texts at a time
+        w_of, d_of = pair[lo:hi] % len(words.word), pair[lo:hi] // len(words.word)
+        count = words.run_count[w_of]
+        within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
+        run_at = np.repeat(words.run_start[w_of], count) + within
+        holders += _holders(np.repeat(d_of, count), words.run[run_at], RUN_BITS, own_y)
+    run_odds = _shrunken_odds(holders, own_y)
     net.p["word"][:, 0] = 0.3 * word_odds
     net.p["run"][:, 0] = 0.3 * run_odds
     first = net.inputs(words)
