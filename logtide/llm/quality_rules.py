@@ -25,7 +25,7 @@ from logtide.llm.chars import Chars, U
 from logtide.llm.common import labelled_sample, map_kept, map_texts, texts_of
 
 BITS = 18
-TRAIN_ROWS = 2000          # bound of labelled rows the weights are fitted on
+TRAIN_ROWS = 1500          # bound of labelled rows the weights are fitted on
 MIN_WORDS = 20             # fixed value: base rule
 MAX_REPEAT_PERCENT = 30    # fixed value: base rule
 KEEP_PROBABILITY = 0.5     # fixed threshold of the verdict
