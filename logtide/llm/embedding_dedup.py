@@ -11,6 +11,9 @@ that meet pairwise. Inside a tile pair the products of the leading dimensions
 are accumulated block by block; Cauchy-Schwarz bounds what the rest can add by
 the product of the suffix norms, and a pair stops when its bound cannot reach the
 threshold. Pairs left within rounding of it are decided on the original vectors.
+A tile pair returns, per vector, how many vectors it links with and the least
+member of its component there, never the pairs themselves, so a large group of
+near copies costs rows in proportion to its members.
 
 Defined results: null vectors, zero vectors and vectors with a null or
 non-finite component link with nothing (n_links 0, a component of their own);
@@ -196,8 +199,23 @@ def _dealt(cells: DataFrame, leading: int) -> DataFrame:
                     (F.col("here") == F.col("there")).alias("alone"), "dim", "group", "weight", "vector"))
 
 
-def link_pairs(groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(a, b, weight_a, weight_b) of every pair of distinct vectors of `groups` that links."""
+def tile_roots(i: np.ndarray, j: np.ndarray, size: int) -> np.ndarray:
+    """Least index of each index's component under the pairs (i, j)."""
+    low = np.arange(size)
+    while True:
+        least = np.minimum(low[i], low[j])
+        new = low.copy()
+        np.minimum.at(new, i, least)
+        np.minimum.at(new, j, least)
+        new = new[new]
+        if (new == low).all():
+            return low
+        low = new
+
+
+def link_sums(groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, links) per distinct vector of `groups` and tile pair in which it links: a itself, b the
+    least vector of its component there, links the rows that it links with there."""
     axes = principal_axes(groups)
     width = float(np.sqrt(max(0.0, 2 - 2 * threshold)) * (1 + 1e-9) + 1e-9)
     leading = _leading(groups.count())
@@ -215,8 +233,12 @@ def link_pairs(groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if alone:
             i, j = i[i < j], j[i < j]
         i, j = x[i], y[j]
-        return pa.RecordBatch.from_arrays([pa.array(group[i]), pa.array(group[j]), pa.array(weight[i]),
-                                           pa.array(weight[j])], names=["a", "b", "weight_a", "weight_b"])
+        size = len(group)
+        links = np.bincount(i, weight[j], size) + np.bincount(j, weight[i], size)
+        linked = np.flatnonzero(links)
+        root = group[tile_roots(i, j, size)]
+        return pa.RecordBatch.from_arrays([pa.array(group[linked]), pa.array(root[linked]),
+                                           pa.array(links[linked].astype(np.int64))], names=["a", "b", "links"])
 
     def run(batches):
         held, name = [], None
@@ -234,7 +256,7 @@ def link_pairs(groups: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         if held:
             yield tile_pairs(pa.Table.from_batches(held))
 
-    return map_arrow(dealt, run, "a long, b long, weight_a long, weight_b long")
+    return map_arrow(dealt, run, "a long, b long, links long")
 
 
 def embedding_links(rows: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
@@ -246,11 +268,9 @@ def embedding_links(rows: DataFrame, threshold: float = THRESHOLD, id_col: str =
     groups = written(spark, vectors.where("vector IS NOT NULL").groupBy("vector", "dim")
                      .agg(F.count(F.lit(1)).alias("weight"), F.min("_id").alias("low"))
                      .withColumn("group", F.monotonically_increasing_id()), "vector-groups")
-    pairs = written(spark, link_pairs(groups.select("group", "weight", "dim", "vector"), threshold), "vector-links")
-    both = pairs.select(F.col("a").alias("group"), F.col("weight_b").alias("w")).unionAll(
-        pairs.select(F.col("b").alias("group"), F.col("weight_a").alias("w")))
-    links = both.groupBy("group").agg(F.sum("w").alias("others"))
-    roots = components(pairs.select("a", "b"), "vector-star")
+    sums = written(spark, link_sums(groups.select("group", "weight", "dim", "vector"), threshold), "vector-links")
+    links = sums.groupBy(F.col("a").alias("group")).agg(F.sum("links").alias("others"))
+    roots = components(sums.select("a", "b"), "vector-star")
     named = (groups.select("vector", "group", "weight", "low").join(links, "group", "left")
              .join(roots.withColumnRenamed("node", "group"), "group", "left")
              .withColumn("root", F.coalesce("root", "group"))
