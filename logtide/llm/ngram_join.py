@@ -12,7 +12,7 @@ equal tiles of several keys are one); a more frequent key is cut into size
 bands, a band into parts of about `TILE` sets, and part meets part only within a
 band or with the next, since sets to link differ in size by 4/3 at most.
 
-In a tile, bit counts of the signatures (about two bits a shingle, folded to the
+In a tile, bit counts of the signatures (four to eight bits a shingle, folded to the
 shorter) bound the overlap of two sets from above: a bit that only one of them
 has stands for a shingle that the other lacks. Only pairs whose bound reaches
 the threshold go on to an exact intersection of the sorted hash arrays. The
@@ -46,7 +46,7 @@ SMALL = 64
 TILE = 1024
 BAND = 4 / 3
 SALTS = 8
-WIDEST = 1 << 14           # bits of the longest signature
+WIDEST = 1 << 16           # bits of the longest signature
 
 
 def shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -71,8 +71,8 @@ def shingles(texts: list[str], words: int = WORDS) -> tuple[np.ndarray, np.ndarr
 
 
 def signature(hashes: np.ndarray) -> bytes:
-    """Bitmap of about two to four bits per shingle (256 bits at least)."""
-    bits = min(WIDEST, max(256, 1 << int(2 * len(hashes) - 1).bit_length()))
+    """Bitmap of four to eight bits per shingle (256 bits at least)."""
+    bits = min(WIDEST, max(256, 1 << int(4 * len(hashes) - 1).bit_length()))
     flags = np.zeros(bits, bool)
     flags[(hashes >> np.uint64(20)).astype(np.int64) % bits] = True
     return np.packbits(flags, bitorder="little").tobytes()
@@ -242,20 +242,28 @@ def _pairs(tiles: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
 
 
 def _hash_arrays(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(_id, digest, hashes) of the documents whose (_id, digest) is in `chosen`: the exact sorted arrays."""
+    """(_id, n, hashes) of the documents whose _id is in `chosen`: the exact sorted arrays.
+
+    The join brings all rows of an id to one task, which skips those whose set it has seen."""
     texts = (docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
              .join(chosen.select("_id").distinct().hint("shuffle_hash"), "_id", "left_semi"))
 
     def run(batches):
+        seen = set()
         for whole in batches:
             for part in slices(whole, "_text"):
                 h, cut = shingles(texts_of(part, "_text"))
+                rows = []
+                for i, a, b in zip(part.column("_id").to_pylist(), cut, cut[1:]):
+                    mark = (i, hashlib.md5(h[a:b].tobytes()).digest()[:8])
+                    if b > a and mark not in seen:
+                        seen.add(mark)
+                        rows.append((i, b - a, h[a:b].tobytes()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("_id"), pa.array(np.diff(cut).astype(np.int64)),
-                     pa.array([h[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary())],
-                    names=["_id", "n", "hashes"])
+                    [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int64()),
+                     pa.array([r[2] for r in rows], pa.binary())], names=["_id", "n", "hashes"])
 
-    return map_arrow(texts, run, "_id long, n long, hashes binary").where("n > 0")
+    return map_arrow(texts, run, "_id long, n long, hashes binary")
 
 
 def _linked(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
@@ -290,8 +298,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = reps.select(F.explode("keys").alias("key"), "_id", "n")
     often = named.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     keys = written(spark, named.join(often, "key"), "set-keys")
-    arrays = written(spark, _hash_arrays(docs, keys, id_col, text_col)
-                     .dropDuplicates(["_id", "hashes"]), "set-arrays")
+    arrays = written(spark, _hash_arrays(docs, keys, id_col, text_col), "set-arrays")
 
     rooted = _tiles(keys, cross=False).withColumn("root", F.col("_id"))
     first = written(spark, _linked(_pairs(rooted, reps, forest=True), arrays), "links")
