@@ -9,7 +9,7 @@ least 3 in 4, and a common one is among the least of both; so two sets to link
 share a key but for odds of 0.25**24, below those of a hash collision. Sets that
 share a key meet in a tile. A key of at most `SMALL` sets makes one tile (and
 equal tiles of several keys are one); a more frequent key is cut into size
-bands, a band into parts of about `TILE` sets, and part meets part only within a
+bands, a band into parts of bounded size, and part meets part only within a
 band or with the next, since sets to link differ in size by 4/3 at most.
 
 In a tile, bit counts of the signatures (four to eight bits a shingle, folded to the
@@ -18,7 +18,8 @@ has stands for a shingle that the other lacks. Only pairs whose bound reaches
 the threshold go on to an exact intersection of the sorted hash arrays. The
 first round tries, per tile, the heaviest spanning forest of those pairs, which
 joins a group of near copies by as many pairs as it has members; the second
-tries every other pair whose sides are not joined yet. So no link between
+tries every other pair whose sides are not joined yet; keys whose sets are
+all joined by then drop out before anything is dealt. So no link between
 different components is lost, and no group is expanded into all its pairs.
 
 Defined results: texts without words (null, empty) have no set and link with
@@ -43,7 +44,8 @@ WORDS = 5                  # fixed value: words in a shingle
 PERCENT = 75               # fixed value: least similarity, percent
 KEYS = 24
 SMALL = 64
-TILE = 1024
+TILE = 1024                # sets of a part in the first round
+CROSS_TILE = 4096          # and in the second, where only pairs of different components are kept
 BAND = 4 / 3
 SALTS = 8
 WIDEST = 1 << 16           # bits of the longest signature
@@ -116,12 +118,15 @@ def reaches(overlap: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray
     return 100 * overlap >= PERCENT * (n_a + n_b - overlap)
 
 
-def _candidates(n: np.ndarray, blobs: list[bytes], left: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(i, j, bound) of the pairs of a tile that may link; pairs of two parts only if the tile has two."""
+def _candidates(n: np.ndarray, blobs: list[bytes], left: np.ndarray, roots: np.ndarray,
+                home: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(i, j, bound) of the pairs of a tile that may link and have different roots: of left sets
+    with right ones, and in a home tile of left ones with each other."""
     found = []
     order = np.argsort(n, kind="stable")
-    sides = [(order, order)] if left.all() else [(order[left[order]], order[~left[order]])]
-    for a_all, b_all in sides:
+    a_all, b_side = order[left[order]], order[~left[order]]
+    for b_all in ([a_all] if home else []) + ([b_side] if len(b_side) else []):
+        own = b_all is a_all
         for at in range(0, len(a_all), 256):
             a = a_all[at:at + 256]
             # sizes within the threshold of one of the block's
@@ -130,16 +135,13 @@ def _candidates(n: np.ndarray, blobs: list[bytes], left: np.ndarray) -> tuple[np
                 continue
             bits = _same_width([blobs[k] for k in a] + [blobs[k] for k in b])
             bound = overlap_bound(n[a], bits[:len(a)], n[b], bits[len(a):])
-            ok = reaches(bound, n[a][:, None], n[b][None, :])
+            ok = reaches(bound, n[a][:, None], n[b][None, :]) & (roots[a][:, None] != roots[b][None, :])
             i, j = np.nonzero(ok)
-            found.append((a[i], b[j], bound[i, j]))
-    if not found:
-        return (np.zeros(0, np.int64),) * 3
-    i, j, bound = (np.concatenate(x) for x in zip(*found))
-    if left.all():
-        keep = i < j
-        i, j, bound = i[keep], j[keep], bound[keep]
-    return i, j, bound
+            i, j, bound = a[i], b[j], bound[i, j]
+            if own:                                 # each pair once
+                i, j, bound = i[i < j], j[i < j], bound[i < j]
+            found.append((i, j, bound))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
 
 
 def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, size: int) -> np.ndarray:
@@ -171,34 +173,39 @@ def _tiles(keys: DataFrame, cross: bool) -> DataFrame:
                    F.explode("members").alias("_id")))
     many = keys.where(F.col("sets") > SMALL).withColumn(
         "band", F.floor(F.log(BAND, F.col("n").cast("double"))).cast("int"))
-    parts = (many.groupBy("key", "band").agg(F.ceil(F.count(F.lit(1)) / TILE).cast("int").alias("parts"))
+    parts = (many.groupBy("key", "band")
+             .agg(F.ceil(F.count(F.lit(1)) / (CROSS_TILE if cross else TILE)).cast("int").alias("parts"))
              .groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("band", "parts"))).alias("parts")))
     dealt = many.join(parts, "key").withColumn(
         "part", F.pmod(F.xxhash64("_id", "key"), F.expr("parts[band]")).cast("int"))
+    band, part = F.col("band"), F.col("part")
 
-    def name(b1, p1, b2, p2):
-        return F.concat_ws("/", F.col("key").cast("string"), b1.cast("string"), p1.cast("string"),
-                           b2.cast("string"), p2.cast("string"))
+    def home(b, p):
+        return F.concat_ws("/", F.lit("home"), F.col("key").cast("string"), b.cast("string"), p.cast("string"))
 
-    band, part = F.col("band"), F.col("part")
     if not cross:
-        own = dealt.select(name(band, part, band, part).alias("tile"), F.lit(True).alias("left"), "_id")
-        return few.unionByName(own)
+        return few.unionByName(dealt.select(home(band, part).alias("tile"), F.lit(True).alias("left"), "_id"))
 
-    def others(b):
-        return F.transform(F.sequence(F.lit(1), F.coalesce(F.try_element_at(F.col("parts"), b), F.lit(0))), lambda x: x - 1)
+    def meet(b1, p1, b2, p2):
+        return F.concat_ws("/", F.lit("x"), F.col("key").cast("string"), b1.cast("string"), p1.cast("string"),
+                           b2.cast("string"), p2.cast("string"))
 
-    def only(b, seq):
-        return F.when(F.try_element_at(F.col("parts"), b).isNotNull(), seq).otherwise(F.array().cast("array<int>"))
+    def each(b, keep, row):
+        """`row` of the parts p of band b that `keep` takes; none where the key has no such band."""
+        count = F.coalesce(F.try_element_at(F.col("parts"), b), F.lit(0))
+        numbers = F.transform(F.sequence(F.lit(1), F.greatest(count, F.lit(1))), lambda x: x - 1)
+        return F.transform(F.filter(numbers, lambda p: (count > 0) & keep(p)), row)
 
-    nxt, prev = band + 1, band - 1
+    # a part's home tile holds the part on the left and, on the right, the first part of the next band
     meets = F.concat(
-        F.transform(only(band, others(band)), lambda p: F.struct(
-            name(band, F.least(part, p), band, F.greatest(part, p)).alias("tile"), (part <= p).alias("left"))),
-        F.transform(only(nxt, others(nxt)), lambda p: F.struct(
-            name(band, part, nxt, p).alias("tile"), F.lit(True).alias("left"))),
-        F.transform(only(prev, others(prev)), lambda p: F.struct(
-            name(prev, p, band, part).alias("tile"), F.lit(False).alias("left"))))
+        F.array(F.struct(home(band, part).alias("tile"), F.lit(True).alias("left"))),
+        each(band, lambda p: p != part, lambda p: F.struct(
+            meet(band, F.least(part, p), band, F.greatest(part, p)).alias("tile"), (part < p).alias("left"))),
+        each(band + 1, lambda p: p > 0, lambda p: F.struct(
+            meet(band, part, band + 1, p).alias("tile"), F.lit(True).alias("left"))),
+        each(band - 1, lambda p: p >= 0, lambda p: F.struct(
+            F.when(part == 0, home(band - 1, p)).otherwise(meet(band - 1, p, band, part)).alias("tile"),
+            F.lit(False).alias("left"))))
     return few.unionByName(dealt.select("_id", F.inline(meets)).select("tile", "left", "_id"))
 
 
@@ -213,8 +220,9 @@ def _pairs(tiles: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
     def tile_pairs(t: pa.Table):
         ids, roots = t.column("_id").to_numpy(), t.column("root").to_numpy()
         n, left = t.column("n").to_numpy(), t.column("left").to_numpy(zero_copy_only=False)
-        i, j, bound = _candidates(n, t.column("bits").to_pylist(), left)
-        apart = (roots[i] != roots[j]) & (ids[i] != ids[j])
+        i, j, bound = _candidates(n, t.column("bits").to_pylist(), left, roots,
+                                  not t.column("tile")[0].as_py().startswith("x/"))
+        apart = ids[i] != ids[j]
         i, j, bound = i[apart], j[apart], bound[apart]
         if forest and len(i):
             pick = _forest(i, j, bound / (n[i] + n[j] - bound), len(ids))
@@ -304,11 +312,13 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = written(spark, _linked(_pairs(rooted, reps, forest=True), arrays), "links")
     roots = written(spark, components(first, "star"), "roots")
 
-    with_root = (_tiles(keys, cross=True).join(roots.withColumnRenamed("node", "_id"), "_id", "left")
+    known = keys.join(roots.withColumnRenamed("node", "_id"), "_id", "left").withColumn("root", F.coalesce("root", "_id"))
+    open_keys = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")) \
+                     .where("low < high").select("key")
+    with_root = (_tiles(keys.join(open_keys, "key", "left_semi"), cross=True)
+                 .join(roots.withColumnRenamed("node", "_id"), "_id", "left")
                  .withColumn("root", F.coalesce("root", "_id")))
-    mixed = with_root.groupBy("tile").agg(F.min("root").alias("low"), F.max("root").alias("high")) \
-                     .where("low < high").select("tile")
-    second = _linked(_pairs(with_root.join(mixed, "tile", "left_semi"), reps, forest=False), arrays)
+    second = _linked(_pairs(with_root, reps, forest=False), arrays)
     # rows that repeat an id tie their sets together
     twice = usable.select("_id", "digest").distinct().join(groups, "digest").where("rep <> _id") \
         .select(F.col("_id").alias("a"), F.col("rep").alias("b"))
