@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from logtide.session import scratch_path
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 
 
 _shipped: set[str] = set()

@@ -23,7 +23,7 @@ SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u
 BYTE_LEVEL = re.compile(rf" ?[A-Za-zÀ-ÖØ-öø-ɏ]+(?=[{SPACE}!-/:-@\[-`{{-~]|\Z)"
                         rf"| ?[^{SPACE}]+|[{SPACE}]+(?![^{SPACE}])|[{SPACE}]+")
 WHITE_SPACE = re.compile(rf"[^{SPACE}]+")     # pre-tokenizers that drop white space
-CACHE_PIECES = 300_000
+CACHE_PIECES = 200_000
 LONG_PIECE = 64
 
 
