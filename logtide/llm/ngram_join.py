@@ -16,8 +16,9 @@ In a tile, bit counts of the signatures (four to eight bits a shingle, folded to
 shorter) bound the overlap of two sets from above: a bit that only one of them
 has stands for a shingle that the other lacks. Only pairs whose bound reaches
 the threshold go on to an exact intersection of the sorted hash arrays. The
-first round tries, per tile, the heaviest spanning forest of those pairs, which
-joins a group of near copies by as many pairs as it has members; the second
+first round tries, per tile of the `FIRST_KEYS` least keys, the heaviest spanning
+forest of those pairs, which joins a group of near copies by as many pairs as it
+has members; the second, over all keys,
 tries every other pair whose sides are not joined yet; keys whose sets are
 all joined by then drop out before anything is dealt. So no link between
 different components is lost, and no group is expanded into all its pairs.
@@ -43,6 +44,7 @@ from logtide.llm.graph import components
 WORDS = 5                  # fixed value: words in a shingle
 PERCENT = 75               # fixed value: least similarity, percent
 KEYS = 24
+FIRST_KEYS = 4             # keys of a set that the first round deals by
 SMALL = 64
 TILE = 1024                # sets of a part in the first round
 CROSS_TILE = 4096          # and in the second, where only pairs of different components are kept
@@ -303,12 +305,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     groups = written(spark, usable.groupBy("digest").agg(F.min("_id").alias("rep")), "set-groups")
     reps = written(spark, usable.join(groups.withColumnRenamed("rep", "_id"), ["digest", "_id"], "left_semi")
                    .dropDuplicates(["_id", "digest"]), "set-reps")
-    named = reps.select(F.explode("keys").alias("key"), "_id", "n")
+    named = reps.select(F.posexplode("keys").alias("rank", "key"), "_id", "n")
     often = named.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     keys = written(spark, named.join(often, "key"), "set-keys")
     arrays = written(spark, _hash_arrays(docs, keys, id_col, text_col), "set-arrays")
 
-    rooted = _tiles(keys, cross=False).withColumn("root", F.col("_id"))
+    rooted = _tiles(keys.where(F.col("rank") < FIRST_KEYS), cross=False).withColumn("root", F.col("_id"))
     first = written(spark, _linked(_pairs(rooted, reps, forest=True), arrays), "links")
     roots = written(spark, components(first, "star"), "roots")
 
