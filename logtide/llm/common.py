@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import zipfile
@@ -52,6 +53,10 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
+    # Spark deletes the shuffle files of a finished job when the driver collects its garbage; a chain of
+    # steps would otherwise hold those of all its jobs on the executors' disks
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
