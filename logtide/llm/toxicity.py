@@ -9,10 +9,13 @@ gives the score.
 
 Trained here in numpy by back-propagation through time. A text's label says only
 that some window is toxic, so a toxic text contributes its highest windows and a
-clean one its highest and others; the first choice and the first coordinate of
+clean one its highest and another; the first choice and the first coordinate of
 each vector come from shrunken log odds of words and runs in the training texts.
-Bounds: `PER_CLASS` labelled rows per class of at most `TRAIN_CHARS` code points
-are learned from; a quarter of them fit only the logistic curve (unless a class has fewer than `FEW`).
+Bounds: `PER_CLASS` labelled texts per class, of any length, are learned from; a
+quarter of them fit only the logistic curve (unless a class has fewer than `FEW`).
+They stay on the executors: in each round those look at all windows of all learned
+texts and send at most two per text, whose words go whole; the curve is fitted on
+scores of whole texts.
 
 Defined results: a text without words (null, empty) scores 0.0. Without labelled
 rows of both classes there is no model and every score is 0.0.
@@ -23,20 +26,20 @@ from __future__ import annotations
 import dataclasses
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.chars import Chars, U
-from logtide.llm.common import labelled_sample, map_texts, texts_of
+from logtide.llm.chars import Chars, U, mix
+from logtide.llm.common import labelled_sample, map_texts, texts_of, written
 
 WINDOW, STRIDE = 32, 24
 WORD_BITS, RUN_BITS = 15, 16
 WORD_DIM, RUN_DIM, HIDDEN = 6, 6, 10
 RUNS = (3, 4, 5)
 TOP = 3
-PER_CLASS = 800           # bound of labelled rows learned from, per class
+PER_CLASS = 1500          # bound of labelled rows learned from, per class
 FEW = 100                  # with fewer texts of a class all are learned from and fit the curve too
-TRAIN_CHARS = 10_000       # labelled texts longer than this are scored, not learned from
 PREDICT_AT = 0.7           # fixed value: score from which a text counts as toxic
 NOTHING = -8.0             # log odds that stand for a missing window
 BLOCK = 4096
@@ -52,6 +55,7 @@ class Words:
         self.inverse, self.doc = inverse.astype(np.int64), chars.wdoc
         self.word = (distinct >> U(64 - WORD_BITS)).astype(np.int64)
         s, e = chars.ws[first], chars.we[first]
+        self.codes, self.begin, self.end = chars.codes, s, e
         size = e - s + 2
         start = np.concatenate([[0], np.cumsum(size)])
         owner = np.repeat(np.arange(len(s)), size)
@@ -89,6 +93,11 @@ class Words:
         self.index = (self.inverse[np.where(self.valid, begin[self.wdoc][:, None] + pos, 0)] if len(self.wdoc)
                       else np.zeros((0, WINDOW), np.int64))
 
+    def spelled(self, row: int) -> str:
+        """The words of a window, apart by spaces."""
+        return " ".join(self.codes[self.begin[w]:self.end[w]].tobytes().decode("utf-32-le", "surrogatepass")
+                        for w in self.index[row][self.valid[row]])
+
     def part(self, rows: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
         """(the distinct words of these windows, the windows as indices into them, valid)."""
         used, index = np.unique(self.index[rows], return_inverse=True)
@@ -245,70 +254,152 @@ def _holders(doc: np.ndarray, bucket: np.ndarray, bits: int, y: np.ndarray) -> n
     return np.stack([np.bincount(b[~toxic], minlength=1 << bits), np.bincount(b[toxic], minlength=1 << bits)])
 
 
-def _shrunken_odds(holders: np.ndarray, y: np.ndarray) -> np.ndarray:
+def _shrunken_odds(holders: np.ndarray, clean: int, toxic: int) -> np.ndarray:
     """Per bucket the log odds of the texts that hold it, in standard errors beyond 2."""
     none, one = holders + 0.5
-    odds = np.log(one / (y.sum() + 1)) - np.log(none / (len(y) - y.sum() + 1))
+    odds = np.log(one / (toxic + 1)) - np.log(none / (clean + 1))
     err = odds / np.sqrt(1 / one + 1 / none)
     return np.sign(err) * np.maximum(np.abs(err) - 2, 0)
 
 
-def fit(texts: list[str], labels: np.ndarray, share: float | None = None, rounds: int = 3, steps: int = 100, batch: int = 128) -> Net | None:
-    """Train on three quarters of the texts, fit the curve on the rest (both on all, if a class has few).
-
-    `share` is that of toxic texts where scores are to be probabilities; the sample's own by default."""
-    y = np.asarray(labels).astype(np.int64)
-    if len(set(y.tolist())) < 2:
-        return None
-    held = np.random.default_rng(5).permutation(len(y)) % 4 == 3
-    if min(y.sum(), len(y) - y.sum()) < FEW:
-        held = np.zeros(len(y), bool)
+def holders_of(texts: list[str], y: np.ndarray) -> np.ndarray:
+    """Per word bucket, then per run bucket, how many clean and how many toxic texts hold it: two rows."""
     words = Words(texts)
-    if not len(words.wdoc):
-        return None
-    net = Net.new()
-    seen = ~held[words.doc]
-    number = np.cumsum(~held) - 1                       # learned texts, renumbered
-    own_y = y[~held]
-    doc = number[words.doc[seen]]
-    word_odds = _shrunken_odds(_holders(doc, words.word[words.inverse[seen]], WORD_BITS, own_y), own_y)
-    pair = np.unique(doc * len(words.word) + words.inverse[seen])
-    cuts = np.searchsorted(pair, np.arange(0, len(own_y) + 64, 64) * len(words.word))
-    holders = np.zeros((2, 1 << RUN_BITS), np.int64)
+    of_words = _holders(words.doc, words.word[words.inverse], WORD_BITS, y)
+    pair = np.unique(words.doc * len(words.word) + words.inverse)
+    cuts = np.searchsorted(pair, np.arange(0, len(y) + 64, 64) * len(words.word))
+    of_runs = np.zeros((2, 1 << RUN_BITS), np.int64)
     for lo, hi in zip(cuts, cuts[1:]):                  # 64 texts at a time
+        if lo == hi:
+            continue
         w_of, d_of = pair[lo:hi] % len(words.word), pair[lo:hi] // len(words.word)
         count = words.run_count[w_of]
         within = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
         run_at = np.repeat(words.run_start[w_of], count) + within
-        holders += _holders(np.repeat(d_of, count), words.run[run_at], RUN_BITS, own_y)
-    run_odds = _shrunken_odds(holders, own_y)
-    net.p["word"][:, 0] = 0.3 * word_odds
-    net.p["run"][:, 0] = 0.3 * run_odds
-    first = net.inputs(words)
-    hint = first[:, 0] + first[:, WORD_DIM]
-    z = (np.where(words.valid, np.maximum(hint[words.index], 0), 0)).sum(1)
+        of_runs += _holders(np.repeat(d_of, count), words.run[run_at], RUN_BITS, y)
+    return np.hstack([of_words, of_runs])
+
+
+def chosen_windows(texts: list[str], y: np.ndarray, seed: np.ndarray, net: Net, r: int) -> tuple[list[str], np.ndarray]:
+    """(words, toxic) of the windows to learn from in round `r`, at most two per text, out of all its windows."""
+    words = Words(texts)
+    if not len(words.wdoc):
+        return [], np.zeros(0, np.int64)
+    if r:
+        z = net.windows(words)
+    else:
+        first = net.inputs(words)
+        hint = np.maximum(first[:, 0] + first[:, WORD_DIM], 0)
+        z = np.where(words.valid, hint[words.index], 0).sum(1)
+    order = np.lexsort((-z, words.wdoc))
+    rank = np.empty(len(z), np.int64)
+    rank[order] = np.arange(len(z)) - np.searchsorted(words.wdoc[order], words.wdoc[order])
+    many = np.bincount(words.wdoc, minlength=words.n)
+    has = np.flatnonzero(many)
+    other = np.zeros(len(z), bool)
+    other[(np.cumsum(many) - many)[has] + (mix(seed[has].astype(np.int64).view(U) + U(r)) % many[has].astype(U))
+          .astype(np.int64)] = True
+    toxic = y[words.wdoc] == 1
+    # of a toxic text's second window only one that the hint or the net finds counts as toxic;
+    # a clean text: its highest window and one drawn from all
+    pick = np.flatnonzero((rank == 0) | np.where(toxic, (rank == 1) & (z > 0), other))
+    return [words.spelled(k) for k in pick], toxic[pick].astype(np.int64)
+
+
+def features_of(texts: list[str], net: Net) -> np.ndarray:
+    words = Words(texts)
+    return text_features(net.windows(words), words.wdoc, words.n)
+
+
+class Listed:
+    """Labelled texts in memory: the passes over them that `learn_from` makes."""
+
+    def __init__(self, texts: list[str], y: np.ndarray):
+        held = np.random.default_rng(5).permutation(len(y)) % 4 == 3
+        if min(y.sum(), len(y) - y.sum()) < FEW:
+            held = np.zeros(len(y), bool)
+        self.learned = [texts[i] for i in np.flatnonzero(~held)], y[~held]
+        used = held if held.any() else ~held
+        self.curve = [texts[i] for i in np.flatnonzero(used)], y[used]
+
+    def holders(self) -> tuple[np.ndarray, int, int]:
+        texts, y = self.learned
+        return holders_of(texts, y), int((y == 0).sum()), int(y.sum())
+
+    def windows(self, net: Net, r: int) -> tuple[list[str], np.ndarray]:
+        texts, y = self.learned
+        return chosen_windows(texts, y, np.arange(len(y)), net, r)
+
+    def scored(self, net: Net) -> tuple[np.ndarray, np.ndarray]:
+        texts, y = self.curve
+        return features_of(texts, net), y
+
+
+class Spread:
+    """Labelled texts (_id, _label 0 or 1, _text) in a table: the same passes, made by the executors."""
+
+    def __init__(self, rows: DataFrame):
+        rows = rows.withColumn("_seed", F.xxhash64("_id", F.lit("toxicity")))
+        held = F.pmod("_seed", F.lit(4)) == 3
+        self.n = [rows.where(F.col("_label") == k).count() for k in (0, 1)]
+        few = min(self.n) < FEW
+        self.learned, self.curve = (rows, rows) if few else (rows.where(~held), rows.where(held))
+
+    def holders(self) -> tuple[np.ndarray, int, int]:
+        def run(part):
+            found = holders_of(texts_of(part, "_text"), part.column("_label").to_numpy())
+            at = np.flatnonzero(found.any(0))
+            return {"at": at, "clean": found[0, at], "toxic": found[1, at]}
+
+        got = (map_texts(self.learned, run, "at long, clean long, toxic long", "_text")
+               .groupBy("at").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow())
+        out = np.zeros((2, (1 << WORD_BITS) + (1 << RUN_BITS)), np.int64)
+        out[:, got.column("at").to_numpy()] = got.column("clean").to_numpy(), got.column("toxic").to_numpy()
+        clean, toxic = self.learned.agg(F.count_if(F.col("_label") == 0), F.count_if(F.col("_label") == 1)).first()
+        return out, clean, toxic
+
+    def windows(self, net: Net, r: int) -> tuple[list[str], np.ndarray]:
+        def run(part):
+            found, toxic = chosen_windows(texts_of(part, "_text"), part.column("_label").to_numpy(),
+                                          part.column("_seed").to_numpy(), net, r)
+            return {"words": pa.array(found, pa.string()), "toxic": toxic}
+
+        got = sorted(zip(*map_texts(self.learned, run, "words string, toxic long", "_text").toArrow()
+                         .to_pydict().values()))
+        return [words for words, _ in got], np.array([toxic for _, toxic in got], np.int64)
+
+    def scored(self, net: Net) -> tuple[np.ndarray, np.ndarray]:
+        def run(part):
+            return {"x": pa.array(list(features_of(texts_of(part, "_text"), net)), pa.list_(pa.float64()))}
+
+        got = sorted((r["_id"], r["_label"], r["x"])
+                     for r in map_texts(self.curve, run, "x array<double>", "_text", ["_id", "_label"]).toArrow().to_pylist())
+        return np.array([x for _, _, x in got]).reshape(-1, TOP + 2), np.array([y for _, y, _ in got], np.int64)
+
+
+def learn_from(sample: Listed | Spread, share: float | None = None, rounds: int = 3, steps: int = 100, batch: int = 128) -> Net | None:
+    """Train on three quarters of the sample, fit the curve on the rest (both on all, if a class has few).
+
+    `share` is that of toxic texts where scores are to be probabilities; the sample's own by default."""
+    holders, clean, toxic = sample.holders()
+    net = Net.new()
+    net.p["word"][:, 0] = 0.3 * _shrunken_odds(holders[:, :1 << WORD_BITS], clean, toxic)
+    net.p["run"][:, 0] = 0.3 * _shrunken_odds(holders[:, 1 << WORD_BITS:], clean, toxic)
     rng = np.random.default_rng(11)
     moment = {k: [np.zeros_like(v), np.zeros_like(v)] for k, v in net.p.items()}
-    learned = np.flatnonzero(~held[words.wdoc])
     step = 0
     for r in range(rounds):
-        order = np.lexsort((-z, words.wdoc))
-        rank = np.empty(len(z), np.int64)
-        rank[order] = np.arange(len(z)) - np.searchsorted(words.wdoc[order], words.wdoc[order])
-        toxic = y[words.wdoc] == 1
-        # a clean text: its highest window and, on average, one other
-        other = rng.random(len(learned)) * np.bincount(words.wdoc)[words.wdoc[learned]] < 1
-        pick = learned[np.where(toxic[learned], rank[learned] < 2, (rank[learned] < 1) | other)]
-        # of a toxic text's second window only one that the hint or the net finds counts as toxic
-        target = toxic[pick] & ((rank[pick] == 0) | (z[pick] > 0))
-        pick, target = pick[toxic[pick] == target], target[toxic[pick] == target].astype(np.float32)
+        found, target = sample.windows(net, r)
+        if not found:
+            return None
+        words, target = Words(found), target.astype(np.float32)
         weight = np.where(target == 1, 0.5 * len(target) / max(target.sum(), 1),
                           0.5 * len(target) / max((1 - target).sum(), 1)).astype(np.float32)
-        per_epoch = max(1, len(pick) // batch)
+        per_epoch = max(1, len(found) // batch)
         for _ in range(max(2, -(-steps // per_epoch))):
-            for rows in np.array_split(rng.permutation(len(pick)), per_epoch):
+            for rows in np.array_split(rng.permutation(len(found)), per_epoch):
                 step += 1
-                own, index, valid = words.part(pick[rows])
+                own, index, valid = words.part(rows)
                 x = net.inputs(own)
                 out, kept = net.forward(x, index, valid, keep=True)
                 dz = ((_sigmoid(out) - target[rows]) * weight[rows] / len(rows)).astype(np.float32)
@@ -322,15 +413,20 @@ def fit(texts: list[str], labels: np.ndarray, share: float | None = None, rounds
                     v *= 0.999
                     v += 0.001 * g * g
                     net.p[k] -= (0.01 * (m / (1 - 0.9 ** step)) / (np.sqrt(v / (1 - 0.999 ** step)) + 1e-7)).astype(np.float32)
-        z = net.windows(words)
-    used = held if held.any() else ~held
-    net.curve = _fit_curve(text_features(z, words.wdoc, words.n)[used], y[used])
+    x, y = sample.scored(net)
+    net.curve = _fit_curve(x, y)
     if share is not None:                       # the sample has as many toxic as clean texts, the corpus has not
-        own = y[used].mean()
+        own = y.mean()
         net.curve[-1] += np.log(share / (1 - share)) - np.log(own / (1 - own))
     return net
 
 
+def fit(texts: list[str], labels: np.ndarray, share: float | None = None) -> Net | None:
+    """Train on texts in memory."""
+    y = np.asarray(labels).astype(np.int64)
+    return learn_from(Listed(texts, y), share) if len(set(y.tolist())) == 2 else None
+
+
 def score(texts: list[str], net: Net | None) -> np.ndarray:
     if net is None:
         return np.zeros(len(texts))
@@ -342,14 +438,14 @@ def score(texts: list[str], net: Net | None) -> np.ndarray:
 
 def train(docs: DataFrame, labels: DataFrame, learn: Column, per_class: int = PER_CLASS) -> Net | None:
     """Fit on at most `per_class` labelled texts of each class (where `learn` holds on the labels' doc_id)."""
-    short = docs.where(F.length(F.coalesce("text", F.lit(""))) <= TRAIN_CHARS)
-    rows = [r for keep in (F.col("toxic") > 0, F.col("toxic") <= 0)
-            for r in labelled_sample(short, labels.where(keep), "toxic", learn, per_class).collect()]
-    rows.sort(key=lambda r: (r["_id"], r["_text"]))
-    toxic, clean = labels.where(learn).agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
-    if not rows or not toxic or not clean:
+    found = [labelled_sample(docs, labels.where(keep), "toxic", learn, per_class)
+             .select("_id", F.lit(label).cast("long").alias("_label"), "_text")
+             for label, keep in ((1, F.col("toxic") > 0), (0, F.col("toxic") <= 0))]
+    sample = Spread(written(docs.sparkSession, found[0].union(found[1]), "toxicity-sample"))
+    if not min(sample.n):
         return None
-    return fit([r["_text"] for r in rows], np.array([r["_label"] > 0 for r in rows], np.int64), toxic / (toxic + clean))
+    toxic, clean = labels.where(learn).agg(F.count_if(F.col("toxic") > 0), F.count_if(F.col("toxic") <= 0)).first()
+    return learn_from(sample, toxic / (toxic + clean))
 
 
 def toxicity(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

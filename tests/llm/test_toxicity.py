@@ -75,3 +75,23 @@ def test_query_cases(spark):
     assert T.train(docs, labels.where("toxic = 0"), F.lit(True)) is None
     assert T.train(docs.limit(0), labels, F.lit(True)) is None
     assert {r.score for r in T.toxicity(docs, None).collect()} == {0.0}
+
+
+def test_long_labelled_texts_are_learned_from(spark):
+    texts, y = _corpus(120)
+    filler = " ".join(t for t, v in zip(texts, y) if not v)[:5_000]
+    long = [f"{filler} {t} {filler}" for t in texts]
+    assert min(map(len, long)) > 10_000
+    docs = spark.createDataFrame(doc_rows(long), DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, 1, int(v)) for i, v in enumerate(y)], "doc_id long, quality int, toxic int")
+    net = T.train(docs, labels, F.lit(True))
+    rows = {r.doc_id: r for r in T.toxicity(docs, net).collect()}
+    assert np.mean([rows[i].predicted == v for i, v in enumerate(y)]) > 0.9
+
+
+def test_a_text_sends_two_windows_at_most():
+    texts, y = _corpus(30)
+    long = [" ".join([t] * 10) for t in texts]
+    found, toxic = T.chosen_windows(long + [""], np.append(y, 1), np.arange(31), T.Net.new(), 1)
+    assert len(found) <= 60 and max(len(w.split()) for w in found) <= T.WINDOW
+    assert 10 <= toxic.sum() <= 20 and 20 <= (toxic == 0).sum() <= 40
