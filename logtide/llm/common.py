@@ -65,20 +65,29 @@ def fold(id_col: str, folds: int) -> Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds
 
 
+def one_text(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(columns of `ids`, text): of the rows that repeat one of the `ids` (few, in `_id`) the text of the least hash.
+
+    Partial aggregation leaves one row an id in each task, however often a row repeats it.
+    """
+    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
+    return (texts.join(F.broadcast(ids), "_id").groupBy(*ids.columns)
+            .agg(F.min_by("_text", F.struct(F.xxhash64("_text"), F.md5(F.col("_text").cast("binary")))).alias("_text")))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label_col: str, keep: Column, rows: int,
                     id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, label, text) of at most `rows` labelled documents, chosen by a hash of the id.
 
     Only labels where `keep` holds are looked at; null labels are none, and of
-    several labels of one id the largest counts. The chosen ids are at most
-    `rows`, which bounds what is broadcast.
+    several labels of one id the largest counts, of several rows one. The chosen
+    ids are at most `rows`, which bounds what is broadcast and what is returned.
     """
     known = (labels.where(keep & F.col(label_col).isNotNull() & F.col(id_col).isNotNull())
              .groupBy(F.col(id_col).alias("_id")).agg(F.max(F.col(label_col).cast("int")).alias("_label"))
              .join(docs.select(F.col(id_col).alias("_id")).distinct(), "_id", "left_semi")
              .orderBy(F.xxhash64("_id"), "_id").limit(rows))
-    texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(F.col(text_col), F.lit("")).alias("_text"))
-    return texts.join(F.broadcast(known), "_id")
+    return one_text(docs, known, id_col, text_col)
 
 
 def slices(batch: pa.RecordBatch, column: str, budget: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:

@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.chars import Chars
-from logtide.llm.common import labelled_sample, map_kept, map_texts, texts_of
+from logtide.llm.common import labelled_sample, map_kept, map_texts, one_text, texts_of
 
 POSITIVES = 4000           # bound of trusted positives the networks see
 UNLABELLED = 8000          # bound of unlabelled texts the networks see
@@ -170,8 +170,7 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
     trusted = labelled_sample(docs, labels.where(F.col("quality") > 0), "quality", learn, positives)
     ids = (docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
            .orderBy(F.xxhash64("_id", F.lit("unlabelled")), "_id").limit(unlabelled))
-    web = (docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
-           .join(F.broadcast(ids), "_id").withColumn("_label", F.lit(0)))
+    web = one_text(docs, ids).withColumn("_label", F.lit(0))
     rows = trusted.select("_id", "_label", "_text").union(web.select("_id", "_label", "_text"))
 
     def extract(part):

@@ -108,3 +108,20 @@ def test_extra_columns_with_clashing_names(spark, corpus):
     model = quality_rules.train(clash, labels)
     assert quality_rules.keep_quality(clash, model).columns == clash.columns
     assert quality_rules.quality_rules(clash, model).count() == docs.count()
+
+
+def test_a_repeated_id_is_learned_from_once(spark, corpus, monkeypatch):
+    docs, labels, _ = corpus
+    from pyspark.sql import functions as F
+    from logtide.llm.common import labelled_sample
+    again = docs.where("doc_id IN (3, 4)").crossJoin(spark.range(3000).withColumnRenamed("id", "k")) \
+        .withColumn("text", F.concat("text", F.lit(" "), (F.col("k") % 7).cast("string"))).select(*docs.columns)
+    hot = docs.unionByName(again)
+    rows = labelled_sample(hot, labels, "quality", F.lit(True), 100_000).collect()
+    assert len(rows) == len({r._id for r in rows}) == 160
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, labelled_sample(
+        hot.repartition(7), labels, "quality", F.lit(True), 100_000).collect()))
+    seen = []
+    monkeypatch.setattr(pu_quality, "fit", lambda pos, unl: seen.append((len(pos), len(unl))))
+    pu_quality.train(hot, labels, F.lit(True))
+    assert seen == [(120, 162)]
