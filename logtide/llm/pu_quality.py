@@ -6,12 +6,14 @@ risk: with class prior p, positives P and unlabelled web text U,
     p * E_P[loss+] + max(0, E_U[loss-] - p * E_P[loss-])
 
 The prior is estimated first: a positive-versus-unlabelled network is fitted on
-half of the rows, and on the other half the smallest ratio, over score
-thresholds, of the unlabelled share above to the positive share above (with a
-confidence margin) bounds p from above. Negative labels are never used.
+half of the sampled rows; the smallest ratio, over score thresholds, of the
+unlabelled share above to the positive share above (with a confidence margin)
+bounds p from above. The positive share is that of the other half, the unlabelled
+share that of all documents outside the half fitted on (of rows that repeat an id
+one). Negative labels are never used.
 
 Bounds: `POSITIVES` trusted and `UNLABELLED` web texts (chosen by a hash of the
-id) are what the networks see; all texts are scored whole.
+id) are what the networks are fitted on; all texts are scored whole.
 
 Defined results: null and empty texts are scored like any text without words.
 Without a trusted positive there is no model; the score is then 0.5 and
@@ -21,6 +23,7 @@ predicted 0, and `keep_predicted` keeps every row.
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -135,18 +138,30 @@ def _train(pos: np.ndarray, unl: np.ndarray, prior: float | None, steps: int = 5
     return net
 
 
-def estimate_prior(pos: np.ndarray, unl: np.ndarray) -> float:
-    """Share of positives in `unl`: the smallest bounded ratio of shares above a threshold."""
+def _above(k: np.ndarray, thresholds: int) -> tuple[np.ndarray, int]:
+    """Share of texts at or above each threshold, and their number, from texts by how many thresholds they reach."""
+    return np.cumsum(k[::-1])[::-1][1:thresholds + 1] / max(k.sum(), 1), int(k.sum())
+
+
+def estimate_prior(pos: np.ndarray, unl: np.ndarray, reached: Callable | None = None) -> float:
+    """Share of positives among the unlabelled: the smallest bounded ratio of shares above a threshold.
+
+    `reached(net, at, learned)` counts the unlabelled texts, but for the rows `learned` of `unl`, by how many of the
+    thresholds `at` they reach; by default those are the other half of `unl`."""
     rng = np.random.default_rng(3)
-    pos, unl = rng.permutation(pos), rng.permutation(unl)      # halves that no order of the ids shapes
-    net = _train(pos[::2], unl[::2], None, steps=300)
-    zp, zu = np.sort(net.odds(pos[1::2])), np.sort(net.odds(unl[1::2]))
-    if not len(zp) or not len(zu):
+    pos, order = rng.permutation(pos), rng.permutation(len(unl))      # halves that no order of the ids shapes
+    net = _train(pos[::2], unl[order[::2]], None, steps=300)
+    zp = np.sort(net.odds(pos[1::2]))
+    if not len(zp):
         return 0.5
     at = np.quantile(zp, np.linspace(0.0, 0.7, 71))
     share_p = 1 - np.searchsorted(zp, at) / len(zp)
-    share_u = 1 - np.searchsorted(zu, at) / len(zu)
-    margin = 1.5 * np.sqrt(share_u * (1 - share_u) / len(zu) + share_p * (1 - share_p) / len(zp)) / share_p
+    counts = (reached(net, at, order[::2]) if reached else
+              np.bincount(np.searchsorted(at, net.odds(unl[order[1::2]]), "right"), minlength=len(at) + 1))
+    share_u, n_u = _above(counts, len(at))
+    if not n_u:
+        return 0.5
+    margin = 1.5 * np.sqrt(share_u * (1 - share_u) / n_u + share_p * (1 - share_p) / len(zp)) / share_p
     best = int(np.argmin(share_u / share_p + margin))
     return float(np.clip(share_u[best] / share_p[best], 0.02, 0.995))
 
@@ -157,16 +172,35 @@ class Model:
     prior: float
 
 
-def fit(pos: np.ndarray, unl: np.ndarray) -> Model | None:
+def fit(pos: np.ndarray, unl: np.ndarray, reached: Callable | None = None) -> Model | None:
     if len(pos) < 2 or len(unl) < 2:
         return None
-    prior = estimate_prior(pos, unl)
+    prior = estimate_prior(pos, unl, reached)
     return Model(_train(pos, unl, prior), prior)
 
 
+def count_reached(docs: DataFrame, learned: DataFrame, net: Net, at: np.ndarray) -> np.ndarray:
+    """Documents but those of the (few) ids `learned`, counted by how many of the thresholds `at` they reach."""
+    def run(part):
+        return {"k": np.searchsorted(at, net.odds(features(Chars(texts_of(part, "_text")))), "right")}
+
+    texts = (docs.select(F.col("doc_id").alias("_id"), F.coalesce("text", F.lit("")).alias("_text"))
+             .join(F.broadcast(learned), "_id", "left_anti").withColumn("_hash", F.xxhash64("_text")))
+    with_id, without = (map_texts(texts.where(rows), run, "k long", "_text", ["_id", "_hash"])
+                        for rows in ("_id IS NOT NULL", "_id IS NULL"))
+    each = (with_id.groupBy("_id").agg(F.min(F.struct("_hash", "k"))["k"].alias("k"))
+            .unionByName(without.select("_id", "k")))
+    got = each.groupBy("k").agg(F.count(F.lit(1)).alias("n")).collect()
+    out = np.zeros(len(at) + 1, np.int64)
+    for r in got:
+        out[r["k"]] = r["n"]
+    return out
+
+
 def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSITIVES,
           unlabelled: int = UNLABELLED) -> Model | None:
     """Fit on trusted positives (label 1 where `learn` holds on the labels' doc_id) and unlabelled texts."""
+    spark, id_schema = docs.sparkSession, f"_id {docs.schema['doc_id'].dataType.simpleString()}"
     trusted = labelled_sample(docs, labels.where(F.col("quality") > 0), "quality", learn, positives)
     ids = (docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
            .orderBy(F.xxhash64("_id", F.lit("unlabelled")), "_id").limit(unlabelled))
@@ -182,7 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
     x = got.column("x").combine_chunks().values.to_numpy().reshape(-1, FEATURES)
     order = np.argsort(got.column("_id").to_numpy(), kind="stable")
     label = got.column("_label").to_numpy()[order]
-    return fit(x[order][label > 0], x[order][label == 0])
+    ids = got.column("_id").take(pa.array(order[label == 0]))
+    return fit(x[order][label > 0], x[order][label == 0], lambda net, at, learned: count_reached(
+        docs, spark.createDataFrame([(i,) for i in ids.take(pa.array(learned)).to_pylist()], id_schema), net, at))
 
 
 def score(texts: list[str], model: Model | None) -> np.ndarray:

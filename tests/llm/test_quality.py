@@ -122,6 +122,27 @@ def test_a_repeated_id_is_learned_from_once(spark, corpus, monkeypatch):
     assert sorted(map(tuple, rows)) == sorted(map(tuple, labelled_sample(
         hot.repartition(7), labels, "quality", F.lit(True), 100_000).collect()))
     seen = []
-    monkeypatch.setattr(pu_quality, "fit", lambda pos, unl: seen.append((len(pos), len(unl))))
+    monkeypatch.setattr(pu_quality, "fit", lambda pos, unl, *_: seen.append((len(pos), len(unl))))
     pu_quality.train(hot, labels, F.lit(True))
     assert seen == [(120, 162)]
+
+
+def test_prior_counts_documents_outside_the_sample(spark):
+    from pyspark.sql import functions as F
+    texts, good = _texts(1200, 3)
+    docs = spark.createDataFrame(doc_rows(texts + [None]), DOC_SCHEMA)
+    labels = spark.createDataFrame([(i, q, 0) for i, q in enumerate(good)], "doc_id long, quality int, toxic int")
+    net = pu_quality.Net(np.zeros(18), np.ones(18), np.random.default_rng(1).normal(0, 1, (18, 2)), np.zeros(2), np.ones(2), 0.0)
+    learned = spark.createDataFrame([(i,) for i in range(0, 600, 2)], "_id long")
+    z = net.odds(pu_quality.features(Chars([t for i, t in enumerate(texts) if i % 2 or i >= 600] + [""])))
+    at = np.quantile(z, [0.1, 0.5, 0.9])
+    again = docs.unionByName(docs.where("doc_id = 7").crossJoin(spark.range(500)).select(*docs.columns))
+    counts = pu_quality.count_reached(again, learned, net, at)
+    assert counts.tolist() == np.bincount(np.searchsorted(at, z, "right"), minlength=4).tolist()
+    seen, real = [], pu_quality.count_reached
+    pu_quality.count_reached = lambda *a: seen.append(real(*a)) or seen[-1]
+    try:
+        model = pu_quality.train(docs, labels, F.lit(True), positives=200, unlabelled=80)
+    finally:
+        pu_quality.count_reached = real
+    assert seen[0].sum() == 1201 - 40 and abs(model.prior - 0.75) < 0.1
