@@ -64,9 +64,11 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512,
     misses = written(spark, contents.join(stored, "content", "left_anti"), "token-misses")
     joint = misses.where("n > 1").select("content").union(stored.select("content"))
     marked = possible_rows(texts.withColumn("_name", name), joint, "content")
-    chosen = marked.where("possible").join(misses.select("content", "_name").hint("shuffle_hash"),
+    # rows that repeat an id and its text, or that have no id, share a name: one of them is left before the exchange
+    named = marked.where("possible").select("content", "_name", "_text").dropDuplicates(["content", "_name"])
+    chosen = named.join(misses.select("content", "_name").hint("shuffle_hash"),
                                            ["content", "_name"], "left_semi")
-    (_encode(marked.where("NOT possible"), tokenizer).union(_encode(chosen, tokenizer).dropDuplicates(["content"]))
+    (_encode(marked.where("NOT possible"), tokenizer).union(_encode(chosen, tokenizer))
      .withColumn("version", F.lit(version))
      .select("content", "version", "n_tokens").write.mode("append").parquet(cache))
     counts = (read_cache(spark, cache, version)

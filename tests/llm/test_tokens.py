@@ -122,3 +122,17 @@ def test_packed_rows(spark, monkeypatch):
         assert end <= 2048
     assert len(sequences) <= -(-sum(w[3] for w in want) // 2048) + 2
     assert packing.pack(docs.limit(0), BYTE).count() == 0
+
+
+def test_a_text_of_repeated_rows_is_encoded_once(spark, scratch, monkeypatch):
+    rows = doc_rows(["one", "two", "two"]) + [(7, "the same row", "", "", 0)] * 200 + [(None, "no id", "", "", 0)] * 200
+    docs, encoded, real = spark.createDataFrame(rows, DOC_SCHEMA).repartition(5), [], token_counts._encode
+
+    def encode(texts, tokenizer):
+        encoded.append(texts.select("_text"))
+        return real(texts, tokenizer)
+
+    monkeypatch.setattr(token_counts, "_encode", encode)
+    got = token_counts.token_counts(docs, BYTE, scratch("cache")).collect()
+    assert len(got) == 403 and all(r.n_tokens > 0 for r in got)
+    assert sorted(r._text for df in encoded for r in df.collect()) == ["no id", "one", "the same row", "two"]
