@@ -340,11 +340,20 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns, that name their component; rows that repeat an id are one."""
-    found = written(docs.sparkSession, ngram_components(docs, id_col, text_col), "components")
-    kept = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
-    out = docs.join(kept.hint("shuffle_hash"), id_col, "left_semi")
-    repeated = found.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(F.count(F.lit(1)).alias("k")) \
-        .where("k > 1").limit(1).count()
-    out = out.dropDuplicates([id_col]) if repeated else out
-    return out.unionByName(docs.where(F.col(id_col).isNull()))
+    """The rows of `docs`, all columns, that name their component; of rows that repeat an id only those with an equal
+    or a linked text are one."""
+    spark, has = docs.sparkSession, docs.where(F.col(id_col).isNotNull())
+    rest = docs.where(F.col(id_col).isNull())
+    if not has.groupBy(id_col).agg(F.count(F.lit(1)).alias("k")).where("k > 1").limit(1).count():
+        found = written(spark, ngram_components(docs, id_col, text_col), "components")
+        kept = found.where(F.col(id_col) == F.col("component_id")).select(id_col).distinct()
+        return docs.join(kept.hint("shuffle_hash"), id_col, "left_semi").unionByName(rest)
+    # one row per id and text, numbered in their order: each text stands for itself
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    texts = (has.select(F.col(id_col).alias("id"), F.sha2(F.coalesce(text_col, F.lit("")).cast("binary"), 256).alias("hash"),
+                        row.alias("row")).groupBy("id", "hash").agg(F.min_by("row", F.xxhash64(F.to_json("row"))).alias("row")))
+    nodes = written(spark, texts.orderBy("id", "hash").withColumn("node", F.monotonically_increasing_id()), "nodes")
+    found = written(spark, ngram_components(nodes.select("node", F.col("row")[text_col].alias("text")), "node", "text"),
+                    "components")
+    kept = found.where("node = component_id").select("node")
+    return nodes.join(kept.hint("shuffle_hash"), "node", "left_semi").select("row.*").unionByName(rest)

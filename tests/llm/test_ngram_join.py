@@ -84,3 +84,15 @@ def test_graph_components(spark):
     linked = {x for a, b in edges if a != b for x in (a, b)}
     assert got == {k: v for k, v in want.items() if k in linked}
     assert graph.components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_unrelated_texts_of_one_id_are_kept(spark):
+    words = [f"w{i}" for i in range(400)]
+    a, b, c = " ".join(words[:60]), " ".join(words[100:160]), " ".join(words[200:260])
+    near = a + " end"
+    rows = [(1, a), (1, b), (1, b), (1, near), (1, ""), (2, b), (3, c), (4, a)]
+    docs = spark.createDataFrame([(i, t, "en", "src", k % 2) for k, (i, t) in enumerate(rows)], DOC_SCHEMA)
+    kept = sorted((r.doc_id, r.text) for r in ngram_join.keep_one(docs.repartition(3)).collect())
+    assert [(i, t) for i, t in kept if t not in (a, near)] == [(1, ""), (1, b), (3, c)]
+    assert len([t for _, t in kept if t in (a, near)]) == 1
+    assert ngram_join.keep_one(docs.repartition(5)).exceptAll(ngram_join.keep_one(docs)).count() == 0
