@@ -68,14 +68,12 @@ def _streams(spark, results: dict) -> None:
 
     def click():
         q = jobs.click_counter_stream(spark, stream_messages(spark, paths["click"], max_files_per_trigger=2),
-                                      scratch_path(spark, "bench-clicks"), scratch_path(spark, "bench-ckpt"),
-                                      trigger="availableNow")
+                                      scratch_path(spark, "bench-clicks"), trigger="availableNow")
         q.awaitTermination()
 
     def uniques():
         q = jobs.hourly_uniques_stream(spark, stream_messages(spark, paths["uniques"], max_files_per_trigger=2),
-                                       scratch_path(spark, "bench-uv"), scratch_path(spark, "bench-ckpt"),
-                                       trigger="availableNow")
+                                       scratch_path(spark, "bench-uv"), trigger="availableNow")
         q.awaitTermination()
 
     small = load_table(spark, ARCHIVE_SF_DIR, "events")

@@ -17,7 +17,8 @@ the listing and hides files of attempts that never committed; batch writes into
 such a folder are refused, since the log would hide them.
 
 `load_archive` reads the folders back (partition values kept as text), parses
-the lines and overwrites only the days it loaded (dynamic partition overwrite).
+the lines and overwrites only the days it loaded (dynamic partition overwrite): a
+backfill. The periodic load is `jobs.archive_load_stream`, which reads each file once.
 """
 
 from __future__ import annotations
@@ -59,6 +60,11 @@ def write_archive(df: DataFrame, path: str, line_col: str = "value", ts_col: str
      .write.mode("append").partitionBy(*parts).option("lineSep", LINE_SEP).text(path))
 
 
+def _archive_schema(minute_as_dir: bool) -> T.StructType:
+    parts = MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS
+    return T.StructType([T.StructField("value", T.StringType())] + [T.StructField(p, T.StringType()) for p in parts])
+
+
 def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
                  day: str | list[str] | None = None) -> DataFrame:
     """(value, ym, dd, hhmm | hh, mm) with partition values as text, one row per archived message.
@@ -66,9 +72,7 @@ def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
     `day` (yyyyMMdd, or a list of them) reads only those days: of a batch archive
     their folders, so listing touches no other, of a streamed one the files its
     log names for them. Days without a folder have no rows."""
-    parts = MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS
-    schema = T.StructType([T.StructField("value", T.StringType())]
-                          + [T.StructField(p, T.StringType()) for p in parts])
+    schema = _archive_schema(minute_as_dir)
     reader = spark.read.schema(schema).option("lineSep", LINE_SEP)
     if day is None:
         return reader.text(path)
@@ -82,6 +86,21 @@ def read_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
     return reader.option("basePath", path).text(folders)
 
 
+def stream_archive(spark: SparkSession, path: str, minute_as_dir: bool = False,
+                   max_files_per_trigger: int | None = None) -> DataFrame:
+    """The archive as a stream of its files, columns as `read_archive`."""
+    reader = spark.readStream.schema(_archive_schema(minute_as_dir)).option("lineSep", LINE_SEP)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.text(path)
+
+
+def parse_archived(lines: DataFrame, minute_as_dir: bool = False) -> DataFrame:
+    """Archived lines decoded (`parse_logs`), with their day `dt` instead of the folder columns."""
+    parsed = parse_logs(lines.withColumn("dt", F.concat("ym", "dd")), "value")
+    return parsed.drop(*(MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS))
+
+
 def load_archive(spark: SparkSession, archive: str, table: str, minute_as_dir: bool = False,
                  day: str | list[str] | None = None) -> DataFrame:
     """Parse archived lines into a `dt`-partitioned Parquet table and return it.
@@ -90,8 +109,7 @@ def load_archive(spark: SparkSession, archive: str, table: str, minute_as_dir: b
     only their folders are listed and read. Only the loaded days are overwritten.
     """
     lines = read_archive(spark, archive, minute_as_dir, day)
-    parsed = parse_logs(lines.withColumn("dt", F.concat("ym", "dd")), "value")
-    out = parsed.drop(*(MINUTE_DIR_COLUMNS if minute_as_dir else MINUTE_COLUMNS))
+    out = parse_archived(lines, minute_as_dir)
     (out.hint("rebalance", "dt").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("dt").parquet(table))
     # read back with the written schema so `dt` stays text (no type inference)

@@ -10,6 +10,10 @@
 * `start_offsets_json` the ``{"topic":{"0":n,...}}`` text Spark's Kafka source
                    takes as ``startingOffsets``.
 * `committed_of`   the same committed offsets straight from a message table.
+* `ledger_ranges`  the offset ranges per batch that a stream's ledger recorded.
+* `admitted_ranges`, `ranges_json`  per-partition admission for bounded runs: from the
+                   committed offset on, at most rate x seconds messages of each
+                   partition, so a hot partition takes no other's share.
 
 The committed table holds one row per topic-partition, a count fixed by the
 topic configuration, not by the data volume.
@@ -58,6 +62,41 @@ def start_offsets(partitions: DataFrame, ledger: DataFrame, all_or_nothing: bool
     return joined.select("topic", "partition", start.alias("start_offset"))
 
 
+def ledger_ranges(ledger: DataFrame) -> DataFrame:
+    """(query, batch_id, topic, partition, from_offset, until_offset) of a stream's ledger, as `offset_ranges`
+    gives them for a message table."""
+    return ledger.groupBy("query", "batch_id", "topic", "partition").agg(
+        F.min("from_offset").alias("from_offset"), F.max("until_offset").alias("until_offset"))
+
+
+def admitted_ranges(ends: DataFrame, ledger: DataFrame, rate: int, seconds: float,
+                    all_or_nothing: bool = True) -> DataFrame:
+    """(topic, partition, from_offset, until_offset): what a run of `seconds` may read of each partition.
+
+    `ends` holds (topic, partition, end_offset), the first offset not there yet. A partition is read from its
+    committed offset (`start_offsets`) up to its end, at most rate x seconds messages of it; one that has been read
+    to its end has an empty range."""
+    starts = start_offsets(ends, ledger, all_or_nothing)
+    most = F.col("start_offset") + F.lit(int(rate * seconds))
+    last = ends.groupBy("topic", "partition").agg(F.max("end_offset").alias("end_offset"))
+    return starts.join(last, ["topic", "partition"]).select(
+        "topic", "partition", F.col("start_offset").alias("from_offset"),
+        F.greatest("start_offset", F.least("end_offset", most)).cast("bigint").alias("until_offset"))
+
+
+def ranges_json(ranges: DataFrame) -> DataFrame:
+    """One row (starting_offsets, ending_offsets): the texts that Spark's Kafka batch source takes."""
+    entry = F.struct(F.col("partition").cast("string").alias("k"), F.col("from_offset").alias("a"), F.col("until_offset").alias("b"))
+    per_topic = ranges.groupBy("topic").agg(F.array_sort(F.collect_list(entry)).alias("parts"))
+    topics = per_topic.agg(F.array_sort(F.collect_list(F.struct("topic", "parts"))).alias("topics"))
+
+    def text(field: str):
+        return F.to_json(F.map_from_entries(F.transform("topics", lambda t: F.struct(
+            t["topic"], F.map_from_entries(F.transform(t["parts"], lambda e: F.struct(e["k"], e[field])))))))
+
+    return topics.select(text("a").alias("starting_offsets"), text("b").alias("ending_offsets"))
+
+
 def start_offsets_json(offsets: DataFrame, all_or_nothing: bool = True) -> DataFrame:
     """One row, `starting_offsets`: {"topic": {"partition": offset, ...}, ...}.
 

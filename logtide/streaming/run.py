@@ -1,17 +1,18 @@
-"""Command-line launcher for the three streaming jobs.
-
-  python -m logtide.streaming.run clicks   --table T --checkpoint C (--kafka HOSTS --topic X | --files DIR | --text DIR)
-  python -m logtide.streaming.run uniques  --table T --checkpoint C ...
-  python -m logtide.streaming.run archive  --path P  --checkpoint C ...
-  python -m logtide.streaming.run load     --path P  --table T [--day yyyyMMdd ...]   (batch, e.g. from cron)
-
-The session comes from the cluster (`spark-submit` configuration). With Kafka,
-`--topic` subscribes and `--assign t:0,1,2` names partitions. `--rate` is the
-per-partition message rate (the reference's 100/s) at the trigger in use and
-needs the number of partitions; `--resume-from-ledger` starts a query that has
-no checkpoint yet from the offsets the table's ledger committed for the
-partitions named by `--assign` or `--topic-partitions t:3` (all at 0 if one of
-them has none).
+"""Command-line launcher for the streaming jobs.
+
+  python -m logtide.streaming.run clicks   --table T [--writer W] (--kafka HOSTS --topic X | --files DIR | --text DIR)
+  python -m logtide.streaming.run uniques  --table T [--writer W] ...
+  python -m logtide.streaming.run archive  --path P --checkpoint C ...
+  python -m logtide.streaming.run load     --path P --table T --checkpoint C        (what is new; e.g. from cron)
+  python -m logtide.streaming.run load     --path P --table T --day yyyyMMdd ...    (batch: overwrites these days)
+
+The session comes from the cluster (`spark-submit` configuration). Several queries can feed one table, each as a
+writer of its own; a writer's checkpoint is inside the table. With Kafka, `--topic` subscribes and `--assign t:0,1,2`
+names partitions. `--rate` is the per-partition message rate (the reference's 100/s) at the trigger in use and needs
+the number of partitions. `--ledger F` records the offsets of every committed batch in the folder F, and
+`--resume-from-ledger` starts a query that has no checkpoint yet from them, for the partitions named by `--assign` or
+`--topic-partitions t:3` (all at 0 if one of them has none). A file at `--stop-file`, SIGTERM or Ctrl-C ends a job
+after its running batch.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from pyspark.sql import SparkSession
 from logtide.operators.archive import load_archive
 from logtide.operators.counters import CITY_DATE, DATE_CITY
 from logtide.sources.messages import kafka_options, read_kafka, stream_messages, stream_text_lines
-from logtide.streaming import deltas, jobs
+from logtide.streaming import jobs, ledger, state
 
-DEFAULT_TRIGGERS = {"clicks": jobs.COUNTER_TRIGGER, "uniques": jobs.UNIQUES_TRIGGER, "archive": jobs.ARCHIVE_TRIGGER}
+DEFAULT_TRIGGERS = {"clicks": jobs.COUNTER_TRIGGER, "uniques": jobs.UNIQUES_TRIGGER, "archive": jobs.ARCHIVE_TRIGGER,
+                    "load": "availableNow"}
 _UNIT_SECONDS = {"millisecond": 0.001, "second": 1, "minute": 60, "hour": 3600, "day": 86400}
 
 
@@ -54,8 +56,11 @@ def parse_args(argv=None):
     """Command-line options of the launcher."""
     ap = argparse.ArgumentParser(prog="logtide.streaming.run")
     ap.add_argument("job", choices=["clicks", "uniques", "archive", "load"])
-    ap.add_argument("--checkpoint", help="streaming checkpoint folder (streaming jobs)")
-    ap.add_argument("--table", help="delta table folder (clicks, uniques)")
+    ap.add_argument("--checkpoint", help="streaming checkpoint folder (archive, load)")
+    ap.add_argument("--table", help="table folder (clicks, uniques, load)")
+    ap.add_argument("--writer", default=jobs.DEFAULT_WRITER, help="name of this query among the table's (clicks, uniques)")
+    ap.add_argument("--ledger", help="folder of the offset ledger")
+    ap.add_argument("--stop-file", help="the job ends after its running batch once this file exists")
     ap.add_argument("--path", help="archive folder (archive)")
     src = ap.add_mutually_exclusive_group()
     src.add_argument("--kafka", help="bootstrap servers")
@@ -77,10 +82,9 @@ def parse_args(argv=None):
                     help="uniques/archive: bucket by the wall clock (automatic for --text)")
     ap.add_argument("--minute-as-dir", action="store_true", help="archive: .../HH/mm folders")
     ap.add_argument("--repartition", type=int)
-    ap.add_argument("--day", action="append", help="load: yyyyMMdd to load (repeatable; default all)")
-    ap.add_argument("--ttl", help='uniques: drop hours this long after their last write at compaction, e.g. "1 day"')
-    ap.add_argument("--compact-every", type=int, default=jobs.DEFAULT_COMPACT_EVERY,
-                    help="fold committed deltas into a base every N batches (0: never)")
+    ap.add_argument("--day", action="append", help="load: yyyyMMdd to load again as a batch (repeatable)")
+    ap.add_argument("--ttl", default=jobs.RETENTION, help="uniques: an hour expires this long after its last write")
+    ap.add_argument("--watermark", default="10 minutes", help="uniques: how far messages may be behind the newest")
     return ap.parse_args(argv)
 
 
@@ -90,12 +94,14 @@ def kafka_source_options(spark: SparkSession, args) -> dict[str, str]:
         raise SystemExit("--kafka needs one of --topic and --assign")
     named = topic_partitions(args)
     starting = "earliest"
-    if args.resume_from_ledger and args.table:
+    if args.resume_from_ledger:
+        if not args.ledger:
+            raise SystemExit("--resume-from-ledger needs --ledger")
         if not named or not set(args.topic or named) <= set(named):
             raise SystemExit("--resume-from-ledger needs --assign, or --topic-partitions for every topic")
         parts = spark.createDataFrame([(t, p) for t, listed in named.items() for p in listed],
                                       "topic string, partition int")
-        starting = deltas.ledger_start_offsets(spark, args.table, parts)
+        starting = ledger.ledger_start_offsets(spark, args.ledger, parts)
     partitions = args.partitions or sum(map(len, named.values())) or None
     return kafka_options(args.kafka, topics=args.topic, assign=named if args.assign else None,
                          starting_offsets=starting, max_rate_per_partition=args.rate,
@@ -113,35 +119,56 @@ def source(spark: SparkSession, args):
     return stream_text_lines(spark, args.text, max_files_per_trigger=args.max_files)
 
 
-def main(argv=None) -> None:
-    """Start the chosen job and wait for it; Ctrl-C stops after the running batch."""
-    args = parse_args(argv)
-    spark = SparkSession.builder.appName(f"logtide-{args.job}").getOrCreate()
+def start(spark: SparkSession, args):
+    """The job's streaming query, started, and its checkpoint."""
+    trigger = args.trigger or DEFAULT_TRIGGERS[args.job]
     if args.job == "load":
-        # batch: parse archived lines of the given days into the day-partitioned table
-        if not (args.path and args.table):
-            raise SystemExit("load needs --path (archive) and --table")
-        load_archive(spark, args.path, args.table, args.minute_as_dir, args.day)
-        return
-    if not args.checkpoint or not (args.kafka or args.files or args.text):
-        raise SystemExit("streaming jobs need --checkpoint and one of --kafka/--files/--text")
+        return jobs.archive_load_stream(spark, args.path, args.table, args.checkpoint, args.minute_as_dir, trigger,
+                                        "logtide-load", args.max_files), args.checkpoint
     messages = source(spark, args)
-    trigger = args.trigger or DEFAULT_TRIGGERS[args.job]
     # raw text lines carry no message timestamp: bucket by processing time then
     processing_time = args.processing_time or "timestamp" not in messages.columns
     if args.job == "clicks":
-        q = jobs.click_counter_stream(spark, messages, args.table, args.checkpoint, args.layout, trigger,
-                                      args.repartition, "logtide-clicks", args.compact_every or None)
+        query = jobs.click_counter_stream(spark, messages, args.table, args.writer, args.layout, trigger,
+                                          args.repartition, "logtide-clicks")
     elif args.job == "uniques":
-        q = jobs.hourly_uniques_stream(spark, messages, args.table, args.checkpoint, processing_time,
-                                       trigger, args.repartition, "logtide-uniques", args.compact_every or None, args.ttl)
+        query = jobs.hourly_uniques_stream(spark, messages, args.table, args.writer, processing_time, trigger,
+                                           args.repartition, "logtide-uniques", args.ttl, args.watermark)
     else:
-        q = jobs.archive_stream(messages, args.path, args.checkpoint, args.minute_as_dir, trigger,
-                                "logtide-archive", processing_time)
+        return jobs.archive_stream(messages, args.path, args.checkpoint, args.minute_as_dir, trigger,
+                                   "logtide-archive", processing_time), args.checkpoint
+    return query, state.checkpoint_of(args.table, args.writer)
+
+
+def main(argv=None) -> str | None:
+    """Start the chosen job and wait for it; returns what ended it (None: a batch load)."""
+    args = parse_args(argv)
+    spark = SparkSession.builder.appName(f"logtide-{args.job}").getOrCreate()
+    if args.job == "load" and (args.day or not args.checkpoint):
+        # batch: parse archived lines of the given days (default all) into the day-partitioned table
+        if not (args.path and args.table):
+            raise SystemExit("load needs --path (archive) and --table")
+        load_archive(spark, args.path, args.table, args.minute_as_dir, args.day)
+        return None
+    needed = {"clicks": ("table",), "uniques": ("table",), "archive": ("path", "checkpoint"),
+              "load": ("path", "table")}[args.job]
+    if any(getattr(args, name) is None for name in needed):
+        raise SystemExit(f"{args.job} needs " + " and ".join(f"--{name}" for name in needed))
+    if args.job != "load" and not (args.kafka or args.files or args.text):
+        raise SystemExit("streaming jobs need one of --kafka/--files/--text")
+    listener = ledger.OffsetLedger(spark, args.ledger) if args.ledger else None
+    if listener:
+        spark.streams.addListener(listener)
     try:
-        q.awaitTermination()
-    except KeyboardInterrupt:
-        jobs.stop_gracefully(q)
+        query, checkpoint = start(spark, args)
+        ended = jobs.run_until_stopped(query, args.stop_file)
+    finally:
+        if listener:
+            spark.streams.removeListener(listener)
+            listener.flush()
+    if listener:
+        ledger.catch_up(spark, checkpoint, args.ledger)
+    return ended
 
 
 if __name__ == "__main__":

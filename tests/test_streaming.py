@@ -1,7 +1,11 @@
 """Streaming = batch; restart processes nothing; a replayed batch leaves totals unchanged."""
 
+import datetime as dt
 import glob
+import json
 import os
+import threading
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,7 +17,8 @@ from logtide.operators import uniques as U
 from logtide.operators import archive as A
 from logtide.sources.messages import as_messages, stream_messages, stream_text_lines
 from logtide.sources.tables import csv_lines, load_table, startup_lines
-from logtide.streaming import deltas, jobs
+from logtide.operators import offsets as O
+from logtide.streaming import jobs, ledger, state
 
 
 def _local(p):
@@ -29,81 +34,95 @@ def _rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
+def _uncommit(checkpoint, batch):
+    """As if the job had died before batch `batch` committed: its commit marker and that file's checksum are gone."""
+    for name in (str(batch), f".{batch}.crc"):
+        marker = os.path.join(_local(checkpoint), "commits", name)
+        if os.path.exists(marker):
+            os.remove(marker)
+
+
+def _batches(checkpoint):
+    return sorted(int(n) for n in os.listdir(os.path.join(_local(checkpoint), "commits")) if n.isdigit())
+
+
 def test_click_counter_stream(spark, scratch):
     ev = load_table(spark, SF001, "events")
     msgs = as_messages(startup_lines(ev), "app-log", 3)
     src = _write_source(spark, msgs, scratch("src"))
-    table, ckpt = scratch("clicks"), scratch("ckpt")
-    stream = stream_messages(spark, src, max_files_per_trigger=1)
-    jobs.click_counter_stream(spark, stream, table, ckpt, trigger="availableNow").awaitTermination()
+    table = scratch("clicks")
+    assert _rows(jobs.read_click_counter(spark, table)) == []
+    changed = []
+
+    def run():
+        stream = stream_messages(spark, src, max_files_per_trigger=1)
+        jobs.click_counter_stream(spark, stream, table, trigger="availableNow", repartition=3, on_change=lambda rows, n: changed.append(
+            (n, rows.rdd.getNumPartitions(), {r.row_key: r.click_count for r in rows.collect()}))).awaitTermination()
+
+    run()
     want = _rows(C.city_click_counts(msgs.select("value")))
+    checkpoint = state.checkpoint_of(table, "main")
     assert _rows(jobs.read_click_counter(spark, table)) == want
-    assert deltas.batch_ids(spark, table) == [0, 1, 2, 3]
-    ledger = deltas.read_ledger(spark, table)
-    assert ledger.groupBy("partition").agg(F.max("until_offset")).count() == 3
+    assert [n for n, _, _ in changed] == _batches(checkpoint) == [0, 1, 2, 3] and {p for _, p, _ in changed} == {3}
+    put = {}
+    for _, _, totals in changed:
+        put.update(totals)                               # what a store that only puts would hold
+    assert sorted(put.items()) == want
 
-    # restart on the same checkpoint: nothing new
-    q = jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, ckpt,
-                                  trigger="availableNow")
-    q.awaitTermination()
-    assert deltas.batch_ids(spark, table) == [0, 1, 2, 3]
+    run()                                                # restart on the same checkpoint: nothing new
+    assert _batches(checkpoint) == [0, 1, 2, 3] and len(changed) == 4
 
-    # replay the last batch: drop its commit marker, rerun -> same totals
-    # (as if the job died before the commit: marker and its checksum sidecar absent)
-    for name in ("3", ".3.crc"):
-        marker = os.path.join(_local(ckpt), "commits", name)
-        if os.path.exists(marker):
-            os.remove(marker)
-    jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, ckpt,
-                              trigger="availableNow").awaitTermination()
+    _uncommit(checkpoint, 3)                             # the last batch runs again, from the state before it
+    run()
+    assert changed[4] == changed[3]
     assert _rows(jobs.read_click_counter(spark, table)) == want
+    assert sorted(os.listdir(_local(table))) == ["main"] and sorted(os.listdir(_local(table) + "/main")) == ["checkpoint"]
 
-    # compaction keeps totals; what the base before the newest covers can then be dropped
-    deltas.compact(spark, table, 1)
-    assert deltas.drop_compacted(spark, table) == []
-    deltas.compact(spark, table, 2)
-    assert _rows(jobs.read_click_counter(spark, table)) == want
-    assert deltas.drop_compacted(spark, table) == [0, 1]
-    assert deltas.batch_ids(spark, table) == [2, 3] and deltas.bases(spark, table) == [1, 2]
-    assert _rows(jobs.read_click_counter(spark, table)) == want
 
-    # resuming from the ledger: committed until_offset per partition = its row count
-    parts = msgs.select("topic", "partition").distinct()
-    starts = deltas.ledger_start_offsets(spark, table, parts)
-    sizes = {str(r.partition): r.n for r in msgs.groupBy("partition").agg(F.count(F.lit(1)).alias("n")).collect()}
-    assert starts == {"app-log": sizes}
+def test_counter_state_is_rocksdb_with_changelogs(spark, scratch):
+    src = _write_source(spark, as_messages(startup_lines(load_table(spark, SF0001_DIR, "events")), "app-log", 3), scratch("src"), 2)
+    table = scratch("clicks")
+    jobs.click_counter_stream(spark, stream_messages(spark, src), table, trigger="availableNow").awaitTermination()
+    entry = open(_local(state.checkpoint_of(table, "main")) + "/offsets/0").read().splitlines()
+    assert "RocksDBStateStoreProvider" in json.loads(entry[1])["conf"]["spark.sql.streaming.stateStore.providerClass"]
+    assert glob.glob(_local(table) + "/main/checkpoint/state/0/*/*.changelog")
 
 
-def test_new_checkpoint_does_not_overwrite(spark, scratch):
+def test_two_writers_of_one_counter(spark, scratch):
+    """Two checkpoints on one table: each message counts once per writer, whatever is replayed or restarted."""
     ev = load_table(spark, SF001, "events")
     msgs = as_messages(startup_lines(ev), "app-log", 3)
-    src = _write_source(spark, msgs, scratch("src"), files=2)
+    halves = [msgs.where(F.col("partition") == 0), msgs.where(F.col("partition") != 0)]
+    srcs = [_write_source(spark, h, scratch("src"), files=2) for h in halves]
     table = scratch("clicks")
-    for _ in range(2):   # two different checkpoints over the same table
-        jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table,
-                                  scratch("ckpt"), trigger="availableNow").awaitTermination()
-    assert deltas.generations(spark, table) == [0, 1]
-    assert deltas.batch_ids(spark, table, 0) == deltas.batch_ids(spark, table, 1) == [0, 1]
-    doubled = {r.row_key: r.click_count for r in jobs.read_click_counter(spark, table).collect()}
-    once = {r.row_key: r.click_count for r in C.city_click_counts(msgs.select("value")).collect()}
-    assert doubled == {k: 2 * v for k, v in once.items()}
+    for _ in range(2):
+        for w, src in enumerate(srcs):
+            jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, f"w{w}",
+                                      trigger="availableNow").awaitTermination()
+            _uncommit(state.checkpoint_of(table, f"w{w}"), 1)          # each last batch is replayed in the second round
+    assert state.writers(spark, table) == ["w0", "w1"]
+    for w, src in enumerate(srcs):
+        jobs.click_counter_stream(spark, stream_messages(spark, src), table, f"w{w}", trigger="availableNow").awaitTermination()
+    assert _rows(jobs.read_click_counter(spark, table)) == _rows(C.city_click_counts(msgs.select("value")))
 
 
 def test_hourly_uniques_stream(spark, scratch):
     ev = load_table(spark, SF001, "events")
     msgs = as_messages(csv_lines(ev), "user-csv", 3)
     src = _write_source(spark, msgs, scratch("src"), files=3)
-    table, ckpt = scratch("uv"), scratch("ckpt")
-    jobs.hourly_uniques_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, ckpt,
-                               trigger="availableNow").awaitTermination()
-    est = jobs.read_hourly_uniques(spark, table, ttl=None)
+    table = scratch("uv")
+    jobs.hourly_uniques_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table,
+                               trigger="availableNow", watermark="60 days").awaitTermination()
+    est = jobs.read_hourly_uniques(spark, table, expired=True)
     exact = U.user_hours(msgs).groupBy("hour_key").agg(F.count_distinct("user_id").alias("uv"))
     j = est.join(exact, "hour_key")
     assert j.count() == exact.count() and j.where(~U.within_bound(F.col("uv_est"), F.col("uv"))).count() == 0
     as_of = F.lit("2024-01-30 12:00:00").cast("timestamp")
-    kept = jobs.read_hourly_uniques(spark, table, as_of=as_of).count()
-    assert 0 < kept < exact.count()
+    want = U.retained(U.hourly_sketches(U.user_hours(msgs)), as_of)
+    kept = {r.hour_key for r in jobs.read_hourly_uniques(spark, table, as_of=as_of).collect()}
+    assert kept == {r.hour_key for r in want.collect()} and 0 < len(kept) < exact.count()
     assert jobs.read_daily_uniques(spark, table).count() == 30
+    assert jobs.read_hourly_uniques(spark, scratch("none")).count() == 0
 
 
 def test_archive_stream(spark, scratch):
@@ -152,8 +171,7 @@ def test_stop_gracefully(spark, scratch):
     ev = load_table(spark, SF001, "events")
     msgs = as_messages(startup_lines(ev), "app-log", 3)
     src = _write_source(spark, msgs, scratch("src"), files=2)
-    q = jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), scratch("t"),
-                                  scratch("ckpt"), trigger="1 second")
+    q = jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), scratch("t"), trigger="1 second")
     q.processAllAvailable()
     jobs.stop_gracefully(q, timeout_s=30)
     assert not q.isActive
@@ -167,7 +185,7 @@ def test_text_stream_click_counter(spark, scratch):
     lines.repartition(3).write.text(src)
     table = scratch("clicks")
     jobs.click_counter_stream(spark, stream_text_lines(spark, src, max_files_per_trigger=1), table,
-                              scratch("ckpt"), trigger="availableNow").awaitTermination()
+                              trigger="availableNow").awaitTermination()
     assert _rows(jobs.read_click_counter(spark, table)) == _rows(C.city_click_counts(lines))
 
 
@@ -192,44 +210,13 @@ def test_runner_on_files(spark, scratch):
     msgs = as_messages(startup_lines(ev), "app-log", 3)
     src = _write_source(spark, msgs, scratch("src"), files=2)
     table = scratch("clicks")
-    run.main(["clicks", "--files", src, "--max-files", "1", "--table", table, "--checkpoint", scratch("ckpt"),
-              "--trigger", "availableNow"])
+    assert run.main(["clicks", "--files", src, "--max-files", "1", "--table", table, "--trigger", "availableNow"]) == "query"
     assert _rows(jobs.read_click_counter(spark, table)) == _rows(C.city_click_counts(msgs.select("value")))
     args = run.parse_args(["uniques", "--kafka", "h:9092", "--topic", "t", "--rate", "100", "--partitions", "3",
-                           "--table", table, "--checkpoint", "c"])
+                           "--table", table])
     assert args.rate == 100 and run.kafka_source_options(spark, args)["maxOffsetsPerTrigger"] == "300"
 
 
-def test_in_stream_compaction(spark, scratch):
-    ev = load_table(spark, SF0001_DIR, "events")
-    msgs = as_messages(startup_lines(ev), "app-log", 3)
-    src = _write_source(spark, msgs, scratch("src"), files=5)
-    table, ckpt = scratch("clicks"), scratch("ckpt")
-    want = _rows(C.city_click_counts(msgs.select("value")))
-
-    def run():
-        jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, ckpt,
-                                  trigger="availableNow", compact_every=2).awaitTermination()
-    run()
-    assert deltas.batch_ids(spark, table) == [2, 3, 4]      # bases at 1 and 3; deletion is one base behind
-    assert deltas.bases(spark, table) == [1, 3]
-    assert _rows(jobs.read_click_counter(spark, table)) == want
-    for name in ("4", ".4.crc"):                             # replay the last batch
-        marker = os.path.join(_local(ckpt), "commits", name)
-        if os.path.exists(marker):
-            os.remove(marker)
-    run()
-    assert _rows(jobs.read_click_counter(spark, table)) == want
-
-    uv_table = scratch("uv")
-    jobs.hourly_uniques_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), uv_table,
-                               scratch("ckpt"), trigger="availableNow", compact_every=2).awaitTermination()
-    est = jobs.read_hourly_uniques(spark, uv_table, ttl=None)
-    exact = U.user_hours(msgs).groupBy("hour_key").agg(F.count_distinct("user_id").alias("uv"))
-    assert est.join(exact, "hour_key").where(~U.within_bound(F.col("uv_est"), F.col("uv"))).count() == 0
-    assert est.count() == exact.count()
-
-
 def test_windowed_uniques_watermark_expires_state(spark, scratch):
     ev = load_table(spark, SF001, "events")
     msgs = as_messages(csv_lines(ev), "user-csv", 3)
@@ -278,72 +265,100 @@ def test_runner_load(spark, scratch):
     assert got == {"20240103", "20240104"}
 
 
-def _msgs_frame(spark, rows):
-    return spark.createDataFrame(rows, "topic string, partition int, offset long, value string")
-
-
 def _startup(city, ms=1704103200000):
     return '{"appVersion":"1","userId":"u","appId":"a","city":"%s","startTimeInMs":%d}' % (city, ms)
 
 
-def test_two_writers_compaction_and_replay(spark, scratch):
-    """Interleaved batches of two checkpoints on one table, each compacted, one replayed: nothing is lost."""
-    table = scratch("clicks")
-    sinks = [jobs._delta_sink(spark, table, scratch("ckpt"), jobs.click_deltas, None, compact_every=2) for _ in range(2)]
-    for batch_id in range(7):
-        for w, sink in enumerate(sinks):
-            rows = [("t", w, 10 * batch_id + k, _startup("c%d" % w) if k else "junk") for k in range(4)]
-            sink(_msgs_frame(spark, rows), batch_id)
-            if batch_id == 5:
-                sink(_msgs_frame(spark, rows), batch_id)          # replay
-    assert _rows(jobs.read_click_counter(spark, table)) == [("2024-01-01_c0", 21), ("2024-01-01_c1", 21)]
-    for gen in (0, 1):
-        assert deltas.bases(spark, table, gen) == [3, 5]
-        assert deltas.batch_ids(spark, table, gen) == [4, 5, 6]
-    parts = spark.createDataFrame([("t", 0), ("t", 1)], "topic string, partition int")
-    assert deltas.ledger_start_offsets(spark, table, parts) == {"t": {"0": 64, "1": 64}}
-    more = spark.createDataFrame([("t", 0), ("t", 1), ("t", 2)], "topic string, partition int")
-    assert deltas.ledger_start_offsets(spark, table, more) == {"t": {"0": 0, "1": 0, "2": 0}}
-
-
-def test_commit_detection_without_success_files(spark, scratch):
-    table = scratch("clicks")
-    key = "mapreduce.fileoutputcommitter.marksuccessfuljobs"
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    conf.set(key, "false")
-    try:
-        deltas.write_batch(jobs.click_deltas(_msgs_frame(spark, [("t", 0, 0, _startup("x"))])), table, 0)
-    finally:
-        conf.unset(key)
-    assert not glob.glob(_local(table) + "/gen=0/batch_id=0/_SUCCESS")
-    os.makedirs(_local(table) + "/gen=0/batch_id=1/_temporary/0")         # an attempt that never committed
-    assert deltas.batch_ids(spark, table) == [0]
-    assert _rows(jobs.read_click_counter(spark, table)) == [("2024-01-01_x", 1)]
-
-
-def test_expired_hours_leave_the_base(spark, scratch):
-    table = scratch("uv")
+USER_EVENTS = "topic string, partition int, offset long, timestamp timestamp, key string, value string"
+DAY0 = dt.datetime(2024, 1, 1)
 
-    def batch(hours):
-        return spark.createDataFrame([("t", 0, i, "u%d,x" % i, h) for i, h in enumerate(hours)],
-                                     "topic string, partition int, offset long, value string, h string") \
-            .withColumn("timestamp", F.col("h").cast("timestamp"))
 
-    deltas.write_batch(jobs.sketch_deltas(batch(["2024-01-01 01:00:00", "2024-01-01 02:10:00"])), table, 0)
-    deltas.write_batch(jobs.sketch_deltas(batch(["2024-01-01 02:50:00", "2024-01-02 01:30:00"])), table, 1)
-    deltas.compact(spark, table, 1, "sketches", ttl="1 day", as_of=F.lit("2024-01-02 02:20:00").cast("timestamp"))
-    base = spark.read.parquet(f"{table}/gen=0/_bases/upto=1")
-    assert sorted(r.hour_key for r in base.collect()) == ["20240101-02", "20240102-01"]   # 02h was written again
-    assert sorted(r.hour_key for r in jobs.read_hourly_uniques(spark, table, ttl=None).collect()) == \
-        ["20240101-02", "20240102-01"]
+def _user_events(spark, src, rows):
+    """Append one source file of (hours since the start, user)."""
+    spark.createDataFrame([("t", 0, i, DAY0 + dt.timedelta(hours=h), None, f"{u},x") for i, (h, u) in enumerate(rows)], USER_EVENTS) \
+        .coalesce(1).write.mode("append").parquet(src)
 
 
-def test_repartition_before_the_sink(spark, scratch):
-    table = scratch("clicks")
-    sink = jobs._delta_sink(spark, table, scratch("ckpt"), jobs.click_deltas, 3)
-    sink(_msgs_frame(spark, [("t", 0, i, _startup("c%d" % i)) for i in range(40)]), 0)
-    assert len(glob.glob(_local(table) + "/gen=0/batch_id=0/part-*.parquet")) == 3
-    assert jobs.read_click_counter(spark, table).count() == 40
+def _uniques(spark, src, table, writer="main", **kw):
+    """Run the uniques job over what is there; returns the query."""
+    q = jobs.hourly_uniques_stream(spark, stream_messages(spark, src), table, writer, trigger="availableNow",
+                                   watermark="0 seconds", **kw)
+    q.awaitTermination()
+    return q
+
+
+def _alive(spark, table, hours):
+    as_of = F.lit(DAY0 + dt.timedelta(hours=hours)).cast("timestamp")
+    return {r.hour_key: r.uv_est for r in jobs.read_hourly_uniques(spark, table, as_of=as_of).collect()}
+
+
+@pytest.fixture
+def one_hour_key(monkeypatch):
+    """Every message belongs to one hour key: as with the reference's wall-clock keys and messages that come late."""
+    from logtide.functions.dates import hour_key
+    monkeypatch.setattr(U, "hour_key", lambda ts=None: F.when(ts.isNotNull(), hour_key(F.lit(DAY0).cast("timestamp"))))
+    return "20240101-00"
+
+
+def test_each_write_renews_the_key(spark, scratch, one_hour_key):
+    """Written at 0, 20 and 40 h a key lives on with all its users until 64 h; then it leaves the state."""
+    src, table = scratch("src"), scratch("uv")
+    _user_events(spark, src, [(0, "a"), (0.5, "b")])
+    _uniques(spark, src, table)
+    _user_events(spark, src, [(20, "c")])
+    _uniques(spark, src, table)
+    _user_events(spark, src, [(40, "d"), (40, "a")])
+    q = _uniques(spark, src, table)
+    assert q.lastProgress["stateOperators"][0]["numRowsTotal"] == 1
+    assert _alive(spark, table, 63.9) == {one_hour_key: 4} and _alive(spark, table, 64.1) == {}
+    _user_events(spark, src, [(70, "e")])                                   # after it expired: a new life
+    _uniques(spark, src, table)
+    q = _uniques(spark, src, table)
+    assert state.read_state(spark, state.checkpoint_of(table, "main")).count() == 1
+    closed = spark.read.parquet(state.closed_of(table, "main")).collect()
+    assert [(r.hour_key, r.n_rows, r.expires) for r in closed] == [(one_hour_key, 5, DAY0 + dt.timedelta(hours=64))]
+    assert _alive(spark, table, 71) == {one_hour_key: 1}
+    assert {r.hour_key: r.uv_est for r in jobs.read_hourly_uniques(spark, table, expired=True).collect()} == {one_hour_key: 5}
+
+
+def test_unwritten_hours_leave_the_state(spark, scratch):
+    src, table = scratch("src"), scratch("uv")
+    _user_events(spark, src, [(0, "a"), (1, "b"), (2, "c")])
+    _uniques(spark, src, table)
+    _user_events(spark, src, [(25.5, "d")])
+    _uniques(spark, src, table)
+    left = {r.key.hour_key for r in state.read_state(spark, state.checkpoint_of(table, "main")).collect()}
+    assert left == {"20240101-02", "20240102-01"}
+    assert set(_alive(spark, table, 25.5)) == left
+    assert jobs.read_hourly_uniques(spark, table, expired=True).count() == 4          # closed sessions stay readable
+
+
+def test_two_writers_renew_one_key(spark, scratch, one_hour_key):
+    """One writer's session ends while the other still writes the key: its users live on with the key."""
+    srcs, table = [scratch("src"), scratch("src")], scratch("uv")
+    _user_events(spark, srcs[0], [(0, "a"), (1, "b")])
+    _uniques(spark, srcs[0], table, "w0")
+    _user_events(spark, srcs[1], [(20, "c")])
+    _uniques(spark, srcs[1], table, "w1")
+    _user_events(spark, srcs[0], [(50, "z")])                    # w0 forgets a and b: they were last written at 1 h
+    _uniques(spark, srcs[0], table, "w0")
+    _uniques(spark, srcs[0], table, "w0")
+    assert spark.read.parquet(state.closed_of(table, "w0")).count() == 1
+    assert _alive(spark, table, 43.9)[one_hour_key] == 3
+    sessions = sorted((r.begins, r.expires, r.n_rows) for r in jobs.read_sessions(spark, table).collect())
+    hour = lambda h: DAY0 + dt.timedelta(hours=h)
+    assert sessions == [(hour(0), hour(44), 3), (hour(50), hour(74), 1)]
+    assert _alive(spark, table, 51) == {one_hour_key: 1}         # 50 h is after 44 h: only z
+
+
+def test_repartition_and_processing_time_of_uniques(spark, scratch):
+    src, table = scratch("src"), scratch("uv")
+    _user_events(spark, src, [(h, f"u{h}") for h in range(30)])
+    q = jobs.hourly_uniques_stream(spark, stream_messages(spark, src), table, processing_time=True, repartition=3,
+                                   trigger="availableNow")
+    q.awaitTermination()
+    rows = jobs.read_hourly_uniques(spark, table).collect()
+    assert 1 <= len(rows) <= 2 and sum(r.uv_est for r in rows) == 30
 
 
 def test_archive_stream_restart_replay_and_day_load(spark, scratch):
@@ -375,17 +390,170 @@ def test_archive_stream_restart_replay_and_day_load(spark, scratch):
         A.write_archive(spark.createDataFrame([("x", at)], "value string, timestamp timestamp"), out)
 
 
+def _topic_source(spark):
+    """A streaming source with offsets per partition, as Kafka's: a JSON file says how far each partition reaches."""
+    from pyspark.sql.datasource import DataSource, DataSourceStreamReader, InputPartition
+
+    class Part(InputPartition):
+        def __init__(self, partition, a, b):
+            self.partition, self.a, self.b = partition, a, b
+
+    class Reader(DataSourceStreamReader):
+        def __init__(self, options):
+            self.path = options["ends"]
+
+        def _ends(self):
+            with open(self.path) as f:
+                return json.load(f)
+
+        def initialOffset(self):
+            return {"t": {p: 0 for p in self._ends()}}
+
+        def latestOffset(self):
+            return {"t": self._ends()}
+
+        def partitions(self, start, end):
+            return [Part(int(p), start["t"].get(p, 0), end["t"][p]) for p in end["t"]]
+
+        def read(self, partition):
+            for o in range(partition.a, partition.b):
+                yield ('{"appVersion":"1","userId":"u","appId":"a","city":"c%d","startTimeInMs":1704103200000}' % partition.partition,)
+
+    class Topic(DataSource):
+        @classmethod
+        def name(cls):
+            return "test_topic"
+
+        def schema(self):
+            return "value string"
+
+        def streamReader(self, schema):
+            return Reader(self.options)
+
+    spark.dataSource.register(Topic)
+
+
+def _ledger_rows(rows):
+    return sorted((r.batch_id, r.topic, r.partition, r.from_offset, r.until_offset) for r in rows.collect())
+
+
+def test_ledger_records_committed_offsets(spark, scratch, tmp_path):
+    """Progress after commit becomes ledger rows; after a lost driver and a restart the ledger equals the checkpoint."""
+    _topic_source(spark)
+    ends, table, folder = str(tmp_path / "ends.json"), scratch("clicks"), scratch("ledger")
+    checkpoint = state.checkpoint_of(table, "main")
+
+    def run(reach, listen=True):
+        with open(ends, "w") as f:
+            json.dump(reach, f)
+        listener = ledger.OffsetLedger(spark, folder)
+        if listen:
+            spark.streams.addListener(listener)
+        messages = spark.readStream.format("test_topic").option("ends", ends).load()
+        q = jobs.click_counter_stream(spark, messages, table, trigger="once")
+        q.awaitTermination()
+        if listen:
+            deadline = time.monotonic() + 30
+            while not ledger.read_ledger(spark, folder).where(F.col("batch_id") == max(_batches(checkpoint))).count() \
+                    and time.monotonic() < deadline:
+                time.sleep(0.2)
+                listener.flush()
+            spark.streams.removeListener(listener)
+
+    run({"0": 5, "1": 3})
+    run({"0": 9, "1": 3, "2": 4})
+    first = [(0, "t", 0, None, 5), (0, "t", 1, None, 3)]
+    second = [(1, "t", 0, 5, 9), (1, "t", 2, None, 4)]
+    assert _ledger_rows(ledger.read_ledger(spark, folder)) == first + second
+    assert ledger.catch_up(spark, checkpoint, folder) == 0
+    run({"0": 10, "1": 3, "2": 4}, listen=False)                          # this batch's report is lost
+    assert ledger.catch_up(spark, checkpoint, folder) == 1 and ledger.catch_up(spark, checkpoint, folder) == 0
+    rows = ledger.read_ledger(spark, folder)
+    assert _ledger_rows(rows) == _ledger_rows(ledger.checkpoint_ledger(spark, checkpoint)) == first + second + [(2, "t", 0, 9, 10)]
+    ranges = {(r.batch_id, r.partition): (r.from_offset, r.until_offset) for r in O.ledger_ranges(rows).collect()}
+    assert ranges[2, 0] == (9, 10) and len(ranges) == 5
+    parts = spark.createDataFrame([("t", p) for p in range(3)], "topic string, partition int")
+    assert ledger.ledger_start_offsets(spark, folder, parts) == {"t": {"0": 10, "1": 3, "2": 4}}
+    more = parts.union(spark.createDataFrame([("t", 3)], parts.schema))
+    assert set(ledger.ledger_start_offsets(spark, folder, more)["t"].values()) == {0}
+    assert _rows(jobs.read_click_counter(spark, table)) == [("2024-01-01_c0", 10), ("2024-01-01_c1", 3), ("2024-01-01_c2", 4)]
+
+
+def test_uncommitted_batches_are_not_in_the_ledger(spark, scratch):
+    src = _write_source(spark, as_messages(startup_lines(load_table(spark, SF0001_DIR, "events")), "app-log", 3), scratch("src"), 3)
+    table, folder = scratch("clicks"), scratch("ledger")
+    jobs.click_counter_stream(spark, stream_messages(spark, src, max_files_per_trigger=1), table, trigger="availableNow").awaitTermination()
+    checkpoint = state.checkpoint_of(table, "main")
+    _uncommit(checkpoint, 2)
+    assert ledger.catch_up(spark, checkpoint, folder) == 2
+    assert _ledger_rows(ledger.read_ledger(spark, folder)) == [(0, "logOffset", 0, None, 1), (1, "logOffset", 0, 1, 2)]
+    assert ledger.read_ledger(spark, scratch("none")).count() == 0
+    assert ledger.checkpoint_ledger(spark, scratch("none")).count() == 0
+
+
+def test_launcher_keeps_a_ledger_and_stops_on_a_file(spark, scratch):
+    """A marker ends a running launcher after its batch; a restart replays nothing."""
+    from logtide.streaming import run
+    msgs = as_messages(startup_lines(load_table(spark, SF0001_DIR, "events")), "app-log", 3)
+    src = _write_source(spark, msgs, scratch("src"), files=2)
+    table, folder, marker = scratch("clicks"), scratch("ledger"), scratch("stop")
+    args = ["clicks", "--files", src, "--max-files", "1", "--table", table, "--writer", "w", "--ledger", folder]
+    ended = []
+    job = threading.Thread(target=lambda: ended.append(run.main(args + ["--trigger", "1 second", "--stop-file", marker])))
+    job.start()
+    checkpoint, deadline = state.checkpoint_of(table, "w"), time.monotonic() + 60
+    while time.monotonic() < deadline and not (os.path.isdir(_local(checkpoint) + "/commits") and len(_batches(checkpoint)) == 2):
+        time.sleep(0.3)
+    assert job.is_alive()
+    os.makedirs(os.path.dirname(_local(marker)), exist_ok=True)
+    open(_local(marker), "w").close()
+    job.join(60)
+    assert ended == ["file"] and _batches(checkpoint) == [0, 1]
+    assert [r[0] for r in _ledger_rows(ledger.read_ledger(spark, folder))] == [0, 1]
+    assert run.main(args + ["--trigger", "availableNow"]) == "query" and _batches(checkpoint) == [0, 1]
+    assert _rows(jobs.read_click_counter(spark, table)) == _rows(C.city_click_counts(msgs.select("value")))
+
+
+def test_incremental_archive_load(spark, scratch):
+    """A load reads only files that no load has read: none of an unchanged archive, late lines once."""
+    src, out, table, ckpt = scratch("src"), scratch("archive"), scratch("table"), scratch("ckpt")
+    at = dt.datetime(2024, 1, 5, 10, 20, 5)
+
+    def archived(lines, when, streamed):
+        rows = spark.createDataFrame([("t", 0, n, when, None, line) for n, line in enumerate(lines)], USER_EVENTS)
+        if streamed:
+            rows.write.mode("append").parquet(src)
+            jobs.archive_stream(stream_messages(spark, src), out + "-s", ckpt + "-a", trigger="availableNow").awaitTermination()
+        else:
+            A.write_archive(rows, out)
+
+    def load(streamed):
+        q = jobs.archive_load_stream(spark, out + ("-s" if streamed else ""), table + str(streamed), ckpt + str(streamed))
+        q.awaitTermination()
+        return sum(p["numInputRows"] for p in q.recentProgress)
+
+    for streamed in (False, True):
+        archived([_startup("a"), _startup("b"), "junk"], at, streamed)
+        archived([_startup("c")], at + dt.timedelta(days=1), streamed)
+        assert load(streamed) == 4
+        assert load(streamed) == 0
+        archived([_startup("late")], at, streamed)                        # a line of a loaded day and minute
+        assert load(streamed) == 1 and load(streamed) == 0
+        got = sorted(((str(r.dt), r.city) for r in spark.read.parquet(table + str(streamed)).collect()), key=str)
+        assert got == [("20240105", "a"), ("20240105", "b"), ("20240105", "late"), ("20240105", None), ("20240106", "c")]
+
+
 def test_kafka_launcher_options(spark, scratch):
     from logtide.streaming import run
-    table = scratch("clicks")
+    folder = scratch("ledger")
 
     def options(*more):
         return run.kafka_source_options(spark, run.parse_args(
-            ["clicks", "--kafka", "h:9092", "--table", table, "--checkpoint", "c", *more]))
+            ["clicks", "--kafka", "h:9092", "--table", "t", "--ledger", folder, *more]))
 
     first = options("--topic", "t", "--topic-partitions", "t:2", "--resume-from-ledger")     # nothing written yet
     assert first["startingOffsets"] == '{"t": {"0": 0, "1": 0}}' and first["failOnDataLoss"] == "true"
-    deltas.write_batch(jobs.click_deltas(_msgs_frame(spark, [("t", 0, 4, "junk"), ("t", 1, 8, "junk")])), table, 0)
+    spark.createDataFrame([("q", 0, 0, "t", 0, None, 5), ("q", 0, 0, "t", 1, 2, 9)], ledger.LEDGER_SCHEMA).write.parquet(folder)
     assert options("--assign", "t:0,1", "--resume-from-ledger")["startingOffsets"] == '{"t": {"0": 5, "1": 9}}'
     assert options("--topic", "t", "--topic-partitions", "t:3", "--resume-from-ledger")["startingOffsets"] == \
         '{"t": {"0": 0, "1": 0, "2": 0}}'
