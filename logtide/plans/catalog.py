@@ -23,11 +23,13 @@ from logtide.functions.logs import csv_field
 from logtide.operators import archive as A
 from logtide.operators import counters as C
 from logtide.operators import offsets as O
+from logtide.operators import rolls as L
 from logtide.operators import routing as R
 from logtide.operators import uniques as U
 from logtide.session import scratch_path
 from logtide.sources.messages import as_messages, read_text_lines
 from logtide.sources.tables import csv_lines, load_table, mixed_lines, startup_lines
+from logtide.streaming.jobs import user_sessions
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, QueryFn] = {}
@@ -275,6 +277,19 @@ def start_offsets_json_missing(spark, sf):
     return forms[0].unionByName(forms[1])
 
 
+@register("admitted_ranges", f"""
+WITH m AS ({_MESSAGES}),
+e AS (SELECT topic, "partition", max("offset") + 1 AS end_offset,
+             max(CASE WHEN batch < '{LEDGER_CUTOFF}' THEN "offset" + 1 END) AS c FROM m GROUP BY ALL)
+SELECT topic, "partition", c AS from_offset, least(end_offset, c + 1000)::BIGINT AS until_offset FROM e""")
+def admitted_ranges(spark, sf):
+    """What a bounded run of 10 s at 100 messages a second may read of each partition, from its committed offset on."""
+    msgs = _app_messages(spark, sf)
+    ends = msgs.groupBy("topic", "partition").agg((F.max("offset") + 1).alias("end_offset"))
+    done = O.offset_ranges(msgs.where(F.col("batch") < LEDGER_CUTOFF))
+    return O.admitted_ranges(ends, done, rate=100, seconds=10)
+
+
 # ---- string keys and paths (SCL-1..4) ---------------------------------------------
 
 @register("date_to_string", "SELECT event_id, strftime(ts, '%Y-%m-%d') AS day FROM events")
@@ -298,6 +313,22 @@ def archive_paths_hm(spark, sf):
         "event_id", D.archive_path(_instant(), minute_as_dir=True).alias("path"))
 
 
+@register("archive_rolls", """
+WITH RECURSIVE m AS (SELECT epoch_us(ts) // 1000 AS ms, count(*) AS n FROM events GROUP BY 1),
+starts AS (
+  SELECT min(ms) AS s FROM m
+  UNION ALL
+  SELECT (SELECT min(ms) FROM m WHERE ms >= starts.s + 60000) FROM starts WHERE s IS NOT NULL),
+files AS (SELECT s, lead(s) OVER (ORDER BY s) AS e FROM starts WHERE s IS NOT NULL)
+SELECT '/logData/' || strftime(make_timestamp(s * 1000), '%Y%m/%d/%H%M') AS path, s AS begins_ms, max(ms) AS ends_ms,
+       sum(n)::BIGINT AS n_lines
+FROM files JOIN m ON ms >= s AND (e IS NULL OR ms < e) GROUP BY s""")
+def archive_rolls(spark, sf):
+    """The files a 60 s rolling archiver writes: each begins with the first message 60 s or more after the last began."""
+    ev = _events(spark, sf, ["event_id", "ts"])
+    return L.archive_rolls(as_messages(ev.select("event_id", "ts", F.lit("").alias("value")), APP_TOPIC, KAFKA_PARTITIONS))
+
+
 # ---- timestamp-valued begins (SCL-5..10) ------------------------------------------
 
 def _ts_query(fn, with_offset: bool):
@@ -595,6 +626,20 @@ def hourly_uv_retained(spark, sf):
     return _checked(kept, uh)
 
 
+@register("hourly_uv_sessions", """
+SELECT strftime(ts, '%Y%m%d-%H') AS hour_key, min(epoch_us(ts) // 1000) AS begins_ms,
+       max(epoch_us(ts) // 1000) + 86400000 AS expires_ms, count(*) AS n_rows, count(DISTINCT user_id) AS uv, true AS ok
+FROM events GROUP BY 1""")
+def hourly_uv_sessions(spark, sf):
+    """The life of every hour key, from its first write until a day after its last: the uniques job's sessions."""
+    msgs = as_messages(csv_lines(_events(spark, sf)), CSV_TOPIC, KAFKA_PARTITIONS)
+    lives = user_sessions(msgs, "1 day")
+    est = lives.select("hour_key", F.unix_millis("begins").alias("begins_ms"), F.unix_millis("expires").alias("expires_ms"),
+                       "n_rows", F.hll_sketch_estimate("sketch").alias("est"))
+    checked = _checked(est.select("hour_key", "est"), U.user_hours(msgs))
+    return est.drop("est").join(checked, "hour_key")
+
+
 # ---- archive (SNK-5/7) -------------------------------------------------------------
 
 @register("archive_load", f"""

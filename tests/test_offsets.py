@@ -68,3 +68,29 @@ def test_kafka_source_needs_connector(spark):
     from logtide.sources.messages import read_kafka
     with pytest.raises(Exception):
         read_kafka(spark, kafka_options("localhost:1", topics=["t"]))
+
+
+def test_admission_holds_per_partition(spark):
+    """A hot partition never takes more than its own rate, and runs from the ledger read everything once."""
+    ends = {0: 100_000, 1: 700, 2: 0, 3: 1500}
+    available = spark.createDataFrame([("t", p, e) for p, e in ends.items()], "topic string, partition int, end_offset long")
+    ledger, read, runs = [("t", p, 0, 0) for p in ends], {p: 0 for p in ends}, 0
+    while True:
+        rows = spark.createDataFrame(ledger, "topic string, partition int, from_offset long, until_offset long")
+        ranges = O.admitted_ranges(available, rows, rate=2000, seconds=10).collect()
+        for r in ranges:
+            assert r.from_offset == read[r.partition] and 0 <= r.until_offset - r.from_offset <= 20_000
+            read[r.partition] = r.until_offset
+        ledger += [(r.topic, r.partition, r.from_offset, r.until_offset) for r in ranges]
+        runs += 1
+        if all(r.from_offset == r.until_offset for r in ranges):
+            break
+    assert read == ends and runs == 6
+    # partitions without a committed offset: all start at 0, or only those
+    part = spark.createDataFrame([("t", 0, 0, 50)], "topic string, partition int, from_offset long, until_offset long")
+    assert {r.partition: r.from_offset for r in O.admitted_ranges(available, part, 1, 1).collect()} == dict.fromkeys(ends, 0)
+    lone = O.admitted_ranges(available, part, 1, 10, all_or_nothing=False)
+    assert {r.partition: (r.from_offset, r.until_offset) for r in lone.collect()} == {0: (50, 60), 1: (0, 10), 2: (0, 0), 3: (0, 10)}
+    texts = O.ranges_json(lone).first()
+    assert json.loads(texts.starting_offsets) == {"t": {"0": 50, "1": 0, "2": 0, "3": 0}}
+    assert json.loads(texts.ending_offsets) == {"t": {"0": 60, "1": 10, "2": 0, "3": 10}}

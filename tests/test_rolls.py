@@ -1,0 +1,56 @@
+"""The archive's roll rule against the sequential rule it parallelises."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from logtide.operators import rolls
+
+
+def _files(times, roll=60_000):
+    """[(begins, ends, lines)] as one consumer reading in time order would write them."""
+    files = []
+    for t in sorted(times):
+        if not files or t - files[-1][0] >= roll:
+            files.append([t, t, 0])
+        files[-1][1] = t
+        files[-1][2] += 1
+    return [tuple(f) for f in files]
+
+
+def _rolled(spark, times, parts=4, **kw):
+    rows = spark.createDataFrame([(t,) for t in times], "ms long").repartition(parts)
+    out = rolls.archive_rolls(rows.select(F.timestamp_millis("ms").alias("timestamp")), **kw)
+    return sorted((r.begins_ms, r.ends_ms, r.n_lines) for r in out.collect())
+
+
+BASE = 1_704_067_200_000
+
+
+@pytest.mark.parametrize("make", [
+    lambda rng: [BASE + rng.randrange(40 * 3_600_000) for _ in range(3000)],              # with silences
+    lambda rng: [BASE + k * 59_999 for k in range(400)],                                # every second message begins a file
+    lambda rng: [BASE + k * 1_000 + rng.randrange(300) for k in range(9000)],            # one stretch of 150 files
+    lambda rng: [BASE + 5] * 4000 + [BASE + rng.randrange(7_200_000) for _ in range(2000)] + [BASE + 60_005],   # a hot moment
+    lambda rng: [BASE - 1, BASE, BASE + 60_000, BASE + 119_999, BASE + 10 * 86_400_000, -5, -60_005],
+    lambda rng: [BASE]])
+def test_rolls_match_the_sequential_rule(spark, make):
+    times = make(random.Random(6))
+    assert _rolled(spark, times) == _files(times)
+
+
+def test_rolls_across_buckets_and_empty_tables(spark, monkeypatch):
+    monkeypatch.setattr(rolls, "BUCKET_MS", 45_000)                                     # buckets shorter than a roll
+    rng = random.Random(2)
+    times = [BASE + rng.randrange(3_000_000) for _ in range(500)]
+    assert _rolled(spark, times) == _files(times)
+    assert _rolled(spark, times, roll_ms=7) == _files(times, 7)
+    none = spark.createDataFrame([(None,)], "timestamp timestamp")
+    assert rolls.archive_rolls(none).count() == 0
+
+
+def test_paths_name_the_first_message(spark):
+    rows = spark.createDataFrame([(BASE + 61_000,), (BASE + 125_000,), (BASE + 59_000,)], "ms long")
+    got = {r.path: r.n_lines for r in rolls.archive_rolls(rows.select(F.timestamp_millis("ms").alias("timestamp"))).collect()}
+    assert got == {"/logData/202401/01/0000": 2, "/logData/202401/01/0002": 1}
