@@ -13,7 +13,8 @@ Semantics (all "begin" results are epoch milliseconds, BIGINT):
   ``offset`` weeks (``date_trunc('week')`` would give Monday — not used)
 * month begin = midnight of the first of the month, plus ``offset`` months
 * the ``*_str`` forms parse text first with a pattern (default below);
-  unparseable text or null gives null instead of failing the job
+  unparseable text or null gives null instead of failing the job;
+  `lenient=True` rolls fields over as the reference's parser does
 
 Pushdown: ``day_begin(ts) = X`` cannot reach a Parquet scan, so `in_day`,
 `in_week` and `in_month` build the equivalent literal range on the raw
@@ -27,6 +28,8 @@ import datetime as _dt
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from logtide.functions.patterns import format_jdk, is_plain, parse_lenient
+
 # The reference's default parse pattern and its day-string,
 # hour-key and archive-path patterns.
 DEFAULT_PATTERN = "yyyy/MM/dd HH:mm:ss"
@@ -52,10 +55,10 @@ def _lit(v) -> Column:
 
 
 def _format(ts: Column, fmt: str | Column) -> Column:
-    """date_format with a literal or a per-row pattern."""
+    """Formatted by a literal pattern, with all the JDK's letters, or by a per-row one, with Spark's."""
     if isinstance(fmt, Column):
         return F.call_function("date_format", ts, fmt)
-    return F.date_format(ts, fmt)
+    return F.date_format(ts, fmt) if is_plain(fmt) else format_jdk(ts, fmt)
 
 
 def to_ms(ts) -> Column:
@@ -80,8 +83,14 @@ def from_ms(ms) -> Column:
     return F.timestamp_millis(_col(ms))
 
 
-def parse_time(text, fmt: str | Column = DEFAULT_PATTERN) -> Column:
-    """Parse text with a datetime pattern; null when it does not parse."""
+def parse_time(text, fmt: str | Column = DEFAULT_PATTERN, lenient: bool = False) -> Column:
+    """Parse text with a datetime pattern; null when it does not parse.
+
+    `lenient=True` (literal patterns) lets fields roll over, 2019/13/01 being 2020/01/01, and ignores what follows."""
+    if lenient:
+        if isinstance(fmt, Column):
+            raise ValueError("lenient parsing needs a literal pattern")
+        return parse_lenient(_col(text), fmt)
     return F.try_to_timestamp(_col(text), _lit(fmt))
 
 
@@ -125,19 +134,19 @@ def month_begin(ts=None, offset=0) -> Column:
     return _date_ms(month_start(ts, offset))
 
 
-def day_begin_str(text, fmt: str | Column = DEFAULT_PATTERN, offset=0) -> Column:
+def day_begin_str(text, fmt: str | Column = DEFAULT_PATTERN, offset=0, lenient: bool = False) -> Column:
     """DayBegin(str) / (str, n) / (str, fmt) / (str, fmt, n)."""
-    return day_begin(parse_time(text, fmt), offset)
+    return day_begin(parse_time(text, fmt, lenient), offset)
 
 
-def week_begin_str(text, fmt: str | Column = DEFAULT_PATTERN, offset=0) -> Column:
+def week_begin_str(text, fmt: str | Column = DEFAULT_PATTERN, offset=0, lenient: bool = False) -> Column:
     """WeekBegin(str) / (str, n) / (str, fmt) / (str, fmt, n)."""
-    return week_begin(parse_time(text, fmt), offset)
+    return week_begin(parse_time(text, fmt, lenient), offset)
 
 
-def month_begin_str(text, fmt: str | Column = DEFAULT_PATTERN, offset=0) -> Column:
+def month_begin_str(text, fmt: str | Column = DEFAULT_PATTERN, offset=0, lenient: bool = False) -> Column:
     """MonthBegin(str) / (str, n) / (str, fmt) / (str, fmt, n)."""
-    return month_begin(parse_time(text, fmt), offset)
+    return month_begin(parse_time(text, fmt, lenient), offset)
 
 
 def format_time(ms, fmt: str | Column) -> Column:

@@ -17,13 +17,13 @@ predicates follow.
 
 Deliberate differences from the reference (see README): a startup line with
 no start time is valid but not countable (reason 'missing_time' from
-`click_reject_reason`), unknown JSON fields are ignored, and a malformed line
-is rejected instead of failing the job.
+`click_reject_reason`), unknown JSON fields are ignored unless `reject_unknown`
+is applied, and a malformed line is rejected instead of failing the job.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.functions.logs import decode_json, has_log_marker, log_kind, mentions
@@ -89,6 +89,28 @@ def parse_logs(lines: DataFrame, line_col: str = "value", fields: tuple[str, ...
                               _reason_sql(malformed, names))
 
 
+def unknown_fields(line_col: str = "value") -> Column:
+    """Names in a line's JSON object that the bean of its kind has no field for; null where the line is no object.
+
+    The line is parsed once, as a VARIANT, and its names are compared with the bean's as sets."""
+    def bean(schema):
+        return F.array(*[F.lit(f.name) for f in schema.fields])
+
+    names = F.map_keys(F.try_parse_json(line_col).try_cast("map<string, variant>"))
+    known = (F.when(log_kind(line_col) == "error", bean(ERROR_SCHEMA)).when(log_kind(line_col) == "page", bean(PAGE_SCHEMA))
+             .otherwise(bean(STARTUP_SCHEMA)))
+    return F.array_except(names, known)
+
+
+def reject_unknown(parsed: DataFrame, line_col: str = "value") -> DataFrame:
+    """Strict decoding: `parse_logs` output with reason 'unknown_field' for lines with fields their bean lacks.
+
+    That is what the reference's JSON mapper does by default. It reads the bean before it validates, so an unknown
+    field comes before a missing one, and it holds for page and error lines too."""
+    strange = F.col("log_kind").isNotNull() & ~F.col("malformed") & (F.size(unknown_fields(line_col)) > 0)
+    return parsed.withColumn("reject_reason", F.when(strange, "unknown_field").otherwise(F.col("reject_reason")))
+
+
 def keep_valid(parsed: DataFrame) -> DataFrame:
     """Required-field validation (the reference's filter, after parse_logs)."""
     return parsed.where(F.col("reject_reason").isNull())

@@ -86,6 +86,7 @@ _MS = "(epoch_us(ts) // 1000)"
 _KIND = "CASE event_type WHEN 'error' THEN 'error' WHEN 'view' THEN 'page' ELSE 'startup' END"
 _CITY = "'city_' || (props->>'$.k')"
 _SUNDAY = "(cast(ts AS DATE) - cast(dayofweek(ts) AS INTEGER))"
+_SATURDAY = f"({_SUNDAY} + 6)"
 _OFF5 = "cast(event_id % 5 - 2 AS INTEGER)"
 _STARTUP_JSON = (
     "CASE WHEN event_type = 'error' THEN json_object('userId', cast(user_id AS VARCHAR), "
@@ -179,6 +180,19 @@ def log_rejects(spark, sf):
     return R.rejected_logs(R.parse_logs(lines)).groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
 
 
+@register("log_rejects_strict", f"""
+WITH r AS (SELECT CASE WHEN event_id % 5 = 0 THEN 'unknown_field' WHEN event_type = 'signup' THEN 'missing_city' END AS reason,
+                  {_KIND} AS log_kind FROM events)
+SELECT reason, log_kind, count(*) AS n FROM r WHERE reason IS NOT NULL GROUP BY 1, 2""")
+def log_rejects_strict(spark, sf):
+    """Strict decoding: lines with a field that their bean lacks are rejected whatever their kind. Every fifth line
+    has one more field."""
+    lines = _lines(mixed_lines(_events(spark, sf)).withColumn("value", F.expr(
+        "CASE WHEN event_id % 5 = 0 THEN concat('{\"channel\":{\"city\":1},', substr(value, 2)) ELSE value END")))
+    rejected = R.rejected_logs(R.reject_unknown(R.parse_logs(lines)))
+    return rejected.groupBy("reason", "log_kind").agg(F.count(F.lit(1)).alias("n"))
+
+
 @register("page_views", f"""
 SELECT cast(user_id AS VARCHAR) AS userId, 'app' || (user_id % 3) AS appId,
        {_K} % 7 + 1 AS pageViewCntInSession, 'page_' || ({_K} % 10) AS currentPage,
@@ -519,6 +533,41 @@ def format_time_week(spark, sf):
     return ev.select("event_id", D.format_week_begin(D.ntz_to_ms("ts"), "yyyy-MM-dd HH:mm").alias("formatted"))
 
 
+@register("format_time_letters", f"""
+SELECT event_id, isodow(ts)::VARCHAR AS u, ((day(ts) - 1) // 7 + 1)::VARCHAR AS f, month(ts) || '.' || day(ts) AS m_d,
+       lpad(((dayofyear({_SATURDAY}) - 1) // 7 + 1)::VARCHAR, 2, '0') AS ww, year({_SATURDAY})::VARCHAR AS year_of_week,
+       ((day(ts) + dayofweek(date_trunc('month', ts)) - 1) // 7 + 1)::VARCHAR AS w_of_month,
+       lpad(((epoch_us(ts) // 1000) % 1000)::VARCHAR, 4, '0') AS ssss,
+       year({_SATURDAY}) || '-W' || ((dayofyear({_SATURDAY}) - 1) // 7 + 1) || '-' || isodow(ts) || ' o''clock' AS mixed
+FROM events""")
+def format_time_letters(spark, sf):
+    """FormatTime with the pattern letters that Spark's formatter refuses or reads in another sense."""
+    ev, ms = _events(spark, sf, ["event_id", "ts"]), D.ntz_to_ms("ts")
+    patterns = {"u": "u", "f": "F", "m_d": "M.d", "ww": "ww", "year_of_week": "YYYY", "w_of_month": "W", "ssss": "SSSS",
+                "mixed": "YYYY-'W'w-u 'o''clock'"}
+    return ev.select("event_id", *[D.format_time(ms, p).alias(n) for n, p in patterns.items()])
+
+
+_LENIENT_TEXT = "concat_ws('/', year(ts), month(ts) + event_id % 30, day(ts) + event_id % 50)"
+
+
+@register("begin_lenient", """
+WITH d AS (SELECT *, date_trunc('year', ts) + to_months((month(ts) + event_id % 30 - 1)::INTEGER)
+                  + to_days((day(ts) + event_id % 50 - 1)::INTEGER) AS t FROM events)
+SELECT event_id, epoch_ms((t::DATE)::TIMESTAMP) AS day_ms,
+       epoch_ms((t::DATE - dayofweek(t)::INTEGER + 7)::TIMESTAMP) AS next_week_ms,
+       epoch_ms(date_trunc('month', t)::TIMESTAMP) AS month_ms, NULL::BIGINT AS strict_ms
+FROM d WHERE month(ts) + event_id % 30 > 12""")
+def begin_lenient(spark, sf):
+    """Day, week and month begin of text whose month and day lie beyond their range: rolled over, strictly null."""
+    ev = _events(spark, sf, ["event_id", "ts"]).where(F.month("ts") + F.col("event_id") % 30 > 12)
+    text = F.concat(F.expr(_LENIENT_TEXT), F.lit(" 25:00:00 and so on"))
+    day = D.day_begin_str(text, "yyyy/M/d", lenient=True)
+    return ev.select("event_id", day.alias("day_ms"), D.week_begin_str(text, "yyyy/M/d", 1, lenient=True).alias("next_week_ms"),
+                     D.month_begin_str(text, "yyyy/M/d", lenient=True).alias("month_ms"),
+                     D.day_begin_str(text, "yyyy/M/d").alias("strict_ms"))
+
+
 @register("week_begin_sql", f"SELECT epoch_ms({_SUNDAY}::TIMESTAMP) AS week_begin_ms, count(*) AS n FROM events GROUP BY 1")
 def week_begin_sql(spark, sf):
     """The SQL surface: registered temporary functions called from spark.sql."""

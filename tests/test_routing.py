@@ -146,3 +146,25 @@ def test_city_first_counts_lines_without_a_marker(spark):
     keyed = C.click_keys(lines, C.CITY_DATE)
     assert keyed.count() == 7 and keyed.where("row_key IS NOT NULL").count() == 2
     assert C.city_click_counts(lines, C.DATE_CITY).count() == 0
+
+
+def test_strict_decoding_rejects_unknown_fields(spark):
+    from logtide.operators import routing as R
+    bean = '"userId":"u","appId":"a","appPlatform":"ios"'
+    rows = {
+        "plain": '{%s,"appVersion":"1","city":"c","startTimeInMs":1}' % bean,
+        "extra": '{%s,"appVersion":"1","city":"c","startTimeInMs":1,"x":null}' % bean,
+        "nested": '{%s,"appVersion":{"x":1},"city":"c"}' % bean,                       # only the object's own names count
+        "case": '{%s,"appVersion":"1","City":"c"}' % bean,
+        "page": '{%s,"currentPage":"p","city":"c"}' % bean,                            # a field of another bean
+        "error": '{%s,"errorMajor":"e"}' % bean,
+        "extra_before_missing": '{"appVersion":"1","x":1}',
+        "cut": '{"appVersion":',
+        "list": '["appVersion"]',
+        "none": "u1,a,b"}
+    df = spark.createDataFrame(list(rows.items()), "name string, value string")
+    got = {r.name: r.reject_reason for r in R.reject_unknown(R.parse_logs(df)).collect()}
+    assert got == {"plain": None, "extra": "unknown_field", "nested": None, "case": "unknown_field", "page": "unknown_field",
+                   "error": None, "extra_before_missing": "unknown_field", "cut": "malformed", "list": "malformed", "none": "no_marker"}
+    loose = {r.name: r.reject_reason for r in R.parse_logs(df).collect()}
+    assert loose["extra"] is None and loose["case"] == "missing_city"
