@@ -217,7 +217,8 @@ def read_warc(manifest: DataFrame, folder: str, with_payload: bool = False) -> D
                     if rows:
                         yield _batch(rows, names)
 
-    files = manifest.select("file").repartition(F.col("file"))
+    # a task a file, as adaptive execution would put all these small rows into one
+    files = manifest.select("file").repartition(max(1, manifest.count()), "file")
     return map_arrow(files, read, schema)
 
 

@@ -58,6 +58,18 @@ def test_queries_match_their_sql(spark, name):
     assert sorted(map(str, (tuple(r) for r in got.select(cols).collect()))) == sorted(map(str, want.fetchall()))
 
 
+def test_archives_are_read_in_parallel(spark, scratch, monkeypatch):
+    monkeypatch.setattr(warc, "FILE_BYTES", 2000)
+    rows = [(i, "u", f"payload {i} " * 50) for i in range(400)]
+    folder = scratch("warc")
+    manifest = warc.write_warc(spark.createDataFrame(rows, PAGES).repartition(4), folder)
+    files = manifest.count()
+    assert files >= 20
+    back = warc.read_warc(manifest, folder)
+    used = back.withColumn("p", F.spark_partition_id()).select("p").distinct().count()
+    assert back.count() == 400 and used >= files // 3
+
+
 def test_warc_round_trip(spark, scratch):
     big, other = "p" * 1000, "é" * 700
     rows = [(1, "http://a/", big), (2, None, big), (5, "http://c/?q=a b\u00e9", big), (3, "u", other), (4, "u", other),
