@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from logtide.session import scratch_path
 
 SLICE_BYTES = 1 << 20
+TOKEN_SLICE_BYTES = 2 << 20          # for tokenizers, whose pieces repeat more the larger the slice
 
 
 _shipped: set[str] = set()
@@ -107,13 +108,13 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 
 
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text_col: str,
-              passed: list[str] = ()) -> DataFrame:
-    """mapInArrow over bounded slices: `fn(slice)` gives the new columns, `passed` columns go through."""
+              passed: list[str] = (), budget: int = SLICE_BYTES) -> DataFrame:
+    """mapInArrow over slices of about `budget` bytes: `fn(slice)` gives the new columns, `passed` columns go through."""
     kept = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in passed]
 
     def run(batches):
         for whole in batches:
-            for part in slices(whole, text_col):
+            for part in slices(whole, text_col, budget):
                 new = fn(part)
                 names = [*passed, *new]
                 yield pa.RecordBatch.from_arrays([part.column(c) for c in passed]

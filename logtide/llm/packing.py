@@ -8,9 +8,12 @@ sequence are enumerated, their repeat counts fitted by non-negative least
 squares, rounded down, and what is left is packed best fit, longest first, again
 as patterns with repeat counts.
 
-Each piece then gets its rank among the pieces of its length (block counts, a
-running sum over blocks, row numbers inside a block, so a hot length spreads),
-and the rank names its pattern, repetition and place.
+A full piece is a sequence by itself and needs no rank: its (negative) number is
+unique without one. Every other piece gets its rank among the pieces of its
+length, and the rank names its pattern, repetition and place. A length is ranked
+in as many blocks as its count asks for (block counts, a running sum over
+blocks, row numbers inside a block), so a hot length spreads and a rare one is
+one block.
 
 Defined results: a null or empty text is its end id alone (one piece of length
 1); repeated rows are packed each on its own; an empty table gives no rows.
@@ -26,8 +29,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from logtide.llm.common import map_arrow, slices, texts_of, written
-from logtide.llm.pieces import id_bytes, shared_pieces
+from logtide.llm.common import TOKEN_SLICE_BYTES, map_arrow, slices, texts_of, written
+from logtide.llm.pieces import shared_pieces
 
 BLOCK_ROWS = 4096
 PATTERN_DOCS = 4
@@ -49,10 +52,9 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int,
     end = int(end_id).to_bytes(4, "little")
 
     def run(part):
-        pieces = shared_pieces(tokenizer, id_bytes)
         out = {"at": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-        for i, parts in enumerate(pieces.values(texts_of(part, "_text"))):
-            ids = b"".join(parts) + end
+        for i, ids in enumerate(shared_pieces(tokenizer).encode(texts_of(part, "_text"))):
+            ids += end
             start = 0
             for k, size in enumerate(cut_lengths(len(ids) // 4, limit)):
                 for name, v in zip(out, (i, k, start, size, zlib.crc32(ids[4 * start:4 * (start + size)]))):
@@ -63,7 +65,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, limit: int, end_id: int,
 
     def batches(it):
         for whole in it:
-            for part in slices(whole, "_text"):
+            for part in slices(whole, "_text", TOKEN_SLICE_BYTES):
                 at, out = run(part)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_id").take(pa.array(at)), part.column("_row").take(pa.array(at)),
@@ -199,11 +201,14 @@ def place(runs: dict[str, np.ndarray], length: np.ndarray, rank: np.ndarray) ->
     return runs["sequence"][i] + k // slots, runs["offsets"][runs["offsets_at"][i] + k % slots]
 
 
-def ranked(pieces: DataFrame) -> DataFrame:
-    """pieces plus rank: 0, 1, ... among the pieces of the same length, without one task per length."""
-    total = pieces.count()
-    blocks = max(1, -(-total // BLOCK_ROWS))
-    keyed = pieces.withColumn("block", F.pmod(F.xxhash64("_row", "piece"), F.lit(blocks)))
+def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
+    """pieces plus rank: 0, 1, ... among the pieces of the same length, without one task per length.
+
+    `histogram` has every length's count; the table of blocks has a row a length."""
+    blocks = pieces.sparkSession.createDataFrame([(k, -(-n // BLOCK_ROWS)) for k, n in histogram.items()],
+                                                 "length long, blocks long")
+    keyed = (pieces.join(F.broadcast(blocks), "length")
+             .withColumn("block", F.pmod(F.xxhash64("_row", "piece"), F.col("blocks"))).drop("blocks"))
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (keyed.groupBy("length", "block").agg(F.count(F.lit(1)).alias("n"))
                .withColumn("rank_from", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n"))
@@ -217,8 +222,9 @@ def pack(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0,
          id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, piece, start, length, ids_crc32, sequence_id, offset): one row per piece."""
     pieces = written(docs.sparkSession, token_pieces(docs, tokenizer, limit, end_id, id_col, text_col), "pieces")
-    histogram = {r["length"]: r["n"] for r in          # at most `limit` rows
-                 pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
+    rest = pieces.where(F.col("length") < limit)
+    histogram = {r["length"]: r["n"] for r in          # fewer than `limit` rows
+                 rest.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     runs = places(plan(histogram, limit))
 
     def run(it):
@@ -230,5 +236,8 @@ def pack(docs: DataFrame, tokenizer: str, limit: int = 2048, end_id: int = 0,
     cols = ["_id", "piece", "start", "length", "ids_crc32"]
     id_type = pieces.schema["_id"].dataType.simpleString()
     placed = map_arrow(
-        ranked(pieces).select(*cols, "rank"), run, f"_id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
-    return placed.withColumnRenamed("_id", id_col)
+        ranked(rest, histogram).select(*cols, "rank"), run,
+        f"_id {id_type}, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long")
+    full = pieces.where(F.col("length") == limit).select(
+        *cols, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
+    return placed.unionByName(full).withColumnRenamed("_id", id_col)

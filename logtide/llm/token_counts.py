@@ -22,8 +22,8 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm.common import map_texts, texts_of, written
-from logtide.llm.pieces import count_of, shared_pieces, tokenizer_version
+from logtide.llm.common import TOKEN_SLICE_BYTES, map_texts, texts_of, written
+from logtide.llm.pieces import shared_pieces, tokenizer_version
 from logtide.llm.url_filter import possible_rows
 
 CACHE_SCHEMA = "content string, version string, n_tokens long"
@@ -42,10 +42,11 @@ def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame:
 
 def _encode(texts: DataFrame, tokenizer: str) -> DataFrame:
     def run(part):
-        pieces = shared_pieces(tokenizer, count_of)
-        return {"n_tokens": np.array([sum(v) for v in pieces.values(texts_of(part, "_text"))], np.int64)}
+        ids = shared_pieces(tokenizer).encode(texts_of(part, "_text"))
+        return {"n_tokens": np.array([len(i) // 4 for i in ids], np.int64)}
 
-    return map_texts(texts.select("content", "_text"), run, "n_tokens long", "_text", ["content"])
+    return map_texts(texts.select("content", "_text"), run, "n_tokens long", "_text", ["content"],
+                     TOKEN_SLICE_BYTES)
 
 
 def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512,

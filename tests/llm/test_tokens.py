@@ -8,7 +8,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from logtide.llm import chunk_bpe, packing, token_counts
-from logtide.llm.pieces import Pieces
+from logtide.llm.pieces import ENTRY_BYTES, Generations, Pieces
 from tests.llm.helpers import DOC_SCHEMA, doc_rows
 
 BYTE, WORD = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
@@ -18,16 +18,35 @@ ALPHABET = list("abcXYZ éßΣσİ½²'’\n\t  \r\x85\xa0\u1680\u2003\x1c\x1f\x
 
 def _texts(n=1500, seed=5):
     rng = random.Random(seed)
-    return ["", " ", "<|endoftext|>"] + ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 200)))
+    lines = ["a line of words, plain.", "", "Ünïcode Wörter ǀǁ ǅ", "\n", "end 's it's", "x\x1cy \x1f z"]
+    regular = ["\n".join(rng.choice(lines) for _ in range(rng.randint(1, 8))) for _ in range(200)]
+    return ["", " ", "<|endoftext|>", "\n", "\n\n\n", "a\n\n\nb\n\n", "<|endoftext|> after\n<|startoftext|>\n"] + regular + ["".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, 200)))
                                          for _ in range(n)] + ["word " * 30000, "x" * 5000]
 
 
 @pytest.mark.parametrize("path", [BYTE, WORD])
 def test_pieces_give_the_library_ids(path):
     texts, tok = _texts(), Tokenizer.from_file(path)
-    pieces = Pieces(path, lambda e: list(e.ids), limit=2000)
-    got = [sum(v, []) for k in range(0, len(texts), 200) for v in pieces.values(texts[k:k + 200])]
-    assert got == [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    want = [e.ids for e in tok.encode_batch_fast(texts, add_special_tokens=False)]
+    for limit in (1 << 27, 500_000):                         # the smaller one drops generations all the time
+        pieces, got = Pieces(path, limit), []
+        for k in range(0, len(texts), 200):
+            got += [np.frombuffer(ids, "<u4").tolist() for ids in pieces.encode(texts[k:k + 200])]
+            assert not any(len(p) > 64 for p in pieces.cache.young)
+        assert got == want
+    assert pieces.cache.old and pieces.encode([]) == [] and pieces.encode(["", ""]) == [b"", b""]
+
+
+def test_generations_keep_what_is_met_again():
+    cache, made = Generations(40 * ENTRY_BYTES), []
+    for k in range(0, 400, 5):
+        wanted = {f"new{i}" for i in range(k, k + 5)} | {"common"}
+        lacking = cache.lacking(wanted)
+        made += [x for x in lacking if x == "common"]
+        cache.add(lacking, [x.upper() for x in lacking])
+        assert all(cache.young[x] == x.upper() for x in wanted)
+        assert len(cache.young) + len(cache.old) <= 60
+    assert made == ["common"]
 
 
 def test_chunks_give_the_library_ids_and_decoding():
@@ -35,7 +54,10 @@ def test_chunks_give_the_library_ids_and_decoding():
     coder = chunk_bpe.ChunkCoder(WORD)
     for t in texts:
         ids = tok.encode(t, add_special_tokens=False).ids
-        assert coder.encode(t) == (len(ids), " ".join(map(str, ids)), tok.decode(ids, skip_special_tokens=False))
+        assert coder.encode(t) == ids and coder.decode(ids) == tok.decode(ids, skip_special_tokens=False)
+        assert coder.ids_text(ids) == " ".join(map(str, ids))
+    whole = coder.encode_all(texts)                                         # chunks known by now, texts together
+    assert [np.frombuffer(b, "<u4").tolist() for b in whole] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
     with pytest.raises(ValueError):
         chunk_bpe.ChunkCoder(BYTE)
 
