@@ -49,7 +49,7 @@ def test_full_filter_changes_no_result(spark, blocks):
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_queries_match_their_sql(spark, name):
     con = duckdb.connect()
-    for t in ("pages", "embeddings"):
+    for t in ("pages", "embeddings", "documents", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     want = con.execute(queries.oracle_sql()[name])
     cols = [d[0] for d in want.description]
