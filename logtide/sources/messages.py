@@ -23,7 +23,7 @@ def as_messages(lines: DataFrame, topic: str, partitions: int = 3, id_col: str =
     """Envelope (topic, partition, offset, timestamp, key, value) of a line table: a projection.
 
     partition = id mod `partitions`; `offset` defaults to id div `partitions`,
-    which numbers dense ids densely; timestamp = the NTZ wall clock read as UTC.
+    which numbers dense ids densely and leaves gaps where ids have gaps, as a compacted topic does; timestamp = the NTZ wall clock read as UTC.
     A row with a null id keeps its line, with null partition and offset.
     """
     ident = F.col(id_col).cast("bigint")
@@ -74,7 +74,9 @@ def kafka_options(bootstrap: str, topics: list[str] | None = None,
     * `starting_offsets`: "earliest"/"latest" or ``{topic: {partition: offset}}``
       (e.g. the output of `start_offsets_json`).
     * A per-partition rate (messages/s) becomes ``maxOffsetsPerTrigger``, which is
-      a total over all partitions per trigger: rate x interval x partitions.
+      a total over all partitions per trigger: rate x interval x partitions. A rate that holds
+      for each partition needs bounded runs: read the batch source (`spark.read.format("kafka")`)
+      with both texts of `offsets.ranges_json` as `starting_offsets` and `extra={"endingOffsets": ...}`.
     * Offsets are tracked in the query checkpoint, so no auto-commit; `group_id`
       only names the consumer group (``kafka.group.id``), e.g. for broker ACLs.
     * Offsets that have aged out of the topic fail the query; `fail_on_data_loss=False`

@@ -93,6 +93,7 @@ def user_sessions(messages: DataFrame, ttl: str = RETENTION, watermark: str = "0
     """(hour_key, begins, expires, sketch, last_write, n_rows): the uniques of an hour key from its first write until
     `ttl` has passed without another one (append mode: emitted, and dropped from the state, once the watermark is past
     `expires`)."""
+    state.use_state_store(messages.sparkSession)
     writes = U.user_hours(messages, processing_time=processing_time).withWatermark("write_ts", watermark)
     sessions = writes.groupBy("hour_key", F.session_window("write_ts", ttl).alias("session")).agg(
         F.hll_sketch_agg("user_id", lg_k).alias("sketch"), F.max("write_ts").alias("last_write"),
@@ -110,7 +111,6 @@ def hourly_uniques_stream(spark: SparkSession, messages: DataFrame, table: str,
     The hour is the message timestamp's (replayable); `processing_time=True` keys by the wall clock when the batch
     runs, as the reference does. Messages more than `watermark` behind the newest are late: Spark drops them if their
     session would have ended before the watermark."""
-    state.use_state_store(spark)
     sessions = user_sessions(messages, ttl, watermark, processing_time)
     if repartition:
         sessions = sessions.repartition(repartition)

@@ -14,6 +14,9 @@ def test_envelope_keeps_rows_without_an_id(spark):
         .withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
     got = sorted(((r.partition, r.offset, r.value) for r in as_messages(lines, "t", 3).collect()), key=str)
     assert got == [(0, 0, "a"), (1, 1, "b"), (None, None, "c")]
+    sparse = spark.createDataFrame([(0, "a"), (30, "b"), (33, "c")], "event_id long, value string") \
+        .withColumn("ts", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    assert sorted(r.offset for r in as_messages(sparse, "t", 3).collect()) == [0, 10, 11]      # gaps stay gaps
 
 
 def test_committed_offsets_in_one_pass(spark):
@@ -58,6 +61,8 @@ def test_kafka_options():
     assert o["maxOffsetsPerTrigger"] == "1500" and o["failOnDataLoss"] == "true"
     assert kafka_options("b", topics=["t"], fail_on_data_loss=False)["failOnDataLoss"] == "false"
     assert kafka_options("b:9092", topics=["t"], group_id="g1")["kafka.group.id"] == "g1"
+    bounded = kafka_options("b:9092", topics=["t"], starting_offsets='{"t":{"0":5}}', extra={"endingOffsets": '{"t":{"0":9}}'})
+    assert bounded["startingOffsets"] == '{"t":{"0":5}}' and bounded["endingOffsets"] == '{"t":{"0":9}}'
     a = kafka_options("b:9092", assign={"t": [1, 0]})
     assert json.loads(a["assign"]) == {"t": [0, 1]} and a["startingOffsets"] == "earliest"
     with pytest.raises(ValueError):
