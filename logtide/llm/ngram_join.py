@@ -256,7 +256,7 @@ def _hash_arrays(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str)
 
     The join brings all rows of an id to one task, which skips those whose set it has seen."""
     texts = (docs.select(F.col(id_col).cast("long").alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text"))
-             .join(chosen.select("_id").distinct().hint("shuffle_hash"), "_id", "left_semi"))
+             .join(chosen.select("_id").distinct(), "_id", "left_semi"))
 
     def run(batches):
         seen = set()
@@ -276,6 +276,11 @@ def _hash_arrays(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str)
     return map_arrow(texts, run, "_id long, n long, hashes binary")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """(_id) of the sets that pairs name."""
+    return pairs.select(F.col("a").alias("_id")).union(pairs.select("b"))
+
+
 def _linked(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
     """The pairs (a, b) whose sets reach the threshold, by exact intersection."""
     left = arrays.select(F.col("_id").alias("a"), F.col("hashes").alias("ha"))
@@ -308,10 +313,12 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     named = reps.select(F.posexplode("keys").alias("rank", "key"), "_id", "n")
     often = named.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
     keys = written(spark, named.join(often, "key"), "set-keys")
-    arrays = written(spark, _hash_arrays(docs, keys, id_col, text_col), "set-arrays")
 
+    # exact arrays only of sets in pairs that the bounds let through
     rooted = _tiles(keys.where(F.col("rank") < FIRST_KEYS), cross=False).withColumn("root", F.col("_id"))
-    first = written(spark, _linked(_pairs(rooted, reps, forest=True), arrays), "links")
+    near = written(spark, _pairs(rooted, reps, forest=True), "set-pairs")
+    arrays = written(spark, _hash_arrays(docs, _ends(near), id_col, text_col), "set-arrays")
+    first = written(spark, _linked(near, arrays), "links")
     roots = written(spark, components(first, "star"), "roots")
 
     known = keys.join(roots.withColumnRenamed("node", "_id"), "_id", "left").withColumn("root", F.coalesce("root", "_id"))
@@ -320,7 +327,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with_root = (_tiles(keys.join(open_keys, "key", "left_semi"), cross=True)
                  .join(roots.withColumnRenamed("node", "_id"), "_id", "left")
                  .withColumn("root", F.coalesce("root", "_id")))
-    second = _linked(_pairs(with_root, reps, forest=False), arrays)
+    near = written(spark, _pairs(with_root, reps, forest=False), "set-pairs")
+    more = _ends(near).join(arrays.select("_id"), "_id", "left_anti")
+    arrays = arrays.unionByName(written(spark, _hash_arrays(docs, more, id_col, text_col), "set-arrays"))
+    second = _linked(near, arrays)
     # rows that repeat an id tie their sets together
     twice = usable.select("_id", "digest").distinct().join(groups, "digest").where("rep <> _id") \
         .select(F.col("_id").alias("a"), F.col("rep").alias("b"))
