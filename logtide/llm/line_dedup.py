@@ -42,9 +42,9 @@ def keyed_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 least_chars: int = LEAST_CHARS) -> DataFrame:
     """(h, g, split, doc, text_hash, pos) of every line that is long enough to count."""
     rows = docs.select(F.col(id_col).alias("doc"), _text(text_col).alias("_t"),
-                       F.spark_partition_id().alias("split"))
-    lines = rows.select("doc", "split", F.xxhash64("_t").alias("text_hash"),
-                        F.posexplode(F.split("_t", "\n")).alias("pos", "line"))
+                       F.spark_partition_id().alias("split")).withColumn("text_hash", F.xxhash64("_t"))
+    # the hash is taken below the explosion: above it would be taken of the whole text for each of its lines
+    lines = rows.select("doc", "split", "text_hash", F.posexplode(F.split("_t", "\n")).alias("pos", "line"))
     keys = lines.select("doc", "split", "text_hash", "pos", line_key(F.col("line")).alias("key"))
     return keys.where(F.char_length("key") >= least_chars).select(
         F.xxhash64("key").alias("h"), F.xxhash64(F.lit("line"), "key").alias("g"), "split", "doc", "text_hash", "pos")
