@@ -3,6 +3,8 @@ import shutil
 import subprocess
 import sys
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from logtide.llm import packing, pu_quality, quality_rules
 from logtide.llm.common import fold, table
@@ -36,6 +38,30 @@ def test_stages_match_brute_force(spark):
     assert len(lost) <= 0.05 * len(good) + sum(len((rows[i].text or "").split()) < 20 for i in good)
 
 
+def test_stages_on_odd_rows(spark):
+    """Null, empty, repeated and id-less rows, extra columns with clashing names, and an empty table."""
+    docs = table(spark, SF, "documents").limit(40)
+    odd = spark.createDataFrame([(90001, None, "en", "s", None), (90002, "", None, None, 0), (None, "too short", "en", "s", 9),
+                                 (None, None, None, None, None)], docs.schema)
+    long = docs.where("length(text) > 400").limit(1)
+    rows = docs.unionByName(odd).unionByName(long).unionByName(long).unionByName(long.withColumn("doc_id", F.lit(None).cast("long")))
+    names = ["_id", "_text", "n", "kept", "digest", "key", "tile", "length", "score", "rank"]
+    rows = rows.withColumns({c: F.lit(c) for c in names})
+    now = rows
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        now = stage(spark, now, SF)
+        assert now.columns == rows.columns, name
+        assert stage(spark, rows.limit(0), SF).count() == 0, name
+    kept = now.collect()
+    assert kept and all(r.text and len(r.text.split()) >= 20 for r in kept)
+    ids = [r.doc_id for r in kept if r.doc_id is not None]
+    assert len(ids) == len(set(ids))                     # the repeated row is one
+    packed = corpus_pipeline.packing_stage(spark, rows, SF).collect()
+    assert len({(r.sequence_id, r.offset) for r in packed}) == len(packed)
+    assert sum(r.piece == 0 for r in packed) == rows.count()
+    assert corpus_pipeline.packing_stage(spark, rows.limit(0), SF).count() == 0
+
+
 def test_entry_without_the_operators(tmp_path):
     """The rest imports and registers when this subpackage and the pipeline are absent."""
     for name in ("logtide", "__spark_entry__.py"):

@@ -146,3 +146,21 @@ def test_prior_counts_documents_outside_the_sample(spark):
     finally:
         pu_quality.count_reached = real
     assert seen[0].sum() == 1201 - 40 and abs(model.prior - 0.75) < 0.1
+
+
+def test_held_out_labels(spark):
+    """Labels of fold 2 are not learned from: both classifiers are judged on them alone."""
+    from pyspark.sql import functions as F
+
+    from logtide.llm.common import fold, table
+    sf = "/root/testdata/sf0.1"
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    held = labels.where((fold("doc_id", 4) == 2) & F.col("quality").isNotNull()).select("doc_id", "quality")
+    judged = docs.join(F.broadcast(held), "doc_id")
+    pu = pu_quality.pu_quality(judged, pu_quality.train(docs, labels, fold("doc_id", 4) != 2))
+    rules = quality_rules.quality_rules(judged, quality_rules.train(docs, labels.where(fold("doc_id", 4) != 2)))
+    truth = {r.doc_id: r.quality for r in held.collect()}
+    good, bad = ([r.predicted for r in pu.collect() if truth[r.doc_id] == q] for q in (1, 0))
+    assert len(good) > 800 and np.mean(good) >= 0.98 and np.mean(bad) <= 0.05
+    past = [(truth[r.doc_id], r.kept) for r in rules.collect() if not r.base_failed]
+    assert np.mean([k for q, k in past if q == 1]) >= 0.98 and np.mean([k for q, k in past if q == 0]) <= 0.05

@@ -5,6 +5,7 @@ from collections import Counter
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logtide.llm import chunk_bpe, packing, token_counts
@@ -158,3 +159,16 @@ def test_a_text_of_repeated_rows_is_encoded_once(spark, scratch, monkeypatch):
     got = token_counts.token_counts(docs, BYTE, scratch("cache")).collect()
     assert len(got) == 403 and all(r.n_tokens > 0 for r in got)
     assert sorted(r._text for df in encoded for r in df.collect()) == ["no id", "one", "the same row", "two"]
+
+
+def test_a_text_of_20_mb(spark, scratch):
+    """Whole, however long: the text repeats a passage that tokenizes alike wherever it stands."""
+    passage = "".join(random.Random(9).choice("abc déf ghi, ") for _ in range(4000)).strip() + ".\n"
+    repeats = 20_000_000 // len(passage)
+    docs = spark.createDataFrame([(1, passage * repeats, 7)], "doc_id long, text string, _text int") \
+        .withColumns({c: F.lit("x") for c in ("content", "n_tokens", "_row", "length", "block")})
+    byte, word = (len(Tokenizer.from_file(p).encode(passage).ids) for p in (BYTE, WORD))
+    assert token_counts.token_counts(docs, BYTE, scratch("cache")).first().n_tokens == byte * repeats
+    made = chunk_bpe.encode_decode(docs, WORD).select("n_tokens", F.length("decoded").alias("n")).first()
+    assert made.n_tokens == word * repeats and made.n > 20_000_000 // 2
+    assert packing.pack(docs, BYTE).agg(F.sum("length")).first()[0] == byte * repeats + 1
