@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from logtide.session import scratch_path
 
 SLICE_BYTES = 1 << 20
+SALTS = 256                          # tasks at most over which `attach` spreads the rows of one key
 TOKEN_SLICE_BYTES = 2 << 20          # for tokenizers, whose pieces repeat more the larger the slice
 
 
@@ -61,6 +62,20 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_salt(*cols) -> Column:
+    """A salt of each row by `cols`; by its position in the input where none are given (write it before use)."""
+    return F.pmod(F.xxhash64(*cols) if cols else F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int")
+
+
+def attach(rows: DataFrame, values: DataFrame, keys: list[str]) -> DataFrame:
+    """`rows` (with a column `salt`) inner joined to `values`, which has one row a key, however often a key occurs.
+
+    The values go to the (key, salt) pairs that occur, which partial aggregation finds in each task: at most SALTS
+    rows a key and one row a rare key. Rows then meet their own pair, so a key that a third of them hold is spread."""
+    pairs = rows.select(*keys, "salt").distinct().join(values, keys)
+    return rows.join(pairs, [*keys, "salt"])
+
+
 def fold(id_col: str, folds: int) -> Column:
     """crc32 of the id as text, modulo `folds`."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % folds

@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.chars import Chars
-from logtide.llm.common import map_arrow, map_texts, slices, texts_of, written
+from logtide.llm.common import attach, map_arrow, map_texts, row_salt, slices, texts_of, written
 from logtide.llm.graph import components
 
 WORDS = 5                  # fixed value: words in a shingle
@@ -49,7 +49,6 @@ SMALL = 64
 TILE = 1024                # sets of a part in the first round
 CROSS_TILE = 4096          # and in the second, where only pairs of different components are kept
 BAND = 4 / 3
-SALTS = 8
 WIDEST = 1 << 16           # bits of the longest signature
 
 
@@ -168,7 +167,7 @@ def _forest(i: np.ndarray, j: np.ndarray, weight: np.ndarray, size: int) -> np.n
 def _tiles(keys: DataFrame, cross: bool) -> DataFrame:
     """(tile, left, _id): which sets meet where. With `cross`, parts of frequent keys meet other parts too.
 
-    keys: (key, _id, n), one row per set and key, keys of at least two sets, with `sets`, the number of a key."""
+    keys: (key, _id, n, salt), one row per set and key, keys of at least two sets, with `sets`, the number of a key."""
     few = (keys.where(F.col("sets") <= SMALL).groupBy("key")
            .agg(F.sort_array(F.collect_set("_id")).alias("members")).select("members").distinct()
            .select(F.hex(F.xxhash64("members")).alias("tile"), F.lit(True).alias("left"),
@@ -178,7 +177,7 @@ def _tiles(keys: DataFrame, cross: bool) -> DataFrame:
     parts = (many.groupBy("key", "band")
              .agg(F.ceil(F.count(F.lit(1)) / (CROSS_TILE if cross else TILE)).cast("int").alias("parts"))
              .groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("band", "parts"))).alias("parts")))
-    dealt = many.join(parts, "key").withColumn(
+    dealt = attach(many, parts, ["key"]).withColumn(
         "part", F.pmod(F.xxhash64("_id", "key"), F.expr("parts[band]")).cast("int"))
     band, part = F.col("band"), F.col("part")
 
@@ -304,15 +303,15 @@ def _linked(pairs: DataFrame, arrays: DataFrame) -> DataFrame:
 def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, n_shingles, component_id) per row of `docs`."""
     spark = docs.sparkSession
-    sets = written(spark, shingle_sets(docs, id_col, text_col), "shingle-sets")
+    sets = written(spark, shingle_sets(docs, id_col, text_col).withColumn("salt", row_salt()), "shingle-sets")
     usable = sets.where("n > 0 AND _id IS NOT NULL")
-    # one set per digest, under the least id that has it
+    # one set per digest, under the least id that has it; rows that repeat are one before they meet it
     groups = written(spark, usable.groupBy("digest").agg(F.min("_id").alias("rep")), "set-groups")
-    reps = written(spark, usable.join(groups.withColumnRenamed("rep", "_id"), ["digest", "_id"], "left_semi")
-                   .dropDuplicates(["_id", "digest"]), "set-reps")
-    named = reps.select(F.posexplode("keys").alias("rank", "key"), "_id", "n")
+    reps = written(spark, usable.dropDuplicates(["digest", "_id"])
+                   .join(groups.withColumnRenamed("rep", "_id"), ["digest", "_id"], "left_semi"), "set-reps")
+    named = reps.select(F.posexplode("keys").alias("rank", "key"), "_id", "n", "salt")
     often = named.groupBy("key").agg(F.count(F.lit(1)).alias("sets")).where("sets > 1")
-    keys = written(spark, named.join(often, "key"), "set-keys")
+    keys = written(spark, attach(named, often, ["key"]), "set-keys")
 
     # exact arrays only of sets in pairs that the bounds let through
     rooted = _tiles(keys.where(F.col("rank") < FIRST_KEYS), cross=False).withColumn("root", F.col("_id"))
@@ -324,7 +323,7 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     known = keys.join(roots.withColumnRenamed("node", "_id"), "_id", "left").withColumn("root", F.coalesce("root", "_id"))
     open_keys = known.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")) \
                      .where("low < high").select("key")
-    with_root = (_tiles(keys.join(open_keys, "key", "left_semi"), cross=True)
+    with_root = (_tiles(attach(keys, open_keys, ["key"]), cross=True)
                  .join(roots.withColumnRenamed("node", "_id"), "_id", "left")
                  .withColumn("root", F.coalesce("root", "_id")))
     near = written(spark, _pairs(with_root, reps, forest=False), "set-pairs")
@@ -339,11 +338,10 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     edges = first.unionByName(second).unionByName(twice.join(ids_twice, "a", "left_semi"))
     final = written(spark, components(edges, "star"), "roots")
 
-    spread = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     labels = (groups.join(final, groups["rep"] == final["node"], "left")
-              .select("digest", F.coalesce("root", "rep").alias("component_id")).withColumn("salt", spread))
-    out = (sets.select("_id", "n", "digest").withColumn("salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int")))
-    has = out.where("digest IS NOT NULL AND _id IS NOT NULL").join(labels, ["digest", "salt"], "left")
+              .select("digest", F.coalesce("root", "rep").alias("component_id")))
+    out = sets.select("_id", "n", "digest", "salt")
+    has = attach(out.where("digest IS NOT NULL AND _id IS NOT NULL"), labels, ["digest"])
     alone = out.where("digest IS NULL OR _id IS NULL").withColumn("component_id", F.col("_id"))
     rows = has.select("_id", "n", "component_id").unionByName(alone.select("_id", "n", "component_id"))
     return rows.select(F.col("_id").alias(id_col), F.col("n").alias("n_shingles"), "component_id")
