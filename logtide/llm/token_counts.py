@@ -9,8 +9,9 @@ not stored, one document each is encoded, whole, and the counts are appended.
 A Bloom filter of fixed size holds the contents that several documents share or
 that are stored; a document outside it is surely the only one of a miss and is
 encoded where it is read. Only the others cross the network, once, to the exact
-choice of one document per miss. The join back to documents is salted, so a
-content that a third of the documents share spreads.
+choice of one document per miss. Stored counts are first reduced to the contents
+of these documents; the join back to them is salted by row, so a content that a
+third of the documents share spreads, also under one id or none.
 
 Defined results: null and empty texts have 0 bytes and 0 tokens; repeated rows
 and null ids give one row each.
@@ -22,12 +23,11 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logtide.llm.common import TOKEN_SLICE_BYTES, map_texts, texts_of, written
+from logtide.llm.common import TOKEN_SLICE_BYTES, attach, map_texts, row_salt, texts_of, written
 from logtide.llm.pieces import shared_pieces, tokenizer_version
 from logtide.llm.url_filter import possible_rows
 
 CACHE_SCHEMA = "content string, version string, n_tokens long"
-SALTS = 8
 
 
 def read_cache(spark: SparkSession, path: str, version: str) -> DataFrame:
@@ -56,14 +56,17 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512,
     version = tokenizer_version(tokenizer)
     texts = docs.select(F.col(id_col).alias("_id"), F.coalesce(text_col, F.lit("")).alias("_text")) \
                 .withColumn("content", F.sha2(F.col("_text").cast("binary"), 256))
-    keyed = written(spark, texts.select("_id", "content", F.octet_length("_text").cast("long").alias("n_bytes")),
-                    "token-keys")
+    keyed = written(spark, texts.select("_id", "content", F.octet_length("_text").cast("long").alias("n_bytes"),
+                                        row_salt().alias("salt")), "token-keys")
     stored = read_cache(spark, cache, version)
     name = F.coalesce(F.col("_id").cast("string"), F.lit(""))
-    contents = keyed.groupBy("content").agg(F.min(name).alias("_name"), F.count(F.lit(1)).alias("n"))
+    contents = written(spark, keyed.groupBy("content").agg(F.min(name).alias("_name"), F.count(F.lit(1)).alias("n")),
+                       "token-contents")
     # one row per content that is not stored: the document whose text will be encoded
     misses = written(spark, contents.join(stored, "content", "left_anti"), "token-misses")
-    joint = misses.where("n > 1").select("content").union(stored.select("content"))
+    # of the stored contents only those of these documents concern this run
+    joint = contents.where("n > 1").select("content").union(
+        contents.where("n = 1").join(stored, "content", "left_semi").select("content"))
     marked = possible_rows(texts.withColumn("_name", name), joint, "content")
     # rows that repeat an id and its text, or that have no id, share a name: one of them is left before the exchange
     named = marked.where("possible").select("content", "_name", "_text").dropDuplicates(["content", "_name"])
@@ -72,8 +75,6 @@ def token_counts(docs: DataFrame, tokenizer: str, cache: str, limit: int = 512,
     (_encode(marked.where("NOT possible"), tokenizer).union(_encode(chosen, tokenizer))
      .withColumn("version", F.lit(version))
      .select("content", "version", "n_tokens").write.mode("append").parquet(cache))
-    counts = (read_cache(spark, cache, version)
-              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    out = (keyed.withColumn("salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
-           .join(counts, ["content", "salt"], "left"))
+    counts = read_cache(spark, cache, version).join(contents.select("content"), "content", "left_semi")
+    out = attach(keyed, counts, ["content"])
     return out.select(F.col("_id").alias(id_col), "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
