@@ -25,10 +25,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logtide.llm.common import map_arrow, written
+from logtide.llm.common import attach, map_arrow, row_salt, written
 from logtide.llm.graph import components
 
 THRESHOLD = 0.95
@@ -36,7 +37,6 @@ MOST_CELLS = 6             # leading components that make the cells, at most
 TILE = 2048
 STEP = 8                   # dimensions accumulated at a time
 SLACK = 1e-9               # pairs this near to the threshold are decided on the original vectors
-SALTS = 8
 
 
 def _matrix(column: pa.ChunkedArray | pa.Array) -> np.ndarray:
@@ -49,15 +49,17 @@ def usable_vectors(rows: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     """(_id, dim, vector): vectors in double precision as bytes; null where the row links with nothing."""
     def run(batches):
         for b in batches:
+            lists = b.column("_vector")
+            flat = pc.fill_null(lists.flatten(), np.nan).to_numpy(zero_copy_only=False) + 0.0   # -0.0 and 0.0 are one
+            cut = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(lists), 0).to_numpy())])
             out = []
-            for v in b.column("_vector").to_pylist():
-                if v is None or not len(v) or any(x is None for x in v):
+            for lo, hi in zip(cut.tolist(), cut[1:].tolist()):
+                x = flat[lo:hi]
+                if lo == hi or not np.isfinite(x).all() or not x.any():
                     out.append(None)
                     continue
-                x = np.array(v, np.float64) + 0.0        # -0.0 and 0.0 are one value
                 norm = np.sqrt((x * x).sum())
-                scaled = x / np.abs(x).max() if np.isfinite(x).all() and np.abs(x).max() > 0 else None
-                out.append(None if scaled is None else (x if np.isfinite(norm) and norm > 1e-150 else scaled).tobytes())
+                out.append((x if np.isfinite(norm) and norm > 1e-150 else x / np.abs(x).max()).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [b.column("_id"), pa.array([None if x is None else len(x) // 8 for x in out], pa.int32()),
                  pa.array(out, pa.binary())], names=["_id", "dim", "vector"])
@@ -185,7 +187,7 @@ def _dealt(cells: DataFrame, leading: int) -> DataFrame:
                   ["dim", "other"])
             .groupBy("dim", "cell").agg(F.collect_list(F.struct("other", "other_parts")).alias("near")))  # 3**leading at most
     own = counts.join(near, ["dim", "cell"])
-    placed = (cells.join(own, ["dim", "cell"])
+    placed = (attach(cells.withColumn("salt", row_salt("group")), own, ["dim", "cell"])
               .withColumn("part", F.pmod(F.xxhash64("group"), F.col("parts")).cast("int"))
               .withColumn("here", F.concat_ws("/", where, F.col("part").cast("string"))))
     there = F.flatten(F.transform("near", lambda x: F.transform(
@@ -263,24 +265,23 @@ def embedding_links(rows: DataFrame, threshold: float = THRESHOLD, id_col: str =
                     vector_col: str = "embedding") -> DataFrame:
     """(id, n_links, component_id, kept) per row of `rows`."""
     spark = rows.sparkSession
-    vectors = written(spark, usable_vectors(rows, id_col, vector_col), "vectors")
+    vectors = written(spark, usable_vectors(rows, id_col, vector_col)
+                      .withColumn("digest", F.unhex(F.sha2("vector", 256))).withColumn("salt", row_salt()), "vectors")
     # equal vectors are one group, numbered by a block-free unique number; `low` is its least id
-    groups = written(spark, vectors.where("vector IS NOT NULL").groupBy("vector", "dim")
+    groups = written(spark, vectors.where("vector IS NOT NULL").groupBy("vector", "dim", "digest")
                      .agg(F.count(F.lit(1)).alias("weight"), F.min("_id").alias("low"))
                      .withColumn("group", F.monotonically_increasing_id()), "vector-groups")
     sums = written(spark, link_sums(groups.select("group", "weight", "dim", "vector"), threshold), "vector-links")
     links = sums.groupBy(F.col("a").alias("group")).agg(F.sum("links").alias("others"))
     roots = components(sums.select("a", "b"), "vector-star")
-    named = (groups.select("vector", "group", "weight", "low").join(links, "group", "left")
+    named = (groups.select("digest", "group", "weight", "low").join(links, "group", "left")
              .join(roots.withColumnRenamed("node", "group"), "group", "left")
              .withColumn("root", F.coalesce("root", "group"))
              .withColumn("n_links", F.coalesce("others", F.lit(0)) + F.col("weight") - 1))
     named = written(spark, named, "vector-named")
     least = named.groupBy("root").agg(F.min("low").alias("component_id"))
-    labels = (named.join(least, "root").select("vector", "n_links", "component_id")
-              .withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
-    salted = vectors.withColumn("salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
-    linked = (salted.where("vector IS NOT NULL").join(labels, ["vector", "salt"])
+    labels = named.join(least, "root").select("digest", "n_links", "component_id")
+    linked = (attach(vectors.where("vector IS NOT NULL").select("_id", "digest", "salt"), labels, ["digest"])
               .select("_id", "n_links", "component_id"))
     alone = vectors.where("vector IS NULL").select("_id", F.lit(0).cast("long").alias("n_links"),
                                                    F.col("_id").alias("component_id"))
