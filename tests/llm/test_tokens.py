@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from logtide.llm import chunk_bpe, packing, token_counts
+from logtide.llm.common import SALTS, attach, row_salt
 from logtide.llm.pieces import ENTRY_BYTES, Generations, Pieces
 from tests.llm.helpers import DOC_SCHEMA, doc_rows
 
@@ -172,3 +173,28 @@ def test_a_text_of_20_mb(spark, scratch):
     made = chunk_bpe.encode_decode(docs, WORD).select("n_tokens", F.length("decoded").alias("n")).first()
     assert made.n_tokens == word * repeats and made.n > 20_000_000 // 2
     assert packing.pack(docs, BYTE).agg(F.sum("length")).first()[0] == byte * repeats + 1
+
+
+def test_counts_where_one_row_repeats_and_ids_are_missing(spark, scratch):
+    """A third of the rows are one row, a third have no id and one text; the cache holds other contents too."""
+    cache, tok = scratch("cache"), Tokenizer.from_file(BYTE)
+    token_counts.token_counts(spark.createDataFrame(doc_rows(["of another run", "plain 1"]), DOC_SCHEMA), BYTE, cache)
+    rows = ([(7, "one row", "en", "a", None)] * 300 + [(None, "no id", "en", "a", None)] * 300
+            + doc_rows([f"plain {k}" for k in range(300)], first=100))
+    docs = spark.createDataFrame(rows, DOC_SCHEMA).repartition(6)
+    got = token_counts.token_counts(docs, BYTE, cache)
+    want = Counter((r[0], len(r[1].encode()), len(tok.encode(r[1], add_special_tokens=False).ids), False) for r in rows)
+    assert Counter(map(tuple, got.collect())) == want
+    stored = spark.read.parquet(cache)
+    assert stored.count() == stored.select("content").distinct().count() == 303
+
+
+def test_attach_spreads_a_key_of_many_rows(spark):
+    """The rows of a key meet its value under many salts; keys without a value go."""
+    rows = spark.range(3000).select(F.when(F.col("id") < 2000, 0).otherwise(F.col("id")).alias("key"), "id",
+                                    row_salt().alias("salt"))
+    values = spark.range(2500).select(F.col("id").alias("key"), (F.col("id") * 2).alias("value"))
+    got = attach(rows, values, ["key"])
+    assert {(r.key, r.id, r.value) for r in got.collect()} == (
+        {(0, k, 0) for k in range(2000)} | {(k, k, 2 * k) for k in range(2000, 2500)})
+    assert got.count() == 2500 and got.where("key = 0").select("salt").distinct().count() > SALTS * 0.9
