@@ -81,7 +81,7 @@ class Chars:
     def spans(self, s: np.ndarray, e: np.ndarray) -> np.ndarray:
         """64-bit hashes of the spans [s, e)."""
         if self._prefix is None:
-            size = max(1 << 20, 1 << (self.size + 1).bit_length())
+            size = max(1 << 18, 1 << (self.size + 1).bit_length())
             power, self._inverse = _powers(size)
             value = (self.codes.astype(U) + U(1)) * MULT
             value ^= value >> U(29)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from logtide.session import scratch_path
 
 SLICE_BYTES = 1 << 20
+CHARS_SLICE_BYTES = 1 << 18          # for arrays over the characters, which take up to a hundred bytes each
 SALTS = 256                          # tasks at most over which `attach` spreads the rows of one key
 TOKEN_SLICE_BYTES = 2 << 20          # for tokenizers, whose pieces repeat more the larger the slice
 
@@ -123,7 +124,7 @@ def texts_of(batch: pa.RecordBatch, column: str) -> list[str]:
 
 
 def map_texts(df: DataFrame, fn: Callable[[pa.RecordBatch], dict], schema: str, text_col: str,
-              passed: list[str] = (), budget: int = SLICE_BYTES) -> DataFrame:
+              passed: list[str] = (), budget: int = CHARS_SLICE_BYTES) -> DataFrame:
     """mapInArrow over slices of about `budget` bytes: `fn(slice)` gives the new columns, `passed` columns go through."""
     kept = [f"`{c}` {df.schema[c].dataType.simpleString()}" for c in passed]
 
@@ -143,7 +144,7 @@ def map_kept(df: DataFrame, keep: Callable[[pa.RecordBatch], np.ndarray], text_c
     """The rows of `df`, all columns, for which `keep(slice)` is true."""
     def run(batches):
         for whole in batches:
-            for part in slices(whole, text_col):
+            for part in slices(whole, text_col, CHARS_SLICE_BYTES):
                 yield part.filter(pa.array(np.asarray(keep(part), bool)))
 
     return map_arrow(df, run, df.schema)

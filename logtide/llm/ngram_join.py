@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.chars import Chars
-from logtide.llm.common import attach, map_arrow, map_texts, row_salt, slices, texts_of, written
+from logtide.llm.common import CHARS_SLICE_BYTES, attach, map_arrow, map_texts, row_salt, slices, texts_of, written
 from logtide.llm.graph import components
 
 WORDS = 5                  # fixed value: words in a shingle
@@ -260,7 +260,7 @@ def _hash_arrays(docs: DataFrame, chosen: DataFrame, id_col: str, text_col: str)
     def run(batches):
         seen = set()
         for whole in batches:
-            for part in slices(whole, "_text"):
+            for part in slices(whole, "_text", CHARS_SLICE_BYTES):
                 h, cut = shingles(texts_of(part, "_text"))
                 rows = []
                 for i, a, b in zip(part.column("_id").to_pylist(), cut, cut[1:]):

@@ -205,8 +205,9 @@ def ranked(pieces: DataFrame, histogram: dict[int, int]) -> DataFrame:
     """pieces plus rank: 0, 1, ... among the pieces of the same length, without one task per length.
 
     `histogram` has every length's count; the table of blocks has a row a length."""
-    blocks = pieces.sparkSession.createDataFrame([(k, -(-n // BLOCK_ROWS)) for k, n in histogram.items()],
-                                                 "length long, blocks long")
+    blocks = pieces.sparkSession.createDataFrame(pa.table(       # from a list, Python workers of their own would read it
+        {"length": pa.array(list(histogram), pa.int64()),
+         "blocks": pa.array([-(-n // BLOCK_ROWS) for n in histogram.values()], pa.int64())}))
     keyed = (pieces.join(F.broadcast(blocks), "length")
              .withColumn("block", F.pmod(F.xxhash64("_row", "piece"), F.col("blocks"))).drop("blocks"))
     before = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)

@@ -200,7 +200,6 @@ def count_reached(docs: DataFrame, learned: DataFrame, net: Net, at: np.ndarray)
 def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = POSITIVES,
           unlabelled: int = UNLABELLED) -> Model | None:
     """Fit on trusted positives (label 1 where `learn` holds on the labels' doc_id) and unlabelled texts."""
-    spark, id_schema = docs.sparkSession, f"_id {docs.schema['doc_id'].dataType.simpleString()}"
     trusted = labelled_sample(docs, labels.where(F.col("quality") > 0), "quality", learn, positives)
     ids = (docs.select(F.col("doc_id").alias("_id")).where("_id IS NOT NULL").distinct()
            .orderBy(F.xxhash64("_id", F.lit("unlabelled")), "_id").limit(unlabelled))
@@ -217,8 +216,9 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, positives: int = PO
     order = np.argsort(got.column("_id").to_numpy(), kind="stable")
     label = got.column("_label").to_numpy()[order]
     ids = got.column("_id").take(pa.array(order[label == 0]))
+    # an Arrow table: from a list of rows, Python workers of their own would read it
     return fit(x[order][label > 0], x[order][label == 0], lambda net, at, learned: count_reached(
-        docs, spark.createDataFrame([(i,) for i in ids.take(pa.array(learned)).to_pylist()], id_schema), net, at))
+        docs, docs.sparkSession.createDataFrame(pa.table({"_id": ids.take(pa.array(learned))})), net, at))
 
 
 def score(texts: list[str], model: Model | None) -> np.ndarray:

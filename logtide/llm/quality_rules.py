@@ -15,6 +15,7 @@ and the verdict is the base alone (probability null).
 from __future__ import annotations
 
 import dataclasses
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,21 +42,19 @@ class Model:
     offset: float
 
 
-def _grams(chars: Chars) -> list[tuple[np.ndarray, np.ndarray]]:
-    """(text, bucket) per n-gram, one pair of arrays for words and one per character width."""
+def _grams(chars: Chars) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, bucket) per n-gram, one pair of arrays for words and one per character width; one at a time is held."""
     shift = U(64 - BITS)
     words = chars.whash
-    one = (chars.wdoc, (words * U(0xA24BAED4963EE407)) >> shift)
+    yield chars.wdoc, (words * U(0xA24BAED4963EE407)) >> shift
     pair_at = np.flatnonzero(chars.wdoc[:-1] == chars.wdoc[1:]) if len(words) > 1 else np.zeros(0, np.int64)
     pair = words[pair_at] * U(0x9FB21C651E98DF25) + words[pair_at + 1] if len(pair_at) else np.zeros(0, U)
     if len(pair_at):
         pair[words[pair_at] == words[pair_at + 1]] = _DOUBLED
-    two = (chars.wdoc[pair_at], (pair * U(0xC2B2AE3D27D4EB4F)) >> shift)
-    out = [one, two]
+    yield chars.wdoc[pair_at], (pair * U(0xC2B2AE3D27D4EB4F)) >> shift
     for width in (3, 5):
         doc, h = chars.char_grams(width)
-        out.append((doc, (h * U(2 * width + 1)) >> shift))
-    return out
+        yield doc, (h * U(2 * width + 1)) >> shift
 
 
 def features(chars: Chars) -> list[tuple[np.ndarray, np.ndarray]]:

@@ -74,3 +74,43 @@ def test_entry_without_the_operators(tmp_path):
                           "print(len(q), any(k.startswith('op') and k[2].isdigit() for k in q), 'pipeline' in q)"],
                          cwd=tmp_path, capture_output=True, text=True, check=True)
     assert out.stdout.split()[1:] == ["False", "False"] and int(out.stdout.split()[0]) > 50
+
+
+def test_texts_are_looked_at_in_small_arrays(spark, monkeypatch):
+    """What a Python worker holds beside its batch does not grow with the batch: several MB of texts, few MB of arrays."""
+    import tracemalloc
+
+    import numpy as np
+    import pyarrow as pa
+
+    from logtide.llm import common, pu_quality, quality_rules
+
+    monkeypatch.setattr(common, "map_arrow", lambda df, fn, schema: fn)
+    text = " ".join(f"word{k * k % 997} of a line" for k in range(150))
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(3000)), "text": [f"{k} {text}" for k in range(3000)]})
+    docs = spark.createDataFrame([], "doc_id long, text string")
+    rng = np.random.default_rng(1)
+    net = pu_quality.Net(np.zeros(pu_quality.FEATURES), np.ones(pu_quality.FEATURES),
+                         rng.normal(0, 1, (pu_quality.FEATURES, 4)), np.zeros(4), np.ones(4), 0.0)
+    runs = [quality_rules.keep_quality(docs, quality_rules.Model(np.zeros(1 << 18, np.float32), 1.0, 1.0, 0.0)),
+            pu_quality.keep_predicted(docs, pu_quality.Model(net, 0.5))]
+    assert batch.nbytes > 6 << 20
+    for run in runs:
+        tracemalloc.start()
+        for _ in run(iter([batch])):
+            pass
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert peak < 40 << 20
+
+
+def test_tables_of_the_driver_need_no_python_workers(spark):
+    """A list of rows would be read by Python workers of another kind, which stay beside those of the operators."""
+    import pyarrow as pa
+
+    from logtide.llm import packing
+
+    pieces = spark.createDataFrame(pa.table({"_row": [1, 2], "piece": pa.array([0, 0], pa.int32()), "length": [5, 7]}))
+    ranks = packing.ranked(pieces, {5: 1, 7: 1})
+    assert "ExistingRDD" not in ranks._jdf.queryExecution().toString()
+    assert sorted((r["length"], r["rank"]) for r in ranks.collect()) == [(5, 0), (7, 0)]
