@@ -19,8 +19,9 @@ the threshold go on to an exact intersection of the sorted hash arrays. The
 first round tries, per tile of the `FIRST_KEYS` least keys, the heaviest spanning
 forest of those pairs, which joins a group of near copies by as many pairs as it
 has members; the second, over all keys,
-tries every other pair whose sides are not joined yet; keys whose sets are
-all joined by then drop out before anything is dealt. So no link between
+tries every other pair whose sides are not joined yet, of the tiles of frequent
+keys in which two sets meet only in that of their least common one; keys whose sets
+are all joined by then drop out before anything is dealt. So no link between
 different components is lost, and no group is expanded into all its pairs.
 
 Defined results: texts without words (null, empty) have no set and link with
@@ -210,12 +211,30 @@ def _tiles(keys: DataFrame, cross: bool) -> DataFrame:
     return few.unionByName(dealt.select("_id", F.inline(meets)).select("tile", "left", "_id"))
 
 
+def _met_before(key: int, frequent: pa.Array, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """Whether the sets i and j of a tile of `key` have a smaller frequent key in common, too."""
+    size = np.diff(frequent.offsets.to_numpy())
+    values, code = np.unique(frequent.flatten().to_numpy(), return_inverse=True)
+    column = np.arange(len(code)) - np.repeat(np.cumsum(size) - size, size)
+    earlier = np.full((len(size), max(1, int(size.max(initial=0)))), -1, np.int32)
+    earlier[np.repeat(np.arange(len(size)), size), column] = np.where(values[code] < key, code, -1)
+    out = np.zeros(len(i), bool)
+    for at in range(0, len(i), 1 << 14):
+        a, b = earlier[i[at:at + (1 << 14)]], earlier[j[at:at + (1 << 14)]]
+        for column in a.T:
+            out[at:at + (1 << 14)] |= (column >= 0) & (column[:, None] == b).any(1)
+    return out
+
+
 def _pairs(tiles: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
     """(a, b): pairs of `tiles` (tile, left, _id, root) that the bounds let through, a < b.
 
-    Round one takes a spanning forest per tile; round two all pairs of different roots."""
-    rows = (tiles.join(sets.select("_id", "n", "bits"), "_id")
-            .select("tile", "left", "_id", "root", "n", "bits"))
+    Round one takes a spanning forest per tile; round two all pairs of different roots, for which `sets` has each
+    set's `frequent` keys: a pair that several of them bring together comes from the tile of the least alone."""
+    frequent = ([] if forest else
+                [F.when(F.col("tile").contains("/"), F.coalesce("frequent", F.array().cast("array<long>")))
+                 .alias("frequent")])
+    rows = tiles.join(sets.drop("digest", "keys", "salt"), "_id").select("tile", "left", "_id", "root", "n", "bits", *frequent)
     dealt = rows.repartition("tile").sortWithinPartitions("tile")
 
     def tile_pairs(t: pa.Table):
@@ -225,6 +244,13 @@ def _pairs(tiles: DataFrame, sets: DataFrame, forest: bool) -> DataFrame:
                                   not t.column("tile")[0].as_py().startswith("x/"))
         apart = ids[i] != ids[j]
         i, j, bound = i[apart], j[apart], bound[apart]
+        if not forest and len(i) and "/" in t.column("tile")[0].as_py():
+            # an id of several sets has a row of each, whose keys are not told apart: its pairs come from every tile
+            _, where, rows = np.unique(ids, return_inverse=True, return_counts=True)
+            once = (rows[where[i]] == 1) & (rows[where[j]] == 1)
+            key = int(t.column("tile")[0].as_py().split("/")[1])
+            new = ~(once & _met_before(key, t.column("frequent").combine_chunks(), i, j))
+            i, j = i[new], j[new]
         if forest and len(i):
             pick = _forest(i, j, bound / (n[i] + n[j] - bound), len(ids))
             i, j = i[pick], j[pick]
@@ -326,7 +352,9 @@ def ngram_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     with_root = (_tiles(attach(keys, open_keys, ["key"]), cross=True)
                  .join(roots.withColumnRenamed("node", "_id"), "_id", "left")
                  .withColumn("root", F.coalesce("root", "_id")))
-    near = written(spark, _pairs(with_root, reps, forest=False), "set-pairs")
+    frequent = (keys.where(F.col("sets") > SMALL).groupBy("_id")
+                .agg(F.collect_set("key").alias("frequent")))
+    near = written(spark, _pairs(with_root, reps.join(frequent, "_id", "left"), forest=False), "set-pairs")
     more = _ends(near).join(arrays.select("_id"), "_id", "left_anti")
     arrays = arrays.unionByName(written(spark, _hash_arrays(docs, more, id_col, text_col), "set-arrays"))
     second = _linked(near, arrays)

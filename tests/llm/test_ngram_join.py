@@ -96,3 +96,25 @@ def test_unrelated_texts_of_one_id_are_kept(spark):
     assert [(i, t) for i, t in kept if t not in (a, near)] == [(1, ""), (1, b), (3, c)]
     assert len([t for _, t in kept if t in (a, near)]) == 1
     assert ngram_join.keep_one(docs.repartition(5)).exceptAll(ngram_join.keep_one(docs)).count() == 0
+
+
+def test_pair_comes_from_its_least_frequent_key_alone(spark, monkeypatch):
+    """Two sets that several frequent keys bring together are one row; an id of several sets meets in every tile."""
+    import pyarrow as pa
+
+    from logtide.llm import ngram_join
+
+    sets = spark.createDataFrame(pa.table({
+        "_id": [1, 2, 3, 4, 4], "n": [10] * 5, "bits": [b"\xff" * 32] * 5, "digest": [b"a", b"b", b"c", b"d", b"e"],
+        "keys": [[5]] * 5, "salt": [0] * 5, "frequent": [[9, -5, 7], [-5, 9], [9, 7], [9, -5], [9, -5]]}))
+    tiles = spark.createDataFrame(pa.table({
+        "tile": ["home/-5/0/0"] * 3 + ["home/9/0/0"] * 4 + ["home/7/0/0"] * 2 + ["A0"] * 2, "left": [True] * 11,
+        "_id": [1, 2, 4, 1, 2, 3, 4, 1, 3, 1, 2], "root": [1, 2, 4, 1, 2, 3, 4, 1, 3, 1, 2]}))
+    runs = []
+    monkeypatch.setattr(ngram_join, "map_arrow", lambda df, fn, schema: runs.append((df, fn)) or df)
+    ngram_join._pairs(tiles, sets, forest=False)
+    df, fn = runs[0]
+    rows = [(r["a"], r["b"]) for out in fn(iter(df.coalesce(1).toArrow().to_batches())) for r in out.to_pylist()]
+    assert rows.count((1, 2)) == 2                      # tile -5, and A0, whose key is not frequent
+    assert rows.count((1, 3)) == 1 and rows.count((2, 3)) == 1
+    assert rows.count((1, 4)) == rows.count((2, 4)) == 4 and rows.count((3, 4)) == 2
