@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logtide.llm.chars import Chars, U, mix
-from logtide.llm.common import labelled_sample, map_texts, texts_of, written
+from logtide.llm.common import SLICE_BYTES, labelled_sample, map_texts, texts_of, written
 
 WINDOW, STRIDE = 32, 24
 WORD_BITS, RUN_BITS = 15, 16
@@ -351,7 +351,7 @@ class Spread:
             at = np.flatnonzero(found.any(0))
             return {"at": at, "clean": found[0, at], "toxic": found[1, at]}
 
-        got = (map_texts(self.learned, run, "at long, clean long, toxic long", "_text")
+        got = (map_texts(self.learned, run, "at long, clean long, toxic long", "_text", budget=SLICE_BYTES)
                .groupBy("at").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic")).toArrow())
         out = np.zeros((2, (1 << WORD_BITS) + (1 << RUN_BITS)), np.int64)
         out[:, got.column("at").to_numpy()] = got.column("clean").to_numpy(), got.column("toxic").to_numpy()
@@ -364,7 +364,7 @@ class Spread:
                                           part.column("_seed").to_numpy(), net, r)
             return {"words": pa.array(found, pa.string()), "toxic": toxic}
 
-        got = sorted(zip(*map_texts(self.learned, run, "words string, toxic long", "_text").toArrow()
+        got = sorted(zip(*map_texts(self.learned, run, "words string, toxic long", "_text", budget=SLICE_BYTES).toArrow()
                          .to_pydict().values()))
         return [words for words, _ in got], np.array([toxic for _, toxic in got], np.int64)
 
@@ -373,7 +373,8 @@ class Spread:
             return {"x": pa.array(list(features_of(texts_of(part, "_text"), net)), pa.list_(pa.float64()))}
 
         got = sorted((r["_id"], r["_label"], r["x"])
-                     for r in map_texts(self.curve, run, "x array<double>", "_text", ["_id", "_label"]).toArrow().to_pylist())
+                     for r in map_texts(self.curve, run, "x array<double>", "_text", ["_id", "_label"],
+                                       SLICE_BYTES).toArrow().to_pylist())
         return np.array([x for _, _, x in got]).reshape(-1, TOP + 2), np.array([y for _, y, _ in got], np.int64)
 
 
@@ -454,4 +455,4 @@ def toxicity(docs: DataFrame, net: Net | None, id_col: str = "doc_id", text_col:
         p = score(texts_of(part, text_col), net)
         return {"score": p, "predicted": (p >= PREDICT_AT).astype(np.int32)}
 
-    return map_texts(docs.select(id_col, text_col), run, "score double, predicted int", text_col, [id_col])
+    return map_texts(docs.select(id_col, text_col), run, "score double, predicted int", text_col, [id_col], SLICE_BYTES)
