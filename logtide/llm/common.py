@@ -52,14 +52,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def freed(spark: SparkSession) -> None:
+    """Let go of what finished jobs hold: Spark deletes a job's shuffle files when the driver collects its garbage; a
+    chain of steps would otherwise hold those of all its jobs on the executors' disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """`df` written once to the shared folder and read back: cuts lineage, survives lost executors."""
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    # Spark deletes the shuffle files of a finished job when the driver collects its garbage; a chain of
-    # steps would otherwise hold those of all its jobs on the executors' disks
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    freed(spark)
     return spark.read.schema(df.schema).parquet(path)
 
 
