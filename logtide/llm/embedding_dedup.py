@@ -286,10 +286,13 @@ def _crowded(units: DataFrame, trials: int, leading: int) -> dict[tuple[int, int
         return {}
 
     def run(batches):
+        turns: dict[tuple[int, int], np.ndarray] = {}
         for d, _, x in _gathered(_unpacked(batches)):
             x = x.astype(np.float32)
             for t in range(trials):
-                bucket, n = np.unique(_buckets(x, _directions(t, d, leading)[:, :leading]), return_counts=True)
+                if (t, d) not in turns:
+                    turns[t, d] = _directions(t, d, leading)[:, :leading]
+                bucket, n = np.unique(_buckets(x, turns[t, d]), return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), t), pa.int32()), pa.array(np.full(len(n), d), pa.int32()),
                                                   pa.array(bucket), pa.array(n.astype(np.int64))], names=["trial", "dim", "bucket", "n"])
 
@@ -309,14 +312,17 @@ def _trial_tiles(units: DataFrame, trials: range, leading: int, crowded: dict) -
             for t in trials:
                 bucket = _buckets(numbers, _directions(t, d, leading)[:, :leading])
                 order = np.argsort(bucket, kind="stable")
+                bucket, dealt_group, dealt_x = bucket[order], group[order], x[order]
+                cut = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
                 rows = []
-                for at in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
-                    k = int(bucket[at[0]])
+                for lo, hi in zip(cut, cut[1:]):
+                    k, g_of, x_of = int(bucket[lo]), dealt_group[lo:hi], dealt_x[lo:hi]
                     parts = crowded.get((t, d, k), 1)
-                    of = group[at] % parts
-                    for p in np.unique(of).tolist():
-                        own = at[of == p]
-                        g, v = group[own].tobytes(), x[own].tobytes()
+                    for p in range(parts):
+                        own = slice(None) if parts == 1 else g_of % parts == p
+                        g, v = g_of[own].tobytes(), x_of[own].tobytes()
+                        if not g:
+                            continue
                         rows += [(f"{t},{d},{k},{min(p, q)},{max(p, q)}", g, v) for q in range(parts) if q != p or parts == 1]
                         if sum(len(r[2]) for r in rows) >= 2 * GATHERED:
                             yield batch(rows, t, d)
@@ -338,16 +344,19 @@ def sketch_roots(x: np.ndarray, signs: np.ndarray, bits: int, apart: int, least:
     one of the tables; neighbours in a table are looked at if no more than `apart` of all their signs (packed) differ."""
     size = len(x)
     words = [np.ascontiguousarray(w) for w in signs.view(np.uint64).T]
-    sketches = signs.view(">u2").astype(np.uint16) >> (BITS - bits)
+    sketches = signs.view(">u2").T.astype(np.uint16, order="C") >> (BITS - bits)
     root = np.arange(size)
 
     def joined(found: list) -> np.ndarray:
         if not found:
             return root
-        i, j = (np.concatenate(f) for f in zip(*found))
-        return tile_roots(root[i], root[j], size)[root]
+        ends = np.concatenate([root[np.concatenate(f)] for f in zip(*found)])
+        some, at = np.unique(ends, return_inverse=True)
+        low = np.arange(size)
+        low[some] = some[tile_roots(*np.split(at, 2), len(some))]
+        return low[root]
 
-    for key in sketches.T:
+    for key in sketches:
         order = np.argsort(key, kind="stable")
         first = np.concatenate([[0], np.flatnonzero(np.diff(key[order])) + 1]) if size else np.zeros(0, np.int64)
         length = np.diff(np.concatenate([first, [size]]))

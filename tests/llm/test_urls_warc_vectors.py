@@ -1,9 +1,12 @@
 import hashlib
 import io
 import math
+import os
 import random
+import uuid
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +156,97 @@ def test_vectors_in_odd_tables(spark):
     rows = spark.createDataFrame([(4, [1.0, 1.0])] * 2 + [(None, [1.0, 1.0]), (9, [2.0, 2.0])], schema)
     assert sorted(str(tuple(r)) for r in embedding_dedup.embedding_links(rows).collect()) == sorted(
         ["(4, 3, 4, True)"] * 2 + ["(None, 3, None, False)", "(9, 3, 4, False)"])
+
+
+def _links_of(x):
+    """(n_links, component_id, kept) per row of a matrix, by all products."""
+    unit = x.astype(np.float64) / np.sqrt((x.astype(np.float64) ** 2).sum(1))[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    root = least_components(range(len(x)), zip(*(e.tolist() for e in np.nonzero(linked))))
+    return {i: (int(n), root[i], root[i] == i) for i, n in enumerate(linked.sum(1).tolist())}
+
+
+def _vector_rows(spark, x):
+    return spark.createDataFrame(list(enumerate(x.tolist())), "vec_id long, embedding array<float>").repartition(4)
+
+
+def test_vectors_are_dealt_in_proportion_to_their_rows(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(embedding_dedup, "TILE", 64)
+    real, folder = embedding_dedup.map_arrow, str(tmp_path)
+
+    def counted(df, fn, schema):
+        def run(batches):
+            seen = []
+
+            def passed():
+                for b in batches:
+                    seen.append(b.nbytes)
+                    yield b
+
+            yield from fn(passed())
+            with open(os.path.join(folder, uuid.uuid4().hex), "w") as f:
+                f.write(str(sum(seen)))
+
+        return real(df, run, schema)
+
+    monkeypatch.setattr(embedding_dedup, "map_arrow", counted)
+    x = np.random.default_rng(3).standard_normal((4000, 16)).astype(np.float32)
+    x[3900:] = 2 * x[:100] + 0.1 * x[200:300]
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.embedding_links(_vector_rows(spark, x)).collect()}
+    assert got == _links_of(x)
+    assert sum(int(f.read_text()) for f in tmp_path.iterdir()) < 40 * x.nbytes
+
+
+def test_crowded_buckets_and_parts_meet_pairwise(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "TILE", 64)
+    monkeypatch.setattr(embedding_dedup, "SPLIT", 16)
+    rng = np.random.default_rng(4)
+    x = rng.standard_normal((1500, 16)).astype(np.float32)
+    x[:600] = x[0] + 0.2 * rng.standard_normal((600, 16)).astype(np.float32)      # links, many of them at the threshold
+    real, found = embedding_dedup._crowded, []
+    monkeypatch.setattr(embedding_dedup, "_crowded", lambda *a: found.append(real(*a)) or found[-1])
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in embedding_dedup.embedding_links(_vector_rows(spark, x)).collect()}
+    assert got == _links_of(x)
+    assert max(found[0].values()) > 2
+
+
+@pytest.mark.parametrize("parts", [1, 2, 5, 6])
+def test_each_pair_of_parts_is_dealt_once(spark, parts):
+    members = spark.createDataFrame([(p, 1, 2, bytearray(8), 0, p, parts) for p in range(parts)],
+                                    "group long, weight long, dim int, vector binary, cell long, part int, parts int")
+    tiles = {}
+    for lo in range(parts // 2 + 1):
+        for r in embedding_dedup._dealt(members, lo, lo + 1).collect():
+            tiles.setdefault((lo, r.tile), []).append(r.group)
+    pairs = sorted(tuple(sorted(g)) for g in tiles.values())
+    assert pairs == sorted([(p,) for p in range(parts)] + [(p, q) for p in range(parts) for q in range(p + 1, parts)])
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_tile_links_match_all_products(alone):
+    rng = np.random.default_rng(5)
+    x = np.concatenate([[1.0] * 12 + s * rng.standard_normal((60, 12)) for s in (0.05, 0.2, 0.4, 2.0)])
+    weight, left = rng.integers(1, 4, len(x)), rng.random(len(x)) < 0.5
+    turn = np.linalg.qr(rng.standard_normal((12, 12)))[0]
+    links, root = embedding_dedup.tile_links(x, turn, weight, left, alone, 0.95)
+    unit = x / np.sqrt((x * x).sum(1))[:, None]
+    linked = unit @ unit.T >= 0.95
+    np.fill_diagonal(linked, False)
+    counted = linked if alone else linked & (left[:, None] != left[None, :])
+    assert links.tolist() == (counted @ weight).tolist()
+    ends = np.nonzero(counted)
+    assert (root[ends[0]] == root[ends[1]]).all()
+    whole = least_components(range(len(x)), zip(*(e.tolist() for e in np.nonzero(linked))))
+    assert all(whole[i] == whole[r] for i, r in enumerate(root.tolist()))
+
+
+def test_a_link_is_found_by_some_trial_but_for_the_stated_odds():
+    for threshold, leading in ((0.95, 0), (0.95, 7), (0.7, 3)):
+        trials, bits, apart = embedding_dedup.trial_plan(threshold, leading, 64)
+        same = 1 - math.acos(threshold) / math.pi
+        rest = embedding_dedup.TABLES * embedding_dedup.BITS - bits
+        stray = sum(math.comb(rest, k) * (1 - same) ** k * same ** (rest - k) for k in range(apart + 1, rest + 1))
+        assert stray <= embedding_dedup.STRAY
+        once = same ** leading * (1 - (1 - same ** bits) ** embedding_dedup.TABLES) * (1 - stray)
+        assert (1 - once) ** trials <= embedding_dedup.MISS
